@@ -9,13 +9,21 @@ from pyspark.sql import Column, functions as F
 from plumbline import rules
 
 
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+
+def literal_map(table: dict) -> Column:
+    """A small fixed table as a constant map."""
+    return F.expr("map(" + ", ".join(_literal(x) for pair in table.items() for x in pair) + ")")
+
+
 def lookup(col: Column, table: dict, default=None) -> Column:
-    """Value of ``col`` in a small fixed table, as a CASE (stays in codegen)."""
-    items = list(table.items())
-    expr = F.when(col == F.lit(items[0][0]), F.lit(items[0][1]))
-    for key, val in items[1:]:
-        expr = expr.when(col == F.lit(key), F.lit(val))
-    return expr if default is None else expr.otherwise(F.lit(default))
+    """Value of ``col`` in a small fixed table."""
+    found = F.element_at(literal_map(table), col)
+    return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def tier_score(tier: Column) -> Column:
@@ -34,6 +42,19 @@ def values_agree(a: Column, b: Column, unit: Column) -> Column:
     return F.abs(a - b) <= F.greatest(_tolerance_part(unit, 0), mid * _tolerance_part(unit, 1))
 
 
+def agree_sql(a: str, b: str, unit: str) -> str:
+    """``values_agree`` as SQL text, for use inside array expressions."""
+
+    def part(i: int) -> str:
+        whens = " ".join(f"when '{u}' then {t[i]!r}D" for u, t in rules.TOLERANCES.items())
+        return f"case {unit} {whens} else {rules.TOLERANCES['pct'][i]!r}D end"
+
+    mid = f"(abs({a}) + abs({b})) / 2"
+    return (
+        f"(abs({a} - {b}) <= greatest({part(0)}, {part(1)} * if({mid} = 0, 1D, {mid})))"
+    )
+
+
 def freshness(as_of: Column, reference: Column) -> Column:
     age = F.date_diff(reference, as_of)
     expr = F.when(as_of.isNull(), F.lit(rules.FRESHNESS_STALE))
@@ -42,17 +63,17 @@ def freshness(as_of: Column, reference: Column) -> Column:
     return expr.otherwise(F.lit(rules.FRESHNESS_STALE))
 
 
-def flag_rule(flag: Column) -> Column:
-    """Name of the rule that prices a flag (the flag itself when none does)."""
-    names = [name for name, _ in rules.FLAG_MULTIPLIERS]
-    expr = F.when(flag.isin(names), flag)
-    for name in names:
-        expr = expr.when(flag.startswith(name) | flag.endswith(name), F.lit(name))
-    return expr.otherwise(flag)
-
-
 def flag_multiplier(flag: Column) -> Column:
-    return lookup(flag_rule(flag), dict(rules.FLAG_MULTIPLIERS), rules.UNKNOWN_FLAG_MULTIPLIER)
+    """Multiplier of one flag: exact name, else first prefix or suffix match."""
+    rules_in_order = F.expr("array(" + ", ".join(
+        f"struct({_literal(name)} as name, {_literal(value)} as value)" for name, value in rules.FLAG_MULTIPLIERS
+    ) + ")")
+    near = F.filter(rules_in_order, lambda r: F.startswith(flag, r["name"]) | F.endswith(flag, r["name"]))
+    return F.coalesce(
+        F.element_at(literal_map(dict(rules.FLAG_MULTIPLIERS)), flag),
+        F.get(near, 0)["value"],
+        F.lit(rules.UNKNOWN_FLAG_MULTIPLIER),
+    )
 
 
 def penalty_product(flags: Column) -> Column:

@@ -15,7 +15,7 @@ NUMBER = r"\(?\d[\d,]*(?:\.\d+)?\)?"
 
 def basis_key(basis: Column) -> Column:
     """Canonical text of a basis map: sorted ``k=v`` pairs joined by ``|``."""
-    pairs = F.array_sort(F.map_entries(basis))
+    pairs = F.sort_array(F.map_entries(basis))
     return F.array_join(F.transform(pairs, lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
 
 
@@ -27,7 +27,7 @@ def format_basis(basis: Column) -> Column:
         name = F.replace(e["key"], F.lit("_"), F.lit(" "))
         return F.when(e["key"].endswith("_basis"), value).otherwise(F.concat(name, F.lit(": "), value))
 
-    return F.array_join(F.transform(F.array_sort(F.map_entries(basis)), part), "; ")
+    return F.array_join(F.transform(F.sort_array(F.map_entries(basis)), part), "; ")
 
 
 def significant(value: Column, digits: int = 4) -> Column:

@@ -21,12 +21,13 @@ from plumbline.session import durable
 FOLD_LIMIT = 100_000
 
 
-def _fold(values: Column, unit: Column) -> Column:
-    def step(acc: Column, x: Column) -> Column:
-        joins = scoring.values_agree(F.try_element_at(acc, F.lit(-1)), x, unit)
-        return F.when(F.coalesce(joins, F.lit(False)), acc).otherwise(F.concat(acc, F.array(x)))
-
-    return F.aggregate(F.array_sort(values), F.array().cast("array<double>"), step)
+def leaders_sql(values: str, unit: str) -> str:
+    """SQL folding an array of values into its leaders, ascending."""
+    joins = scoring.agree_sql("element_at(acc, -1)", "x", unit)
+    return (
+        f"aggregate(sort_array({values}), cast(array() as array<double>), "
+        f"(acc, x) -> if(size(acc) > 0 and {joins}, acc, concat(acc, array(x))))"
+    )
 
 
 def _walk(values: DataFrame, keys: list[str]) -> DataFrame:
@@ -49,7 +50,7 @@ def _walk(values: DataFrame, keys: list[str]) -> DataFrame:
     leaders = found[0]
     for part in found[1:]:
         leaders = leaders.unionByName(part)
-    return leaders.groupBy(*keys).agg(F.array_sort(F.collect_list("leader")).alias("leaders"))
+    return leaders.groupBy(*keys).agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
 
 
 def cluster_leaders(
@@ -67,7 +68,7 @@ def cluster_leaders(
         sets = rows.groupBy(*keys).agg(
             F.collect_set("value").alias("_values"), F.max("unit").alias("_unit")
         )
-        return sets.select(*keys, _fold(F.col("_values"), F.col("_unit")).alias("leaders"))
+        return sets.select(*keys, F.expr(leaders_sql("_values", "_unit")).alias("leaders"))
 
     if fold_limit is None:
         return fold(values)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import rules
 from plumbline.functions import scoring
+from plumbline.metrics import MetricSpec
 from plumbline.operators.groups import first_per_group, top_k
 
 
@@ -85,17 +86,22 @@ def in_scope() -> Column:
     return listed | (F.col("custom") & open_type)
 
 
-def dense_grid(entities: DataFrame, metrics: DataFrame) -> DataFrame:
+def dense_grid(entities: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
     """Every entity with every metric, and whether the pair is in scope.
 
-    The metric registry is a short configuration table, so it travels inside
-    each entity row as one array that is exploded in place: no join at all.
+    The metric registry is configuration, so it is exploded inside each entity
+    row; there is no join.
     """
-    fields = ["metric", "unit", "direction", "custom", "entity_types"]
-    registry = metrics.agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_registry"))
+    registry = F.array(*[
+        F.struct(
+            F.lit(s.key).alias("metric"), F.lit(s.unit).alias("unit"),
+            F.lit(s.direction).alias("direction"), F.lit(s.custom).alias("custom"),
+            F.array(*[F.lit(t) for t in s.entity_types]).cast("array<string>").alias("entity_types"),
+        )
+        for s in specs
+    ])
     return (
-        entities.join(F.broadcast(registry))
-        .withColumn("_m", F.explode("_registry"))
+        entities.withColumn("_m", F.explode(registry))
         .select(*entities.columns, "_m.*")
         .withColumn("in_scope", in_scope())
         .drop("custom", "entity_types")

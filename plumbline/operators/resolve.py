@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import rules
 from plumbline.functions import scoring, text
-from plumbline.operators.cluster import FOLD_LIMIT, cluster_leaders, cluster_number
+from plumbline.operators.cluster import FOLD_LIMIT, cluster_leaders, cluster_number, leaders_sql
+from plumbline.operators.groups import order_statistics
+from plumbline.session import durable
 
 NO_DATE = -1_000_000  # sorts an undated row behind every dated one
 
@@ -29,36 +31,54 @@ def _preference_rank(basis: Column, preferences: Column) -> Column:
     ).otherwise(size)
 
 
+def _class_rank(declared: Column, wanted: Column) -> Column:
+    """Wanted class first, unstated second, any other class last."""
+    want = text.normalize_label(F.coalesce(wanted, F.lit("")))
+    have = text.normalize_label(declared)
+    return (
+        F.when((want == "") | (have == want), F.lit(0))
+        .when(have.isin("", "unstated"), F.lit(1))
+        .otherwise(F.lit(2))
+    )
+
+
 def evidence(cands: DataFrame, metrics: DataFrame, ref: Column) -> DataFrame:
     """The narrow per-row facts that decide between candidates.
 
     ``metrics`` is the metric registry: metric, low, high, preferences.
     """
-    dim = F.broadcast(metrics.select("metric", "low", "high", "preferences"))
+    dim = F.broadcast(metrics.select("metric", "low", "high"))
     flags = scoring.add_flag(
         F.col("flags"), rules.OUT_OF_RANGE_FLAG,
         scoring.out_of_range(F.col("value"), F.col("low"), F.col("high")),
     )
     return (
         cands.join(dim, "metric", "left")
-        .withColumn("flags", flags)
-        .withColumn("as_of", F.coalesce("as_of", "period_end"))
-        .withColumn("basis_key", text.basis_key(F.col("basis")))
-        .withColumn("share_class", F.coalesce(F.col("basis")["share_class"], F.lit("")))
-        .withColumn("pref_rank", _preference_rank(F.col("basis"), F.col("preferences")))
-        .withColumn("tier_score", scoring.tier_score(F.col("tier")))
-        .withColumn("n_flags", F.size("flags"))
-        .withColumn("as_of_day", F.coalesce(F.unix_date("as_of"), F.lit(NO_DATE)))
-        .withColumn("observation", F.concat_ws("\u0001", "tier", "accession", F.array_join("transforms", "\u0002")))
-        .withColumn("measures", ~scoring.has_any_flag(F.col("flags"), rules.NON_MEASUREMENT_FLAGS))
-        .withColumn("disqualified", scoring.has_any_flag(F.col("flags"), rules.DISQUALIFYING_FLAGS))
-        .withColumn("dated_out", F.coalesce(
-            ~scoring.in_force(F.col("effective_from"), F.col("effective_until"), ref), F.lit(False)))
-        .withColumn("ref", ref)
-        .drop("low", "high", "preferences")
+        .withColumns({"flags": flags, "as_of": F.coalesce("as_of", "period_end"), "ref": ref})
+        .withColumns({
+            "share_class": F.coalesce(F.col("basis")["share_class"], F.lit("")),
+            "tier_score": scoring.tier_score(F.col("tier")),
+            "n_flags": F.size("flags"),
+            "as_of_day": F.coalesce(F.unix_date("as_of"), F.lit(NO_DATE)),
+            "observation": F.concat_ws("\u0001", "tier", "accession", F.array_join("transforms", "\u0002")),
+            "measures": ~scoring.has_any_flag(F.col("flags"), rules.NON_MEASUREMENT_FLAGS),
+            "disqualified": scoring.has_any_flag(F.col("flags"), rules.DISQUALIFYING_FLAGS),
+            "dated_out": F.coalesce(
+                ~scoring.in_force(F.col("effective_from"), F.col("effective_until"), ref), F.lit(False)),
+        })
+        .drop("low", "high")
     )
 
 
+def keyed_by_basis(ev: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Evidence rows with the canonical basis key and its preference rank."""
+    dim = F.broadcast(metrics.select("metric", "preferences"))
+    return ev.join(dim, "metric", "left").withColumns({
+        "basis_key": text.basis_key(F.col("basis")),
+        "pref_rank": _preference_rank(F.col("basis"), F.col("preferences")),
+    }).drop("preferences")
+
+
 def basis_groups(ev: DataFrame, entities: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per (keys, basis) with what ranks the basis."""
     groups = ev.groupBy(*keys, "basis_key", "share_class").agg(
@@ -69,15 +89,9 @@ def basis_groups(ev: DataFrame, entities: DataFrame, keys: Sequence[str]) -> Dat
         F.bool_and("dated_out").alias("all_dated_out"),
         F.count(F.lit(1)).alias("n_rows"),
     )
-    want = text.normalize_label(F.coalesce("institutional_class", F.lit("")))
-    declared = text.normalize_label(F.col("share_class"))
-    class_rank = (
-        F.when((want == "") | (declared == want), F.lit(0))
-        .when(declared.isin("", "unstated"), F.lit(1))
-        .otherwise(F.lit(2))
-    )
     dim = entities.select("entity", "institutional_class")
-    return groups.join(dim, "entity", "left").withColumn("class_rank", class_rank).drop("institutional_class")
+    rank = _class_rank(F.col("share_class"), F.col("institutional_class"))
+    return groups.join(dim, "entity", "left").withColumn("class_rank", rank).drop("institutional_class")
 
 
 def basis_order() -> list[Column]:
@@ -122,14 +136,19 @@ CHOSEN = ["value", "unit", "tier", "tier_score", "observation", "flags", "n_flag
           "form", "accession", "filing_date", "period_end", "locator", "basis", "basis_key", "ord"]
 
 
-def clusters(rows: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT) -> DataFrame:
-    """One row per cluster of agreeing values inside the primary basis."""
+def number_clusters(rows: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT) -> DataFrame:
+    """In-force rows with the number of the cluster their value falls in."""
     by = [*keys, "basis_key"]
     leaders = cluster_leaders(rows, by, fold_limit)
-    numbered = rows.join(leaders, by).withColumn(
-        "cluster", cluster_number(F.col("leaders"), F.col("value"))
-    )
-    present = [c for c in CHOSEN if c in rows.columns and c not in by]
+    number = cluster_number(F.col("leaders"), F.col("value"))
+    return rows.join(leaders, by).withColumn("cluster", number).drop("leaders")
+
+
+def clusters(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per cluster of agreeing values inside the primary basis."""
+    by = [*keys, "basis_key"]
+    present = [c for c in CHOSEN if c in numbered.columns and c not in by]
+    plain = F.struct("n_flags", (-F.col("tier_score")).alias("t"), "ord")
     return numbered.groupBy(*by, "cluster").agg(
         F.bool_or("measures").alias("any_measure"),
         F.count_distinct("observation").alias("independents"),
@@ -140,8 +159,8 @@ def clusters(rows: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT) -> Dat
         F.min("value").alias("low"),
         F.max("value").alias("high"),
         F.min_by(F.struct(*present), F.struct(*row_order())).alias("best"),
-        F.min_by(F.struct("as_of"), F.struct("n_flags", (-F.col("tier_score")).alias("t"), "ord")).alias("_plain"),
-        F.min(F.struct("n_flags", (-F.col("tier_score")).alias("t"), "ord")).alias("_plain_order"),
+        F.min_by("as_of", plain).alias("_plain"),
+        F.min(plain).alias("_plain_order"),
         F.max("ref").alias("ref"),
         F.bool_and("all_disqualified").alias("all_disqualified"),
     )
@@ -153,9 +172,8 @@ def winners(found: DataFrame, keys: Sequence[str]) -> DataFrame:
     order = F.struct(*cluster_order())
     out = found.groupBy(*by).agg(
         F.min_by(F.struct("cluster", "independents", "n_rows", "best"), order).alias("_w"),
-        F.min_by(F.col("_plain.as_of"), F.col("_plain_order")).alias("plain_as_of"),
+        F.min_by("_plain", "_plain_order").alias("plain_as_of"),
         F.count(F.lit(1)).alias("n_clusters"),
-        F.min("low").alias("low"), F.max("high").alias("high"),
         F.max("ref").alias("ref"),
         F.bool_and("all_disqualified").alias("all_disqualified"),
     )
@@ -166,11 +184,11 @@ def winners(found: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def score(rows: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Evidence score of each chosen value and the counts behind it.
+def score_counts(rows: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How many independent measurements agree and disagree with each choice.
 
-    The chosen value is compared with every other in-force row of its basis:
-    rows of the same observation or rows that do not measure are left out.
+    The chosen value is compared with every other in-force row of its basis;
+    rows of the same observation and rows that do not measure are left out.
     """
     by = [*keys, "basis_key"]
     side = chosen.select(
@@ -181,21 +199,7 @@ def score(rows: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFrame:
     counts = rows.select(*by, "value", "observation", "measures").join(side, by).groupBy(*by).agg(
         F.count_if(counted & agree).alias("n_agree"), F.count_if(counted & ~agree).alias("n_disagree")
     )
-    agreement = (
-        F.when(F.col("n_disagree") > 0, F.lit(rules.AGREEMENT_CONFLICT))
-        .when(F.col("n_agree") > 0, F.lit(rules.AGREEMENT_CORROBORATED))
-        .otherwise(F.lit(rules.AGREEMENT_SINGLE))
-    )
-    return (
-        chosen.join(counts, by)
-        .withColumn("agreement", agreement)
-        .withColumn("age_days", F.date_diff("ref", "as_of"))
-        .withColumn("freshness", scoring.freshness(F.col("as_of"), F.col("ref")))
-        .withColumn("penalty", scoring.penalty_product(F.col("flags")))
-        .withColumn("score", scoring.clamp01(
-            F.col("tier_score") * F.col("agreement") * F.col("freshness") * F.col("penalty")))
-        .withColumn("grade", scoring.grade(F.col("score")))
-    )
+    return chosen.join(counts, by)
 
 
 def _reason() -> Column:
@@ -224,9 +228,73 @@ def _detail() -> Column:
     )
 
 
+# A key with at most this many candidates is settled inside one row; a larger
+# one goes through the staged aggregates above.
+KEY_LIMIT = 5_000
+
+_SLIM = ["ord", "value", "unit", "tier", "tier_score", "observation", "measures", "disqualified", "dated_out",
+         "n_flags", "as_of_day", "share_class", "flags", "as_of", "terms_clock",
+         "form", "accession", "filing_date", "period_end", "locator", "basis"]
+
+
+def settle_in_row(ev: DataFrame, entities: DataFrame, metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same decision for keys of bounded size: one shuffle, then arrays.
+
+    Every key becomes one row holding its candidates in source order, and each
+    step below is an expression over that array. Ordered structs put what
+    decides first, so ``array_min`` is the pick.
+    """
+    slim = [c for c in _SLIM if c in ev.columns]
+    # Maps cannot be sorted; the basis travels as its sorted entries.
+    grouped = (
+        ev.withColumn("basis", F.sort_array(F.map_entries("basis")))
+        .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*slim))).alias("c"), F.max("ref").alias("ref"))
+        .join(F.broadcast(metrics.select("metric", "preferences")), "metric", "left")
+        .join(entities.select("entity", "institutional_class"), "entity", "left")
+    )
+    label = "lower(regexp_replace({}, '(?U)\\\\s+', ''))"
+    have, want = label.format("g[0].share_class"), label.format("coalesce(institutional_class, '')")
+    steps = [
+        ("groups", "transform(array_distinct(c.basis), k -> filter(c, x -> x.basis = k))"),
+        ("p", f"""array_min(transform(groups, g -> struct(
+            case when {want} = '' or {have} = {want} then 0 when {have} in ('', 'unstated') then 1 else 2 end as a,
+            coalesce(nullif(array_position(transform(preferences,
+                q -> exists(g[0].basis, e -> e.key = q.key and e.value = q.val)), true), 0),
+                size(preferences) + 1, 1) as b, -array_max(g.tier_score) as d, g[0].ord as e,
+            forall(g, x -> x.disqualified) as all_disqualified, forall(g, x -> x.dated_out) as all_dated_out,
+            g as members)))"""),
+        ("pf", "filter(p.members, x -> not x.dated_out or p.all_dated_out or p.all_disqualified)"),
+        ("leaders", leaders_sql("array_distinct(pf.value)", "pf[0].unit")),
+        ("numbered", "transform(pf, x -> struct(size(filter(leaders, l -> l <= x.value)) as cluster, x as r))"),
+        ("parts", "transform(sequence(1, size(leaders)), k -> transform(filter(numbered, x -> x.cluster = k), x -> x.r))"),
+        ("w", """array_min(transform(parts, (g, i) -> struct(
+            not exists(g, x -> x.measures) as a, -size(array_distinct(g.observation)) as neg_independents,
+            array_min(g.n_flags) as b, -array_max(g.tier_score) as d, -array_max(g.as_of_day) as e,
+            i + 1 as cluster, g as members)))"""),
+        ("best", """array_min(transform(w.members, x ->
+            struct(x.n_flags, -x.tier_score as t, -x.as_of_day as d, x.value, x.ord, x as r))).r"""),
+        ("others", "filter(pf, x -> x.measures and x.observation <> best.observation)"),
+        ("n_agree", "cast(size(filter(others, x -> "
+         + scoring.agree_sql("best.value", "x.value", "best.unit") + ")) as bigint)"),
+    ]
+    for name, sql in steps:
+        grouped = grouped.withColumn(name, F.expr(sql))
+    inner = ("measures", "disqualified", "dated_out", "share_class", "as_of_day")
+    payload = ["map_from_entries(best.basis) as basis" if c == "basis" else f"best.{c}"
+               for c in slim if c not in inner]
+    return grouped.selectExpr(
+        *keys, *payload, "array_join(transform(best.basis, e -> concat(e.key, '=', e.value)), '|') as basis_key",
+        "w.cluster", "cast(-w.neg_independents as bigint) as independents",
+        "array_min(transform(pf, x -> struct(x.n_flags, -x.tier_score as t, x.ord, x.as_of))).as_of as plain_as_of",
+        "cast(size(leaders) as bigint) as n_clusters", "ref", "p.all_disqualified",
+        "n_agree", "cast(size(others) as bigint) - n_agree as n_disagree",
+        "cast(size(groups) as bigint) as n_bases", "cast(size(c) as bigint) as n_candidates",
+    )
+
+
 @dataclass
-class Resolution:
-    """The stages of one reconciliation, each a lazy DataFrame."""
+class Stages:
+    """The staged reconciliation, each step a lazy DataFrame."""
 
     keys: list[str]
     evidence: DataFrame
@@ -235,8 +303,52 @@ class Resolution:
     rows: DataFrame
     clusters: DataFrame
     winners: DataFrame
-    scored: DataFrame
-    resolved: DataFrame
+
+
+def stages(
+    ev: DataFrame, entities: DataFrame, metrics: DataFrame, keys: Sequence[str], fold_limit: int | None = FOLD_LIMIT
+) -> Stages:
+    ev = keyed_by_basis(ev, metrics)
+    groups = basis_groups(ev, entities, keys)
+    primary = primary_basis(groups, keys)
+    numbered = number_clusters(in_force_rows(ev, primary, keys), keys, fold_limit)
+    found = clusters(numbered, keys)
+    return Stages(list(keys), ev, groups, primary, numbered, found, winners(found, keys))
+
+
+def settle_in_stages(
+    ev: DataFrame, entities: DataFrame, metrics: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT
+) -> DataFrame:
+    st = stages(ev, entities, metrics, keys, fold_limit)
+    counted = score_counts(st.rows, st.winners, keys)
+    return counted.join(st.primary.select(*keys, "n_bases", "n_candidates"), list(keys))
+
+
+def decide(settled: DataFrame) -> DataFrame:
+    """Score every settled key and publish its value or the reason for a blank."""
+    agreement = (
+        F.when(F.col("n_disagree") > 0, F.lit(rules.AGREEMENT_CONFLICT))
+        .when(F.col("n_agree") > 0, F.lit(rules.AGREEMENT_CORROBORATED))
+        .otherwise(F.lit(rules.AGREEMENT_SINGLE))
+    )
+    scored = settled.withColumns({
+        "agreement": agreement,
+        "age_days": F.date_diff("ref", "as_of"),
+        "freshness": scoring.freshness(F.col("as_of"), F.col("ref")),
+        "penalty": scoring.penalty_product(F.col("flags")),
+    }).withColumn("score", scoring.clamp01(
+        F.col("tier_score") * F.col("agreement") * F.col("freshness") * F.col("penalty")
+    )).withColumn("reason", _reason()).withColumn("detail", _detail())
+    blank = F.col("reason").isNotNull()
+    void = F.coalesce(F.col("reason") == "basis_disqualified", F.lit(False))
+    return scored.withColumns({
+        "chosen_value": F.col("value"),
+        "chosen_ord": F.when(~F.col("all_disqualified"), F.col("ord")),
+        "value": F.when(~blank, F.col("value")),
+        "as_of": F.when(void, F.col("plain_as_of")).otherwise(F.col("as_of")),
+        "confidence": F.when(blank, F.lit(rules.SUPPRESSED)).otherwise(scoring.grade(F.col("score"))),
+        "score": F.when(void, F.lit(0.0)).otherwise(F.col("score")),
+    }).drop("ord", "plain_as_of")
 
 
 def resolve(
@@ -245,32 +357,34 @@ def resolve(
     metrics: DataFrame,
     ref: Column,
     keys: Sequence[str] = ("entity", "metric"),
+    key_limit: int | None = KEY_LIMIT,
     fold_limit: int | None = FOLD_LIMIT,
-) -> Resolution:
-    """Reconcile eligible candidates; precedence disqualified, stale, weak."""
+) -> DataFrame:
+    """Reconcile eligible candidates; precedence disqualified, stale, weak.
+
+    One counting job finds keys with more than ``key_limit`` candidates. They
+    take the staged path; all others are settled in one shuffle. Pass
+    ``key_limit=None`` only when the caller knows that no key is larger.
+    """
     keys = list(keys)
-    ev = evidence(cands, metrics, ref)
-    groups = basis_groups(ev, entities, keys)
-    primary = primary_basis(groups, keys)
-    rows = in_force_rows(ev, primary, keys)
-    found = clusters(rows, keys, fold_limit)
-    best = winners(found, keys)
-    scored = score(rows, best, keys)
-    blank = F.col("reason").isNotNull()
-    resolved = (
-        scored.withColumn("reason", _reason())
-        .withColumn("detail", _detail())
-        .withColumn("chosen_value", F.col("value"))
-        .withColumn("value", F.when(~blank, F.col("value")))
-        .withColumn("as_of", F.when(F.col("reason") == "basis_disqualified", F.col("plain_as_of"))
-                    .otherwise(F.col("as_of")))
-        .withColumn("confidence", F.when(blank, F.lit(rules.SUPPRESSED)).otherwise(F.col("grade")))
-        .withColumn("score", F.when(F.col("reason") == "basis_disqualified", F.lit(0.0)).otherwise(F.col("score")))
-        .withColumn("chosen_ord", F.when(~F.col("all_disqualified"), F.col("ord")))
-        .join(primary.select(*keys, "n_bases", "n_candidates"), keys)
-        .drop("ord", "plain_as_of")
-    )
-    return Resolution(keys, ev, groups, primary, rows, found, best, scored, resolved)
+
+    def bounded(rows: DataFrame) -> DataFrame:
+        # Shuffle the plain rows first: gathering them into arrays before the
+        # exchange would sort and serialise without reducing anything.
+        spread = rows.repartition(*keys)
+        return settle_in_row(evidence(spread, metrics, ref), entities, metrics, keys)
+
+    if key_limit is None:
+        return decide(bounded(cands))
+    sizes = cands.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.where(F.col("_n") > key_limit).drop("_n")
+    if large.isEmpty():
+        return decide(bounded(cands))
+    large = durable(large)
+    small = bounded(cands.join(large, keys, "left_anti"))
+    rest = evidence(cands.join(large, keys, "left_semi"), metrics, ref)
+    staged = settle_in_stages(rest, entities, metrics, keys, fold_limit)
+    return decide(small.unionByName(staged.select(*small.columns)))
 
 
 def alternatives(ev: DataFrame, primary: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -282,37 +396,31 @@ def alternatives(ev: DataFrame, primary: DataFrame, keys: Sequence[str]) -> Data
     return per_basis.join(primary.select(*by), by, "left_anti")
 
 
-def conflicts(found: DataFrame, best: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Disagreements inside the primary basis: spread, counts, rationale.
+def conflicts(found: DataFrame, best: DataFrame, numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Disagreements inside the primary basis: spread, counts, resolution.
 
     The spread is taken over the chosen value and every losing value, relative
-    to their upper median; ranks come from a distributed count, not a sort of
-    one group.
+    to their upper median, which comes from distributed ranks.
     """
-    from plumbline.operators.groups import order_statistics
-
     by = [*keys, "basis_key"]
     side = best.where(F.col("n_clusters") > 1).select(
         *by, F.col("cluster").alias("win"), F.col("value").alias("chosen_value"),
         F.col("tier").alias("chosen_tier"), F.col("independents").alias("win_independents"),
-        F.col("low").alias("_low") if "low" in best.columns else F.lit(None).alias("_low"),
-    ).drop("_low")
+    )
     summary = found.join(side, by).where(F.col("cluster") != F.col("win")).groupBy(*by).agg(
         F.count(F.lit(1)).alias("losing_clusters"), F.sum("n_rows").alias("losing_rows"),
         F.sum("independents").alias("losing_independents"),
     )
-    leaders = cluster_leaders(rows, by, None)
-    numbered = rows.select(*by, "value").join(side, by).join(leaders, by)
-    losing = numbered.where(
-        cluster_number(F.col("leaders"), F.col("value")) != F.col("win")
-    ).select(*by, "value")
+    losing = numbered.join(side, by).where(F.col("cluster") != F.col("win")).select(*by, "value")
     pool = losing.unionByName(side.select(*by, F.col("chosen_value").alias("value")))
     stats = order_statistics(pool, by, "value")
     mid = F.when(F.col("upper_median") == 0, F.lit(1.0)).otherwise(F.col("upper_median"))
+    resolution = F.concat(
+        text.significant(F.col("chosen_value")), F.lit(" ("), F.col("chosen_tier"), F.lit(")")
+    )
     return (
         side.join(summary, by).join(stats, by)
         .withColumn("spread_pct", (F.col("high") - F.col("low")) / F.abs(mid) * 100)
-        .withColumn("resolution", F.concat(
-            text.significant(F.col("chosen_value")), F.lit(" ("), F.col("chosen_tier"), F.lit(")")))
+        .withColumn("resolution", resolution)
         .drop("n", "median", "upper_median", "win", "low", "high")
     )
