@@ -163,8 +163,8 @@ def reconcile(spark, sf):
 
 @query("reconcile_hot_keys", """
 SELECT entity, metric, round(value, 6) AS value, confidence, round(final_score, 6) AS score, reason,
-  as_of, tier, accession, n_agree, n_disagree, n_clusters, n_bases, n_candidates
-FROM resolved WHERE anchor = DATE '2000-12-31'
+  as_of, tier, accession, n_agree, n_disagree, n_clusters, n_bases, n_candidates, round(span / abs(CASE WHEN mid = 0 THEN 1.0 ELSE mid END) * 100, 5) AS spread_pct
+FROM resolved LEFT JOIN conflict_mid USING (anchor, entity, metric) WHERE anchor = DATE '2000-12-31'
 """)
 def reconcile_hot_keys(spark, sf):
     """The staged path that oversized keys take, applied to every key above 12 rows."""
@@ -172,6 +172,7 @@ def reconcile_hot_keys(spark, sf):
     return out.select(
         "entity", "metric", six("value").alias("value"), "confidence", six("score").alias("score"),
         "reason", "as_of", "tier", "accession", "n_agree", "n_disagree", "n_clusters", "n_bases", "n_candidates",
+        F.round("spread_pct", 5).alias("spread_pct"),
     )
 
 
@@ -450,10 +451,9 @@ JOIN (SELECT anchor, entity, metric, count(*) AS losing_clusters, sum(n_rows)::B
 WHERE anchor = DATE '2000-12-31'
 """)
 def conflict_report(spark, sf):
-    st = staged(spark, sf)
-    return rs.conflicts(st.clusters, st.winners, st.rows, KEYS).select(
-        *KEYS, six("chosen_value").alias("chosen_value"), "losing_clusters", "losing_rows", "losing_independents",
-        F.round("spread_pct", 5).alias("spread_pct"))
+    return resolved(spark, sf).where("n_clusters > 1").select(
+        *KEYS, six("chosen_value").alias("chosen_value"), (F.col("n_clusters") - 1).alias("losing_clusters"),
+        "losing_rows", "losing_independents", F.round("spread_pct", 5).alias("spread_pct"))
 
 
 @query("superseded_label", """

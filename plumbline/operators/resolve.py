@@ -277,19 +277,32 @@ def settle_in_row(ev: DataFrame, entities: DataFrame, metrics: DataFrame, keys:
         ("n_agree", "cast(size(filter(others, x -> "
          + scoring.agree_sql("best.value", "x.value", "best.unit") + ")) as bigint)"),
     ]
+    steps += [
+        ("losing", "filter(numbered, x -> x.cluster <> w.cluster).r"),
+        ("contested", "sort_array(concat(array(best.value), losing.value))"),
+        ("mid", "contested[size(contested) div 2]"),
+    ]
     for name, sql in steps:
         grouped = grouped.withColumn(name, F.expr(sql))
     inner = ("measures", "disqualified", "dated_out", "share_class", "as_of_day")
-    payload = ["map_from_entries(best.basis) as basis" if c == "basis" else f"best.{c}"
+    payload = ["map_from_entries(best.basis) as basis" if c == "basis" else f"best.{c} as {c}"
                for c in slim if c not in inner]
-    return grouped.selectExpr(
-        *keys, *payload, "array_join(transform(best.basis, e -> concat(e.key, '=', e.value)), '|') as basis_key",
-        "w.cluster", "cast(-w.neg_independents as bigint) as independents",
+    fields = [
+        *payload, "array_join(transform(best.basis, e -> concat(e.key, '=', e.value)), '|') as basis_key",
+        "w.cluster as cluster", "cast(-w.neg_independents as bigint) as independents",
         "array_min(transform(pf, x -> struct(x.n_flags, -x.tier_score as t, x.ord, x.as_of))).as_of as plain_as_of",
-        "cast(size(leaders) as bigint) as n_clusters", "ref", "p.all_disqualified",
-        "n_agree", "cast(size(others) as bigint) - n_agree as n_disagree",
+        "cast(size(leaders) as bigint) as n_clusters", "ref as ref", "p.all_disqualified as all_disqualified",
+        "n_agree as n_agree", "cast(size(others) as bigint) - n_agree as n_disagree",
         "cast(size(groups) as bigint) as n_bases", "cast(size(c) as bigint) as n_candidates",
-    )
+        "cast(size(losing) as bigint) as losing_rows",
+        """aggregate(parts, 0L, (n, g) -> n + size(array_distinct(g.observation))) + w.neg_independents
+           as losing_independents""",
+        """if(size(losing) > 0, (array_max(contested) - array_min(contested)) / abs(if(mid = 0, 1D, mid)) * 100, null)
+           as spread_pct""",
+    ]
+    # The generator keeps later filters from being copied into the steps above,
+    # where every reference would repeat the whole chain.
+    return grouped.select(*keys, F.expr(f"inline(array(struct({', '.join(fields)})))"))
 
 
 @dataclass
@@ -321,7 +334,12 @@ def settle_in_stages(
 ) -> DataFrame:
     st = stages(ev, entities, metrics, keys, fold_limit)
     counted = score_counts(st.rows, st.winners, keys)
-    return counted.join(st.primary.select(*keys, "n_bases", "n_candidates"), list(keys))
+    disputes = conflicts(st.clusters, st.winners, st.rows, keys).select(
+        *keys, "losing_rows", "losing_independents", "spread_pct")
+    return (
+        counted.join(st.primary.select(*keys, "n_bases", "n_candidates"), list(keys))
+        .join(disputes, list(keys), "left").fillna(0, ["losing_rows", "losing_independents"])
+    )
 
 
 def decide(settled: DataFrame) -> DataFrame:
@@ -346,6 +364,12 @@ def decide(settled: DataFrame) -> DataFrame:
         "chosen_ord": F.when(~F.col("all_disqualified"), F.col("ord")),
         "value": F.when(~blank, F.col("value")),
         "as_of": F.when(void, F.col("plain_as_of")).otherwise(F.col("as_of")),
+        "conflict": F.when(F.col("n_clusters") > 1, F.concat(
+            F.lit("kept "), text.significant(F.col("value")), F.lit(": agreed on by "),
+            F.col("independents").cast("string"), F.lit(" independent extraction(s) vs "),
+            F.col("losing_independents").cast("string"), F.lit("; chosen source "), F.col("tier"),
+            F.when(F.size("flags") > 0, F.concat(F.lit(", flags "), F.array_join("flags", ", ")))
+            .otherwise(F.lit(", no flags")))),
         "confidence": F.when(blank, F.lit(rules.SUPPRESSED)).otherwise(scoring.grade(F.col("score"))),
         "score": F.when(void, F.lit(0.0)).otherwise(F.col("score")),
     }).drop("ord", "plain_as_of")
