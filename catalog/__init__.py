@@ -9,4 +9,4 @@ def load() -> None:
         import_module(f"catalog.{name}")
 
 
-MODULES = ("evidence", "timeseries")
+MODULES = ("evidence", "timeseries", "reports")

@@ -221,15 +221,19 @@ FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
 
 
 def returns(spark: SparkSession, sf: str) -> DataFrame:
-    """nation x market segment x month return in percent, within +-2."""
+    """nation (group) x market segment x month return in percent, within +-2.
+
+    Nations 0 to 19 are pooled into five, which fills their months.
+    """
+    pooled = F.when(F.col("c_nationkey") < 20, F.col("c_nationkey") % 5).otherwise(F.col("c_nationkey"))
     return _orders_with_customer(spark, sf).groupBy(
-        F.col("c_nationkey").alias("entity"), F.col("c_mktsegment").alias("share_class"),
+        pooled.alias("entity"), F.col("c_mktsegment").alias("share_class"),
         F.last_day("d").alias("month_end"),
     ).agg((((F.sum("o_orderkey") % 401) - 200) / 100).alias("ret"))
 
 
 fragment("v_returns", """
-SELECT c_nationkey AS entity, c_mktsegment AS share_class, last_day(CAST(o_orderdate AS DATE)) AS month_end,
+SELECT CASE WHEN c_nationkey < 20 THEN c_nationkey % 5 ELSE c_nationkey END AS entity, c_mktsegment AS share_class, last_day(CAST(o_orderdate AS DATE)) AS month_end,
   CAST(sum(o_orderkey) % 401 - 200 AS DOUBLE) / 100 AS ret
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3
 """)
