@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder, surviving lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a result to the shared folder and go on from the written table.
+
+    The rows are computed once, later steps read only the columns they need,
+    and a lost executor costs a re-read instead of a recomputation.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/plumbline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
