@@ -260,13 +260,13 @@ def coverage_label(spark, sf):
 
 @query("annualize", """
 SELECT o_orderkey, round((pow(1 + (o_orderkey % 401 - 200) / 1000.0, 365.25 / (o_custkey % 700 + 30)) - 1) * 100, 4) AS annualized,
-  round(o_totalprice * 365.25 / (o_custkey % 30 + 80), 4) AS run_rate FROM orders
+  o_totalprice * 365.25 / (o_custkey % 30 + 80) AS run_rate FROM orders
 """)
 def annualize(spark, sf):
     growth = 1 + (F.col("o_orderkey") % 401 - 200) / 1000.0
     return orders(spark, sf).select(
         "o_orderkey", F.round(dates.annualize(growth, F.col("o_custkey") % 700 + 30) * 100, 4).alias("annualized"),
-        F.round(F.col("o_totalprice") * rules.YEAR_DAYS / (F.col("o_custkey") % 30 + 80), 4).alias("run_rate"))
+        (F.col("o_totalprice") * rules.YEAR_DAYS / (F.col("o_custkey") % 30 + 80)).alias("run_rate"))
 
 
 @query("normalize_label", """
@@ -355,41 +355,35 @@ def phrase_structure(spark, sf):
 
 DECLARED = (
     MetricSpec("secret_digits", unit="count", low=0, high=500, near=("token =",), take="first_number", within=60),
-    MetricSpec("first_decimal", unit="ratio", high=150, anchors=("the", "le", "der"), patterns=(r"\b([0-9]{1,3}\.[0-9]{1,3})\.",)),
-    MetricSpec("after_and", unit="count", near=("and the", "of the"), take="first_number", within=300),
+    MetricSpec("mail_host", unit="count", low=0, high=8, near=("mail",), take="first_number", within=10),
+    MetricSpec("mail_domain", unit="count", anchors=("example", "token"), patterns=(r"@mail([0-9]+)\.example",)),
 )
+fragment("squashed", """
+SELECT doc_id, regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g') AS t FROM documents
+""")
 
 
 @query("declared_extract", """
-SELECT * FROM (
+SELECT doc_id, metric, value, CASE WHEN metric = 'secret_digits' AND value > 500 OR metric = 'mail_host' AND value > 8 THEN 1 ELSE 0 END AS n_flags FROM (
   SELECT doc_id, 'secret_digits' AS metric, try_cast(replace(regexp_extract(t, '(?i)token =[^.]{0,60}?([0-9][0-9,]*(?:\\.[0-9]+)?)', 1), ',', '') AS DOUBLE) AS value FROM squashed
-  UNION ALL
-  SELECT doc_id, 'after_and', try_cast(replace(CASE WHEN length(regexp_extract(t, '(?i)and the[^.]{0,300}?([0-9][0-9,]*(?:\\.[0-9]+)?)', 1)) = 0 THEN
-      regexp_extract(t, '(?i)of the[^.]{0,300}?([0-9][0-9,]*(?:\\.[0-9]+)?)', 1) ELSE '' END, ',', '') AS DOUBLE) FROM squashed WHERE false)
+  UNION ALL SELECT doc_id, 'mail_host', try_cast(replace(regexp_extract(t, '(?i)mail[^.]{0,10}?([0-9][0-9,]*(?:\\.[0-9]+)?)', 1), ',', '') AS DOUBLE) FROM squashed
+  UNION ALL SELECT doc_id, 'mail_domain', try_cast(regexp_extract(t, '(?i)@mail([0-9]+)\\.example', 1) AS DOUBLE) FROM squashed)
 WHERE value IS NOT NULL
 """)
 def declared_extract(spark, sf):
     out = prose.declared_metrics(v.table(spark, sf, "documents"), DECLARED, ["doc_id"])
-    return out.where("metric = 'secret_digits'").select("doc_id", "metric", "value")
+    return out.select("doc_id", "metric", "value", F.size("flags").alias("n_flags"))
 
 
-fragment("squashed", """
-SELECT doc_id, regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g') AS t FROM documents
+@query("declared_extract_pages", """
+SELECT page_id, 'track_no' AS metric, try_cast(regexp_extract(html, 'track\\(([0-9]+)', 1) AS DOUBLE) AS value FROM pages
+WHERE regexp_matches(html, 'track\\([0-9]')
 """)
-
-
-@query("declared_extract_all")
-def declared_extract_all(spark, sf):
-    """Explicit-pattern specs next to near-phrase specs, over whole documents."""
-    out = prose.declared_metrics(v.table(spark, sf, "documents"), DECLARED, ["doc_id"])
-    return out.select("doc_id", "metric", "value", "pos", F.size("flags").alias("n_flags"))
-
-
-@query("declared_extract_pages")
 def declared_extract_pages(spark, sf):
-    """The same specs on raw HTML: tags may split a phrase."""
-    out = prose.declared_metrics(v.table(spark, sf, "pages"), DECLARED, ["page_id"], text="html")
-    return out.select("page_id", "metric", "value", "pos")
+    """A declared metric on raw HTML, where tags may split a phrase."""
+    spec = MetricSpec("track_no", unit="count", near=("track(",), take="first_number", within=10)
+    out = prose.declared_metrics(v.table(spark, sf, "pages"), [spec], ["page_id"], text="html")
+    return out.select("page_id", "metric", "value")
 
 
 @query("first_distinct", """
@@ -521,7 +515,7 @@ TURNOVER = MetricSpec("portfolio_turnover_pct", high=500.0, low=0.0, custom=True
 @query("highlights_extract", """
 SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'CLASS I' WHEN 1 THEN 'Class I Shares' ELSE 'CLASS A' END AS share_class,
   CAST(y AS VARCHAR) || ',' || CAST(y - 1 AS VARCHAR) || ',' || CAST(y - 2 AS VARCHAR) AS years,
-  (o_orderkey % 300 + 800) / 100 AS nav_newest, -(o_orderkey % 700) / 100 AS return_newest, 0.88 AS dividend_oldest, 45.0 AS turnover
+  (o_orderkey % 300 + 800) / 100 AS nav_newest, -(o_orderkey % 700) / 100 AS return_newest, 0.88::DOUBLE AS dividend_oldest, 45.0::DOUBLE AS turnover
 FROM (SELECT *, year(o_orderdate) AS y FROM orders)
 """)
 def highlights_extract(spark, sf):

@@ -444,3 +444,16 @@ SELECT entity, "end", nav FROM v_nav WHERE "end" BETWEEN DATE '1998-12-31' AND D
 """)
 def semiannual_cadence(spark, sf):
     return rt.semiannual_cadence(v.nav(spark, sf), nation_entities(spark, sf), v.ref()).select("entity", "end", "nav")
+
+
+@query("return_candidates", """
+SELECT entity, CASE years WHEN 1 THEN 'net_return_1y_pct' WHEN 3 THEN 'net_return_3y_pct' ELSE 'net_return_5y_pct' END AS metric,
+  round(value, 5) AS value, run_end AS period_end, 'net_of_fees=True|reinvested=True|return_basis=nav_total_return' AS basis_key
+FROM trailing_tr WHERE value IS NOT NULL
+""")
+def return_candidates(spark, sf):
+    from plumbline.plans.candidates import return_candidates as to_candidates
+
+    out = to_candidates(rt.trailing_total_returns(gappy(spark, sf), per_share(spark, sf), ["entity"]))
+    return out.select("entity", "metric", F.round("value", 5).alias("value"), "period_end",
+                      text.basis_key(F.col("basis")).alias("basis_key"))
