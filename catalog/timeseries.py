@@ -419,14 +419,14 @@ def monthly_trailing(spark, sf):
 
 @query("month_unpivot", """
 SELECT entity, accn, i AS month_no, CASE i WHEN 2 THEN "end" ELSE last_day(CAST("end" - INTERVAL (2 - i) MONTH AS DATE)) END AS month_end,
-  CASE i WHEN 0 THEN round(val / 1000, 2) WHEN 1 THEN round(val / 2000, 2) ELSE round(val / 4000, 2) END AS ret
+  CASE i WHEN 0 THEN val / 1000 WHEN 1 THEN val / 2000 ELSE val / 4000 END AS ret
 FROM v_facts, (VALUES (0), (1), (2)) t(i) WHERE i <> 1 OR ord % 5 <> 0
 """)
 def month_unpivot(spark, sf):
     f = v.facts(spark, sf).select(
-        "entity", "accn", F.col("end").alias("period_end"), F.round(F.col("val") / 1000, 2).alias("rtn1"),
-        F.when(F.col("ord") % 5 != 0, F.round(F.col("val") / 2000, 2)).alias("rtn2"),
-        F.round(F.col("val") / 4000, 2).alias("rtn3"))
+        "entity", "accn", F.col("end").alias("period_end"), (F.col("val") / 1000).alias("rtn1"),
+        F.when(F.col("ord") % 5 != 0, F.col("val") / 2000).alias("rtn2"),
+        (F.col("val") / 4000).alias("rtn3"))
     out = rt.month_unpivot(f)
     no = 2 - F.months_between(F.last_day("period_end"), F.last_day("month_end")).cast("int")
     return out.select("entity", "accn", no.alias("month_no"), "month_end", "ret")

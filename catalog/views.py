@@ -210,12 +210,12 @@ def nav(spark: SparkSession, sf: str) -> DataFrame:
     rows = _orders_with_customer(spark, sf).groupBy(
         F.col("c_nationkey").alias("entity"), F.last_day("d").alias("end")
     ).agg(F.sum(cents).alias("s"), F.count(F.lit(1)).alias("n"))
-    return rows.select("entity", "end", F.round(F.col("s").cast("double") / F.col("n") / 1000, 2).alias("nav"))
+    return rows.select("entity", "end", (F.col("s").cast("double") / F.col("n") / 1000).alias("nav"))
 
 
 fragment("v_nav", """
 SELECT c_nationkey AS entity, last_day(CAST(o_orderdate AS DATE)) AS "end",
-  round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 1000, 2) AS nav
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 1000 AS nav
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
 """)
 
