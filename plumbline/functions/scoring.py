@@ -35,6 +35,11 @@ def _tolerance_part(unit: Column, i: int) -> Column:
     return lookup(unit, parts, parts["pct"])
 
 
+def tolerance_parts(unit: Column) -> tuple[Column, Column]:
+    """(absolute, relative) tolerance of a unit."""
+    return _tolerance_part(unit, 0), _tolerance_part(unit, 1)
+
+
 def values_agree(a: Column, b: Column, unit: Column) -> Column:
     """Whether two values lie within the looser of the two tolerances."""
     mid = (F.abs(a) + F.abs(b)) / 2

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.functions import scoring
 from plumbline.session import durable
@@ -30,23 +30,45 @@ def leaders_sql(values: str, unit: str) -> str:
     )
 
 
+def cell_number(value: Column, unit: Column) -> Column:
+    """Order-preserving cell, half a tolerance wide: values sharing one agree.
+
+    Cells are linear up to the value where the relative tolerance takes over and
+    logarithmic beyond, so a group has boundedly many whatever its rows.
+    """
+    absolute, relative = scoring.tolerance_parts(unit)
+    knee = absolute / relative
+    size = F.abs(value)
+    units = F.when(size <= knee, size / absolute).otherwise(1 / relative + F.ln(size / knee) / relative)
+    return F.floor(F.signum(value) * units * 2)
+
+
 def _walk(values: DataFrame, keys: list[str]) -> DataFrame:
-    """Leaders of oversized groups, one distributed aggregate per round.
+    """Leaders of oversized groups, found without gathering any group.
 
-    The rounds end after (value range / tolerance) steps at the latest; every
-    group advances in the same round. No group is ever gathered.
+    A value that disagrees with the one just below it always leads, so groups
+    first fall apart into segments at such gaps. All segments of all groups then
+    advance together: each round finds, from the bounded cell summary, the next
+    cell holding a value out of reach and looks up the smallest such value.
     """
-    values = durable(values.distinct())
-    found = [durable(values.groupBy(*keys, "unit").agg(F.min("value").alias("leader")))]
+    group = [*keys, "unit"]
+    values = durable(values.distinct().withColumn("cell", cell_number(F.col("value"), F.col("unit"))))
+    summary = values.groupBy(*group, "cell").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    line = Window.partitionBy(*group).orderBy("cell")
+    below = F.lag("high").over(line)
+    apart = F.coalesce(~scoring.values_agree(below, F.col("low"), F.col("unit")), F.lit(True)).cast("int")
+    cells = durable(summary.withColumn("_apart", apart).withColumn("segment", F.sum("_apart").over(line)).drop("_apart"))
+    by = [*group, "segment"]
+    found = [durable(cells.groupBy(*by).agg(F.min("low").alias("leader")))]
     while True:
-        ahead = values.join(found[-1], [*keys, "unit"]).where(
-            (F.col("value") > F.col("leader"))
-            & ~scoring.values_agree(F.col("leader"), F.col("value"), F.col("unit"))
-        )
-        following = durable(ahead.groupBy(*keys, "unit").agg(F.min("value").alias("leader")))
-        if following.isEmpty():
+        beyond = cells.join(found[-1], by).where(
+            (F.col("high") > F.col("leader")) & ~scoring.values_agree(F.col("leader"), F.col("high"), F.col("unit")))
+        ahead = durable(beyond.groupBy(*by, "leader").agg(F.min("cell").alias("cell")))
+        if ahead.isEmpty():
             break
-        found.append(following)
+        reach = values.join(ahead, [*group, "cell"]).where(
+            (F.col("value") > F.col("leader")) & ~scoring.values_agree(F.col("leader"), F.col("value"), F.col("unit")))
+        found.append(durable(reach.groupBy(*by).agg(F.min("value").alias("leader"))))
     leaders = found[0]
     for part in found[1:]:
         leaders = leaders.unionByName(part)

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from plumbline.session import durable
+
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The whole row that sorts first in each group (nulls sort first)."""
@@ -43,11 +45,13 @@ def value_ranks(
 
     Returns keys, the value, ``n`` rows carrying it, ``n_below`` rows strictly
     smaller and ``n_total`` rows in the group. Equal values are counted before
-    the shuffle; a group with more than ``small`` distinct values is cut at
-    sketched quantiles into ``pieces`` ranges that are ranked in parallel.
+    the shuffle and written once, since they are read several times; a group
+    with more than ``small`` distinct values is cut at sketched quantiles into
+    ``pieces`` ranges that are ranked in parallel.
     """
     keys = list(keys)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = durable(
+        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")))
     cuts = counts.groupBy(*keys).agg(
         F.sum("n").alias("n_total"),
         F.count(F.lit(1)).alias("_distinct"),

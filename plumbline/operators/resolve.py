@@ -332,12 +332,23 @@ def stages(
 def settle_in_stages(
     ev: DataFrame, entities: DataFrame, metrics: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT
 ) -> DataFrame:
-    st = stages(ev, entities, metrics, keys, fold_limit)
-    counted = score_counts(st.rows, st.winners, keys)
-    disputes = conflicts(st.clusters, st.winners, st.rows, keys).select(
+    """The staged decision for large keys, each narrow stage written once.
+
+    The tables with one row per key or cluster are read back with their real
+    size, so Spark broadcasts them when they are small and the candidate rows of
+    a hot key are neither shuffled nor recomputed.
+    """
+    keyed = keyed_by_basis(ev, metrics)
+    primary = durable(primary_basis(basis_groups(keyed, entities, keys), keys))
+    rows = durable(in_force_rows(keyed, primary, keys))
+    numbered = number_clusters(rows, keys, fold_limit)
+    found = durable(clusters(numbered, keys))
+    best = durable(winners(found, keys))
+    counted = score_counts(rows, best, keys)
+    disputes = conflicts(found, best, numbered, keys).select(
         *keys, "losing_rows", "losing_independents", "spread_pct")
     return (
-        counted.join(st.primary.select(*keys, "n_bases", "n_candidates"), list(keys))
+        counted.join(primary.select(*keys, "n_bases", "n_candidates"), list(keys))
         .join(disputes, list(keys), "left").fillna(0, ["losing_rows", "losing_independents"])
     )
 

@@ -25,7 +25,7 @@ def brute_clusters(values, unit):
 
 def sample(seed, n=200):
     rnd = random.Random(seed)
-    return [(rnd.choice("ab"), round(rnd.uniform(-0.04, 0.12), 3), "ratio") for _ in range(n)]
+    return [(rnd.choice("ab"), round(rnd.uniform(-1, 6), 3), "ratio") for _ in range(n)]
 
 
 def test_leaders_match_full_search_on_both_paths(spark):
