@@ -11,7 +11,7 @@ from catalog.registry import fragment, query
 from plumbline import rules
 from plumbline.functions import scoring, text
 from plumbline.operators import eligibility, groups, resolve as rs
-from plumbline.operators.cluster import tolerance_clusters
+from plumbline.operators.cluster import FOLD_LIMIT, tolerance_clusters
 
 KEYS = ["entity", "metric"]
 
@@ -396,7 +396,7 @@ def price_clusters(spark, sf, fold_limit):
 
 @query("tolerance_cluster", PRICE_SQL)
 def tolerance_cluster(spark, sf):
-    return price_clusters(spark, sf, 100_000)
+    return price_clusters(spark, sf, FOLD_LIMIT)
 
 
 @query("independent_count", """

@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from plumbline.functions import scoring
 from plumbline.session import durable
 
-# A group with more rows than this is walked leader by leader on the cluster
-# instead of being folded in one array.
-FOLD_LIMIT = 100_000
+# A group with more distinct values than this (4 MB of numbers) is walked on the
+# cluster instead of being folded in one array. Rows do not count, only values.
+FOLD_LIMIT = 500_000
 
 
 def leaders_sql(values: str, unit: str) -> str:
@@ -49,7 +49,8 @@ def _walk(values: DataFrame, keys: list[str]) -> DataFrame:
     A value that disagrees with the one just below it always leads, so groups
     first fall apart into segments at such gaps. All segments of all groups then
     advance together: each round finds, from the bounded cell summary, the next
-    cell holding a value out of reach and looks up the smallest such value.
+    cell holding a value out of reach and looks up the smallest such value. The
+    rounds number the clusters of the longest segment.
     """
     group = [*keys, "unit"]
     values = durable(values.distinct().withColumn("cell", cell_number(F.col("value"), F.col("unit"))))
@@ -80,8 +81,8 @@ def cluster_leaders(
 ) -> DataFrame:
     """keys + ``leaders`` (ascending) for rows with ``value`` and ``unit``.
 
-    With ``fold_limit`` set, one counting job first looks for groups above it;
-    pass ``None`` only when a caller already knows the groups are small.
+    With ``fold_limit`` set, one counting job first looks for groups with more
+    distinct values; pass ``None`` only when the groups are known to be small.
     """
     keys = list(keys)
     values = df.select(*keys, "unit", "value").where(F.col("value").isNotNull())
@@ -94,12 +95,15 @@ def cluster_leaders(
 
     if fold_limit is None:
         return fold(values)
-    large = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > fold_limit)
+    values = values.distinct()
+    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max("unit").alias("unit"))
+    large = sizes.where(F.col("_rows") > fold_limit)
     if large.isEmpty():
         return fold(values)
     large = durable(large.drop("_rows"))
-    return fold(values.join(large, keys, "left_anti")).unionByName(
-        _walk(values.join(large, keys, "left_semi"), keys)
+    # A group has one unit; should sources differ, both paths use the greatest.
+    return fold(values.join(large.drop("unit"), keys, "left_anti")).unionByName(
+        _walk(values.drop("unit").join(large, keys), keys)
     )
 
 

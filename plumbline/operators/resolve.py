@@ -264,7 +264,7 @@ def settle_in_row(ev: DataFrame, entities: DataFrame, metrics: DataFrame, keys:
             forall(g, x -> x.disqualified) as all_disqualified, forall(g, x -> x.dated_out) as all_dated_out,
             g as members)))"""),
         ("pf", "filter(p.members, x -> not x.dated_out or p.all_dated_out or p.all_disqualified)"),
-        ("leaders", leaders_sql("array_distinct(pf.value)", "pf[0].unit")),
+        ("leaders", leaders_sql("array_distinct(pf.value)", "array_max(pf.unit)")),
         ("numbered", "transform(pf, x -> struct(size(filter(leaders, l -> l <= x.value)) as cluster, x as r))"),
         ("parts", "transform(sequence(1, size(leaders)), k -> transform(filter(numbered, x -> x.cluster = k), x -> x.r))"),
         ("w", """array_min(transform(parts, (g, i) -> struct(
