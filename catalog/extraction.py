@@ -72,10 +72,10 @@ def xml_docs(spark, sf):
     rtn = join_text('<monthlyTotReturn rtn1="0.', k % 9, '" rtn2="N/A" rtn3="-0.', k % 8, '"/>')
     second = F.when(k % 5 == 0, F.lit('<monthlyTotReturn rtn1="1.5" rtn2="1.25" rtn3="1.0"/>')).otherwise(F.lit(""))
     xml = join_text(
-        "<edgarSubmission><formData><genInfo><regName> Fund ", F.col("o_custkey"), " </regName><seriesName>s</seriesName><repPdEnd>",
+        "<submission><formData><genInfo><regName> Fund ", F.col("o_custkey"), " </regName><seriesName>s</seriesName><repPdEnd>",
         F.col("d"), "</repPdEnd><repPdDate>", F.col("d"), "</repPdDate></genInfo><fundInfo><totAssets>", k + 500, "</totAssets><totLiabs>",
         k % 300, "</totLiabs><netAssets>", k % 1500 + 1, "</netAssets>", borrow, "<returnInfo><monthlyTotReturns>", rtn, second,
-        "</monthlyTotReturns></returnInfo></fundInfo><invstOrSecs><invstOrSec><name>x</name></invstOrSec></invstOrSecs></formData></edgarSubmission>")
+        "</monthlyTotReturns></returnInfo></fundInfo><invstOrSecs><invstOrSec><name>x</name></invstOrSec></invstOrSecs></formData></submission>")
     return o.select("o_orderkey", F.col("o_custkey").alias("entity"), F.lit("NPORT-P").alias("form"), F.col("d").alias("report_date"), xml.alias("xml"))
 
 
