@@ -31,3 +31,12 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.packing import pack
 
     return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.quality import FEATURES, judged
+
+    docs = table(spark, folder, "documents")
+    return judged(docs.select("doc_id", "text")).select(
+        "doc_id", *[f"__quality.{n}" for n in FEATURES], "__quality.base_failed", "__quality.kept", "__quality.posterior")
