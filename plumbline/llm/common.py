@@ -145,3 +145,28 @@ def with_roots(nodes: DataFrame, found: DataFrame, key: str, name: str) -> DataF
     # A column that the caller's table already has by this name is left alone.
     return nodes.join(found.select(F.col("node").alias(key), F.col("root").alias("__root")), key, "left").withColumn(
         name, F.coalesce("__root", key)).drop("__root")
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Groups of rows with equal keys, from batches that are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [np.asarray(batch.column(k)) for k in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        first = tuple(c[0] for c in cols)
+        new[0] = last is not None and first != last
+        cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if new[a] and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            if b > a:
+                held.append(batch.slice(a, b - a))
+        last = tuple(c[-1] for c in cols)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -40,3 +40,10 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return judged(docs.select("doc_id", "text")).select(
         "doc_id", *[f"__quality.{n}" for n in FEATURES], "__quality.base_failed", "__quality.kept", "__quality.posterior")
+
+
+@query("op8_jaccard")
+def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.jaccard import join_similar
+
+    return join_similar(table(spark, folder, "documents"))
