@@ -13,14 +13,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plumbline.llm.common import written
+
 # Fixed values of the contract.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = "\x20\x09\x0a\x0b\x0c\x0d"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW_WORDS, FEWEST_WORDS, MOST_REPEATED = 8, 20, 30
 
-MARKS = "!\"#$%&*/<=>[\\]^_`{|}~"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+MARKS = r"""[!"#$%&*/<=>\[\\\]^_`{|}~]"""
+UPPER = "[A-Z]"
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Further counts that only the rules use.
 MORE = ("n_lines", "n_other", "n_upper", "n_marks", "n_stops", "n_distinct")
@@ -51,27 +53,29 @@ RULES = (
 )
 
 
-def _count(chars: str) -> Column:
-    return F.length("__t") - F.length(F.translate(F.col("__t"), chars, ""))
+def _count(pattern: str) -> Column:
+    return F.regexp_count("__t", F.lit(pattern))
 
 
 def counts(docs: DataFrame) -> DataFrame:
     """Add struct ``q`` with FEATURES and MORE (long) of each whole ``text``; null counts as empty.
 
-    n_repeat_words: windows of eight words are hashed in the row; a text without two equal
-    windows, which most are, stops there. Otherwise windows are sorted by hash with their
-    places, equal neighbours keep their places, and the words they cover are counted.
+    n_repeat_words: words are hashed in the row, then windows of eight as pairs of pairs of
+    pairs; a text without two equal windows, which most are, stops there. Otherwise windows are
+    sorted by hash with their places, equal neighbours keep their places, and the words they
+    cover are counted.
     """
     spaces = F.lit(SPACE_CHARS)
     steps = docs.withColumn("__t", F.coalesce(F.col("text").cast("string"), F.lit("")))
     steps = steps.withColumn("__b", F.btrim("__t", spaces))
-    steps = steps.withColumn("__w", F.when(F.col("__b") == "", F.array().cast("array<string>")).otherwise(
-        F.split("__b", SPACE_CLASS)))
+    steps = steps.withColumn("__w", F.when(F.col("__b") == "", F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.split("__b", SPACE_CLASS), lambda x: F.xxhash64(x))))
     steps = steps.withColumn("__l", F.filter(F.split("__b", "\n"), lambda x: F.btrim(x, spaces) != ""))
+    steps = steps.withColumn("__2", F.expr("transform(__w, (x, i) -> xxhash64(x, get(__w, i + 1)))"))
     last = WINDOW_WORDS - 1
-    steps = steps.withColumn("__h", F.when(F.size("__w") > last, F.transform(
-        F.sequence(F.lit(1), F.size("__w") - last), lambda i: F.xxhash64(F.slice("__w", i, WINDOW_WORDS)))).otherwise(
-        F.array().cast("array<bigint>")))
+    steps = steps.withColumn("__h", F.when(F.size("__w") > last, F.slice(F.expr(
+        "transform(__2, (x, i) -> xxhash64(x, get(__2, i + 2), get(__2, i + 4), get(__2, i + 6)))"),
+        1, F.size("__w") - last)).otherwise(F.array().cast("array<bigint>")))
     repeated = """aggregate(
         transform(array(sort_array(transform(array(sort_array(transform(__h, (x, i) -> struct(x, i)))), s ->
             transform(filter(sequence(0, size(s) - 1), k ->
@@ -82,13 +86,13 @@ def counts(docs: DataFrame) -> DataFrame:
     steps = steps.withColumn("__r", F.when(F.size(F.array_distinct("__h")) == F.size("__h"), F.lit(0).cast("long"))
                              .otherwise(F.expr(repeated)))
     longs = {
-        "n_words": F.size("__w"), "word_chars": F.length("__t") - _count(SPACE_CHARS), "n_symbols": _count(SYMBOLS),
+        "n_words": F.size("__w"), "word_chars": F.length("__t") - _count(SPACE_CLASS[:-1]), "n_symbols": _count(SYMBOLS),
         "n_dup_lines": F.size("__l") - F.size(F.array_distinct("__l")), "n_repeat_words": F.col("__r"),
-        "n_lines": F.size("__l"), "n_other": _count(MARKS), "n_upper": _count(UPPER), "n_marks": _count("!"), "n_stops": _count(".?"),
-        "n_distinct": F.size(F.array_distinct("__w")),
+        "n_lines": F.size("__l"), "n_other": _count(MARKS), "n_upper": _count(UPPER), "n_marks": _count("!"),
+        "n_stops": _count("[.?]"), "n_distinct": F.size(F.array_distinct("__w")),
     }
     q = F.struct(*[longs[n].cast("long").alias(n) for n in FEATURES + MORE])
-    return steps.withColumn("q", q).drop("__t", "__b", "__w", "__l", "__h", "__r")
+    return steps.withColumn("q", q).drop("__t", "__b", "__w", "__l", "__2", "__h", "__r")
 
 
 def vote(rule: Rule) -> Column:
@@ -168,21 +172,30 @@ def posterior(model: Model, rules: tuple[Rule, ...] = RULES) -> Column:
     return 1 / (1 + F.exp(-model.log_odds([vote(r) for r in rules])))
 
 
-def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
-    """Add ``__quality``: struct of the counts, base_failed, posterior (double), kept (boolean).
+def _verdict(model: Model, rules: tuple[Rule, ...], threshold: float) -> Column:
+    p = posterior(model, rules)
+    return F.struct("q.*", base_failed().alias("base_failed"), p.alias("posterior"),
+                    (~base_failed() & (p >= threshold)).alias("kept"))
+
+
+def verdicts(docs: DataFrame, *keys: str, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
+    """(keys, the counts, base_failed, posterior, kept) of every row of a table with ``text``.
 
-    The texts are read twice, once to count votes and once to judge; nothing is shuffled but
-    vote patterns. Every row gets a verdict: null and empty texts fail the base rule, repeated
-    rows are judged alike, an empty table gives none. All columns of ``docs`` stay.
+    The texts are read once; the counts are written to the shared folder, the rules' rates are
+    estimated from all of them, and the verdicts come from the written counts. Null and empty
+    texts fail the base rule, repeated rows are judged alike, null keys stay null, an empty
+    table gives no rows.
     """
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
-    model = fit(counts(docs.select("text")), rules)
-    out = counts(inner).withColumn("__p", posterior(model, rules))
-    verdict = F.struct("q.*", base_failed().alias("base_failed"), F.col("__p").alias("posterior"),
-                       (~base_failed() & (F.col("__p") >= threshold)).alias("kept"))
-    return out.select("__row", verdict.alias("__quality")).select("__row.*", "__quality")
+    counted = written(counts(docs.select(*keys, "text")).select(*keys, "q"), "counts")
+    return counted.withColumn("__v", _verdict(fit(counted, rules), rules, threshold)).select(*keys, "__v.*")
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are judged good, with the columns of ``docs``."""
-    return judged(docs, rules, threshold).where("__quality.kept").drop("__quality")
+    """The rows of ``docs`` that are judged good, with all columns of ``docs``, whatever their names.
+
+    The texts are read twice, once to count votes and once to judge, so that no second copy of
+    them is written. Nothing but vote patterns is shuffled.
+    """
+    model = fit(counts(docs.select("text")), rules)
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
+    return counts(inner).where(_verdict(model, rules, threshold)["kept"]).select("__row.*")
