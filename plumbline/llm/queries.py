@@ -35,11 +35,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_quality")
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
-    from plumbline.llm.quality import FEATURES, judged
+    from plumbline.llm.quality import FEATURES, verdicts
 
-    docs = table(spark, folder, "documents")
-    return judged(docs.select("doc_id", "text")).select(
-        "doc_id", *[f"__quality.{n}" for n in FEATURES], "__quality.base_failed", "__quality.kept", "__quality.posterior")
+    return verdicts(table(spark, folder, "documents"), "doc_id").select(
+        "doc_id", *FEATURES, "base_failed", "kept", "posterior")
 
 
 @query("op8_jaccard")
@@ -47,3 +46,16 @@ def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.jaccard import join_similar
 
     return join_similar(table(spark, folder, "documents"))
+
+
+@query("op10_language_model")
+def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from plumbline.llm.lm import fold, score, train
+
+    docs = table(spark, folder, "documents").withColumn("held_out", fold(F.col("doc_id")) == 1)
+    model = train(docs.where(~F.col("held_out")), order=2)
+    return score(docs, model, "doc_id", "held_out").select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.train_tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")
