@@ -59,3 +59,10 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return score(docs, model, "doc_id", "held_out").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.train_tokens).cast("long").alias("train_tokens"),
         "base_score", "score")
+
+
+@query("op9_embeddings")
+def op9_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.neighbors import near_duplicates
+
+    return near_duplicates(table(spark, folder, "embeddings"))
