@@ -66,3 +66,18 @@ def op9_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.neighbors import near_duplicates
 
     return near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from plumbline.llm.lm import fold
+    from plumbline.llm.toxicity import scored, train
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", fold(F.col("doc_id")) == 0)
+    labels = table(spark, folder, "labels").where(fold(F.col("doc_id")) != 0).select("doc_id", "toxic")
+    model = train(docs.join(labels, "doc_id"))
+    return scored(docs, model, "doc_id", "held_out").select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
