@@ -25,7 +25,9 @@ from plumbline.llm.common import EDGES, components, drop_written, edge_batch, ru
 #: Similarity as a fraction, words in a shingle.
 TIMES, OUT_OF, WORDS = 80, 100, 5
 #: Share of a set that the longer prefix adds; members and bytes of a chunk; bits of the filter.
-SLACK, CHUNK_NODES, CHUNK_BYTES, FILTER_BITS = 10, 1024, 16 << 20, 1 << 23
+SLACK, CHUNK_NODES, CHUNK_BYTES, FILTER_BITS = 10, 1024, 8 << 20, 1 << 23
+#: Hashes a task combines before it sends them; bytes of bitmaps that are compared at a time.
+RUN_HASHES, BITMAP_BYTES = 400_000, 4 << 20
 
 
 def _up(n: np.ndarray | int, times: int, out_of: int):
@@ -94,7 +96,7 @@ def _prefix_rows(size: int):
         return pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([token[single], token[heads], words.mix(seen.view(np.uint64))]).view(np.int64)),
             pa.array(np.concatenate([node[single], node[heads], seen])),
-            pa.array(np.concatenate([n[single], n[heads], n[many][at]]).astype(np.int32)),
+            pa.array(np.concatenate([n[single], n[heads], n[many][at]])),
             pa.array(np.concatenate([np.zeros(single.sum()), np.full(heads.sum(), -1), k]).astype(np.int32)),
         ], names=["key", "node", "n", "k"])
 
@@ -107,9 +109,9 @@ def _prefix_rows(size: int):
                 upto = _need(len(s))[0]
                 token.append(s[:upto])
                 node.append(np.full(upto, _node(s)))
-                n.append(np.full(upto, len(s)))
+                n.append(np.full(upto, len(s), dtype=np.int32))
                 held += upto
-                if held >= 1 << 20:
+                if held >= RUN_HASHES:
                     yield flush(token, node, n)
                     token, node, n, held = [], [], [], 0
         if held:
@@ -205,7 +207,7 @@ def _set_rows(docs: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
                     n.append(len(s))
                     data.append(s.tobytes())
                     held += len(data[-1])
-                if held > 4 << 20:
+                if held > 2 << 20:
                     yield pack(node, n, data)
                     node, n, data, held = [], [], [], 0
             yield pack(node, n, data)
@@ -283,7 +285,11 @@ def _possible(one, two, i, j):
     need = TIMES * (least1[i] + least2[j])
     ok = (OUT_OF + TIMES) * most >= need
     i, j, most, need = i[ok], j[ok], most[ok], need[ok]
-    over = np.bitwise_count(bit1[i] & bit2[j]).sum(axis=1, dtype=np.int64) + np.minimum(spare1[i], spare2[j])
+    over = np.minimum(spare1[i], spare2[j])
+    step = max(1, BITMAP_BYTES // bit1[0].nbytes)
+    for at in range(0, len(i), step):
+        part = slice(at, at + step)
+        over[part] += np.bitwise_count(bit1[i[part]] & bit2[j[part]]).sum(axis=1, dtype=np.int64)
     keep = (OUT_OF + TIMES) * np.minimum(over, most) >= need
     return i[keep], j[keep]
 

@@ -81,3 +81,14 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = train(docs.join(labels, "doc_id"))
     return scored(docs, model, "doc_id", "held_out").select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_personal_data")
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from plumbline.llm.pii import KINDS, detect
+
+    return detect(table(spark, folder, "documents"), "doc_id").select(
+        "doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", F.col("listed").alias("spans"),
+        F.expr("size(filter(spans, s -> not s.base))").cast("long").alias("n_added"))

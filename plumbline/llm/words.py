@@ -14,7 +14,7 @@ import pyarrow as pa
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 #: Bytes of text that are hashed at a time; a longer text is taken whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
