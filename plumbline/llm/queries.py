@@ -92,3 +92,23 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return detect(table(spark, folder, "documents"), "doc_id").select(
         "doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", F.col("listed").alias("spans"),
         F.expr("size(filter(spans, s -> not s.base))").cast("long").alias("n_added"))
+
+
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from plumbline.llm.pieces import round_trip
+
+    return round_trip(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), "doc_id")
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from plumbline.llm.wordpiece import build, count_pieces, sentencepiece_vocabulary
+
+    pieces = sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    auto = build(pieces, start="▁".encode())
+    return count_pieces(table(spark, folder, "documents"), auto, "doc_id")

@@ -48,28 +48,34 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _power[0][:n], _power[1][:n]
 
 
-def hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of texts laid end to end, and how many words each text has.
+def spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end) of the words of texts laid end to end, and how many words each text has.
 
-    ``data`` holds UTF-8 bytes; text i is data[starts[i]:starts[i + 1]].
+    ``data`` holds UTF-8 bytes; text i is data[starts[i]:starts[i + 1]]. Ends are exclusive.
     """
-    n = len(starts) - 1
     if not len(data):
-        return np.zeros(0, dtype=np.uint64), np.zeros(n, dtype=np.int64)
-    low = _LOWER[data]
-    word = ~_SPACE[low]
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, np.zeros(len(starts) - 1, dtype=np.int64)
+    word = ~_SPACE[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[starts] = True
     first = word.copy()
     first[1:] &= ~word[:-1] | edge[1:-1]
     last = word.copy()
     last[:-1] &= ~word[1:] | edge[1:-1]
-    begin, end = np.flatnonzero(first), np.flatnonzero(last)
+    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return begin, end, np.diff(np.searchsorted(begin, starts)).astype(np.int64)
+
+
+def hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of texts laid end to end, and how many words each text has."""
+    begin, end, counts = spans(data, starts)
+    if not len(begin):
+        return np.zeros(0, dtype=np.uint64), counts
     power, inverse = _powers(len(data))
-    total = np.cumsum(_VALUE[low] * power)
+    total = np.cumsum(_VALUE[_LOWER[data]] * power)
     before = np.where(begin > 0, total[begin - 1], np.uint64(0))
-    found = mix((total[end] - before) * inverse[begin])
-    return found, np.diff(np.searchsorted(begin, starts)).astype(np.int64)
+    return mix((total[end - 1] - before) * inverse[begin]), counts
 
 
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
