@@ -112,3 +112,10 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     pieces = sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     auto = build(pieces, start="▁".encode())
     return count_pieces(table(spark, folder, "documents"), auto, "doc_id")
+
+
+@query("op3_quote_linking")
+def op3_quote_linking(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.quoting import link_quotes
+
+    return link_quotes(table(spark, folder, "conversations"))
