@@ -445,3 +445,19 @@ def join_similar(docs: DataFrame, size: int = WORDS) -> DataFrame:
     of_node = first.join(root, "root").select("node", "component_id")
     return own.join(of_node, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """One row of ``docs`` per group of linked documents: the one with the smallest doc_id.
+
+    All columns stay as they are. doc_id names a document: of rows that repeat one, one stays.
+    A null doc_id stays where no document with an id is linked to it.
+    """
+    found = written(join_similar(docs.select("doc_id", "text"), size), "components")
+    leave = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(leave, "doc_id", "left_anti").select(docs.columns)
+    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not twice.isEmpty():
+        once = kept.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+        kept = kept.join(twice, "doc_id", "left_anti").select(docs.columns).union(once)
+    return kept
