@@ -78,7 +78,7 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", fold(F.col("doc_id")) == 0)
     labels = table(spark, folder, "labels").where(fold(F.col("doc_id")) != 0).select("doc_id", "toxic")
-    model = train(docs.join(labels, "doc_id"))
+    model = train(docs, labels)
     return scored(docs, model, "doc_id", "held_out").select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

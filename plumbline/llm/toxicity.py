@@ -13,29 +13,28 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import combinations
+from itertools import chain, combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from plumbline.llm.common import texts_of
+from plumbline.llm.common import drop_written, texts_of, written
 
-LENGTH, SPAN, DECAY, POWER = 3, 6, 0.6, 3
+LENGTH, SPAN, DECAY, POWER = 3, 6, 0.7, 3
 #: Letters of a word that are compared; longer words are taken in pieces of this length.
 LETTERS = 24
 CODES = 32
+#: Cost of an altered copy beside that of a document.
+ALTERED = 0.05
 #: Labelled documents per class that training reads; landmarks; words of a sentence at most.
-SAMPLE, LANDMARKS, SENTENCE = 1500, 64, 40
+SAMPLE, LANDMARKS, SENTENCE = 3000, 56, 40
 
-_END = re.compile(r"(?<=[.!?])\s+|\n")
+_END = re.compile(r"[.!?\n](?:(?<=\n)|\s)")
+_SPELLED = re.compile(r"(?<!\S)[^\W\d_](?:\s[^\W\d_]){2,}(?!\S)")
 _ALPHA = re.compile(r"[^\W\d_]+")
 _FOLD = str.maketrans("013457@$", "oieastas")
-# Offsets (0, j, k) of subsequences of three letters within SPAN.
-_STEPS = np.array([(0, *c) for c in combinations(range(1, SPAN), LENGTH - 1)])
-_WEIGHT = DECAY ** (_STEPS[:, -1] + 1.0)
 
 
 def letters(token: str) -> str:
@@ -43,22 +42,22 @@ def letters(token: str) -> str:
     if token.isalpha():
         return token.lower()
     plain = token.strip(".,;:!?\"'()[]-")
-    if plain.isalpha() or not _ALPHA.search(plain):
-        return plain.lower() if plain.isalpha() else ""
+    if plain.isalpha():
+        return plain.lower()
+    if not _ALPHA.search(plain):
+        return ""
     return "".join(_ALPHA.findall(plain.lower().translate(_FOLD)))
 
 
-def sentences(text: str) -> Iterator[list[str]]:
-    """Tokens of each sentence; long ones are cut into pieces of SENTENCE tokens.
+def sentences(text: str) -> list[list[str]]:
+    """Tokens of each part of a text between line or sentence ends.
 
     Letters that stand alone one after another are joined, so a spelled-out word is one token.
     """
-    for part in _END.split(text):
-        tokens = part.split()
-        if sum(len(t) == 1 for t in tokens) > 2:
-            tokens = _joined(tokens)
-        for at in range(0, len(tokens), SENTENCE):
-            yield tokens[at:at + SENTENCE]
+    parts = [part.split() for part in _END.split(text)]
+    if _SPELLED.search(text):
+        parts = [_joined(p) for p in parts]
+    return parts
 
 
 def _joined(tokens: list[str]) -> list[str]:
@@ -74,72 +73,90 @@ def _joined(tokens: list[str]) -> list[str]:
     return out
 
 
-def _codes(words: list[str]) -> np.ndarray:
-    """Letters of words as numbers from 1; 0 behind the end. Letters beyond a-z share the rest."""
-    flat = np.frombuffer("".join(w[:LETTERS].ljust(LETTERS, "\0") for w in words).encode("utf-32-le"), dtype=np.uint32)
+def _codes(words: list[str], size: int) -> np.ndarray:
+    """Letters of words of one size as numbers from 1. Letters beyond a-z share the last few."""
+    flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
     small = (flat >= 97) & (flat <= 122)
-    out = np.where(small, flat - 96, np.where(flat == 0, 0, 27 + flat % 5)).astype(np.int64)
-    return out.reshape(len(words), LETTERS)
+    return np.where(small, flat - 96, 27 + flat % 5).reshape(len(words), size)
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(subsequence numbers, weights) of words, one row each; number 0 where there is none."""
-    c = np.pad(_codes(words), ((0, 0), (0, SPAN)))
-    parts = [c[:, d:d + LETTERS] for d in range(SPAN)]
-    number, weight = [], []
-    for (a, b, e), w in zip(_STEPS, _WEIGHT):
-        n = (parts[a] * CODES + parts[b]) * CODES + parts[e]
-        n[parts[e] == 0] = 0
-        number.append(n)
-        weight.append((n > 0) * w)
-    return np.concatenate(number, axis=1), np.concatenate(weight, axis=1).astype(np.float32)
+_TRIPLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _dense(words: list[str]) -> np.ndarray:
-    """Feature vectors of few words, unit length."""
-    number, weight = features(words)
-    out = np.zeros((len(words), CODES ** 3), dtype=np.float32)
-    np.add.at(out, (np.arange(len(words))[:, None], number), weight)
-    out[:, 0] = 0
-    norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
-    return out / np.maximum(norm, 1e-9)
+def _triples(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all subsequences of LENGTH letters within SPAN in a word of a size, and their weights."""
+    if size not in _TRIPLES:
+        at = np.array([(i, i + j, i + k) for i in range(size) for j, k in combinations(range(1, SPAN), LENGTH - 1) if i + k < size])
+        _TRIPLES[size] = at.reshape(-1, LENGTH), (DECAY ** (at[:, -1] - at[:, 0] + 1.0)).astype(np.float32)
+    return _TRIPLES[size]
 
 
-def word_kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """Normalised kernel of each word with each landmark (rows of ``landmarks``: subsequences).
-
-    Words of the same letters in a longer word keep their share: the norm is that of the word.
-    """
-    out = np.zeros((len(words), landmarks.shape[1]), dtype=np.float32)
-    for at in range(0, len(words), 4096):
-        number, weight = features(words[at:at + 4096])
-        # A subsequence found twice counts as the sum of its weights.
-        order = np.argsort(number, axis=1)
-        number, weight = np.take_along_axis(number, order, 1), np.take_along_axis(weight, order, 1)
-        square = _norms(number, weight)
-        top = number.shape[1] - int((number == 0).sum(axis=1).min())
-        total = np.zeros((len(number), landmarks.shape[1]), dtype=np.float32)
-        for col in range(number.shape[1] - top, number.shape[1]):
-            total += landmarks[number[:, col]] * weight[:, col, None]
-        out[at:at + 4096] = total / np.maximum(np.sqrt(square), 1e-9)[:, None]
-    return out
+def features(words: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(subsequence numbers, weights, 0 where a number came before) of words of one size, rows sorted."""
+    at, weight = _triples(size)
+    c = _codes(words, size)
+    number = (c[:, at[:, 0]] * CODES + c[:, at[:, 1]]) * CODES + c[:, at[:, 2]]
+    order = np.argsort(number, axis=1)
+    number, weight = np.take_along_axis(number, order, 1), weight[order]
+    # A subsequence found more than once counts with the sum of its weights.
+    again = np.zeros(number.shape, dtype=bool)
+    again[:, 1:] = number[:, 1:] == number[:, :-1]
+    if again.any():
+        first = np.flatnonzero(~again.ravel())
+        sums = np.zeros(number.size, dtype=np.float32)
+        sums[first] = np.add.reduceat(weight.ravel(), first)
+        weight = sums.reshape(number.shape)
+    return number, weight
 
 
-def _norms(number: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    rows, cols = number.shape
-    first = np.ones((rows, cols), dtype=bool)
-    first[:, 1:] = number[:, 1:] != number[:, :-1]
-    at = np.flatnonzero(first.ravel())
-    sums = np.add.reduceat(weight.ravel().astype(np.float64), at)
-    sums[number.ravel()[at] == 0] = 0
-    return np.bincount(at // cols, sums * sums, minlength=rows)
+def _dense(words: list[str]) -> np.ndarray:
+    """Feature vectors of few words, unit length."""
+    out = np.zeros((len(words), CODES ** 3), dtype=np.float32)
+    for i, w in enumerate(words):
+        if len(w) >= LENGTH:
+            number, weight = features([w], len(w))
+            np.add.at(out[i], number[0], weight[0])
+    return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9)
+
+
+class Landmarks:
+    """Feature vectors of the landmarks, kept for the subsequences that some landmark has."""
+
+    def __init__(self, names: list[str]):
+        dense = _dense(names)
+        held = np.flatnonzero(dense.any(axis=0))
+        self.place = np.zeros(CODES ** 3, dtype=np.int32)
+        self.place[held] = np.arange(1, len(held) + 1)
+        self.rows = np.ascontiguousarray(np.vstack([np.zeros(len(names), dtype=np.float32), dense[:, held].T]))
+
+    def kernel(self, words: list[str]) -> np.ndarray:
+        """Normalised kernel of each word with each landmark; words too short have none."""
+        out = np.zeros((len(words), self.rows.shape[1]), dtype=np.float32)
+        by_size: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            if len(w) >= LENGTH:
+                by_size.setdefault(len(w), []).append(i)
+        for size, which in by_size.items():
+            step = max(16, 100_000 // len(_triples(size)[0]))
+            for at in range(0, len(which), step):
+                part = which[at:at + step]
+                number, weight = features([words[i] for i in part], size)
+                norm = np.sqrt((weight * weight).sum(axis=1))
+                place = self.place[number]
+                place[weight == 0] = 0
+                row, col = np.nonzero(place)
+                if len(row):
+                    value = self.rows[place[row, col]] * weight[row, col][:, None]
+                    first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+                    hit = row[first]
+                    out[np.array(part)[hit]] = np.add.reduceat(value, first, axis=0) / norm[hit][:, None]
+        return out
 
 
 @dataclass
 class Model:
-    """Landmark features, their weights, and the line that turns margins into probabilities."""
+    """Landmarks, their weights, and the line that turns margins into probabilities."""
 
-    landmarks: np.ndarray = field(repr=False)
     names: tuple[str, ...]
     weights: np.ndarray
     bias: float
@@ -147,38 +164,71 @@ class Model:
     shift: float
     ident: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def word_scores(self, words: list[str]) -> np.ndarray:
-        return word_kernel(words, self.landmarks) ** POWER @ self.weights
-
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
 class Scorer:
-    """Scores of documents, with a cache of token scores of bounded size."""
+    """Scores of documents, with caches of token and word scores of bounded size."""
 
-    def __init__(self, model: Model, most: int = 400_000):
-        self.model, self.most, self.cache = model, most, {}
+    def __init__(self, model: Model, most: int = 600_000):
+        self.model, self.most = model, most
+        self.landmarks = Landmarks(list(model.names))
+        self.words: dict[str, float] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.score = np.zeros(1 << 16)
 
     def learn(self, tokens: set[str]) -> None:
-        new = [t for t in tokens if t not in self.cache]
-        words = [letters(t) for t in new]
-        have = sorted({w[i:i + LETTERS] for w in words for i in range(0, len(w), LETTERS) if len(w) >= LENGTH})
-        value = dict(zip(have, self.model.word_scores(have).tolist())) if have else {}
-        for t, w in zip(new, words):
-            self.cache[t] = sum(value.get(w[i:i + LETTERS], 0.0) for i in range(0, len(w), LETTERS))
+        """Give new tokens a number and a score."""
+        read = list(map(letters, tokens))
+        pieces = {w if len(w) <= LETTERS else w[:LETTERS] for w in read}
+        pieces.update(w[i:i + LETTERS] for w in read if len(w) > LETTERS for i in range(LETTERS, len(w), LETTERS))
+        if len(self.words) > self.most:
+            self.words.clear()
+        new = list(pieces - self.words.keys())
+        if new:
+            known = self.landmarks.kernel(new) ** POWER @ self.model.weights if self.model.names else np.zeros(len(new))
+            self.words.update(zip(new, known.tolist()))
+        first, get = len(self.number), self.words.get
+        self.number.update(zip(tokens, range(first, first + len(read))))
+        if first + len(read) > len(self.score):
+            self.score = np.concatenate([self.score, np.zeros(max(len(read), len(self.score)))])
+        self.score[first:first + len(read)] = [
+            get(w, 0.0) if len(w) <= LETTERS else sum(get(w[i:i + LETTERS], 0.0) for i in range(0, len(w), LETTERS))
+            for w in read]
 
     def margins(self, texts: list[str]) -> np.ndarray:
-        """Margin of the worst sentence of each text; that of an empty sentence where there is none."""
-        parts = [list(sentences(t)) for t in texts]
+        """Margin of the worst sentence of each text; that of an empty sentence where there is none.
+
+        A word that a sentence repeats counts once.
+        """
         out = np.zeros(len(texts))
         for at in range(0, len(texts), 64):
-            if len(self.cache) > self.most:
-                self.cache.clear()
-            self.learn({t for doc in parts[at:at + 64] for s in doc for t in s if t not in self.cache})
-            get = self.cache.__getitem__
-            for k, doc in enumerate(parts[at:at + 64]):
-                out[at + k] = max([0.0, *(sum(map(get, set(s))) for s in doc)])
+            docs = [sentences(t) for t in texts[at:at + 64]]
+            size = np.array([len(p) for doc in docs for p in doc], dtype=np.int64)
+            tokens = list(chain.from_iterable(p for doc in docs for p in doc))
+            if not tokens:
+                continue
+            if len(self.number) > self.most:
+                self.forget()
+            number = np.fromiter(map(self.number.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
+            if (miss := np.flatnonzero(number < 0)).size:
+                new = [tokens[i] for i in miss.tolist()]
+                self.learn(set(new))
+                number[miss] = [self.number[t] for t in new]
+            # Sentences by number, those of a long part one after another.
+            pieces = -(-size // SENTENCE)
+            start = np.cumsum(size) - size
+            place = np.arange(len(tokens)) - np.repeat(start, size)
+            sentence = np.repeat(np.cumsum(pieces) - pieces, size) + place // SENTENCE
+            pair = np.sort(sentence << 32 | number)
+            pair = pair[np.append(True, pair[1:] != pair[:-1])]
+            sums = np.bincount(pair >> 32, self.score[pair & 0xFFFFFFFF], minlength=int(pieces.sum()))
+            of_doc = np.repeat(np.repeat(np.arange(len(docs)), [len(doc) for doc in docs]), pieces)
+            np.maximum.at(out, at + of_doc, sums)
         return out + self.model.bias
 
 
@@ -198,7 +248,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 
 def choose_landmarks(docs: DataFrame, number: int = LANDMARKS, pool: int = 1500) -> list[str]:
-    """Landmark words from counts over all labelled training documents.
+    """Landmark words from counts over all rows of (text, toxic).
 
     Three quarters are words that tell toxic documents, strongest first, leaving out those
     almost equal to one taken before; the rest are the most common words of clean documents.
@@ -230,29 +280,46 @@ def choose_landmarks(docs: DataFrame, number: int = LANDMARKS, pool: int = 1500)
     return taken
 
 
-def _sentence_rows(docs: DataFrame, landmarks: np.ndarray, keep: int) -> DataFrame:
-    """Kernel rows of the sentences of sampled documents that are nearest to the landmarks."""
+def _altered(word: str) -> str:
+    """The word with one letter put in behind its middle."""
+    at = len(word) // 2
+    return (word[:at] + "xqzkvw"[len(word) % 6] + word[at:])[:LETTERS]
+
+
+def _sentence_rows(docs: DataFrame, names: list[str], strong: int, keep: int) -> DataFrame:
+    """Kernel rows of the sentences of each document that are nearest to the landmarks.
+
+    A toxic document comes a second time, as ``altered``, with a letter put into each word that
+    is close to one of the first ``strong`` landmarks.
+    """
     def run(batches):
+        landmarks = Landmarks(names)
         for batch in batches:
-            key, label, rows = [], [], []
-            for n, (text, y) in enumerate(zip(texts_of(batch), batch.column("toxic").to_pylist())):
-                parts = [[w for w in map(letters, s) if len(w) >= LENGTH] for s in sentences(text)]
+            key, label, rows, other = [], [], [], []
+            for text, y, doc in zip(texts_of(batch), batch.column("toxic").to_pylist(), batch.column("doc").to_pylist()):
+                cut = [s[at:at + SENTENCE] for s in sentences(text) for at in range(0, len(s), SENTENCE)]
+                parts = [{w[:LETTERS] for w in map(letters, s) if len(w) >= LENGTH} for s in cut]
                 parts = [p for p in parts if p]
                 if not parts:
                     continue
-                words = sorted({w[:LETTERS] for p in parts for w in p})
-                value = dict(zip(words, word_kernel(words, landmarks) ** POWER))
-                x = np.array([np.sum([value[w[:LETTERS]] for w in set(p)], axis=0) for p in parts])
-                best = np.argsort(-x.max(axis=1), kind="stable")[:keep]
-                for i in best:
-                    key.append(int(batch.column("doc")[n].as_py()))
-                    label.append(y)
-                    rows.append(x[i].astype(np.float32).tobytes())
+                words = sorted(set().union(*parts))
+                k = landmarks.kernel(words)
+                value = dict(zip(words, k ** POWER))
+                near = [w for w, top in zip(words, k[:, :strong].max(axis=1)) if y and top >= 0.8]
+                for altered in range(2 if near else 1):
+                    if altered:
+                        value.update(zip(near, landmarks.kernel([_altered(w) for w in near]) ** POWER))
+                    x = np.array([np.sum([value[w] for w in sorted(p)], axis=0) for p in parts])
+                    for i in np.argsort(-x.max(axis=1), kind="stable")[:keep]:
+                        key.append(doc)
+                        label.append(y)
+                        other.append(altered)
+                        rows.append(x[i].astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), pa.array(label, pa.int32()), pa.array(rows, pa.binary())],
-                names=["doc", "toxic", "row"])
+                [pa.array(key, pa.int64()), pa.array(label, pa.int32()), pa.array(other, pa.int32()), pa.array(rows, pa.binary())],
+                names=["doc", "toxic", "altered", "row"])
 
-    return docs.select("doc", "toxic", "text").mapInArrow(run, "doc long, toxic int, row binary")
+    return docs.select("doc", "toxic", "text").mapInArrow(run, "doc long, toxic int, altered int, row binary")
 
 
 def _hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 40) -> np.ndarray:
@@ -295,64 +362,65 @@ def _calibrate(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[f
     return max(a, 1e-3), b
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, rounds: int = 6) -> Model:
-    """Fit on (text, toxic): toxic 1 or 0; rows of other or null labels are left out.
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, rounds: int = 6) -> Model:
+    """Fit on (doc_id, text) and (doc_id, toxic).
 
-    Landmarks are chosen from all labelled rows. The machine itself is fitted on at most
-    ``sample`` documents of each class, taken in the order of a hash of their text. Without
-    both classes every document gets the share of toxic ones, half a row added to each.
+    Of the labels whose document is there at most ``sample`` per class are taken, in the order
+    of a hash of doc_id, so the rows that travel have a fixed bound. Labels other than 0 and 1
+    and null ids are left out; of labels that repeat an id the highest counts; null texts count
+    as empty. Without both classes every document gets the share of toxic ones, half a row added
+    to each.
     """
-    docs = labelled.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-                           F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
-    n = {r["toxic"]: r["count"] for r in docs.groupBy("toxic").count().collect()}
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = written(known, "labels")
+    n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     bad, good = n.get(1, 0), n.get(0, 0)
     prior = (bad + 0.5) / (bad + good + 1)
-    flat = Model(np.zeros((CODES ** 3, 1), dtype=np.float32), (), np.zeros(1), 0.0, 1.0, float(np.log(prior / (1 - prior))))
+    flat = Model((), np.zeros(0), 0.0, 1.0, float(np.log(prior / (1 - prior))))
     if not bad or not good:
         return flat
-    names = choose_landmarks(docs, landmarks)
-    if not names:
+    ordered = known.withColumn("doc", F.xxhash64("doc_id")).orderBy("doc", "doc_id")
+    picked = ordered.where("toxic = 1").limit(sample).union(ordered.where("toxic = 0").limit(sample))
+    # At most 2 * sample rows of an id and a label.
+    own = written(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(
+        F.broadcast(picked), "doc_id").dropDuplicates(["doc"]).select("doc", "text", "toxic"), "sample")
+    names = choose_landmarks(own, landmarks)
+    strong = max(1, min(len(names), landmarks * 3 // 4))
+    rows = _sentence_rows(own, names, strong, keep=8).collect() if names else []
+    drop_written(own)
+    if not rows:
         return flat
-    marks = np.ascontiguousarray(_dense(names).T)
-    own = docs.withColumn("doc", F.xxhash64("text"))
-    picked = None
-    for y, size in ((0, good), (1, bad)):
-        # A hash range that holds about the sample, then an exact top-k inside it.
-        share = min(1.0, 2.0 * sample / size + 100 / size)
-        some = own.where((F.col("toxic") == y) & (F.pmod("doc", F.lit(1 << 20)) < int(share * (1 << 20)) + 1))
-        some = some.orderBy(F.pmod("doc", F.lit(1 << 20)), "doc").limit(sample)
-        picked = some if picked is None else picked.union(some)
-    rows = _sentence_rows(picked, marks, keep=8).collect()
     x = np.array([np.frombuffer(r["row"], dtype=np.float32) for r in rows], dtype=np.float64)
-    if not len(x):
-        return flat
     y = np.array([1.0 if r["toxic"] else -1.0 for r in rows])
-    _, doc = np.unique([r["doc"] for r in rows], return_inverse=True)
+    # An altered copy is a document of its own; calibration leaves it out.
+    _, doc = np.unique([(r["doc"], r["altered"]) for r in rows], axis=0, return_inverse=True)
+    altered = np.array([r["altered"] for r in rows])
     # Nystrom: the landmarks' own kernel, powered, makes kernel rows into vectors.
-    own_kernel = (_dense(names) @ _dense(names).T).astype(np.float64) ** POWER
-    value, vector = np.linalg.eigh(own_kernel)
+    value, vector = np.linalg.eigh(Landmarks(names).kernel(names).astype(np.float64) ** POWER)
     keep = value > 1e-6 * value.max()
     turn = vector[:, keep] / np.sqrt(value[keep])
     z = x @ turn
-    n_strong = min(len(names), landmarks * 3 // 4)
-    margin = x[:, :n_strong].max(axis=1)
-    kinds = np.array([y[doc == d][0] for d in range(doc.max() + 1)])
+    margin = x[:, :strong].max(axis=1)
+    order = np.argsort(doc, kind="stable")
+    one = order[np.append(True, doc[order][1:] != doc[order][:-1])]
+    kinds, real = y[one], altered[one] == 0
     for _ in range(rounds):
         # Of each toxic document the worst sentence, of each clean one all that were kept.
         order = np.lexsort((-margin, doc))
         best = order[np.append(True, doc[order][1:] != doc[order][:-1])]
         use = np.concatenate([best[y[best] > 0], np.flatnonzero(y < 0)])
         n_bad, n_good = (y[use] > 0).sum(), (y[use] < 0).sum()
-        cost = np.where(y[use] > 0, 1000.0 / max(1, n_bad), 1000.0 / max(1, n_good))
+        cost = np.where(y[use] > 0, 1000.0 / max(1, n_bad), 1000.0 / max(1, n_good)) * np.where(altered[use], ALTERED, 1.0)
         w = _hinge(z[use], y[use], cost)
         margin = z @ w[:-1] + w[-1]
-    top = np.full(len(kinds), -np.inf)
+    top = np.full(len(kinds), w[-1])
     np.maximum.at(top, doc, margin)
-    top = np.maximum(top, w[-1])
+    top, kinds = top[real], kinds[real]
     # The sample has its own share of toxic rows; weights bring back that of the labels.
     share = np.where(kinds > 0, bad / max(1, (kinds > 0).sum()), good / max(1, (kinds < 0).sum()))
     slope, shift = _calibrate(top, (kinds > 0).astype(float), share / share.mean())
-    return Model(marks, tuple(names), turn @ w[:-1], float(w[-1]), slope, shift)
+    return Model(tuple(names), turn @ w[:-1], float(w[-1]), slope, shift)
 
 
 def scored(docs: DataFrame, model: Model, *keys: str) -> DataFrame:
@@ -376,6 +444,21 @@ def scored(docs: DataFrame, model: Model, *keys: str) -> DataFrame:
     return kept.mapInArrow(run, f"{names}score double")
 
 
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        scorer = _scorer(held.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                p = held.value.probability(scorer.margins(texts_of(part)))
+                yield part.filter(pa.array(p < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 _SCORERS: dict[str, Scorer] = {}
 
 
