@@ -455,9 +455,10 @@ def keep_one(docs: DataFrame, size: int = WORDS) -> DataFrame:
     """
     found = written(join_similar(docs.select("doc_id", "text"), size), "components")
     leave = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(leave, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(leave, docs["doc_id"] == leave["doc_id"], "left_anti")
     twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if not twice.isEmpty():
-        once = kept.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-        kept = kept.join(twice, "doc_id", "left_anti").select(docs.columns).union(once)
+        same = kept["doc_id"] == twice["doc_id"]
+        once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(twice, same, "left_anti").union(once)
     return kept

@@ -70,7 +70,7 @@ def counts(docs: DataFrame) -> DataFrame:
     steps = steps.withColumn("__b", F.btrim("__t", spaces))
     steps = steps.withColumn("__w", F.when(F.col("__b") == "", F.array().cast("array<bigint>")).otherwise(
         F.transform(F.split("__b", SPACE_CLASS), lambda x: F.xxhash64(x))))
-    steps = steps.withColumn("__l", F.filter(F.split("__b", "\n"), lambda x: F.btrim(x, spaces) != ""))
+    steps = steps.withColumn("__l", F.filter(F.split("__t", "\n"), lambda x: F.btrim(x, spaces) != ""))
     steps = steps.withColumn("__2", F.expr("transform(__w, (x, i) -> xxhash64(x, get(__w, i + 1)))"))
     last = WINDOW_WORDS - 1
     steps = steps.withColumn("__h", F.when(F.size("__w") > last, F.slice(F.expr(
@@ -196,6 +196,12 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float
     The texts are read twice, once to count votes and once to judge, so that no second copy of
     them is written. Nothing but vote patterns is shuffled.
     """
-    model = fit(counts(docs.select("text")), rules)
+    # A generator between the counts and the filter keeps the optimizer from working out every
+    # count anew wherever the filter names it.
+    model = fit(_fenced(counts(docs.select("text")), "q"), rules)
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
-    return counts(inner).where(_verdict(model, rules, threshold)["kept"]).select("__row.*")
+    return _fenced(counts(inner), "__row", "q").where(_verdict(model, rules, threshold)["kept"]).select("__row.*")
+
+
+def _fenced(counted: DataFrame, *columns: str) -> DataFrame:
+    return counted.select(*[c for c in columns if c != "q"], F.explode(F.array("q")).alias("q"))
