@@ -305,10 +305,10 @@ def format_value(spark, sf):
 @query("numeric_tokens", """
 SELECT doc_id, array_to_string(list_transform(regexp_extract_all(replace(replace(text, '$', ' '), '%', ' '), '\\(?[0-9][0-9,]*\\.[0-9]+\\)?'),
   lambda t: CAST(CAST(round(CAST(replace(replace(replace(t, '(', ''), ')', ''), ',', '') AS DOUBLE) * 100, 0) * CASE WHEN t LIKE '(%' THEN -1 ELSE 1 END AS BIGINT) AS VARCHAR)), ' ') AS tokens
-FROM documents WHERE regexp_matches(text, '[0-9]\\.[0-9]')
+FROM documents
 """)
 def numeric_tokens(spark, sf):
-    d = v.table(spark, sf, "documents").where(F.col("text").rlike(r"[0-9]\.[0-9]"))
+    d = v.table(spark, sf, "documents")
     tokens = F.transform(tx.numeric_tokens(F.array("text")), lambda x: F.round(x * 100, 0).cast("bigint").cast("string"))
     return d.select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
@@ -333,14 +333,28 @@ def percent_token(spark, sf):
 
 # ------------------------------------------------------------------ corpus text
 
+# Quotes of every length: the passages whole, and their first one, two and three words.
+fragment("quotes_asked", """
+SELECT item_id * 10 + k AS item_id, CASE k WHEN 0 THEN text ELSE array_to_string(string_split(text, ' ')[1:k], ' ') END AS text
+FROM benchmark, (VALUES (0), (1), (2), (3)) t(k)
+""")
+
+
+def quotes_asked(spark, sf):
+    words = F.split("text", " ")
+    return v.table(spark, sf, "benchmark").select("item_id", "text", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k")).select(
+        (F.col("item_id") * 10 + F.col("k")).alias("item_id"),
+        F.when(F.col("k") == 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("k"), F.lit(1))), " ")).alias("text"))
+
+
 @query("quote_verify", """
 SELECT d.doc_id, b.item_id FROM
   (SELECT doc_id, lower(trim(regexp_replace(replace(replace(replace(replace(replace(text, '’', ''''), '“', '"'), '”', '"'), '–', '-'), '—', '-'), '[\\s ]+', ' ', 'g'))) AS t FROM documents) d,
-  (SELECT item_id, lower(trim(regexp_replace(replace(replace(replace(replace(replace(text, '’', ''''), '“', '"'), '”', '"'), '–', '-'), '—', '-'), '[\\s ]+', ' ', 'g'))) AS q FROM benchmark) b
+  (SELECT item_id, lower(trim(regexp_replace(replace(replace(replace(replace(replace(text, '’', ''''), '“', '"'), '”', '"'), '–', '-'), '—', '-'), '[\\s ]+', ' ', 'g'))) AS q FROM quotes_asked) b
 WHERE contains(d.t, b.q)
 """)
 def quote_verify(spark, sf):
-    return prose.locate_quotes(v.table(spark, sf, "benchmark"), v.table(spark, sf, "documents"), "item_id", "doc_id")
+    return prose.locate_quotes(quotes_asked(spark, sf), v.table(spark, sf, "documents"), "item_id", "doc_id")
 
 
 @query("phrase_structure", """
@@ -386,6 +400,28 @@ def declared_extract_pages(spark, sf):
     return out.select("page_id", "metric", "value")
 
 
+@query("declared_first_stops", """
+SELECT doc_id, 'late_mail' AS metric, CAST(regexp_extract(substr(text, position('mail' IN lower(text)), 12), '(?i)mail([0-9]+)\\.', 1) AS DOUBLE) AS value
+FROM documents WHERE regexp_matches(substr(text, position('mail' IN lower(text)), 12), '(?i)mail[0-9]+\\.')
+""")
+def declared_first_stops(spark, sf):
+    """Only the first place of the phrase counts, and little text behind it."""
+    spec = MetricSpec("late_mail", unit="count", anchors=("mail",), patterns=(r"mail([0-9]+)\.",))
+    out = prose.declared_metrics(v.table(spark, sf, "documents"), [spec], ["doc_id"], stops=1, before=0, after=12)
+    return out.select("doc_id", "metric", "value")
+
+
+@query("declared_by_type", """
+SELECT doc_id, 'mail_domain' AS metric, CAST(regexp_extract(text, '(?i)@mail([0-9]+)\\.example', 1) AS DOUBLE) AS value FROM documents
+WHERE lang IN ('de', 'fr') AND regexp_matches(text, '(?i)@mail[0-9]+\\.example')
+""")
+def declared_by_type(spark, sf):
+    """A metric of some entity types is read in documents of those types only."""
+    spec = MetricSpec("mail_domain", unit="count", anchors=("@mail",), patterns=(r"@mail([0-9]+)\.example",), entity_types=("de", "fr"))
+    docs = v.table(spark, sf, "documents")
+    return prose.declared_metrics(docs, [spec], ["doc_id"], entity_type=docs["lang"]).select("doc_id", "metric", "value")
+
+
 @query("first_distinct", """
 SELECT user_id, event_type, value, event_id FROM (SELECT user_id, event_type, floor(value / 10) AS value, event_id,
   row_number() OVER (PARTITION BY user_id, event_type, floor(value / 10) ORDER BY event_id) AS k FROM events) WHERE k = 1
@@ -396,26 +432,38 @@ def first_distinct(spark, sf):
 
 
 def fee_docs(spark, sf):
+    """One or two statements per text; in every second text that states two they come in reverse."""
     o = orders(spark, sf)
-    k = F.col("o_orderkey")
+    k, kind = F.col("o_orderkey"), F.col("o_orderkey") % 7
     a = F.format_string("%.2f", (k % 300 + 50) / 100)
+    now = join_text("Its management fee is calculated at an annual rate of ", a, "% on all holdings.")
+    was = F.lit("Prior to May 1, 2019, the <i>Management</i> Fee fell due each month at an annual rate of 4.75% of average net assets.")
+    gap = F.repeat(F.lit("Nothing further is said here. "), F.lit(130))
+    year = join_text("an annualized hurdle rate of ", a, "% applies")
+    quarter = join_text("the hurdle rate of ", a, "% per quarter applies")
     body = (
-        F.when(k % 5 == 0, join_text("Prior to April 1, 2020, the <b>Management</b> Fee was calculated and payable monthly in arrears at the annual rate of ",
-                                     a, "% of the month-end value of the Fund's Net Assets."))
-        .when(k % 5 == 1, join_text("Terms formerly differed. The base management fee is calculated at an annual rate of ", a, "% of Managed Assets."))
-        .when(k % 5 == 2, join_text("subject to a hurdle rate of ", a, "% quarterly, which is the same"))
-        .when(k % 5 == 3, join_text("equal to 9.99% per quarter, or an annualized hurdle&nbsp;rate of ", a, "%, subject to a catch-up"))
-        .otherwise(join_text("for example there is a ", a, "% incentive fee on pre-incentive fee net investment income"))
+        F.when(kind == 0, join_text("Prior to May 1, 2019, the <i>Management</i> Fee fell due each month at an annual rate of ", a, "% on the balance."))
+        .when(kind == 1, join_text("Other terms formerly held. ", now))
+        .when(kind == 2, join_text("above a hurdle rate of ", a, "% quarterly, as before"))
+        .when(kind == 3, join_text("or 9.99% per quarter, so an annualized hurdle&nbsp;rate of ", a, "%, and a catch-up"))
+        .when(kind == 4, join_text("as an example there is a ", a, "% incentive fee on pre-incentive fee income"))
+        .when(kind == 5, F.when(k % 2 == 0, join_text(now, " ", was)).otherwise(join_text(was, " ", now)))
+        .otherwise(F.when(k % 2 == 0, join_text(year, ". ", gap, quarter)).otherwise(join_text(quarter, ". ", gap, year)))
     )
-    return o.select("o_orderkey", join_text("Intro text with no figures. ", body).alias("text"))
+    return o.select("o_orderkey", join_text("An opening without figures. ", body).alias("text"))
 
 
 @query("rule_extract", """
-SELECT o_orderkey, CASE WHEN k < 2 THEN 'management_fee_pct' WHEN k < 4 THEN 'incentive_hurdle_pct' ELSE 'incentive_fee_pct' END AS metric,
-  round(CASE WHEN k = 2 THEN a * 4 ELSE a END, 6) AS value,
-  CASE WHEN k = 0 THEN 'superseded_rate' WHEN k = 4 THEN 'rate_from_worked_example' || CASE WHEN a < 5 THEN ';implausible_incentive_fee_rate' ELSE '' END ELSE '' END AS flags,
-  CASE WHEN k = 0 THEN DATE '2020-04-01' END AS effective_until
-FROM (SELECT o_orderkey, o_orderkey % 5 AS k, (o_orderkey % 300 + 50) / 100 AS a FROM orders)
+SELECT o_orderkey, metric, value, flags, effective_until FROM (
+  SELECT o_orderkey, CASE WHEN k IN (0, 1, 5) THEN 'management_fee_pct' WHEN k IN (2, 3, 6) THEN 'incentive_hurdle_pct' ELSE 'incentive_fee_pct' END AS metric,
+    round(CASE WHEN k = 2 THEN a * 4 ELSE a END, 6) AS value,
+    CASE WHEN k = 0 THEN 'superseded_rate' WHEN k = 4 THEN 'rate_from_worked_example' || CASE WHEN a < 5 THEN ';implausible_incentive_fee_rate' ELSE '' END ELSE '' END AS flags,
+    CASE WHEN k = 0 THEN DATE '2019-05-01' END AS effective_until
+  FROM (SELECT o_orderkey, o_orderkey % 7 AS k, (o_orderkey % 300 + 50) / 100 AS a FROM orders)
+  UNION ALL
+  SELECT o_orderkey, 'management_fee_pct', 4.75, 'superseded_rate', DATE '2019-05-01' FROM orders WHERE o_orderkey % 7 = 5
+  UNION ALL
+  SELECT o_orderkey, 'incentive_hurdle_pct', round((o_orderkey % 300 + 50) / 100 * 4, 6), '', NULL FROM orders WHERE o_orderkey % 7 = 6)
 """)
 def rule_extract(spark, sf):
     return prose.fee_prose(fee_docs(spark, sf), ["o_orderkey"]).select(
@@ -433,7 +481,7 @@ def superseded_pairs(spark, sf):
     o = orders(spark, sf)
     old = F.format_string("%.2f", (F.col("o_orderkey") % 300 + 150) / 100)
     when = F.when(F.col("o_orderkey") % 2 == 0, F.lit("effective as of July 1, 2024, ")).otherwise(F.lit(""))
-    docs = o.select("o_orderkey", join_text("On August 3, 2023, ", when, "the base management fee rate was reduced from ", old, "% to 1.0%.").alias("text"))
+    docs = o.select("o_orderkey", join_text("The board met on May 9, 2024; ", when, "the management fee rate was reduced from ", old, "% to 1.0%.").alias("text"))
     return prose.superseded_pairs(docs, ["o_orderkey"]).select(
         "o_orderkey", "metric", "value", F.array_join("flags", ";").alias("flags"), "effective_from", "effective_until")
 

@@ -158,7 +158,9 @@ def class_candidates(tables: DataFrame, entities: DataFrame) -> DataFrame:
     )
     # Year-keyed values: position settles a repeated year (stub columns).
     navs = F.expr("filter(transform(t.years, (y, i) -> struct(y, -i as p, get(t.nav_end, i) as v)), x -> x.v is not null)")
-    rets = F.expr("reverse(sort_array(filter(transform(a.years, (y, i) -> struct(y, -i as p, get(a.total_return, i) as v)), x -> x.v is not null)))")
+    # One return per fiscal year: of a year stated twice the later column.
+    rets = F.expr("transform(array(reverse(sort_array(filter(transform(a.years, (y, i) -> struct(y, i as p, get(a.total_return, i) as v)), "
+                  "x -> x.v is not null)))), s -> filter(s, (x, k) -> k = 0 or x.y <> get(s, k - 1).y))[0]")
     divs = F.expr("filter(transform(a.years, (y, i) -> struct(y, -i as p, get(a.dividends, i) as v)), x -> x.v is not null)")
     base = picked.withColumns({"_navs": navs, "_rets": rets, "_divs": divs}).withColumns({
         "_top": F.expr("array_max(_navs)"),

@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.functions import text as tx
 from plumbline.metrics import MetricSpec
-from plumbline.sources.prose import first_distinct, phrase_pattern, plain_text, stops_of
+from plumbline.sources.prose import Places, first_distinct, loose, shown
 
-MAX_SCAN = 40_000  # fixed value: how far after its anchor a table may start
 _TABLE = re.compile(r"<table.*?</table>", re.S)
 _ROW = re.compile(r"<tr\b.*?(?=<tr\b|</table>|\Z)", re.S | re.I)
 _CELL = re.compile(r"<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</tr\b|\Z)", re.S | re.I)
@@ -22,7 +21,7 @@ _CELL = re.compile(r"<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</tr\b|\Z)", re.S | re.I)
 def _rows_of(table: str) -> list[list[str]]:
     rows = []
     for row in _ROW.findall(table):
-        cells = [plain_text(c) for c in _CELL.findall(row)]
+        cells = [shown(c) for c in _CELL.findall(row)]
         cells = [c for c in cells if c]
         if cells:
             rows.append(cells)
@@ -30,16 +29,17 @@ def _rows_of(table: str) -> list[list[str]]:
 
 
 def html_tables(
-    docs: DataFrame, keys: Sequence[str], html: str, phrases: Sequence[str], enclosing: bool = False
+    docs: DataFrame, keys: Sequence[str], html: str, phrases: Sequence[str], enclosing: bool = False,
+    within: int | None = None, preamble: int | None = None,
 ) -> DataFrame:
     """Rows of the tables an anchor phrase points at, one row per table row.
 
-    By default an anchor points at the first table starting within 40,000
-    characters after it; with ``enclosing`` at the table it stands in. Each row
-    carries its table's header cells and the text before the table. Documents
-    stay where they are and rows stream out of each partition.
+    By default an anchor points at the first table that starts after it, no further away than
+    ``within`` characters if given; with ``enclosing`` at the table it stands in. Each row
+    carries its table's header cells and the text between the table before and its own, or its
+    last ``preamble`` characters. Documents stay where they are and rows stream out of each
+    partition; a null page has no tables.
     """
-    patterns = [phrase_pattern(p) for p in phrases]
     fields = [docs.schema[k] for k in keys]
     schema = T.StructType(fields + [
         T.StructField("table_no", T.IntegerType()), T.StructField("anchor_pos", T.IntegerType()),
@@ -49,7 +49,7 @@ def html_tables(
     names = schema.names
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        compiled = [re.compile(p, re.I) for p in patterns]
+        places = Places(phrases)
         for batch in batches:
             out = []
             for rec in batch.itertuples(index=False, name=None):
@@ -57,25 +57,26 @@ def html_tables(
                 spans = [m.span() for m in _TABLE.finditer(page)]
                 starts = [s for s, _ in spans]
                 first: dict[int, int] = {}
-                for pos in stops_of(page, compiled, None):
+                for pos in places.of(page):
                     at = bisect_left(starts, pos)
                     if enclosing:
                         at -= 1
                         good = 0 <= at < len(spans) and pos < spans[at][1]
                     else:
-                        good = at < len(spans) and starts[at] - pos <= MAX_SCAN
+                        good = at < len(spans) and (within is None or starts[at] - pos <= within)
                     if good:
                         first.setdefault(at, pos)
                 for at, pos in first.items():
                     begin, end = spans[at]
                     rows = _rows_of(page[begin:end])
-                    before = plain_text(page[max(0, begin - 4000):begin])[-600:]
+                    before = shown(page[spans[at - 1][1] if at else 0:begin])
+                    before = before if preamble is None else before[-preamble:] if preamble else ""
                     for n, cells in enumerate(rows):
                         out.append((*ids, at, pos, n, cells, rows[0], before))
             if out:
                 yield pd.DataFrame(out, columns=names)
 
-    words = "|".join(patterns)
+    words = "|".join(map(loose, phrases))
     near = docs.where(F.contains(F.col(html), F.lit("<table")) & F.col(html).rlike(f"(?iuU){words}"))
     return near.select(*keys, html).mapInPandas(scan, schema)
 
@@ -90,10 +91,10 @@ ROW_NAV, ROW_RETURN = r"^net asset value,? end of", r"^total return"
 ROW_DIVIDENDS = r"^(total )?(dividends|distributions)( and/or distributions)? to shareholders"
 
 
-def fee_tables(docs: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
+def fee_tables(docs: DataFrame, keys: Sequence[str], html: str, within: int | None = None) -> DataFrame:
     """Fee rates of expense tables, and "none charged" where a complete table
     lists a management fee and totals but no incentive fee."""
-    rows = html_tables(docs, keys, html, FEE_ANCHORS).withColumn("label", F.lower(F.col("cells")[0]))
+    rows = html_tables(docs, keys, html, FEE_ANCHORS, within=within).withColumn("label", F.lower(F.col("cells")[0]))
     label = F.col("label")
     metric = F.when(label.rlike("^(management fee|investment management fee|advisory fee)"), F.lit("management_fee_pct")).when(
         label.rlike("^incentive fee"), F.lit("incentive_fee_pct"))
@@ -115,9 +116,9 @@ def fee_tables(docs: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
     return first_distinct(stated.unionByName(whole), [*keys, "metric", "value"], "_at").drop("_at")
 
 
-def return_tables(docs: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
+def return_tables(docs: DataFrame, keys: Sequence[str], html: str, within: int | None = None) -> DataFrame:
     """Stated trailing returns: header text names the period of each column."""
-    rows = html_tables(docs, keys, html, RETURN_ANCHORS).where(F.col("row_no") > 0)
+    rows = html_tables(docs, keys, html, RETURN_ANCHORS, within=within).where(F.col("row_no") > 0)
 
     def period(cell: Column) -> Column:
         return (
@@ -130,7 +131,7 @@ def return_tables(docs: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
     return cells.select(
         *keys, "anchor_pos", "row_no", period(F.col("_h")).alias("metric"),
         tx.percent_token(F.get("cells", F.col("_i"))).alias("value"),
-        F.substring(F.col("cells")[0], 1, 60).alias("share_class"),
+        F.col("cells")[0].alias("share_class"),
     ).where(F.col("metric").isNotNull() & F.col("value").isNotNull())
 
 
@@ -155,7 +156,7 @@ def highlights_from_rows(rows: DataFrame, keys: Sequence[str], specs: Sequence[M
     marked = rows.withColumns({"_label": label, "_v": values, "_y": years, "_c": own, "_w": tx.numeric_tokens(rest, True)})
     is_nav, is_ret = F.col("_label").rlike(ROW_NAV), F.col("_label").rlike(ROW_RETURN)
     is_div = F.col("_label").rlike(ROW_DIVIDENDS) & ~is_nav & ~is_ret & (F.size("_v") > 0)
-    title = (F.col("row_no") < 6) & (F.size("_y") >= 2)
+    title = F.size("_y") >= 2
     pick = lambda cond, how: how(F.when(cond, F.struct("row_no", "_v")))["_v"]
     extra = []
     for s in specs:

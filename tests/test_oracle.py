@@ -16,11 +16,16 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_every_query_of_the_catalog_states_its_sql():
+    from catalog.registry import QUERIES
+
+    assert not set(QUERIES) - set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, con, name):
     df = driver.queries()[name](spark, FOLDER)
     got = [tuple(r) for r in df.collect()]
-    assert name in ORACLES, "every query states its SQL"
     res = con.execute(ORACLES[name])
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
