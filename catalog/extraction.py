@@ -177,21 +177,23 @@ FORM_OF = {"1-URGENT": "10-K", "2-HIGH": "10-Q", "3-MEDIUM": "N-CSR", "4-NOT SPE
 
 
 @query("classify_entities", """
-SELECT c_custkey AS entity, kind AS entity_type, coalesce(strftime(annual, '%m-%d'), '12-31') AS fiscal_year_end,
+SELECT entity, kind AS entity_type, coalesce(strftime(annual, '%m-%d'), '12-31') AS fiscal_year_end,
   kind <> '' AND NOT (kind = 'bdc' AND sic = '7000') AS confident
 FROM (SELECT *, CASE WHEN iv AND NOT op THEN 'interval_fund' WHEN op AND sic = '6798' THEN 'mortgage_reit'
     WHEN op AND NOT iv THEN 'bdc' ELSE '' END AS kind
-  FROM (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN '6798' WHEN 1 THEN '6726' ELSE '7000' END AS sic,
+  FROM (SELECT c.entity, CASE c_custkey % 3 WHEN 0 THEN '6798' WHEN 1 THEN '6726' ELSE '7000' END AS sic,
       coalesce(iv, false) AS iv, coalesce(op, false) AS op, annual
-    FROM customer LEFT JOIN (SELECT entity, bool_or(form IN ('3-MEDIUM', '4-NOT SPECIFIED')) AS iv, bool_or(form IN ('1-URGENT', '2-HIGH')) AS op,
-        max(report_date) FILTER (form IN ('1-URGENT', '3-MEDIUM')) AS annual FROM v_filings WHERE accession % 4 = 0 GROUP BY entity) ON entity = c_custkey))
+    FROM (SELECT c_custkey, c_custkey * 4 + part AS entity FROM customer, (VALUES (0), (1), (2), (3)) t(part)) c
+    LEFT JOIN (SELECT entity * 4 + accession % 4 AS entity, bool_or(form IN ('3-MEDIUM', '4-NOT SPECIFIED')) AS iv, bool_or(form IN ('1-URGENT', '2-HIGH')) AS op,
+        max(report_date) FILTER (form IN ('1-URGENT', '3-MEDIUM')) AS annual FROM v_filings GROUP BY ALL) f ON f.entity = c.entity))
 """)
 def classify_entities(spark, sf):
-    f = v.filings(spark, sf).where(F.col("accession") % 4 == 0)
+    # Four entities per customer, each with a quarter of its filings.
+    f = v.filings(spark, sf).withColumn("entity", F.col("entity") * 4 + F.col("accession") % 4)
     mapped = f.withColumn("form", F.element_at(F.create_map(*[F.lit(x) for kv in FORM_OF.items() for x in kv]), F.col("form")))
     k = F.col("c_custkey") % 3
-    reg = v.table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("entity"), F.when(k == 0, "6798").when(k == 1, "6726").otherwise("7000").alias("sic"),
+    reg = v.table(spark, sf, "customer").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(3)))).select(
+        (F.col("c_custkey") * 4 + F.col("part")).alias("entity"), F.when(k == 0, "6798").when(k == 1, "6726").otherwise("7000").alias("sic"),
         F.lit("1231").alias("registered_fye"))
     return st.classify_entities(mapped, reg).drop("reasons")
 
@@ -237,12 +239,12 @@ def filing_window(spark, sf):
 SELECT c.entity, CASE WHEN c.entity % 2 = 0 AND entity_type = 'interval_fund' AND w.entity IS NOT NULL THEN 'not_yet_filed'
     WHEN c.entity % 2 = 0 THEN 'no_value_found' ELSE 'stale' END AS reason_code,
   CASE WHEN c.entity % 2 = 0 AND entity_type = 'interval_fund' AND w.entity IS NOT NULL THEN "window" ELSE 'none' END AS detail
-FROM customer_entities c LEFT JOIN windows_due w ON w.entity = c.entity AND w.entity % 4 <> 0
+FROM customer_entities c LEFT JOIN windows_due w ON w.entity = c.entity
 """)
 def pending_promotion(spark, sf):
     blank = customer_entities(spark, sf).withColumns({
         "reason_code": F.when(F.col("entity") % 2 == 0, F.lit("no_value_found")).otherwise(F.lit("stale")), "detail": F.lit("none")})
-    due = st.filing_windows(v.filings(spark, sf), fiscal_customers(spark, sf), v.ref()).where(F.col("entity") % 4 != 0)
+    due = st.filing_windows(v.filings(spark, sf), fiscal_customers(spark, sf), v.ref())
     return reports.promote_pending(blank, due).drop("entity_type")
 
 

@@ -245,15 +245,17 @@ SELECT entity, "end", round(nav, 4) AS nav_per_share, source FROM (
   SELECT entity, "end", CASE WHEN states THEN p ELSE e / s END AS nav, CASE WHEN states THEN form ELSE 'book value' END AS source
   FROM (SELECT entity, "end", max(val) FILTER (tag = '1-URGENT') AS p, max(form) FILTER (tag = '1-URGENT') AS form,
       max(val) FILTER (tag = '2-HIGH') AS e, max(val) FILTER (tag = '3-MEDIUM') AS s FROM (
-    SELECT *, row_number() OVER (PARTITION BY entity, tag, "end" ORDER BY filed DESC, ord DESC) AS k FROM nation_facts
-    WHERE "end" <= DATE '2000-12-31' AND (tag <> '1-URGENT' OR entity % 2 = 0)) WHERE k = 1 GROUP BY entity, "end")
+    SELECT *, row_number() OVER (PARTITION BY entity, tag, "end" ORDER BY filed DESC, ord DESC) AS k
+    FROM (SELECT * REPLACE (CASE WHEN tag = '1-URGENT' AND entity % 2 = 1 THEN 'unlisted' ELSE tag END AS tag) FROM nation_facts)
+    WHERE "end" <= DATE '2000-12-31') WHERE k = 1 GROUP BY entity, "end")
   JOIN (SELECT c_nationkey AS entity, c_nationkey % 2 = 0 AS states FROM customer GROUP BY c_nationkey) USING (entity))
 WHERE nav IS NOT NULL AND "end" >= DATE '1998-12-31'
   AND CASE entity % 3 WHEN 0 THEN month("end") IN (12, 6) ELSE month("end") IN (9, 3) END
 """)
 def trend(spark, sf):
-    # Odd nations state no price, so they fall back to book value.
-    facts = nation_facts(spark, sf).where((F.col("tag") != "1-URGENT") | (F.col("entity") % 2 == 0))
+    # Odd nations state their price under a tag nobody asks for, so they fall back to book value.
+    facts = nation_facts(spark, sf).withColumn("tag", F.when(
+        (F.col("tag") == "1-URGENT") & (F.col("entity") % 2 == 1), F.lit("unlisted")).otherwise(F.col("tag")))
     out = reports.price_trend(facts, nation_entities(spark, sf), v.ref(), "1-URGENT", "2-HIGH", "3-MEDIUM")
     return out.select("entity", "end", F.round("nav_per_share", 4).alias("nav_per_share"), "source")
 

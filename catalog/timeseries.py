@@ -243,12 +243,13 @@ GROUP BY s.entity, s."end", s.nav, s.prev_end, s.prev_nav
 """)
 
 
-# A sparser series whose steps span whole quarters, so flows fall inside them.
+# Three sparser series per nation, by month of the quarter: steps span whole quarters, and the
+# flows fall inside those of the series that keeps the nation's number.
 def half_year_nav(spark, sf):
-    return nav_series(spark, sf).where(F.month("end").isin(3, 6, 9, 12))
+    return nav_series(spark, sf).withColumn("entity", F.col("entity") + 100 * (F.month("end") % 3))
 
 
-fragment("qnav", """SELECT * FROM v_nav WHERE "end" <= DATE '2000-12-31' AND month("end") IN (3, 6, 9, 12)""")
+fragment("qnav", """SELECT CAST(entity + 100 * (month("end") % 3) AS INTEGER) AS entity, "end", nav FROM v_nav WHERE "end" <= DATE '2000-12-31'""")
 fragment("qsteps", """
 SELECT * FROM (SELECT entity, "end", nav, lag("end") OVER w AS prev_end, lag(nav) OVER w AS prev_nav FROM qnav
 WINDOW w AS (PARTITION BY entity ORDER BY "end")) WHERE prev_end IS NOT NULL
@@ -286,14 +287,15 @@ def period_return(spark, sf):
     return out.select("entity", "prev_end", "end", six("period_return").alias("period_return"), "gap_days")
 
 
-# Months 2..5 removed for some nations, so that long gaps exist.
+# Two years of some nations stand as entities of their own, so that long gaps and short runs exist.
 def gappy(spark, sf):
-    late = (F.col("entity") % 3 == 0) & F.year("end").isin(1997, 1998)
-    return nav_series(spark, sf).where(~late)
+    apart = (F.col("entity") % 3 == 0) & F.year("end").isin(1997, 1998)
+    return nav_series(spark, sf).withColumn("entity", F.when(apart, F.col("entity") + 100).otherwise(F.col("entity")))
 
 
 fragment("gappy", """
-SELECT * FROM v_nav WHERE "end" <= DATE '2000-12-31' AND NOT (entity % 3 = 0 AND year("end") IN (1997, 1998))
+SELECT CAST(CASE WHEN entity % 3 = 0 AND year("end") IN (1997, 1998) THEN entity + 100 ELSE entity END AS INTEGER) AS entity, "end", nav
+FROM v_nav WHERE "end" <= DATE '2000-12-31'
 """)
 fragment("runs", """
 SELECT entity, max("end") FILTER (gap IS NULL OR gap > 200) AS run_start, max("end") AS run_end, count(*) AS n_obs
@@ -396,23 +398,19 @@ def series_bands(spark, sf):
                         rt.in_band(F.lit(1.0), F.col("low"), F.col("high")).alias("holds_one"))
 
 
-fragment("class_months", """
-SELECT entity, CASE WHEN entity % 2 = 0 THEN share_class ELSE 'BUILDING' END AS share_class, month_end, ret
-FROM v_returns WHERE month_end <= DATE '2000-12-31' AND (entity % 2 = 0 OR share_class = 'BUILDING')
-""")
-
-
 @query("monthly_trailing", """
 SELECT entity, years, count(*) AS n_series,
   CASE WHEN count(*) = 1 THEN round(max(ret), 5) END AS value,
   CASE WHEN count(*) > 1 THEN 'class_attribution_failed' WHEN max(ret) IS NULL THEN 'insufficient_history' END AS reason,
   CASE WHEN count(*) > 1 AND count(ret) >= 2 THEN round(min(ret), 5) END AS low,
   CASE WHEN count(*) > 1 AND count(ret) >= 2 THEN round(max(ret), 5) END AS high
-FROM chained WHERE entity % 2 = 0 OR share_class = 'BUILDING' GROUP BY entity, years
+FROM (SELECT CASE WHEN entity % 2 = 0 THEN entity ELSE entity * 1000 + ascii(share_class) END AS entity, years, ret FROM chained)
+GROUP BY entity, years
 """)
 def monthly_trailing(spark, sf):
-    rows = monthly(spark, sf).where((F.col("entity") % 2 == 0) | (F.col("share_class") == "BUILDING")).withColumns(
-        {"filed": F.col("month_end"), "ord": F.lit(0)})
+    # Each class of an odd nation is an entity of its own.
+    own = F.when(F.col("entity") % 2 == 0, F.col("entity")).otherwise(F.col("entity") * 1000 + F.ascii("share_class"))
+    rows = monthly(spark, sf).withColumns({"entity": own, "filed": F.col("month_end"), "ord": F.lit(0)})
     out = rt.monthly_trailing(rows)
     return out.select("entity", "years", "n_series", *[F.round(c, 5).alias(c) for c in ("value", "low", "high")], "reason")
 

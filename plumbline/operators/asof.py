@@ -93,8 +93,8 @@ def matched_ratio(facts: DataFrame, numerator: str, denominator: str, anchor: Co
 
 
 def original_filing(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One fact per key: the earliest filed, which is the original."""
-    return first_per_group(facts, keys, ["filed", "ord"])
+    """One fact per key: the earliest filed, which is the original; an undated one only if no other is there."""
+    return first_per_group(facts, keys, [F.coalesce("filed", F.lit("9999-12-31").cast("date")), "ord"])
 
 
 def latest_restatement(facts: DataFrame, keys: Sequence[str]) -> DataFrame:

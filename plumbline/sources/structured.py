@@ -76,6 +76,7 @@ def parse_reports(df: DataFrame, xml: str, keys: Sequence[str]) -> DataFrame:
     """Header, balances and borrowings of one XML report per row.
 
     ``borrowings`` is NULL when no field is reported and 0 when all are zero.
+    Reports that cannot be read are left to ``unreadable_reports``.
     """
     parsed = df.select(*keys, F.from_xml(F.col(xml), REPORT).alias("_x")).select(
         *keys, F.col("_x.formData.genInfo").alias("_g"), F.col("_x.formData.fundInfo").alias("_f"))
@@ -91,6 +92,15 @@ def parse_reports(df: DataFrame, xml: str, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def unreadable_reports(df: DataFrame, xml: str, keys: Sequence[str]) -> DataFrame:
+    """keys and reason of reports that are missing, do not parse, or lack the header or the balances."""
+    parsed = df.select(*keys, F.col(xml).isNull().alias("_none"), F.from_xml(F.col(xml), REPORT).alias("_x"))
+    info, fund = F.col("_x.formData.genInfo").isNull(), F.col("_x.formData.fundInfo").isNull()
+    reason = (F.when(F.col("_none"), F.lit("no_document")).when(info & fund, F.lit("unreadable"))
+              .when(info, F.lit("no_header")).when(fund, F.lit("no_balances")))
+    return parsed.withColumn("reason", reason).where("reason is not null").select(*keys, "reason")
+
+
 def null_aware_sum(*parts: Column) -> Column:
     """Sum of the reported parts; NULL only when none is reported."""
     total = F.lit(0.0)
@@ -159,8 +169,8 @@ INLINE = r"(?s)<ix:nonFraction([^>]*)>(.*?)</ix:nonFraction>"
 def inline_facts(docs: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
     """Consolidated inline facts: tag, date and scaled value, in document order.
 
-    A document joins its facts with its own contexts through a map built in the
-    row, so nothing is shuffled; dimensional contexts are left out.
+    A document joins its facts with its own contexts through a map built once in
+    the row, so nothing is shuffled; dimensional contexts are left out.
     """
     ids = F.regexp_extract_all(html, F.lit(CONTEXT), F.lit(1))
     bodies = F.regexp_extract_all(html, F.lit(CONTEXT), F.lit(2))
@@ -173,17 +183,22 @@ def inline_facts(docs: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
         F.regexp_extract_all(html, F.lit(INLINE), F.lit(1)).alias("attrs"),
         F.regexp_extract_all(html, F.lit(INLINE), F.lit(2)).alias("inner"),
     )
-    rows = contexts.withColumn("_d", dated).select(*keys, "_d", F.posexplode(facts).alias("ord", "_f"))
+    # The last dated definition of an id is the one a fact gets.
+    table = F.expr("""map_from_entries(transform(filter(_d, (c, i) -> c.end is not null and
+        not exists(slice(_d, i + 2, size(_d)), x -> x.cid = c.cid and x.end is not null)), c -> struct(c.cid, c.end)))""")
+    bound = contexts.withColumn("_d", dated).withColumn("_m", table)
+    located = F.transform(facts, lambda f: F.struct(
+        f["attrs"].alias("attrs"), f["inner"].alias("inner"),
+        F.col("_m")[F.regexp_extract(f["attrs"], r'contextRef="([^"]*)"', 1)].alias("end")))
+    rows = bound.select(*keys, F.posexplode(located).alias("ord", "_f")).where("_f.end is not null")
     attr = lambda name: F.regexp_extract(F.col("_f.attrs"), name + r'="([^"]*)"', 1)
     raw = F.replace(F.trim(F.regexp_replace("_f.inner", "<[^>]+>", "")), F.lit(","), F.lit(""))
     typed = rows.select(
-        *keys, "ord", attr("name").alias("tag"), attr("contextRef").alias("_ref"), "_d",
+        *keys, "ord", attr("name").alias("tag"), F.col("_f.end").alias("end"),
         raw.alias("_raw"), F.coalesce(attr("scale").try_cast("int"), F.lit(0)).alias("_scale"), attr("sign").alias("_sign"),
     ).where(F.col("_raw").rlike(r"^-?\d+(\.\d+)?$"))
-    # A repeated context id keeps its last dated definition.
-    found = F.filter("_d", lambda c: (c["cid"] == F.col("_ref")) & c["end"].isNotNull())
     value = F.col("_raw").cast("double") * F.pow(F.lit(10.0), F.col("_scale"))
-    return typed.withColumn("end", F.try_element_at(found, F.lit(-1))["end"]).where(F.col("end").isNotNull()).select(
+    return typed.select(
         *keys, "ord", "tag", "end", F.when(F.col("_sign") == "-", -value).otherwise(value).alias("val"))
 
 
