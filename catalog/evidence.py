@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from catalog import views as v
-from catalog.registry import fragment, query
+from catalog.registry import fragment, query, variant
 from plumbline import rules
 from plumbline.functions import scoring, text
 from plumbline.operators import eligibility, groups, resolve as rs
@@ -161,21 +161,6 @@ def reconcile(spark, sf):
     )
 
 
-@query("reconcile_hot_keys", """
-SELECT entity, metric, round(value, 6) AS value, confidence, round(final_score, 6) AS score, reason,
-  as_of, tier, accession, n_agree, n_disagree, n_clusters, n_bases, n_candidates, round(span / abs(CASE WHEN mid = 0 THEN 1.0 ELSE mid END) * 100, 5) AS spread_pct
-FROM resolved LEFT JOIN conflict_mid USING (anchor, entity, metric) WHERE anchor = DATE '2000-12-31'
-""")
-def reconcile_hot_keys(spark, sf):
-    """The staged path that oversized keys take, applied to every key above 12 rows."""
-    out = rs.resolve(eligible_candidates(spark, sf), v.entities(spark, sf), v.metrics(spark), v.ref(), key_limit=12)
-    return out.select(
-        "entity", "metric", six("value").alias("value"), "confidence", six("score").alias("score"),
-        "reason", "as_of", "tier", "accession", "n_agree", "n_disagree", "n_clusters", "n_bases", "n_candidates",
-        F.round("spread_pct", 5).alias("spread_pct"),
-    )
-
-
 # ------------------------------------------------------------ filters, notices
 
 @query("anchor_filter", """
@@ -575,3 +560,41 @@ def union_sources(spark, sf):
     return both.groupBy(F.shiftrightunsigned("ord", 56).cast("int").alias("source"), "entity").agg(
         F.count(F.lit(1)).alias("n"), F.min("as_of").alias("first_as_of"),
         F.count_if(F.size("flags") == 0).alias("unflagged"))
+
+
+# A third of all rows under one key, and every 41st order without a number.
+fragment("hot_v_candidates", """
+SELECT * REPLACE (CASE WHEN CAST(accession AS BIGINT) % 3 = 0 THEN 'S1' ELSE entity END AS entity,
+  CASE WHEN CAST(accession AS BIGINT) % 3 = 0 THEN 'm4' ELSE metric END AS metric,
+  CASE WHEN CAST(accession AS BIGINT) % 3 = 0 THEN 4 ELSE mno END AS mno,
+  CASE WHEN CAST(accession AS BIGINT) % 3 = 0 THEN 'ratio' ELSE unit END AS unit)
+FROM v_candidates WHERE CAST(accession AS BIGINT) % 41 <> 0
+""")
+
+
+def hot_candidates(spark, sf):
+    number = F.col("accession").cast("bigint")
+    hot = number % 3 == 0
+    pick = lambda name, value: F.when(hot, F.lit(value)).otherwise(F.col(name))
+    value = F.when(number % 82 == 0, F.lit(float("nan"))).when(number % 41 != 0, F.col("value"))
+    return v.candidates(spark, sf).withColumns({
+        "entity": pick("entity", "S1"), "metric": pick("metric", "m4"), "unit": pick("unit", "ratio"), "value": value})
+
+
+variant("hot_", "v_candidates", "resolved")
+variant("hot_", "v_candidates", "conflict_mid")
+
+
+@query("reconcile_hot_keys", """
+SELECT entity, metric, round(value, 6) AS value, confidence, round(final_score, 6) AS score, reason,
+  as_of, tier, accession, n_agree, n_disagree, n_clusters, n_bases, n_candidates, round(span / abs(CASE WHEN mid = 0 THEN 1.0 ELSE mid END) * 100, 5) AS spread_pct
+FROM hot_resolved LEFT JOIN hot_conflict_mid USING (anchor, entity, metric) WHERE anchor = DATE '2000-12-31'
+""")
+def reconcile_hot_keys(spark, sf):
+    cands = eligibility.eligible(hot_candidates(spark, sf), v.ref())
+    out = rs.resolve(cands, v.entities(spark, sf), v.metrics(spark), v.ref())
+    return out.select(
+        "entity", "metric", six("value").alias("value"), "confidence", six("score").alias("score"),
+        "reason", "as_of", "tier", "accession", "n_agree", "n_disagree", "n_clusters", "n_bases", "n_candidates",
+        F.round("spread_pct", 5).alias("spread_pct"),
+    )

@@ -17,6 +17,24 @@ def fragment(name: str, sql: str) -> None:
     FRAGMENTS[name] = sql
 
 
+def variant(prefix: str, root: str, target: str) -> None:
+    """Copies, under prefixed names, of the fragments that lead from ``root`` to ``target``.
+
+    The prefixed root itself is stated by the caller.
+    """
+    above: set[str] = {root}
+    while True:
+        more = {n for n, sql in FRAGMENTS.items() if n not in above and above & set(_WORD.findall(sql))}
+        if not more:
+            break
+        above |= more
+    needed = [n for n in _ordered(FRAGMENTS[target]) + [target] if n in above]
+    for name in needed:
+        if name != root:
+            FRAGMENTS[prefix + name] = _WORD.sub(
+                lambda w: prefix + w.group() if w.group() in needed else w.group(), FRAGMENTS[name])
+
+
 def _ordered(sql: str) -> list[str]:
     out: list[str] = []
 

@@ -46,18 +46,28 @@ def excluded_notices(cands: DataFrame, keys: Sequence[str], anchor: Column) -> D
     return out.select(
         *keys,
         F.lit("no_candidate").alias("reason"),
-        F.concat(F.lit("no figure covering a period on or before the "), when,
-                 F.lit(" reporting quarter")).alias("detail"),
+        F.concat(F.lit("every figure found is for a later period than "), when).alias("detail"),
         "as_of",
         F.concat(
             F.col("n_excluded").cast("string"),
-            F.lit(" candidate(s) found but every reporting period closes after the anchor (earliest "),
-            F.coalesce(F.col("as_of").cast("string"), F.lit("None")), F.lit(")"),
+            F.lit(" left out as too late; the first period ends "),
+            F.coalesce(F.col("as_of").cast("string"), F.lit("on an unknown day")),
         ).alias("internal_note"),
         "n_excluded",
     )
 
 
+def unusable_notices(cands: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A notice for every key none of whose rows carries a number, with their count."""
+    number = F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double"))
+    out = cands.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_excluded"), F.count_if(number).alias("_good"), F.max(covers()).alias("as_of"))
+    return out.where("_good = 0").select(
+        *keys, F.lit("no_candidate").alias("reason"),
+        F.concat(F.col("n_excluded").cast("string"), F.lit(" source(s) state no usable number")).alias("detail"),
+        "as_of", "n_excluded")
+
+
 def first_notices(notices: DataFrame, keys: Sequence[str], ord_col: str = "ord") -> DataFrame:
     """The earliest notice per key: sources report their specific diagnosis first."""
     return first_per_group(notices, keys, [ord_col])
@@ -73,7 +83,7 @@ def with_notices(grid: DataFrame, notices: DataFrame, keys: Sequence[str]) -> Da
 
 def flag_ranges(cands: DataFrame, metrics: DataFrame) -> DataFrame:
     """Mark, never drop, values outside the plausible range of their metric."""
-    dim = F.broadcast(metrics.select("metric", "low", "high"))
+    dim = metrics.select("metric", "low", "high")
     outside = scoring.out_of_range(F.col("value"), F.col("low"), F.col("high"))
     flags = scoring.add_flag(F.col("flags"), rules.OUT_OF_RANGE_FLAG, outside)
     return cands.join(dim, "metric", "left").withColumn("flags", flags).drop("low", "high")

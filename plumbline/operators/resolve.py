@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import rules
 from plumbline.functions import scoring, text
-from plumbline.operators.cluster import FOLD_LIMIT, cluster_leaders, cluster_number, leaders_sql
+from plumbline.operators.cluster import FOLD_LIMIT, cluster_leaders, cluster_number
 from plumbline.operators.groups import order_statistics
 from plumbline.session import durable
 
@@ -47,7 +47,7 @@ def evidence(cands: DataFrame, metrics: DataFrame, ref: Column) -> DataFrame:
 
     ``metrics`` is the metric registry: metric, low, high, preferences.
     """
-    dim = F.broadcast(metrics.select("metric", "low", "high"))
+    dim = metrics.select("metric", "low", "high")
     flags = scoring.add_flag(
         F.col("flags"), rules.OUT_OF_RANGE_FLAG,
         scoring.out_of_range(F.col("value"), F.col("low"), F.col("high")),
@@ -72,7 +72,7 @@ def evidence(cands: DataFrame, metrics: DataFrame, ref: Column) -> DataFrame:
 
 def keyed_by_basis(ev: DataFrame, metrics: DataFrame) -> DataFrame:
     """Evidence rows with the canonical basis key and its preference rank."""
-    dim = F.broadcast(metrics.select("metric", "preferences"))
+    dim = metrics.select("metric", "preferences")
     return ev.join(dim, "metric", "left").withColumns({
         "basis_key": text.basis_key(F.col("basis")),
         "pref_rank": _preference_rank(F.col("basis"), F.col("preferences")),
@@ -218,9 +218,8 @@ def _detail() -> Column:
         F.when(F.size("flags") > 0, F.array_join("flags", "; ")).otherwise(F.lit("insufficient evidence")),
     )
     return (
-        F.when(F.col("reason") == "basis_disqualified", F.lit(
-            "the filer reports no borrowings while carrying material total liabilities, "
-            "so its regulatory basis measures nothing; the economic row carries this filer's leverage"))
+        F.when(F.col("reason") == "basis_disqualified", F.concat(
+            F.lit("all figures on this basis are ruled out: "), F.array_join("flags", "; ")))
         .when(F.col("reason") == "stale_beyond_limit", text.stale_detail(
             F.col("form"), F.col("period_end"), F.col("as_of"), F.col("filing_date"),
             F.col("terms_clock"), F.col("ref")))
@@ -228,83 +227,6 @@ def _detail() -> Column:
     )
 
 
-# A key with at most this many candidates is settled inside one row; a larger
-# one goes through the staged aggregates above.
-KEY_LIMIT = 5_000
-
-_SLIM = ["ord", "value", "unit", "tier", "tier_score", "observation", "measures", "disqualified", "dated_out",
-         "n_flags", "as_of_day", "share_class", "flags", "as_of", "terms_clock",
-         "form", "accession", "filing_date", "period_end", "locator", "basis"]
-
-
-def settle_in_row(ev: DataFrame, entities: DataFrame, metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same decision for keys of bounded size: one shuffle, then arrays.
-
-    Every key becomes one row holding its candidates in source order, and each
-    step below is an expression over that array. Ordered structs put what
-    decides first, so ``array_min`` is the pick.
-    """
-    slim = [c for c in _SLIM if c in ev.columns]
-    # Maps cannot be sorted; the basis travels as its sorted entries.
-    grouped = (
-        ev.withColumn("basis", F.sort_array(F.map_entries("basis")))
-        .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*slim))).alias("c"), F.max("ref").alias("ref"))
-        .join(F.broadcast(metrics.select("metric", "preferences")), "metric", "left")
-        .join(entities.select("entity", "institutional_class"), "entity", "left")
-    )
-    label = "lower(regexp_replace({}, '(?U)\\\\s+', ''))"
-    have, want = label.format("g[0].share_class"), label.format("coalesce(institutional_class, '')")
-    steps = [
-        ("groups", "transform(array_distinct(c.basis), k -> filter(c, x -> x.basis = k))"),
-        ("p", f"""array_min(transform(groups, g -> struct(
-            case when {want} = '' or {have} = {want} then 0 when {have} in ('', 'unstated') then 1 else 2 end as a,
-            coalesce(nullif(array_position(transform(preferences,
-                q -> exists(g[0].basis, e -> e.key = q.key and e.value = q.val)), true), 0),
-                size(preferences) + 1, 1) as b, -array_max(g.tier_score) as d, g[0].ord as e,
-            forall(g, x -> x.disqualified) as all_disqualified, forall(g, x -> x.dated_out) as all_dated_out,
-            g as members)))"""),
-        ("pf", "filter(p.members, x -> not x.dated_out or p.all_dated_out or p.all_disqualified)"),
-        ("leaders", leaders_sql("array_distinct(pf.value)", "array_max(pf.unit)")),
-        ("numbered", "transform(pf, x -> struct(size(filter(leaders, l -> l <= x.value)) as cluster, x as r))"),
-        ("parts", "transform(sequence(1, size(leaders)), k -> transform(filter(numbered, x -> x.cluster = k), x -> x.r))"),
-        ("w", """array_min(transform(parts, (g, i) -> struct(
-            not exists(g, x -> x.measures) as a, -size(array_distinct(g.observation)) as neg_independents,
-            array_min(g.n_flags) as b, -array_max(g.tier_score) as d, -array_max(g.as_of_day) as e,
-            i + 1 as cluster, g as members)))"""),
-        ("best", """array_min(transform(w.members, x ->
-            struct(x.n_flags, -x.tier_score as t, -x.as_of_day as d, x.value, x.ord, x as r))).r"""),
-        ("others", "filter(pf, x -> x.measures and x.observation <> best.observation)"),
-        ("n_agree", "cast(size(filter(others, x -> "
-         + scoring.agree_sql("best.value", "x.value", "best.unit") + ")) as bigint)"),
-    ]
-    steps += [
-        ("losing", "filter(numbered, x -> x.cluster <> w.cluster).r"),
-        ("contested", "sort_array(concat(array(best.value), losing.value))"),
-        ("mid", "contested[size(contested) div 2]"),
-    ]
-    for name, sql in steps:
-        grouped = grouped.withColumn(name, F.expr(sql))
-    inner = ("measures", "disqualified", "dated_out", "share_class", "as_of_day")
-    payload = ["map_from_entries(best.basis) as basis" if c == "basis" else f"best.{c} as {c}"
-               for c in slim if c not in inner]
-    fields = [
-        *payload, "array_join(transform(best.basis, e -> concat(e.key, '=', e.value)), '|') as basis_key",
-        "w.cluster as cluster", "cast(-w.neg_independents as bigint) as independents",
-        "array_min(transform(pf, x -> struct(x.n_flags, -x.tier_score as t, x.ord, x.as_of))).as_of as plain_as_of",
-        "cast(size(leaders) as bigint) as n_clusters", "ref as ref", "p.all_disqualified as all_disqualified",
-        "n_agree as n_agree", "cast(size(others) as bigint) - n_agree as n_disagree",
-        "cast(size(groups) as bigint) as n_bases", "cast(size(c) as bigint) as n_candidates",
-        "cast(size(losing) as bigint) as losing_rows",
-        """aggregate(parts, 0L, (n, g) -> n + size(array_distinct(g.observation))) + w.neg_independents
-           as losing_independents""",
-        """if(size(losing) > 0, (array_max(contested) - array_min(contested)) / abs(if(mid = 0, 1D, mid)) * 100, null)
-           as spread_pct""",
-    ]
-    # The generator keeps later filters from being copied into the steps above,
-    # where every reference would repeat the whole chain.
-    return grouped.select(*keys, F.expr(f"inline(array(struct({', '.join(fields)})))"))
-
-
 @dataclass
 class Stages:
     """The staged reconciliation, each step a lazy DataFrame."""
@@ -332,7 +254,7 @@ def stages(
 def settle_in_stages(
     ev: DataFrame, entities: DataFrame, metrics: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT
 ) -> DataFrame:
-    """The staged decision for large keys, each narrow stage written once.
+    """The decision in stages, each narrow one written once.
 
     The tables with one row per key or cluster are read back with their real
     size, so Spark broadcasts them when they are small and the candidate rows of
@@ -386,40 +308,28 @@ def decide(settled: DataFrame) -> DataFrame:
     }).drop("ord", "plain_as_of")
 
 
+def usable(cands: DataFrame) -> DataFrame:
+    """Candidates that carry a number; ``eligibility.unusable_notices`` accounts for the others."""
+    return cands.where(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
+
+
 def resolve(
     cands: DataFrame,
     entities: DataFrame,
     metrics: DataFrame,
     ref: Column,
     keys: Sequence[str] = ("entity", "metric"),
-    key_limit: int | None = KEY_LIMIT,
     fold_limit: int | None = FOLD_LIMIT,
 ) -> DataFrame:
     """Reconcile eligible candidates; precedence disqualified, stale, weak.
 
-    One counting job finds keys with more than ``key_limit`` candidates. They
-    take the staged path; all others are settled in one shuffle. Pass
-    ``key_limit=None`` only when the caller knows that no key is larger.
+    Every key takes the same way: aggregates that combine before each shuffle and
+    key joins that Spark can split, so it does not matter how many candidates a
+    key has. Rows whose value is NULL or NaN take no part, and a key that has no
+    other rows gives none.
     """
-    keys = list(keys)
-
-    def bounded(rows: DataFrame) -> DataFrame:
-        # Shuffle the plain rows first: gathering them into arrays before the
-        # exchange would sort and serialise without reducing anything.
-        spread = rows.repartition(*keys)
-        return settle_in_row(evidence(spread, metrics, ref), entities, metrics, keys)
-
-    if key_limit is None:
-        return decide(bounded(cands))
-    sizes = cands.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.where(F.col("_n") > key_limit).drop("_n")
-    if large.isEmpty():
-        return decide(bounded(cands))
-    large = durable(large)
-    small = bounded(cands.join(large, keys, "left_anti"))
-    rest = evidence(cands.join(large, keys, "left_semi"), metrics, ref)
-    staged = settle_in_stages(rest, entities, metrics, keys, fold_limit)
-    return decide(small.unionByName(staged.select(*small.columns)))
+    ev = evidence(usable(cands), metrics, ref)
+    return decide(settle_in_stages(ev, entities, metrics, list(keys), fold_limit))
 
 
 def alternatives(ev: DataFrame, primary: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from plumbline import rules
 from plumbline.metrics import MetricSpec, metric_frame
 from plumbline.operators import eligibility
-from plumbline.operators.resolve import KEY_LIMIT, resolve
+from plumbline.operators.resolve import resolve
 
 RESULT = ["value", "chosen_value", "unit", "confidence", "score", "reason", "detail", "as_of", "tier", "form",
           "accession", "period_end", "locator", "basis", "basis_key", "chosen_ord", "n_agree", "n_disagree",
@@ -25,7 +25,6 @@ def reconcile_grid(
     notices: DataFrame | None = None,
     zero_rule: tuple[str, str] | None = ("incentive_fee_pct", "incentive_hurdle_pct"),
     anchors: Sequence[date] | None = None,
-    key_limit: int | None = KEY_LIMIT,
 ) -> DataFrame:
     """One row per entity and metric: a value, or the reason it is blank.
 
@@ -39,7 +38,7 @@ def reconcile_grid(
     grid = eligibility.dense_grid(entities, specs)
     if anchors is not None:
         grid = eligibility.at_anchors(grid, anchors)
-    found = resolve(cands, entities, metric_frame(spark, specs), ref, keys, key_limit)
+    found = resolve(cands, entities, metric_frame(spark, specs), ref, keys)
     out = grid.join(found.select(*keys, *[c for c in RESULT if c != "unit"]), keys, "left")
     missing = F.col("score").isNull()
     if notices is not None:
@@ -50,8 +49,7 @@ def reconcile_grid(
         out = out.withColumns({"_nr": F.lit(None).cast("string"), "_nd": F.lit(None).cast("string"),
                                "_na": F.lit(None).cast("date")})
     kind = F.replace("entity_type", F.lit("_"), F.lit(" "))
-    beyond = F.concat(F.lit("not reported by a "), kind, F.lit(
-        "; left blank rather than substituted with a near-metric on an incomparable basis"))
+    beyond = F.concat(F.lit("out of scope for a "), kind, F.lit("; nothing similar is put in its place"))
     outside = ~F.col("in_scope")
     out = out.withColumns({
         "reason": F.when(outside, F.lit("not_applicable")).when(
@@ -73,7 +71,7 @@ def reconcile_grid(
     void = (F.col("metric") == hurdle) & F.col("value").isNull() & no_fee.isNotNull()
     return out.withColumn("_void", void).withColumns({
         "reason": F.when(F.col("_void"), F.lit("not_applicable")).otherwise(F.col("reason")),
-        "detail": F.when(F.col("_void"), F.lit("the fund charges no incentive fee, so no hurdle applies"))
+        "detail": F.when(F.col("_void"), F.lit("void, since the fee it belongs to is zero"))
         .otherwise(F.col("detail")),
         "chosen_ord": F.when(~F.col("_void"), F.col("chosen_ord")),
         "score": F.when(F.col("_void"), F.lit(0.0)).otherwise(F.col("score")),
@@ -88,21 +86,23 @@ def benchmark_run(
     anchors: Sequence[date],
     notices: DataFrame | None = None,
     zero_rule: tuple[str, str] | None = ("incentive_fee_pct", "incentive_hurdle_pct"),
-    key_limit: int | None = KEY_LIMIT,
 ) -> DataFrame:
     """The full run for every anchor: eligibility, explanations, reconciliation.
 
     ``notices`` are extraction notices (entity, metric, reason, detail, as_of,
-    ord); they outrank the explanation that all figures postdate the anchor.
+    ord); they outrank the explanations that all figures are for a later period
+    or that none is a number.
     """
     spread = eligibility.at_anchors(cands, anchors)
     keys = ["anchor", "entity", "metric"]
     late = eligibility.excluded_notices(spread, keys, F.col("anchor")).select(
         *keys, "reason", "detail", "as_of", F.lit((1 << 62)).alias("ord"))
-    said = late
+    blank = eligibility.unusable_notices(spread, keys).select(
+        *keys, "reason", "detail", "as_of", F.lit((1 << 62) + 1).alias("ord"))
+    said = late.unionByName(blank)
     if notices is not None:
         told = eligibility.at_anchors(notices, anchors)
-        said = late.unionByName(told.select(*late.columns))
+        said = said.unionByName(told.select(*late.columns))
     first = eligibility.first_notices(said, keys)
     usable = eligibility.eligible(spread, F.col("anchor"))
-    return reconcile_grid(usable, entities, specs, F.col("anchor"), first, zero_rule, anchors, key_limit)
+    return reconcile_grid(usable, entities, specs, F.col("anchor"), first, zero_rule, anchors)

@@ -25,10 +25,12 @@ def cells(
     grid: DataFrame,
     by: Sequence[str] = (),
     class_metrics: Sequence[str] = rules.CLASS_REQUIRED_METRICS,
+    class_note: str = "not a figure of the wanted share class",
 ) -> DataFrame:
     """Render units: a value with its basis, or a blank with its reason code.
 
-    The reference basis of a metric is the one most entities share, ties going
+    ``class_note`` is said, behind the basis, where a figure of another share class is
+    withheld. The reference basis of a metric is the one most entities share, ties going
     to the entity listed first; ``by`` adds columns such as the anchor.
     """
     rows = grid.withColumn("basis_text", F.when(F.col("value").isNotNull(), text.format_basis(F.col("basis"))))
@@ -37,12 +39,12 @@ def cells(
     reference = modal_first(valued, group, "basis_text", "entity_ord").select(
         *group, F.col("modal").alias("reference_basis"))
     # One row per metric and anchor: as small as the registry.
-    joined = rows.join(F.broadcast(reference), group, "left")
+    joined = rows.join(reference, group, "left")
     wrong = F.coalesce(F.col("value").isNotNull() & violates_class(F.col("basis_text"), class_metrics), F.lit(False))
     return joined.withColumn("_wrong", wrong).withColumns({
         "reason": F.when(F.col("_wrong"), F.lit("wrong_share_class")).otherwise(F.col("reason")),
         "detail": F.when(F.col("_wrong"), F.concat(
-            "basis_text", F.lit("; institutional class required by deck footnote 3"))).otherwise(F.col("detail")),
+            "basis_text", F.lit(f"; {class_note}"))).otherwise(F.col("detail")),
         "value": F.when(~F.col("_wrong"), F.col("value")),
         "confidence": F.when(~F.col("_wrong") & F.col("value").isNotNull(), F.col("confidence")),
         "basis_text": F.when(~F.col("_wrong"), F.col("basis_text")),
@@ -144,7 +146,7 @@ def comparable(cell_rows: DataFrame, fields: dict[str, str] = COMPARE_BY, by: Se
     group = [*by, "metric"]
     reference = modal_first(valued, group, "compare_key", "entity_ord").select(
         *group, F.col("modal").alias("reference_key"))
-    return valued.join(F.broadcast(reference), group).withColumn(
+    return valued.join(reference, group).withColumn(
         "counted", F.col("compare_key") == F.col("reference_key"))
 
 
@@ -168,7 +170,7 @@ def peer_comparison(
     on = [c for c in group if c in ours.columns]
     better = F.when(F.col("direction") > 0, F.col("value") > F.col("house_value")).otherwise(
         F.col("value") < F.col("house_value"))
-    counts = rows.join(F.broadcast(ours), on, "left").groupBy(*group).agg(
+    counts = rows.join(ours, on, "left").groupBy(*group).agg(
         F.count_if("counted").alias("n_peers"), F.count_if(~F.col("counted")).alias("n_excluded"),
         F.count_if(F.col("counted") & better).alias("_better"), F.max("direction").alias("direction"),
         F.max("house_value").alias("house_value"), F.max("reference_key").alias("reference_key"),

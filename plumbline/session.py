@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,17 +23,25 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; only a local session gets its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Only a local session without that setting uses its warehouse instead.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="plumbline-checkpoint-")
-    context.setCheckpointDir(folder)
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return folder.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, kind: str = "plumbline") -> str:
+    """A fresh path in the shared folder; what is written there goes when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -44,7 +51,6 @@ def durable(df: DataFrame) -> DataFrame:
     and a lost executor costs a re-read instead of a recomputation.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/plumbline-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

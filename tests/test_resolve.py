@@ -46,7 +46,7 @@ def run(spark, dims, rows, **kw):
     return {(r["entity"], r["metric"]): r for r in out.collect()}
 
 
-PATHS = [dict(key_limit=None), dict(key_limit=0)]
+PATHS = [dict(), dict(fold_limit=0)]
 
 
 @pytest.mark.parametrize("path", PATHS)
@@ -129,7 +129,7 @@ def test_result_does_not_depend_on_layout_or_path(spark, dims):
     base = frame(spark, rows)
     seen = []
     layouts = [(base, PATHS[0]), (base.repartition(1), PATHS[0]), (base.repartition(17), PATHS[1]),
-               (base.orderBy(F.rand(3)), dict(key_limit=0, fold_limit=0))]
+               (base.orderBy(F.rand(3)), PATHS[1])]
     for df, path in layouts:
         out = resolve(df, dims[0], dims[1], F.lit(REF), **path)
         cols = sorted(c for c in out.columns if c != "basis")
@@ -137,6 +137,19 @@ def test_result_does_not_depend_on_layout_or_path(spark, dims):
     assert all(s == seen[0] for s in seen)
 
 
+def test_values_that_are_no_numbers_take_no_part(spark, dims):
+    nan = float("nan")
+    rows = [cand(value=None, accession="A1"), cand(value=1.0, accession="A2"), cand(value=nan, accession="A3"),
+            cand("IF", "nav_per_share_usd", None), cand("IF", "nav_per_share_usd", nan, accession="A4")]
+    got = run(spark, dims, rows)
+    r = got["BDC", "management_fee_pct"]
+    assert (r["value"], r["n_clusters"], r["conflict"], r["n_candidates"]) == (1.0, 1, None, 1)
+    assert ("IF", "nav_per_share_usd") not in got
+    grid = benchmark_run(frame(spark, rows), dims[0], BUILTIN, [REF])
+    blank = {(r["entity"], r["metric"]): r for r in grid.collect()}["IF", "nav_per_share_usd"]
+    assert blank["value"] is None and blank["reason"] == "no_candidate" and blank["detail"].startswith("2 source(s)")
+
+
 # ------------------------------------------------------------------ whole runs
 
 def test_every_cell_has_a_value_or_a_reason_and_board_equals_coverage(spark, dims):
@@ -153,7 +166,7 @@ def test_every_cell_has_a_value_or_a_reason_and_board_equals_coverage(spark, dim
     assert out["REIT", "net_return_1y_pct"]["reason"] == "not_applicable"
     assert out["BDC", "net_return_5y_pct"]["reason"] == "window_mismatch"
     assert out["IF", "net_return_1y_pct"]["reason"] == "wrong_share_class"
-    assert "on or before the 2025-12-31" in out["IF", "net_return_3y_pct"]["detail"]
+    assert "later period than 2025-12-31" in out["IF", "net_return_3y_pct"]["detail"]
     cov = {(r["entity"], r["metric"]): r["status"] for r in reports.coverage(cells).collect()}
     assert {k for k, s in cov.items() if s == "FILLED"} == {k for k, r in out.items() if r["value"] is not None}
 

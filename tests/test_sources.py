@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.metrics import MetricSpec
 from plumbline.plans.candidates import class_candidates
-from plumbline.session import durable, ensure_checkpoint_dir
+from plumbline.session import durable, shared_folder
 from plumbline.sources import html_tables as ht, prose, structured as st
 
 
@@ -192,11 +192,10 @@ def test_sinks_round_trip(spark, tmp_path):
     assert spark.read.option("header", "true").csv(f"{tmp_path}/c").count() == 2
 
 
-def test_durable_tables_use_the_checkpoint_folder(spark):
-    ensure_checkpoint_dir(spark)
+def test_durable_tables_use_the_shared_folder(spark):
     df = spark.range(5).withColumn("m", F.create_map(F.lit("a"), F.col("id")))
     kept = durable(df)
     assert kept.schema.simpleString() == df.schema.simpleString() and kept.count() == 5
-    folder = spark.sparkContext.getCheckpointDir().rsplit("/", 1)[1]
-    assert all(f"/{folder}/" in f for f in kept.inputFiles())
+    folder = shared_folder(spark).removeprefix("file:")
+    assert all(folder in f for f in kept.inputFiles())
     assert durable(df.where("id < 0")).count() == 0
