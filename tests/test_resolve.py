@@ -30,7 +30,7 @@ def dims(spark):
 
 def cand(entity="BDC", metric="management_fee_pct", value=1.0, tier="text_pattern", accession="A1", basis=None,
          flags=(), as_of=date(2025, 9, 30), transforms=(), until=None, start=None, clock=None, ordno=0, form="10-K"):
-    return dict(entity=entity, metric=metric, value=float(value), unit="pct", tier=tier, form=form, accession=accession,
+    return dict(entity=entity, metric=metric, value=None if value is None else float(value), unit="pct", tier=tier, form=form, accession=accession,
                 filing_date=as_of and as_of + timedelta(days=50), period_end=as_of, basis=basis or {"fee_basis": "stated_annual_rate"},
                 transforms=list(transforms), flags=list(flags), as_of=as_of, terms_clock=clock, effective_from=start,
                 effective_until=until, ord=ordno)
