@@ -109,10 +109,12 @@ def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield edge_batch(*forest.edges())
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, combine: bool = True, most_rounds: int = 60) -> DataFrame:
     """Connected components of (u, v): one row (node, root) per node that has an edge.
 
-    root is the smallest node reachable. Partitions first shrink their edges to stars; then
+    root is the smallest node reachable. Partitions first shrink their edges to stars (not with
+    ``combine`` off, for edges that tasks have combined already, so that a task needs one Python
+    worker, not two); then
     large-star and small-star steps alternate until nothing changes, a few rounds even for
     long chains. Each round is written to the shared folder, so a lost executor costs one
     round. No node's neighbours meet in one task: minima are combined before the shuffle and
@@ -121,7 +123,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     spark = edges.sparkSession
     e = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u <> v")
-    e = e.mapInArrow(_local_forest, EDGES).distinct()
+    e = (e.mapInArrow(_local_forest, EDGES) if combine else e).distinct()
     now, before = written(e, "edges"), None
     for _ in range(most_rounds):
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
