@@ -9,4 +9,4 @@ def load() -> None:
         import_module(f"catalog.{name}")
 
 
-MODULES = ("evidence", "timeseries", "reports", "extraction")
+MODULES = ("evidence", "timeseries", "reports", "extraction", "routing")

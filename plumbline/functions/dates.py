@@ -29,7 +29,7 @@ def other_fiscal_month(fye: Column) -> Column:
     return F.when(m > 6, m - 6).otherwise(m + 6)
 
 
-def _clamped(year: Column, month: Column, day: Column) -> Column:
+def clamped(year: Column, month: Column, day: Column) -> Column:
     last = F.last_day(F.make_date(year, month, F.lit(1)))
     return F.make_date(year, month, F.least(day, F.dayofmonth(last)))
 
@@ -41,7 +41,7 @@ def next_period_end(fye: Column, after: Column) -> Column:
     ends = []
     for shift in (-1, 0, 1):
         year = F.year(after) + shift
-        ends.append(_clamped(year, month, day))
+        ends.append(clamped(year, month, day))
         half_year = F.when(month > 6, year).otherwise(year - 1)
         ends.append(F.last_day(F.make_date(half_year, other, F.lit(1))))
     return F.array_min(F.filter(F.array(*ends), lambda d: d > after))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import rules
 from plumbline.functions.dates import days_inclusive
+from plumbline.metrics import MetricSpec
 from plumbline.operators.asof import tag_as_of
 from plumbline.operators.intervals import latest_quarter, sum_between
 
@@ -126,7 +127,7 @@ def yield_candidates(ledger: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def return_candidates(trailing: DataFrame) -> DataFrame:
-    """Trailing total returns as candidates; reasons become notices elsewhere."""
+    """Trailing total returns as candidates; ``sources.return_notices`` tells why others are missing."""
     metric = F.element_at(F.expr("map(" + ", ".join(f"{y}, '{m}'" for y, m in rules.RETURN_METRICS.items()) + ")"), F.col("years"))
     return trailing.where(F.col("value").isNotNull()).select(
         "entity", metric.alias("metric"), "value", F.lit("pct").alias("unit"), F.lit("derived").alias("tier"),
@@ -135,9 +136,12 @@ def return_candidates(trailing: DataFrame) -> DataFrame:
                      F.lit("return_basis"), F.lit("nav_total_return")).alias("basis"), "flags")
 
 
-def class_candidates(tables: DataFrame, entities: DataFrame) -> DataFrame:
+def class_candidates(tables: DataFrame, entities: DataFrame, specs: Sequence[MetricSpec] = ()) -> DataFrame:
     """Figures of the wanted share class from year-columned tables.
 
+    ``specs`` with a row of their own add the newest figure of that row, from a column of
+    ``tables`` named like the spec.
+
     ``tables`` comes from ``highlights_tables``: entity, form, report_date,
     share_class, years, nav_end, total_return, dividends. An exact class match
     beats a containing one; no match yields nothing rather than another class.
@@ -149,7 +153,8 @@ def class_candidates(tables: DataFrame, entities: DataFrame) -> DataFrame:
     match = F.when(have == want, F.lit(0)).when(F.contains(have, want), F.lit(1))
     matched = rows.withColumn("_m", match).where(F.col("_m").isNotNull())
     order = F.struct("_m", (-F.unix_date("report_date")).alias("d"), "table_no")
-    payload = F.struct("form", "report_date", "years", "nav_end", "total_return", "dividends", "share_class")
+    own = [s for s in specs if s.highlight_rows]
+    payload = F.struct("form", "report_date", "years", "nav_end", "total_return", "dividends", "share_class", *[s.key for s in own])
     annual_only = F.upper("form") == "N-CSR"
     picked = matched.groupBy("entity").agg(
         F.min(F.struct(order.alias("o"), payload.alias("t"))).getField("t").alias("t"),
@@ -179,6 +184,12 @@ def class_candidates(tables: DataFrame, entities: DataFrame) -> DataFrame:
              {"denominator": "nav", "yield_basis": "fiscal_year_distributions_on_nav", **common},
              F.lit("fiscal year distributions / NAV at period end"), _strings()),
     ]
+    source = F.coalesce("a", "t")
+    for spec in own:
+        newest = F.get(source[spec.key], F.lit(0))
+        fact_of = F.struct(source["report_date"].alias("end"), F.lit(None).cast("string").alias("accn"))
+        out.append(_row(newest.isNotNull(), spec.key, newest, spec.unit, "html_table", fact_of, {"share_class": cls},
+                        F.lit(None).cast("string"), _strings((~newest.between(spec.low, spec.high), "out_of_sane_range"))))
     for years, metric in rules.RETURN_METRICS.items():
         chained = F.expr(
             f"(pow(aggregate(slice(_rets, 1, {years}), 1D, (g, x) -> g * (1 + x.v / 100)), 1D / {years}) - 1) * 100")

@@ -199,3 +199,12 @@ def test_durable_tables_use_the_shared_folder(spark):
     folder = shared_folder(spark).removeprefix("file:")
     assert all(folder in f for f in kept.inputFiles())
     assert durable(df.where("id < 0")).count() == 0
+
+
+def test_reports_that_cannot_be_read_are_listed(spark):
+    good = ("<r><formData><genInfo><regName>A</regName></genInfo><fundInfo><netAssets>5</netAssets></fundInfo></formData></r>")
+    rows = [(1, good), (2, "<r><formData>"), (3, None), (4, "<r><formData><genInfo><regName>A</regName></genInfo></formData></r>"), (5, "<r/>")]
+    df = spark.createDataFrame(rows, "id int, xml string")
+    got = {r["id"]: r["reason"] for r in st.unreadable_reports(df, "xml", ["id"]).collect()}
+    assert got == {2: "unreadable", 3: "no_document", 4: "no_balances", 5: "unreadable"}
+    assert [r["id"] for r in st.parse_reports(df, "xml", ["id"]).collect()] == [1]
