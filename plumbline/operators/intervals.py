@@ -25,7 +25,7 @@ def overlap_islands(df: DataFrame, keys: Sequence[str], name: str = "island") ->
     ).drop("_opens")
 
 
-def _ledger_sql(kind: str, passes: int, tolerance: float) -> str:
+def _ledger_sql(kind: str, passes: int | None, tolerance: float) -> str:
     entry = f"array<struct<start: date, end: date, value: {kind}, source: string, parts: int>>"
     accept = f"""aggregate(spans, cast(array() as {entry}), (acc, p) ->
         if(exists(acc, a -> a.start <= p.end and p.start <= a.end), acc,
@@ -46,21 +46,25 @@ def _ledger_sql(kind: str, passes: int, tolerance: float) -> str:
     covered = "aggregate(ins, 0, (n, a) -> n + datediff(a.end, a.start) + 1)"
     step = f"""(acc, p) -> transform(array(sort_array(filter(acc, a -> p.start <= a.start and a.end <= p.end))),
         ins -> if(size(ins) = 0 or {covered} >= p.days, acc, {grow}))[0]"""
-    for _ in range(passes):
-        accept = f"aggregate(spans, {accept}, {step})"
-    return f"sort_array({accept})"
+    # Passes go on while one adds a period; a period is added once per span at most.
+    most = "size(spans)" if passes is None else str(passes)
+    settled = f"""aggregate(sequence(1, greatest(1, {most})), named_struct('all', {accept}, 'before', -1), (s, k) ->
+        if(k > {most} or s.before = size(s.all), s,
+           named_struct('all', aggregate(spans, s.all, {step}), 'before', size(s.all))), s -> s.all)"""
+    return f"sort_array({settled})"
 
 
 def build_ledger(
     facts: DataFrame,
     keys: Sequence[str],
-    passes: int = rules.LEDGER_PASSES,
+    passes: int | None = None,
     tolerance: float = rules.RESIDUAL_TOLERANCE,
 ) -> DataFrame:
     """Non-overlapping periods, recovering unreported ones by differencing.
 
     Shortest intervals are accepted first; a longer one then fills the single
-    stretch its accepted parts leave open. Ambiguous totals are dropped.
+    stretch its accepted parts leave open. Passes over the spans are repeated until
+    none recovers a period, or ``passes`` times. Ambiguous totals are dropped.
     Input: keys, start, end, value, ord. Output adds source and parts.
     """
     keys = list(keys)

@@ -118,7 +118,6 @@ MONTH_DAYS = 30.44
 QUARTER_DAYS = (80, 100)
 COVERAGE_SLACK_DAYS = 7
 BAND_SLACK = 0.05
-LEDGER_PASSES = 6
 RESIDUAL_TOLERANCE = 1e-9
 
 # Forms a closed-end fund, an operating filer and a REIT are recognised by.

@@ -31,7 +31,7 @@ def brute_ledger(facts):
     for _, s, e, v in spans:
         if not any(s <= b and a <= e for a, b, _, _ in kept):
             kept.append((s, e, v, "tagged"))
-    for _ in range(6):
+    while True:
         before = len(kept)
         for days, s, e, v in spans:
             parts = sorted(k for k in kept if s <= k[0] and k[1] <= e)
