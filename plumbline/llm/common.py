@@ -27,12 +27,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, kind: str) -> str:
-    """A fresh path in the shared folder that is removed when the session's JVM ends."""
-    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
+    """A fresh path, with its scheme, in the shared folder; it goes when the session's JVM ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}")
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.deleteOnExit(where)
+    path = store.makeQualified(where).toString()
+    return path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
 
 
 def written(df: DataFrame, kind: str = "table") -> DataFrame:
@@ -114,12 +114,11 @@ def components(edges: DataFrame, combine: bool = True, most_rounds: int = 60) ->
 
     root is the smallest node reachable. Partitions first shrink their edges to stars (not with
     ``combine`` off, for edges that tasks have combined already, so that a task needs one Python
-    worker, not two); then
-    large-star and small-star steps alternate until nothing changes, a few rounds even for
-    long chains. Each round is written to the shared folder, so a lost executor costs one
-    round. No node's neighbours meet in one task: minima are combined before the shuffle and
-    the joins are ones that Spark can split. Self loops and repeated edges are fine; null
-    ends are ignored; no edges give no rows.
+    worker, not two); then large-star and small-star steps alternate until nothing changes, a
+    few rounds even for long chains. Each round is written to the shared folder, so a lost
+    executor costs one round. No node's neighbours meet in one task: minima are combined before
+    the shuffle and the joins are ones that Spark can split. Self loops and repeated edges are
+    fine; null ends are ignored; no edges give no rows.
     """
     spark = edges.sparkSession
     e = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u <> v")

@@ -235,7 +235,6 @@ def train(docs: DataFrame, order: int = 2) -> Model:
         raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     where = new_path(spark, "ngrams")
-    where = where if "://" in where or where.startswith("file:") else f"file://{os.path.abspath(where)}"
     text = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(4, int(size // SHARD_BYTES).bit_length())

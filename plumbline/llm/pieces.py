@@ -120,19 +120,30 @@ def encode_stream(vocabulary: Vocabulary, parts: Iterator[str]) -> Iterator[int]
     yield from stream.finish()
 
 
-def _short(v: Vocabulary, text: str) -> list[int]:
-    """The same for a short segment, whole."""
-    n = len(text)
-    best: list[float | None] = [0.0] + [None] * n
-    back: list[tuple] = [()] * (n + 1)
+def settled(v: Vocabulary, text: str) -> Iterator[int]:
+    """The same recurrence for a short segment that is there whole.
+
+    ``reach`` is how far any piece begun so far goes. A boundary that none crosses is one where
+    all surviving paths meet: the ids up to it are given out and the window starts anew.
+    """
     trie, pieces = v.trie, v.pieces
+    n, base, reach = len(text), 0, 0
+    best: list[float | None] = [0.0]
+    back: list[tuple] = [()]
     for s in range(n):
+        if s == reach and s > base:
+            yield from _path(back)
+            best, back, base = [0.0], [()], s
+        here = best[s - base]
         if text[s] not in pieces:
-            sum_ = best[s] + v.other
-            if best[s + 1] is None or sum_ > best[s + 1]:
-                best[s + 1] = sum_
-                back[s + 1] = (s, [v.bytes_at[b] for b in text[s].encode("utf-8", "surrogatepass")])
-        here, node, e = best[s], trie, s
+            if s + 1 > reach:
+                reach = s + 1
+                best.append(None)
+                back.append(())
+            if best[s + 1 - base] is None or here + v.other > best[s + 1 - base]:
+                best[s + 1 - base] = here + v.other
+                back[s + 1 - base] = (s - base, [v.bytes_at[b] for b in text[s].encode("utf-8", "surrogatepass")])
+        node, e = trie, s
         for c in text[s:] if s else text:
             node = node.get(c)
             if node is None:
@@ -140,10 +151,19 @@ def _short(v: Vocabulary, text: str) -> list[int]:
             e += 1
             if None in node:
                 i, score = node[None]
-                now = best[e]
+                while reach < e:
+                    reach += 1
+                    best.append(None)
+                    back.append(())
+                now = best[e - base]
                 if now is None or here + score > now:
-                    best[e], back[e] = here + score, (s, i)
-    out, e = [], n
+                    best[e - base], back[e - base] = here + score, (s - base, i)
+    yield from _path(back)
+
+
+def _path(back: list[tuple]) -> list[int]:
+    """Ids along the best path to the last boundary of a window."""
+    out, e = [], len(back) - 1
     while e:
         e, ids = back[e]
         if type(ids) is int:
@@ -166,7 +186,7 @@ class Encoder:
     def _segment(self, text: str) -> bytes:
         found = self.segments.get(text)
         if found is None:
-            ids = _short(self.v, text) if len(text) <= 4 * self.v.longest else list(encode_stream(self.v, iter([text])))
+            ids = list(settled(self.v, text) if len(text) <= 4 * self.v.longest else encode_stream(self.v, iter([text])))
             found = np.array(ids, dtype="<i4").tobytes()
             if len(text) <= 32:
                 if len(self.segments) >= self.most:

@@ -72,10 +72,20 @@ def hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begin, end, counts = spans(data, starts)
     if not len(begin):
         return np.zeros(0, dtype=np.uint64), counts
-    power, inverse = _powers(len(data))
-    total = np.cumsum(_VALUE[_LOWER[data]] * power)
-    before = np.where(begin > 0, total[begin - 1], np.uint64(0))
-    return mix((total[end - 1] - before) * inverse[begin]), counts
+    out = np.empty(len(begin), dtype=np.uint64)
+    # Words are taken in runs of bounded length, so a huge text needs no huge arrays.
+    i = 0
+    while i < len(begin):
+        low = begin[i]
+        j = max(i + 1, int(np.searchsorted(end, low + 2 * SLICE_BYTES, side="right")))
+        part = data[low:end[j - 1]]
+        power, inverse = _powers(len(part))
+        total = np.cumsum(_VALUE[_LOWER[part]] * power)
+        at, to = begin[i:j] - low, end[i:j] - low
+        before = np.where(at > 0, total[at - 1], np.uint64(0))
+        out[i:j] = (total[to - 1] - before) * inverse[at]
+        i = j
+    return mix(out), counts
 
 
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
