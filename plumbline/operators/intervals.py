@@ -131,40 +131,47 @@ def latest_quarter(ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
     return last_per_group(ledger.where(days.between(*rules.QUARTER_DAYS)), keys, ["start"])
 
 
-def steps(series: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Consecutive observations of a series that has one row per day."""
+def steps(series: DataFrame, keys: Sequence[str], value: str, first: bool = False) -> DataFrame:
+    """Consecutive observations of a series that has one row per day.
+
+    With ``first`` the first observation stays, without a previous one.
+    """
     line = Window.partitionBy(*keys).orderBy("end")
-    return series.withColumns({
-        "prev_end": F.lag("end").over(line), f"prev_{value}": F.lag(value).over(line),
-    }).where(F.col("prev_end").isNotNull())
+    out = series.withColumns({"prev_end": F.lag("end").over(line), f"prev_{value}": F.lag(value).over(line)})
+    return out if first else out.where(F.col("prev_end").isNotNull())
 
 
 def flows_between(moves: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Ledger amounts falling entirely between consecutive observations.
 
-    Each period is assigned to the next observation at or after its end, then
-    kept if it starts after the previous one: linear, no range join.
+    Each period is assigned to the next observation at or after its end, and
+    counts if it starts after the previous one. Both tables are laid on one line
+    per key, so there is one shuffle and no join.
     """
     keys = list(keys)
-    marks = moves.select(*keys, F.col("end").alias("_d"), F.lit(1).alias("_kind"), F.col("end").alias("_obs"),
-                         F.lit(None).cast("date").alias("start"),
-                         F.lit(None).cast(ledger.schema["value"].dataType).alias("value"),
-                         F.lit(None).cast("string").alias("source"))
-    parts = ledger.select(*keys, F.col("end").alias("_d"), F.lit(0).alias("_kind"), F.lit(None).cast("date").alias("_obs"),
-                          "start", "value", "source")
-    line = Window.partitionBy(*keys).orderBy("_d", "_kind").rowsBetween(0, Window.unboundedFollowing)
-    assigned = marks.unionByName(parts).withColumn("_next", F.first("_obs", ignorenulls=True).over(line)).where(
-        F.col("_kind") == 0).select(*keys, F.col("_next").alias("end"), "start", "value", "source",
-                                    days_inclusive(F.col("start"), F.col("_d")).alias("_days"))
-    inside = assigned.join(moves.select(*keys, "end", "prev_end"), [*keys, "end"]).where(
-        F.col("start") > F.col("prev_end"))
-    sums = inside.groupBy(*keys, "end").agg(
-        F.sum("value").alias("flow"), F.count(F.lit(1)).alias("n_flows"), F.sum("_days").alias("_covered"),
-        F.count_if(F.col("source") != "tagged").alias("n_derived"),
+    rest = [c for c in moves.columns if c not in (*keys, "end", "prev_end")]
+    amount = ledger.schema["value"].dataType
+    none = lambda kind: F.lit(None).cast(kind)
+    carried = F.struct(F.lit(1).alias("_kept"), *rest)
+    marks = moves.select(
+        *keys, F.col("end").alias("_d"), F.lit(1).alias("_kind"), F.struct("end", "prev_end").alias("_obs"), none("date").alias("start"),
+        none(amount).alias("value"), none("string").alias("source"), carried.alias("_m"))
+    kind = marks.schema["_m"].dataType
+    parts = ledger.select(
+        *keys, F.col("end").alias("_d"), F.lit(0).alias("_kind"), none(marks.schema["_obs"].dataType).alias("_obs"), "start",
+        F.col("value").cast(amount).alias("value"), "source", none(kind).alias("_m"))
+    # Backwards, so that the frame grows: the last observation seen is the next one in time.
+    line = Window.partitionBy(*keys).orderBy(F.desc("_d"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
+    laid = marks.unionByName(parts).withColumn("_next", F.last("_obs", ignorenulls=True).over(line)).where(F.col("_next").isNotNull())
+    inside = (F.col("_kind") == 0) & F.coalesce(F.col("start") > F.col("_next.prev_end"), F.lit(False))
+    sums = laid.withColumns({"_in": inside, "end": F.col("_next.end")}).groupBy(*keys, "end").agg(
+        F.max("_next.prev_end").alias("prev_end"), F.any_value("_m", True).alias("_m"),
+        F.sum(F.when(F.col("_in"), F.col("value"))).alias("flow"), F.count_if("_in").alias("n_flows"),
+        F.sum(F.when(F.col("_in"), days_inclusive(F.col("start"), F.col("_d")))).alias("_covered"),
+        F.count_if(F.col("_in") & (F.col("source") != "tagged")).alias("n_derived"),
     )
     gap = F.date_diff("end", "prev_end")
-    return moves.join(sums, [*keys, "end"], "left").withColumns({
-        "flow": F.coalesce(F.col("flow"), F.lit(0)),
-        "n_flows": F.coalesce("n_flows", F.lit(0)), "n_derived": F.coalesce("n_derived", F.lit(0)),
-        "flow_complete": F.coalesce(F.col("_covered") >= gap - rules.COVERAGE_SLACK_DAYS, F.lit(False)),
-    }).drop("_covered")
+    return sums.select(
+        *keys, "end", "prev_end", *[F.col(f"_m.{c}").alias(c) for c in rest],
+        F.coalesce(F.col("flow"), F.lit(0)).alias("flow"), "n_flows", "n_derived",
+        F.coalesce(F.col("_covered") >= gap - rules.COVERAGE_SLACK_DAYS, F.lit(False)).alias("flow_complete"))

@@ -81,9 +81,14 @@ def monthly_trailing(monthly: DataFrame, years: Sequence[int] = (1, 3, 5)) -> Da
     )
 
 
-def period_returns(series: DataFrame, ledger: DataFrame, keys: Sequence[str], value: str = "nav") -> DataFrame:
-    """(current - previous + flows) / previous for consecutive observations."""
-    moves = flows_between(steps(series, keys, value), ledger, keys)
+def period_returns(
+    series: DataFrame, ledger: DataFrame, keys: Sequence[str], value: str = "nav", first: bool = False
+) -> DataFrame:
+    """(current - previous + flows) / previous for consecutive observations.
+
+    With ``first`` the first observation stays, without a return.
+    """
+    moves = flows_between(steps(series, keys, value, first), ledger, keys)
     change = (F.col(value) - F.col(f"prev_{value}") + F.col("flow").cast("double")) / F.col(f"prev_{value}")
     return moves.withColumns({
         "period_return": F.when(F.col(f"prev_{value}") > 0, change),
@@ -110,13 +115,17 @@ def trailing_total_returns(
     flows are carried as flags.
     """
     keys = list(keys)
-    moves = period_returns(series, ledger, keys)
-    run = contiguous_run(series, keys)
-    path = moves.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
-        "end", "prev_end", "prev_nav", "period_return", "gap_days", "flow_complete", "n_derived"))).alias("path"))
+    moves = period_returns(series, ledger, keys, first=True)
+    step = F.when(F.col("prev_end").isNotNull(), F.struct(
+        "end", "prev_end", "prev_nav", "period_return", "gap_days", "flow_complete", "n_derived"))
+    opens = F.coalesce("gap_days", F.lit(rules.MAX_GAP_DAYS + 1)) > rules.MAX_GAP_DAYS
+    # Flows, run and path all rest on the one partitioning by key.
+    run = moves.groupBy(*keys).agg(
+        F.max(F.when(opens, F.col("end"))).alias("run_start"), F.max("end").alias("run_end"),
+        F.count(F.lit(1)).alias("n_obs"), F.sort_array(F.collect_list(step)).alias("path"))
     tolerance = "map(" + ",".join(f"{y},{d}" for y, d in rules.WINDOW_TOLERANCE_DAYS.items()) + ")"
     span = "map(" + ",".join(f"{y},{round(rules.YEAR_DAYS * y)}" for y in rules.WINDOW_TOLERANCE_DAYS) + ")"
-    asked = run.join(path, keys, "left").withColumn(
+    asked = run.withColumn("path", F.when(F.size("path") > 0, F.col("path"))).withColumn(
         "years", F.expr("explode(array(" + ",".join(str(y) for y in years) + "))"))
     anchored = asked.withColumn("target", F.expr(f"date_sub(run_end, {span}[years])")).withColumn(
         "anchor", F.expr("""array_min(transform(path, s ->
