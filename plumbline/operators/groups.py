@@ -40,6 +40,7 @@ def value_ranks(
     value: str,
     pieces: int = 64,
     small: int = 10_000,
+    count: str | None = None,
 ) -> DataFrame:
     """Exact rank information of every distinct value of a group.
 
@@ -47,11 +48,15 @@ def value_ranks(
     smaller and ``n_total`` rows in the group. Equal values are counted before
     the shuffle and written once, since they are read several times; a group
     with more than ``small`` distinct values is cut at sketched quantiles into
-    ``pieces`` ranges that are ranked in parallel.
+    ``pieces`` ranges that are ranked in parallel. With ``count`` the rows are
+    counted already, one per value, and are not written again.
     """
     keys = list(keys)
-    counts = durable(
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")))
+    known = df.where(F.col(value).isNotNull())
+    if count is None:
+        counts = durable(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")))
+    else:
+        counts = known.select(*keys, value, F.col(count).alias("n"))
     cuts = counts.groupBy(*keys).agg(
         F.sum("n").alias("n_total"),
         F.count(F.lit(1)).alias("_distinct"),
@@ -72,10 +77,10 @@ def value_ranks(
     return spread.withColumn("n_below", below).select(*keys, value, "n", "n_below", "n_total")
 
 
-def order_statistics(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def order_statistics(df: DataFrame, keys: Sequence[str], value: str, count: str | None = None) -> DataFrame:
     """Exact n, min, max, median and upper median of a value per group."""
     keys = list(keys)
-    ranks = value_ranks(df, keys, value)
+    ranks = value_ranks(df, keys, value, count=count)
     first, last = F.col("n_below"), F.col("n_below") + F.col("n") - 1
     upper = F.floor(F.col("n_total") / 2)
     lower = F.floor((F.col("n_total") - 1) / 2)

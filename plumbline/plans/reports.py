@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import rules
 from plumbline.functions import scoring, text
-from plumbline.operators.groups import modal_first, order_statistics, value_ranks
 from plumbline.operators.asof import latest_restatement
+from plumbline.operators.groups import modal_first, order_statistics, value_ranks
 from plumbline.operators.returns import semiannual_cadence
+from plumbline.session import durable
 
 
 def violates_class(basis: Column, class_metrics: Sequence[str]) -> Column:
@@ -139,17 +140,6 @@ COMPARE_BY = {
 }
 
 
-def comparable(cell_rows: DataFrame, fields: dict[str, str] = COMPARE_BY, by: Sequence[str] = ()) -> DataFrame:
-    """Populated cells with their comparability key and whether they count."""
-    valued = cell_rows.where(F.col("value").isNotNull()).withColumn(
-        "compare_key", comparability_key(F.col("metric"), F.col("basis"), fields))
-    group = [*by, "metric"]
-    reference = modal_first(valued, group, "compare_key", "entity_ord").select(
-        *group, F.col("modal").alias("reference_key"))
-    return valued.join(reference, group).withColumn(
-        "counted", F.col("compare_key") == F.col("reference_key"))
-
-
 def peer_comparison(
     cell_rows: DataFrame,
     house: DataFrame,
@@ -163,16 +153,24 @@ def peer_comparison(
     as excluded and never averaged in. Rank is 1 + the number of better peers.
     """
     group = [*by, "metric"]
-    rows = comparable(cell_rows, fields, by)
-    peers = rows.where("counted")
-    stats = order_statistics(peers, group, "value")
+    keyed = cell_rows.where(F.col("value").isNotNull()).withColumn(
+        "compare_key", comparability_key(F.col("metric"), F.col("basis"), fields))
+    # The cells are read once: everything below works on counted values.
+    tally = durable(keyed.groupBy(*group, "compare_key", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.min("entity_ord").alias("first_ord"), F.max("direction").alias("direction")))
+    sizes = tally.groupBy(*group, "compare_key").agg(F.sum("n").alias("n"), F.min("first_ord").alias("first_ord"))
+    reference = sizes.groupBy(*group).agg(
+        F.min_by("compare_key", F.struct((-F.col("n")).alias("a"), "first_ord")).alias("reference_key"))
+    rows = tally.join(reference, group).withColumn("counted", F.col("compare_key") == F.col("reference_key"))
+    stats = order_statistics(rows.where("counted"), group, "value", count="n")
     ours = house.select(*[c for c in group if c in house.columns], "house_value")
     on = [c for c in group if c in ours.columns]
     better = F.when(F.col("direction") > 0, F.col("value") > F.col("house_value")).otherwise(
         F.col("value") < F.col("house_value"))
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
     counts = rows.join(ours, on, "left").groupBy(*group).agg(
-        F.count_if("counted").alias("n_peers"), F.count_if(~F.col("counted")).alias("n_excluded"),
-        F.count_if(F.col("counted") & better).alias("_better"), F.max("direction").alias("direction"),
+        total(F.col("counted")).alias("n_peers"), total(~F.col("counted")).alias("n_excluded"),
+        total(F.col("counted") & better).alias("_better"), F.max("direction").alias("direction"),
         F.max("house_value").alias("house_value"), F.max("reference_key").alias("reference_key"),
     )
     shown = ~F.col("metric").isin(list(withheld)) if withheld else F.lit(True)
