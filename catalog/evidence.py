@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from catalog import views as v
 from catalog.registry import fragment, query, variant
 from plumbline import rules
 from plumbline.functions import scoring, text
-from plumbline.operators import eligibility, groups, resolve as rs
+from plumbline.operators import eligibility, resolve as rs
 from plumbline.operators.cluster import FOLD_LIMIT, tolerance_clusters
 
 KEYS = ["entity", "metric"]

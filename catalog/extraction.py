@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog import views as v
 from catalog.evidence import customer_entities
 from catalog.registry import fragment, query
-from catalog.timeseries import ledger, nation_facts, per_share
+from catalog.timeseries import nation_facts, per_share
 from plumbline import rules
 from plumbline.functions import dates, text as tx
 from plumbline.metrics import MetricSpec

@@ -9,7 +9,8 @@ from catalog.registry import fragment, query
 from catalog.timeseries import nation_entities, nation_facts
 from plumbline.operators import groups
 from plumbline.plans import benchmark, reports
-from plumbline.session import durable
+from plumbline.session import durable, scratch_path
+from plumbline.sources.structured import write_tables
 
 six = lambda c: F.round(c, 6)
 ANCHORS = (v.EARLIER, v.ANCHOR)
@@ -130,6 +131,17 @@ def coverage(spark, sf):
     return reports.coverage(cells(spark, sf)).select("entity", "metric", "status", "owner", "detail", "confidence")
 
 
+@query("table_sinks", """
+SELECT anchor, entity, metric, status, owner, detail, confidence FROM cover_rows
+""")
+def table_sinks(spark, sf):
+    """The coverage of two anchors written as a partitioned table and read again."""
+    path = scratch_path(spark, "sinks")
+    rows = reports.coverage(cells(spark, sf, both=True), ["anchor"]).drop("value")
+    write_tables({"coverage": rows}, path, ["anchor"])
+    return spark.read.parquet(f"{path}/coverage").select("anchor", "entity", "metric", "status", "owner", "detail", "confidence")
+
+
 @query("coverage_rollup", """
 SELECT bucket, confidence, count(*) AS cells FROM (SELECT *, CASE WHEN status = 'FILLED' THEN 'FILLED' ELSE owner END AS bucket
   FROM cover_rows WHERE anchor = DATE '2000-12-31') GROUP BY ROLLUP (bucket, confidence)

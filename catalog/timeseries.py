@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog import views as v
 from catalog.registry import fragment, query
-from plumbline import rules
-from plumbline.functions import dates, text
+from plumbline.functions import text
 from plumbline.operators import asof, intervals as iv, returns as rt
 
 six = lambda c: F.round(c, 6)

@@ -7,14 +7,6 @@ from pyspark.sql import Column, functions as F
 from plumbline import rules
 
 
-def as_date(col: Column) -> Column:
-    return col.cast("date")
-
-
-def day_number(col: Column) -> Column:
-    return F.unix_date(col)
-
-
 def days_inclusive(start: Column, end: Column) -> Column:
     return F.date_diff(end, start) + 1
 
@@ -60,8 +52,3 @@ def quarter_label_end(label: Column) -> Column:
 
 def annualize(growth: Column, days: Column) -> Column:
     return F.pow(growth, F.lit(rules.YEAR_DAYS) / days) - 1
-
-
-def trailing_target(end: Column, years: int) -> Column:
-    # Whole days of the window, rounded half to even.
-    return F.date_sub(end, round(rules.YEAR_DAYS * years))

@@ -65,10 +65,6 @@ def normalize_quote(text: Column) -> Column:
     return F.lower(squash(plain))
 
 
-def quote_in_source(quote: Column, source: Column) -> Column:
-    return F.contains(normalize_quote(source), normalize_quote(quote))
-
-
 def numeric_tokens(cells: Column, allow_integers: bool = False) -> Column:
     """Ordered numbers of a row; split parentheses are rejoined and negative."""
     joined = F.translate(F.array_join(cells, " "), "$%", "  ")
