@@ -437,7 +437,9 @@ def join_similar(docs: DataFrame, size: int = WORDS) -> DataFrame:
     own = written(documents(docs, size), "documents")
     candidates = written(_candidates(docs, size), "candidates")
     sets = written(_set_rows(docs, candidates, size), "sets")
+    drop_written(candidates)
     found = components(_linked(sets, _blocks(sets)), combine=False)
+    drop_written(sets)
     first = own.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     first = first.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = written(first, "first")
