@@ -14,6 +14,7 @@ import os
 import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from plumbline.llm import words
 from plumbline.llm.common import new_path, runs
 
 #: Tokens that a task combines before it sends them; bytes of text for which there is a shard.
-RUN_TOKENS, SHARD_BYTES = 6 << 20, 12 << 20
+RUN_TOKENS, SHARD_BYTES = 3 << 20, 12 << 20
 
 END, START = words.mix(np.array([0xE0D, 0x57A], dtype=np.uint64))
 _STEPS = words.mix(np.arange(101, 117, dtype=np.uint64)) | np.uint64(1)
@@ -59,25 +60,51 @@ def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
         "name", "shard", "data", "total", "types", "n1", "n2", "n3", "n4"])
 
 
+def _coded(column: np.ndarray) -> bytes:
+    """A column of hashes as its distinct values and small indexes into them."""
+    values, index = np.unique(column, return_inverse=True)
+    kind = np.uint16 if len(values) <= 1 << 16 else np.uint32
+    return np.int64(len(values)).tobytes() + values.tobytes() + index.astype(kind).tobytes()
+
+
 def _packed(name: str, shift: int, key: np.ndarray, grams: list[np.ndarray], values: np.ndarray) -> Iterator[tuple]:
-    """One row per shard: arrays of words, then columns of values, sorted to compress well."""
+    """One row per shard: columns of words, then of values, sorted to compress well."""
     shard = (key >> np.uint64(shift)).astype(np.int64)
     order = np.lexsort((*reversed(grams), shard))
-    shard, values = shard[order], values[order]
-    grams = [g[order] for g in grams]
+    shard = shard[order]
     first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else []
     for a, b in zip(first, np.append(first[1:], len(shard))):
-        data = b"".join([*(g[a:b].tobytes() for g in grams), *(values[a:b, i].tobytes() for i in range(values.shape[1]))])
-        yield (name, int(shard[a]), data, 0, 0, 0, 0, 0, 0)
+        at = order[a:b]
+        words_ = [g[at] for g in grams]
+        # A single column holds every value once.
+        coded = [g.tobytes() for g in words_] if len(grams) == 1 else [_coded(g) for g in words_]
+        columns = [values[at, i].astype(np.int64).tobytes() for i in range(values.shape[1])]
+        yield (name, int(shard[a]), b"".join([np.int64(b - a).tobytes(), *coded, *columns]), 0, 0, 0, 0, 0, 0)
 
 
 def _unpacked(data: bytes, n_words: int, n_values: int) -> tuple[list[np.ndarray], np.ndarray]:
-    table = np.frombuffer(data, dtype=np.uint64).reshape(n_words + n_values, -1)
-    return [table[i] for i in range(n_words)], table[n_words:].astype(np.int64).T
+    at = 8
+
+    def take(kind, n: int) -> np.ndarray:
+        nonlocal at
+        out = np.frombuffer(data, dtype=kind, count=n, offset=at)
+        at += out.nbytes
+        return out
+
+    n = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
+    grams = []
+    for _ in range(n_words):
+        if n_words == 1:
+            grams.append(take(np.uint64, n))
+        else:
+            m = int(take(np.int64, 1)[0])
+            values = take(np.uint64, m)
+            grams.append(values[take(np.uint16 if m <= 1 << 16 else np.uint32, n)])
+    return grams, np.stack([take(np.int64, n) for _ in range(n_values)], axis=1)
 
 
 def _joined(group: pa.Table, n_words: int, n_values: int) -> tuple[list[np.ndarray], np.ndarray]:
-    parts = [_unpacked(x, n_words, n_values) for x in group["data"].to_pylist()]
+    parts = [_unpacked(x.as_py(), n_words, n_values) for x in group["data"]]
     return ([np.concatenate([p[0][i] for p in parts]) for i in range(n_words)], np.concatenate([p[1] for p in parts]))
 
 
@@ -140,9 +167,12 @@ def _grams(tokens: np.ndarray, begins: np.ndarray, order: int, size: int) -> lis
 def _count(order: int, shift: int):
     def flush(held):
         grams = [np.concatenate([h[i] for h in held]) for i in range(order)]
+        held.clear()
         for name, parts in ((f"g{order}", grams), ("w", grams[-1:])):
-            key, at, n = _sum_equal(keys_of(parts), np.ones((len(parts[0]), 1), dtype=np.int64))
-            yield _row_batch(list(_packed(name, shift, key, [p[at] for p in parts], n)))
+            key, at, n = np.unique(keys_of(parts), return_index=True, return_counts=True)
+            rows = _packed(name, shift, key, [p[at] for p in parts], n[:, None])
+            while some := list(islice(rows, 16)):
+                yield _row_batch(some)
 
     def run(batches):
         held, n = [], 0
@@ -152,7 +182,7 @@ def _count(order: int, shift: int):
                 n += len(held[-1][0])
                 if n >= RUN_TOKENS:
                     yield from flush(held)
-                    held, n = [], 0
+                    n = 0
         if held:
             yield from flush(held)
 
@@ -190,7 +220,8 @@ def _reduce(where: str, shift: int):
             elif name[0] == "c":
                 (ctx,), values = _joined(group, 1, 4)
                 ctx, _, sums = _sum_equal(ctx, values)
-                _put(where, f"{name}-{shard}", {"key": ctx, "sums": sums})
+                wide = sums.max(initial=0) >= 1 << 32
+                _put(where, f"{name}-{shard}", {"key": ctx, "sums8" if wide else "sums4": sums.astype(np.int64 if wide else np.uint32)})
                 yield _row_batch([])
             else:
                 yield _row_batch(counted(name, shard, group))
@@ -258,8 +289,11 @@ class Tables:
     def _shard(self, name: str, shard: int) -> tuple:
         if (name, shard) not in self.open:
             get = lambda part, dtype: _get(self.model.where, f"{name}-{shard}.{part}", dtype)
-            self.open[name, shard] = (get("key", np.uint64), get("sums", np.int64).reshape(-1, 4)) if name[0] == "c" else (
-                get("key", np.uint64), get("n", np.uint8), get("at", np.uint32), get("large", np.int64))
+            if name[0] == "c":
+                small, wide = get("sums4", np.uint32), get("sums8", np.int64)
+                self.open[name, shard] = get("key", np.uint64), (small if len(small) else wide).reshape(-1, 4)
+            else:
+                self.open[name, shard] = (get("key", np.uint64), get("n", np.uint8), get("at", np.uint32), get("large", np.int64))
         return self.open[name, shard]
 
     def find(self, name: str, keys: np.ndarray) -> np.ndarray:
