@@ -175,7 +175,7 @@ def test_no_fee_means_no_hurdle(spark, dims):
     zero = [cand("IF", "incentive_fee_pct", 0.0, "html_table", basis={"fee_basis": "stated_rate"}, accession=a, as_of=REF) for a in "AB"]
     out = reconcile_grid(frame(spark, zero), dims[0], BUILTIN, F.lit(REF))
     row = out.where("entity = 'IF' and metric = 'incentive_hurdle_pct'").first()
-    assert row["reason"] == "not_applicable" and "no hurdle" in row["detail"]
+    assert row["reason"] == "not_applicable" and row["detail"].startswith("void")
 
 
 def test_audit_lists_every_candidate_once(spark, dims):
