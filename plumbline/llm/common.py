@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -52,6 +54,25 @@ def drop_written(df: DataFrame) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def lean(run):
+    """A task function that hands freed memory back to the system when it ends.
+
+    Python workers are reused and wait between tasks; what they keep counts against the
+    executor while others work.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return ["" if t is None else t for t in batch.column(column).to_pylist()]
@@ -122,7 +143,7 @@ def components(edges: DataFrame, combine: bool = True, most_rounds: int = 60) ->
     """
     spark = edges.sparkSession
     e = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u <> v")
-    e = (e.mapInArrow(_local_forest, EDGES) if combine else e).distinct()
+    e = (e.mapInArrow(lean(_local_forest), EDGES) if combine else e).distinct()
     now, before = written(e, "edges"), None
     for _ in range(most_rounds):
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -22,7 +22,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.llm import words
-from plumbline.llm.common import new_path, runs
+from plumbline.llm.common import lean, new_path, runs
 
 #: Tokens that a task combines before it sends them; bytes of text for which there is a shard.
 RUN_TOKENS, SHARD_BYTES = 3 << 20, 12 << 20
@@ -31,14 +31,24 @@ END, START = words.mix(np.array([0xE0D, 0x57A], dtype=np.uint64))
 _STEPS = words.mix(np.arange(101, 117, dtype=np.uint64)) | np.uint64(1)
 
 
+#: Top bits of an n-gram's hash that its context alone gives.
+CONTEXT_BITS = 4
+
+
 def keys_of(grams: list[np.ndarray]) -> np.ndarray:
-    """Hash of n-grams given as one array per word; of single words, their own hash."""
+    """Hash of n-grams given as one array per word; of single words, their own hash.
+
+    The top bits come from the context, so that a context's n-grams meet in a sixteenth of the
+    shards and share their entries there; the rest spreads a frequent context over all of those.
+    """
     if len(grams) == 1:
         return grams[0]
     out = np.full(len(grams[0]), np.uint64(len(grams)), dtype=np.uint64)
     for g, s in zip(grams, _STEPS):
         out += g * s
-    return words.mix(out)
+    top = np.uint64(64 - CONTEXT_BITS)
+    group = words.mix(keys_of(grams[:-1]) * _STEPS[-1] + np.uint64(len(grams))) >> top
+    return (group << top) | (words.mix(out) >> np.uint64(CONTEXT_BITS))
 
 
 def _sum_equal(key: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,8 +86,8 @@ def _packed(name: str, shift: int, key: np.ndarray, grams: list[np.ndarray], val
     for a, b in zip(first, np.append(first[1:], len(shard))):
         at = order[a:b]
         words_ = [g[at] for g in grams]
-        # A single column holds every value once.
-        coded = [g.tobytes() for g in words_] if len(grams) == 1 else [_coded(g) for g in words_]
+        # The first column is sorted, which the shuffle's compression makes use of.
+        coded = [words_[0].tobytes(), *map(_coded, words_[1:])]
         columns = [values[at, i].astype(np.int64).tobytes() for i in range(values.shape[1])]
         yield (name, int(shard[a]), b"".join([np.int64(b - a).tobytes(), *coded, *columns]), 0, 0, 0, 0, 0, 0)
 
@@ -93,8 +103,8 @@ def _unpacked(data: bytes, n_words: int, n_values: int) -> tuple[list[np.ndarray
 
     n = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
     grams = []
-    for _ in range(n_words):
-        if n_words == 1:
+    for i in range(n_words):
+        if not i:
             grams.append(take(np.uint64, n))
         else:
             m = int(take(np.int64, 1)[0])
@@ -268,12 +278,12 @@ def train(docs: DataFrame, order: int = 2) -> Model:
     where = new_path(spark, "ngrams")
     text = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(4, int(size // SHARD_BYTES).bit_length())
-    rows = text.mapInArrow(_count(order, 64 - bits), ROWS)
+    bits = max(CONTEXT_BITS, int(size // SHARD_BYTES).bit_length())
+    rows = text.mapInArrow(lean(_count(order, 64 - bits)), ROWS)
     # Order by order downward; the last round reduces contexts of the bigrams.
     for _ in range(order):
         rows = rows.repartition(1 << bits, "name", "shard").sortWithinPartitions("name", "shard").mapInArrow(
-            _reduce(where, 64 - bits), ROWS)
+            lean(_reduce(where, 64 - bits)), ROWS)
     sums = ["total", "types", "n1", "n2", "n3", "n4"]
     found = rows.where("shard < 0").groupBy("name").agg(*[F.sum(c).alias(c) for c in sums]).collect()
     return Model(where, order, 64 - bits, {r["name"]: tuple(r[c] for c in sums) for r in found})
@@ -379,7 +389,7 @@ def score(docs: DataFrame, model: Model, *keys: str) -> DataFrame:
                 names=[*keys, "n_tokens", "n_known", "base_score", "score"])
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(run, f"{names}, n_tokens long, n_known long, base_score double, score double")
+    return kept.mapInArrow(lean(run), f"{names}, n_tokens long, n_known long, base_score double, score double")
 
 
 def fold(key: Column, folds: int = 5) -> Column:
