@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plumbline.llm import words
-from plumbline.llm.common import EDGES, components, drop_written, edge_batch, runs, written
+from plumbline.llm.common import EDGES, components, drop_written, edge_batch, lean, runs, written
 
 #: Similarity as a fraction, words in a shingle.
 TIMES, OUT_OF, WORDS = 80, 100, 5
@@ -69,7 +69,7 @@ def documents(docs: DataFrame, size: int = WORDS) -> DataFrame:
                 names=["doc_id", "n_shingles", "node"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, node long")
+        lean(run), "doc_id long, n_shingles long, node long")
 
 
 def _prefix_rows(size: int):
@@ -157,8 +157,8 @@ def _count_runs(key, node, n, k):
 def _candidates(docs: DataFrame, size: int) -> DataFrame:
     """Nodes that hold enough hashes that occur in other nodes too."""
     text = docs.select(F.col("text").cast("string").alias("text"))
-    rows = text.mapInArrow(_prefix_rows(size), "key long, node long, n int, k int")
-    shared = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "node long, n int, k int")
+    rows = text.mapInArrow(lean(_prefix_rows(size)), "key long, node long, n int, k int")
+    shared = rows.repartition("key").sortWithinPartitions("key").mapInArrow(lean(_shared), "node long, n int, k int")
     least = F.ceil(F.col("n") * TIMES / OUT_OF)
     return shared.groupBy("node").agg(F.max("n").alias("n"), F.sum("k").alias("k")).where(
         F.col("k") >= F.greatest(F.lit(1), F.ceil(least * SLACK / 100))).select("node")
@@ -178,7 +178,7 @@ def _filter_bits(nodes: DataFrame, bits: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], names=["bits"])
 
     out = np.zeros(bits // 8, dtype=np.uint8)
-    for row in nodes.coalesce(8).mapInArrow(run, "bits binary").toLocalIterator():
+    for row in nodes.coalesce(8).mapInArrow(lean(run), "bits binary").toLocalIterator():
         out |= np.frombuffer(row[0], dtype=np.uint8)
     return out
 
@@ -218,7 +218,7 @@ def _set_rows(docs: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
             names=["node", "n", "hashes"])
 
     text = docs.select(F.col("text").cast("string").alias("text"))
-    rows = text.mapInArrow(run, "node long, n int, hashes binary")
+    rows = text.mapInArrow(lean(run), "node long, n int, hashes binary")
     return rows.join(candidates, "node", "left_semi").groupBy("node").agg(
         F.first("n").alias("n"), F.first("hashes").alias("hashes"))
 
@@ -242,7 +242,7 @@ def _blocks(sets: DataFrame) -> DataFrame:
     Of a node's shared hashes all but c - 1 are taken, the rarest first: one of them is common
     to any two linked nodes. Each is an edge to the smallest node that holds the hash.
     """
-    rows = sets.select("node", "hashes").mapInArrow(_explode_prefix, "token long, node long")
+    rows = sets.select("node", "hashes").mapInArrow(lean(_explode_prefix), "token long, node long")
     common = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     shared = rows.join(common, "token")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "token"))
@@ -421,7 +421,7 @@ def _linked(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     dealt = dealt.select("block", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
                          "chunk", "node", "hashes")
     keys = ["block", "one", "two"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(_link_groups, EDGES)
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(lean(_link_groups), EDGES)
 
 
 def join_similar(docs: DataFrame, size: int = WORDS) -> DataFrame:

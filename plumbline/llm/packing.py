@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from plumbline.llm.common import lean
+
 #: The id after each document; the window size.
 END_ID, WINDOW = 0, 1024
 
@@ -208,4 +210,4 @@ def pack(docs: DataFrame, path: str, size: int = WINDOW, end_id: int = END_ID, w
         yield _batch(windows.taken(), with_ids)
 
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(lean(run), schema)

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from plumbline.llm.common import lean
+
 MARK = "▁"
 
 
@@ -278,7 +280,7 @@ def encode(docs: DataFrame, path: str, *keys: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(k) for k in keys], pa.array(ids, pa.list_(pa.int32()))], names=[*keys, "ids"])
 
-    return kept.mapInArrow(run, f"{head}ids array<int>")
+    return kept.mapInArrow(lean(run), f"{head}ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, *keys: str) -> DataFrame:
@@ -292,7 +294,7 @@ def decode(encoded: DataFrame, path: str, *keys: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(k) for k in keys], pa.array(text, pa.string())], names=[*keys, "text"])
 
-    return kept.mapInArrow(run, f"{head}text string")
+    return kept.mapInArrow(lean(run), f"{head}text string")
 
 
 def round_trip(docs: DataFrame, path: str, *keys: str) -> DataFrame:
@@ -317,4 +319,4 @@ def round_trip(docs: DataFrame, path: str, *keys: str) -> DataFrame:
                 [*[batch.column(k) for k in keys], pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(exact, pa.bool_())],
                 names=[*keys, "n_ids", "ids_crc32", "exact"])
 
-    return kept.mapInArrow(run, f"{head}n_ids long, ids_crc32 long, exact boolean")
+    return kept.mapInArrow(lean(run), f"{head}n_ids long, ids_crc32 long, exact boolean")

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plumbline.llm.common import texts_of
+from plumbline.llm.common import lean, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -442,7 +442,7 @@ def detect(docs: DataFrame, *keys: str, model: Field | None = None) -> DataFrame
 
     names = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields[:-1])
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return kept.mapInArrow(run, f"{names}spans {SPANS}, {counts}, base_sha256 string, listed string")
+    return kept.mapInArrow(lean(run), f"{names}spans {SPANS}, {counts}, base_sha256 string, listed string")
 
 
 def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -473,4 +473,4 @@ def mask(docs: DataFrame, model: Field | None = None) -> DataFrame:
             cols = [pa.array(out, pa.string()) if n == "text" else batch.column(i) for i, n in enumerate(batch.schema.names)]
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

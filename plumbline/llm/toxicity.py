@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plumbline.llm.common import drop_written, texts_of, written
+from plumbline.llm.common import drop_written, lean, texts_of, written
 
 LENGTH, SPAN, DECAY, POWER = 3, 6, 0.7, 3
 #: Letters of a word that are compared; longer words are taken in pieces of this length.
@@ -171,7 +171,7 @@ class Model:
 class Scorer:
     """Scores of documents, with caches of token and word scores of bounded size."""
 
-    def __init__(self, model: Model, most: int = 400_000):
+    def __init__(self, model: Model, most: int = 300_000):
         self.model, self.most = model, most
         self.landmarks = Landmarks(list(model.names))
         self.words: dict[str, float] = {}
@@ -244,7 +244,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
                 label += [y] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(label, pa.int32())], names=["word", "toxic"])
 
-    return docs.select("text", "toxic").mapInArrow(run, "word string, toxic int").groupBy("word", "toxic").count()
+    return docs.select("text", "toxic").mapInArrow(lean(run), "word string, toxic int").groupBy("word", "toxic").count()
 
 
 def choose_landmarks(docs: DataFrame, number: int = LANDMARKS, pool: int = 1500) -> list[str]:
@@ -319,7 +319,7 @@ def _sentence_rows(docs: DataFrame, names: list[str], strong: int, keep: int) ->
                 [pa.array(key, pa.int64()), pa.array(label, pa.int32()), pa.array(other, pa.int32()), pa.array(rows, pa.binary())],
                 names=["doc", "toxic", "altered", "row"])
 
-    return docs.select("doc", "toxic", "text").mapInArrow(run, "doc long, toxic int, altered int, row binary")
+    return docs.select("doc", "toxic", "text").mapInArrow(lean(run), "doc long, toxic int, altered int, row binary")
 
 
 def _hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 40) -> np.ndarray:
@@ -441,7 +441,7 @@ def scored(docs: DataFrame, model: Model, *keys: str) -> DataFrame:
                 [*[batch.column(k) for k in keys], pa.array(held.value.probability(margin))], names=[*keys, "score"])
 
     names = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(run, f"{names}score double")
+    return kept.mapInArrow(lean(run), f"{names}score double")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -456,7 +456,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
                 p = held.value.probability(scorer.margins(texts_of(part)))
                 yield part.filter(pa.array(p < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 _SCORERS: dict[str, Scorer] = {}

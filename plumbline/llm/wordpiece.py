@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.llm import words
+from plumbline.llm.common import lean
 
 #: Words longer than this walk alone.
 LONG = 2048
@@ -171,5 +172,5 @@ def count_pieces(docs: DataFrame, auto: Automaton, *keys: str, per_word: bool =
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     head = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(run, f"{head}n_words long, n_pieces long, most_pieces long" + (
+    return kept.mapInArrow(lean(run), f"{head}n_words long, n_pieces long, most_pieces long" + (
         ", pieces array<int>" if per_word else ""))
