@@ -208,3 +208,13 @@ def test_reports_that_cannot_be_read_are_listed(spark):
     got = {r["id"]: r["reason"] for r in st.unreadable_reports(df, "xml", ["id"]).collect()}
     assert got == {2: "unreadable", 3: "no_document", 4: "no_balances", 5: "unreadable"}
     assert [r["id"] for r in st.parse_reports(df, "xml", ["id"]).collect()] == [1]
+
+
+def test_many_short_quotes_are_found_without_carrying_them(spark, monkeypatch):
+    src = docs(spark, "one two three four five six seven eight", "two threes", "x")
+    q = spark.createDataFrame(enumerate(["two", "wo th", "two three four", "three four five six", "e t", "eight", "seven eight nine",
+                                         "one two three four five six", "x"]), "qid int, text string")
+    want = sorted(tuple(r) for r in prose.locate_quotes(q, src, "qid", "id").collect())
+    assert want == [(0, 0), (0, 1), (0, 2), (0, 3), (0, 4), (0, 5), (0, 7), (0, 8), (1, 0), (1, 1), (2, 8)]
+    monkeypatch.setattr(prose, "SHORT_MOST", 0)
+    assert sorted(tuple(r) for r in prose.locate_quotes(q, src, "qid", "id").collect()) == want
