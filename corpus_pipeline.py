@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.llm import jaccard, packing, pii, quality, toxicity
-from plumbline.llm.common import written
+from plumbline.llm.common import small_batches, written
 from plumbline.llm.lm import fold
 
 
@@ -21,22 +21,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go; labels of one fold are never learnt."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(F.col("doc_id")) != 0).select("doc_id", "toxic")
     return toxicity.drop_toxic(docs, toxicity.train(docs, labels))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones stays."""
+    small_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked; n_chars follows the text."""
+    small_batches(spark)
     return pii.mask(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token windows of what is left, with their ids."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

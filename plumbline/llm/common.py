@@ -28,6 +28,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Send texts to Python workers a few megabytes at a time in this session.
+
+    Queries and the pipeline call it; the operators work with any batch size.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def new_path(spark: SparkSession, kind: str) -> str:
     """A fresh path, with its scheme, in the shared folder; it goes when the session's JVM ends."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}")

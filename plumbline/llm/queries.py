@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.llm.common import small_batches
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -21,6 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
