@@ -151,6 +151,52 @@ def test_recall_on_the_table(spark):
     assert 0.9 * near.sum() <= found <= near.sum()
 
 
+@pytest.mark.parametrize("common, chunk", [(0.0, 1024), (0.5, 512), (0.5, 1024)])
+def test_recall_in_a_large_label(spark, tmp_path, common, chunk):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    r, n, size, planted = np.random.default_rng(3), 100_000, 64, 1000
+    mean = np.eye(size)[0]
+    x = r.standard_normal((n, size)) * (1 - mean)
+    x = np.sqrt(common) * mean + np.sqrt(1 - common) * x / np.linalg.norm(x, axis=1, keepdims=True)
+    base, t = x[:planted], r.uniform(0.931, 0.95, (planted, 1))
+    off = r.standard_normal((planted, size))
+    off -= (off * base).sum(axis=1, keepdims=True) * base
+    x[n - planted:] = t * base + np.sqrt(1 - t * t) * off / np.linalg.norm(off, axis=1, keepdims=True)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * size + 1, size, dtype=np.int32)), pa.array(x.ravel()))
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": lists, "label": np.zeros(n, dtype=np.int32)}),
+                   tmp_path / "v.parquet", row_group_size=20_000)
+    got = neighbors.near_duplicates(spark.read.parquet(str(tmp_path / "v.parquet")), chunk=chunk)
+    least = {g.vec_id: g.component_id for g in got.select("vec_id", "component_id").collect()}
+    assert sum(least[i] == least[n - planted + i] for i in range(planted)) >= 0.997 * planted
+
+
+def test_windows_go_over_partition_edges():
+    import pyarrow as pa
+
+    def part(nodes):
+        data = [np.array([np.cos(k // 2), np.sin(k // 2)]).tobytes() for k in nodes]
+        n = len(nodes)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([0] * n, pa.int32()), pa.array([7] * n, pa.int64()), pa.array([2] * n, pa.int32()),
+             pa.array(nodes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(data, pa.binary())],
+            names=["pass", "label", "size", "key", "node", "data"])
+
+    for cuts in ([0, 5, 12], [0, 1, 2, 3, 12], [0, 12], [0, 3, 4, 5, 9, 11, 12]):
+        pairs, met = set(), []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            halves = [part(list(range(a, (a + b) // 2))), part(list(range((a + b) // 2, b)))]
+            for out in neighbors._window_links(0.99, 2, edges=True)(iter(halves)):
+                rows = out.to_pylist()
+                pairs |= {tuple(sorted((x["u"], x["v"]))) for x in rows if x["u"] is not None}
+                met += [x["node"] for x in rows if x["node"] is not None]
+        assert len(met) == len(set(met)) and met
+        for out in neighbors._window_links(0.99, 2)(iter([part(sorted(met))])):
+            pairs |= {tuple(sorted((x["u"], x["v"]))) for x in out.to_pylist()}
+        assert pairs == {(k, k + 1) for k in range(0, 12, 2)}
+
+
 # -------------------------------------------------------------- language model
 @pytest.mark.parametrize("order", [2, 3])
 def test_model_against_the_formula(corpus, order):
