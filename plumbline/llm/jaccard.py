@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from plumbline.llm import words
 from plumbline.llm.common import EDGES, components, drop_written, edge_batch, lean, runs, written
@@ -424,16 +425,8 @@ def _linked(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(lean(_link_groups), EDGES)
 
 
-def join_similar(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of (doc_id, text).
-
-    Documents are linked when their sets of distinct ``size``-word shingles have a Jaccard
-    similarity of 0.8 or more; component_id is the smallest doc_id reachable by links. Null and
-    empty texts, and texts without words, have no shingles and are linked with nothing: their
-    component is their own id. A text of fewer words is one shingle. Repeated rows are copies of
-    each other; a null doc_id is returned with the component of its text's copies, or null. An
-    empty table gives no rows; other columns are ignored.
-    """
+def _components(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, node) of every row and (node, root, component_id) of every node."""
     own = written(documents(docs, size), "documents")
     candidates = written(_candidates(docs, size), "candidates")
     sets = written(_set_rows(docs, candidates, size), "sets")
@@ -444,23 +437,68 @@ def join_similar(docs: DataFrame, size: int = WORDS) -> DataFrame:
     first = first.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = written(first, "first")
     root = first.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_node = first.join(root, "root").select("node", "component_id")
+    return own, first.join(root, "root").select("node", "root", "component_id")
+
+
+def join_similar(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of (doc_id, text).
+
+    Documents are linked when their sets of distinct ``size``-word shingles have a Jaccard
+    similarity of 0.8 or more; component_id is the smallest doc_id reachable by links. Null and
+    empty texts, and texts without words, have no shingles and are linked with nothing: their
+    component is their own id. A text of fewer words is one shingle. Repeated rows are copies of
+    each other; a null doc_id is returned with the component of its text's copies, or null. An
+    empty table gives no rows; other columns are ignored.
+    """
+    own, of_node = _components(docs, size)
     return own.join(of_node, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """One row of ``docs`` per group of linked documents: the one with the smallest doc_id.
+def _with_nodes(docs: DataFrame, size: int) -> DataFrame:
+    """All columns of ``docs`` and the node of the text as ``__node``."""
+    def run(batches):
+        for batch in batches:
+            node = [_node(s) if len(s) else None for _, s in _sets(batch.select(["__text"]).rename_columns(["text"]), size)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(node, pa.int64())], names=[*names, "__node"])
 
-    All columns stay as they are. doc_id names a document: of rows that repeat one, one stays.
-    A null doc_id stays where no document with an id is linked to it.
+    names = docs.columns
+    schema = StructType([*docs.schema.fields, StructField("__node", LongType())])
+    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(lean(run), schema)
+
+
+def keep_one(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """One row of ``docs`` per group of linked texts: one with the smallest doc_id.
+
+    All columns stay as they are. Where a doc_id has several texts, each is decided by itself,
+    so one that is linked to a smaller id takes no other along; of linked texts of one doc_id
+    the one with the smallest node stays, and of equal ones one row. Rows with a null doc_id
+    are a group's own second kind: one of them stays, beside the kept document if there is one,
+    for nothing names them. Texts without shingles are linked with nothing: all of a null doc_id
+    stay, and of a doc_id's equal ones one.
     """
-    found = written(join_similar(docs.select("doc_id", "text"), size), "components")
+    own, of_node = _components(docs.select("doc_id", "text"), size)
+    found = written(own.join(of_node, "node", "left").select(
+        "doc_id", "node", "root", F.coalesce("component_id", "doc_id").alias("component_id")), "components")
     leave = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(leave, docs["doc_id"] == leave["doc_id"], "left_anti")
     twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if not twice.isEmpty():
-        same = kept["doc_id"] == twice["doc_id"]
-        once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(twice, same, "left_anti").union(once)
+    twice = written(twice, "twice")
+    repeated, nulls = not twice.isEmpty(), not found.where("doc_id is null").isEmpty()
+    if not repeated and not nulls:
+        return kept
+    # Rows that their doc_id does not tell apart are decided by their nodes.
+    same = docs["doc_id"] == twice["doc_id"]
+    odd = docs.where("doc_id is null").unionByName(docs.join(twice, same, "left_semi"))
+    kept = kept.where("doc_id is not null").join(twice, kept["doc_id"] == twice["doc_id"], "left_anti")
+    odd = written(_with_nodes(odd, size), "odd")
+    stay = found.where("doc_id is null").unionByName(found.join(twice, "doc_id", "left_semi")).where(
+        "node is not null and (doc_id is null or doc_id = component_id)")
+    stay = stay.groupBy("root", "doc_id").agg(F.min("node").alias("__keep")).select(F.col("doc_id").alias("__doc"), "__keep")
+    hit = (odd["__node"] == stay["__keep"]) & odd["doc_id"].cast("long").eqNullSafe(stay["__doc"])
+    chosen = odd.join(stay, hit, "left_semi").dropDuplicates(["doc_id", "__node"])
+    bare = odd.where("__node is null")
+    once = bare.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    for part in (chosen, bare.where("doc_id is null"), once):
+        kept = kept.unionByName(part.drop("__node"))
     return kept

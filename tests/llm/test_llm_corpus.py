@@ -72,6 +72,20 @@ def test_join_edges(spark, edges):
     assert sorted(r.doc_id for r in twice.collect()) == [3, 4]
 
 
+def test_one_row_per_text_without_or_with_repeated_ids(spark):
+    w, v, z = (" ".join(f"{c}{i}" for i in range(60)) for c in "wvz")
+    rows = [(1, w), (2, w + " more"), (2, v), (2, v), (2, v + " more"), (None, z), (None, z), (None, z + " more"),
+            (None, None), (None, ""), (5, ""), (5, ""), (5, None), (7, "other text"), (8, "other text")]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    kept = sorted((r.n for r in jaccard.keep_one(df).collect()))
+    assert 0 in kept and 1 not in kept and 13 in kept and 14 not in kept
+    assert sum(k in kept for k in (2, 3, 4)) == 1
+    assert sum(k in kept for k in (5, 6, 7)) == 1
+    assert {8, 9, 12} <= set(kept) and (10 in kept) != (11 in kept)
+    plain = spark.createDataFrame([(3, w, 0), (4, w + " more", 1), (6, v, 2)], "doc_id long, text string, n int")
+    assert sorted(r.n for r in jaccard.keep_one(plain).collect()) == [0, 2]
+
+
 def test_trees_and_chunk_pairs_lose_nothing():
     r = np.random.default_rng(1)
     sets = []
