@@ -1,8 +1,8 @@
 """Packing of token ids into fixed-size windows by the sum-of-squares rule.
 
 Every partition packs its own documents online, so nothing is shuffled and no state is
-shared: a task holds the level array and the open windows (at most ``most_open``), whatever
-the input's size. A partition is read in one order, so a task that runs again after a lost
+shared: a task holds the level array and the open windows (at most ``most_open``; beyond that
+those of the hottest level are joined and cut), whatever the input's size. A partition is read in one order, so a task that runs again after a lost
 executor gives the same windows.
 """
 
@@ -135,16 +135,27 @@ class Windows:
             level[h + n] += 1
             self.n_open += 1
 
+    def _hottest(self) -> list[int]:
+        """The level with most open windows; further ones while it is too few to fill a window."""
+        taken, windows, ids = [], 0, 0
+        for h in np.lexsort((-np.arange(self.size + 1), -self.level)).tolist():
+            taken.append(h)
+            windows, ids = windows + int(self.level[h]), ids + h * int(self.level[h])
+            if windows > 1 and ids >= self.size:
+                break
+        return taken
+
     def recut(self, last: bool = False) -> None:
-        """Join the open windows end to end and cut them anew.
+        """Join open windows end to end and cut them anew: the hottest level's, or at the end all.
 
-        What is left over stays open, or at the end becomes windows of powers of two, which
-        need no padding.
+        The other levels stay as they are. What is left over is placed by the rule, or at the end
+        becomes windows of powers of two, which need no padding.
         """
-        pieces = [p for at in self.open for window in at for p in window]
-        self.level[:] = 0
-        self.open = [[] for _ in range(self.size + 1)]
-        self.n_open = 0
+        levels = range(self.size + 1) if last else self._hottest()
+        pieces = [p for h in levels for window in self.open[h] for p in window]
+        for h in levels:
+            self.n_open -= len(self.open[h])
+            self.level[h], self.open[h] = 0, []
         run, n = [], 0
         rest = sum(len(p[2]) for p in pieces) // 4
         want = min(self.size, rest) if not last or rest >= self.size else 1 << (rest.bit_length() - 1)

@@ -153,3 +153,17 @@ def test_sum_of_squares_rule_and_bounded_open_windows():
         assert small.n_open <= 6
     small.recut(last=True)
     assert sum(d[2] for d in small.done) == 500 * 40
+
+
+def test_overflow_recuts_only_the_hottest_level():
+    windows = packing.Windows(64, 0, most_open=26)
+    for k, n in enumerate([41, 42, 43] + [40] * 24):
+        windows.add(k, b"\1\0\0\0" * n)
+    assert np.flatnonzero(windows.level).tolist() == [41, 42, 43] and windows.n_open == 3
+    assert len(windows.done) and sum(d[2] for d in windows.done) == 24 * 40
+    tiny = packing.Windows(64, 0, most_open=2)
+    for k in range(300):
+        tiny.add(k, b"\1\0\0\0" * (1 + k * 7 % 63))
+        assert tiny.n_open <= 2
+    tiny.recut(last=True)
+    assert sum(d[2] for d in tiny.done) == sum(1 + k * 7 % 63 for k in range(300))
