@@ -122,3 +122,46 @@ def op3_quote_linking(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.quoting import link_quotes
 
     return link_quotes(table(spark, folder, "conversations"))
+
+
+@query("op11_hard_negatives", """
+    WITH own AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    met AS (
+        SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same, list_dot_product(a.v, o.v)::BIGINT AS score
+        FROM own a JOIN own o ON a.vec_id <> o.vec_id WHERE a.vec_id % 50 = 0),
+    positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM met WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+           other_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN met USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 3""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from plumbline.llm.negatives import mine
+
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.withColumn("label", moved))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.whitening import whiten
+
+    return whiten(table(spark, folder, "embeddings"))
+
+
+@query("op13_byte_pairs")
+def op13_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from plumbline.llm.bytepairs import round_trip
+
+    return round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "doc_id")
