@@ -73,6 +73,13 @@ def _joined(tokens: list[str]) -> list[str]:
     return out
 
 
+def blocks(word: str) -> list[str]:
+    """A word in pieces of at most LETTERS letters; every subsequence within SPAN is in one of them."""
+    if len(word) <= LETTERS:
+        return [word]
+    return [word[i:i + LETTERS] for i in range(0, len(word) - SPAN + 1, LETTERS - SPAN + 1)]
+
+
 def _codes(words: list[str], size: int) -> np.ndarray:
     """Letters of words of one size as numbers from 1. Letters beyond a-z share the last few."""
     flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
@@ -96,8 +103,9 @@ def features(words: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     at, weight = _triples(size)
     c = _codes(words, size)
     number = (c[:, at[:, 0]] * CODES + c[:, at[:, 1]]) * CODES + c[:, at[:, 2]]
-    order = np.argsort(number, axis=1)
-    number, weight = np.take_along_axis(number, order, 1), weight[order]
+    # Number and place sort as one; a word has fewer than 512 subsequences.
+    number = np.sort(number << 9 | np.arange(len(at), dtype=np.int32), axis=1)
+    weight, number = weight[number & 511], number >> 9
     # A subsequence found more than once counts with the sum of its weights.
     again = np.zeros(number.shape, dtype=bool)
     again[:, 1:] = number[:, 1:] == number[:, :-1]
@@ -175,30 +183,56 @@ class Scorer:
         self.model, self.most = model, most
         self.landmarks = Landmarks(list(model.names))
         self.words: dict[str, float] = {}
+        self.old_words: dict[str, float] = {}
+        self.number: dict[str, int] = {}
+        self.score = np.zeros(1 << 16)
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        """Tokens seen from now on get new numbers; the scores of the last ones are kept once more."""
+        self.old_number, self.old_score = self.number, self.score
+        self.number = {}
         self.score = np.zeros(1 << 16)
 
-    def learn(self, tokens: set[str]) -> None:
-        """Give new tokens a number and a score."""
-        read = list(map(letters, tokens))
-        pieces = {w if len(w) <= LETTERS else w[:LETTERS] for w in read}
-        pieces.update(w[i:i + LETTERS] for w in read if len(w) > LETTERS for i in range(LETTERS, len(w), LETTERS))
+    def _word_scores(self, words: set[str]) -> dict[str, float]:
+        """Scores of words, with two generations of a cache, so that frequent ones outlive a full one."""
         if len(self.words) > self.most:
-            self.words.clear()
-        new = list(pieces - self.words.keys())
+            self.old_words, self.words = self.words, {}
+        new = []
+        for w in words.difference(self.words):
+            if w in self.old_words:
+                self.words[w] = self.old_words[w]
+            else:
+                new.append(w)
         if new:
             known = self.landmarks.kernel(new) ** POWER @ self.model.weights if self.model.names else np.zeros(len(new))
             self.words.update(zip(new, known.tolist()))
-        first, get = len(self.number), self.words.get
-        self.number.update(zip(tokens, range(first, first + len(read))))
-        if first + len(read) > len(self.score):
-            self.score = np.concatenate([self.score, np.zeros(max(len(read), len(self.score)))])
-        self.score[first:first + len(read)] = [
-            get(w, 0.0) if len(w) <= LETTERS else sum(get(w[i:i + LETTERS], 0.0) for i in range(0, len(w), LETTERS))
-            for w in read]
+        return self.words
+
+    def learn(self, tokens: set[str]) -> None:
+        """Give new tokens a number and a score."""
+        first = len(self.number)
+        if first + len(tokens) > len(self.score):
+            self.score = np.concatenate([self.score, np.zeros(max(len(tokens), len(self.score)))])
+        known = [t for t in tokens if t in self.old_number]
+        new = [t for t in tokens if t not in self.old_number] if known else list(tokens)
+        read = list(map(letters, new))
+        pieces = set(read)
+        long = [w for w in pieces if len(w) > LETTERS]
+        pieces.difference_update(long)
+        for w in long:
+            pieces.update(blocks(w))
+        scores = self._word_scores(pieces)
+        for w in long:
+            scores[w] = sum(scores[b] for b in blocks(w))
+        self.number.update(zip(new, range(first, first + len(new))))
+        self.score[first:first + len(new)] = list(map(scores.__getitem__, read))
+        for w in long:
+            del scores[w]
+        if known:
+            at = first + len(new)
+            self.number.update(zip(known, range(at, at + len(known))))
+            self.score[at:at + len(known)] = self.old_score[list(map(self.old_number.__getitem__, known))]
 
     def margins(self, texts: list[str]) -> np.ndarray:
         """Margin of the worst sentence of each text; that of an empty sentence where there is none.
@@ -239,7 +273,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             word, label = [], []
             for text, y in zip(texts_of(batch), batch.column("toxic").to_pylist()):
-                own = {w[:LETTERS] for w in map(letters, set(text.split())) if len(w) >= LENGTH}
+                own = {b for w in map(letters, set(text.split())) if len(w) >= LENGTH for b in blocks(w)}
                 word += own
                 label += [y] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(label, pa.int32())], names=["word", "toxic"])
@@ -298,7 +332,7 @@ def _sentence_rows(docs: DataFrame, names: list[str], strong: int, keep: int) ->
             key, label, rows, other = [], [], [], []
             for text, y, doc in zip(texts_of(batch), batch.column("toxic").to_pylist(), batch.column("doc").to_pylist()):
                 cut = [s[at:at + SENTENCE] for s in sentences(text) for at in range(0, len(s), SENTENCE)]
-                parts = [{w[:LETTERS] for w in map(letters, s) if len(w) >= LENGTH} for s in cut]
+                parts = [{b for w in map(letters, s) if len(w) >= LENGTH for b in blocks(w)} for s in cut]
                 parts = [p for p in parts if p]
                 if not parts:
                     continue
