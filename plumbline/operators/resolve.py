@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import rules
 from plumbline.functions import scoring, text
 from plumbline.operators.cluster import FOLD_LIMIT, cluster_leaders, cluster_number
+from plumbline.operators.eligibility import at_anchors, eligible
 from plumbline.operators.groups import order_statistics
 from plumbline.session import durable
 
@@ -42,19 +44,20 @@ def _class_rank(declared: Column, wanted: Column) -> Column:
     )
 
 
-def evidence(cands: DataFrame, metrics: DataFrame, ref: Column) -> DataFrame:
+def evidence(cands: DataFrame, metrics: DataFrame, ref: Column | None = None) -> DataFrame:
     """The narrow per-row facts that decide between candidates.
 
-    ``metrics`` is the metric registry: metric, low, high, preferences.
+    ``metrics`` is the metric registry: metric, low, high, preferences. Without ``ref`` what
+    depends on the anchor is left for :func:`dated`.
     """
     dim = metrics.select("metric", "low", "high")
     flags = scoring.add_flag(
         F.col("flags"), rules.OUT_OF_RANGE_FLAG,
         scoring.out_of_range(F.col("value"), F.col("low"), F.col("high")),
     )
-    return (
+    out = (
         cands.join(dim, "metric", "left")
-        .withColumns({"flags": flags, "as_of": F.coalesce("as_of", "period_end"), "ref": ref})
+        .withColumns({"flags": flags, "as_of": F.coalesce("as_of", "period_end")})
         .withColumns({
             "share_class": F.coalesce(F.col("basis")["share_class"], F.lit("")),
             "tier_score": scoring.tier_score(F.col("tier")),
@@ -63,11 +66,16 @@ def evidence(cands: DataFrame, metrics: DataFrame, ref: Column) -> DataFrame:
             "observation": F.concat_ws("\u0001", "tier", "accession", F.array_join("transforms", "\u0002")),
             "measures": ~scoring.has_any_flag(F.col("flags"), rules.NON_MEASUREMENT_FLAGS),
             "disqualified": scoring.has_any_flag(F.col("flags"), rules.DISQUALIFYING_FLAGS),
-            "dated_out": F.coalesce(
-                ~scoring.in_force(F.col("effective_from"), F.col("effective_until"), ref), F.lit(False)),
         })
         .drop("low", "high")
     )
+    return out if ref is None else dated(out, ref)
+
+
+def dated(ev: DataFrame, ref: Column) -> DataFrame:
+    """Evidence with the anchor and whether a row is dated outside it."""
+    out = ~scoring.in_force(F.col("effective_from"), F.col("effective_until"), ref)
+    return ev.withColumns({"ref": ref, "dated_out": F.coalesce(out, F.lit(False))})
 
 
 def keyed_by_basis(ev: DataFrame, metrics: DataFrame) -> DataFrame:
@@ -136,6 +144,10 @@ CHOSEN = ["value", "unit", "tier", "tier_score", "observation", "flags", "n_flag
           "form", "accession", "filing_date", "period_end", "locator", "basis", "basis_key", "ord"]
 
 
+#: Columns of the evidence that no stage behind the clusters reads.
+UNUSED = ["effective_from", "effective_until", "share_class", "pref_rank", "transforms", "disqualified", "dated_out"]
+
+
 def number_clusters(rows: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT) -> DataFrame:
     """In-force rows with the number of the cluster their value falls in."""
     by = [*keys, "basis_key"]
@@ -252,7 +264,7 @@ def stages(
 
 
 def settle_in_stages(
-    ev: DataFrame, entities: DataFrame, metrics: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT
+    keyed: DataFrame, entities: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT
 ) -> DataFrame:
     """The decision in stages, each narrow one written once.
 
@@ -260,13 +272,12 @@ def settle_in_stages(
     size, so Spark broadcasts them when they are small and the candidate rows of
     a hot key are neither shuffled nor recomputed.
     """
-    keyed = keyed_by_basis(ev, metrics)
     primary = durable(primary_basis(basis_groups(keyed, entities, keys), keys))
-    rows = durable(in_force_rows(keyed, primary, keys))
-    numbered = number_clusters(rows, keys, fold_limit)
+    rows = in_force_rows(keyed, primary, keys)
+    numbered = durable(number_clusters(rows, keys, fold_limit).drop(*UNUSED))
     found = durable(clusters(numbered, keys))
     best = durable(winners(found, keys))
-    counted = score_counts(rows, best, keys)
+    counted = score_counts(numbered, best, keys)
     disputes = conflicts(found, best, numbered, keys).select(
         *keys, "losing_rows", "losing_independents", "spread_pct")
     return (
@@ -313,6 +324,11 @@ def usable(cands: DataFrame) -> DataFrame:
     return cands.where(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
 
 
+def spread(cands: DataFrame) -> DataFrame:
+    """Rows dealt evenly, whatever the files they come from and however hot a key is."""
+    return cands.repartition(F.xxhash64("entity", "metric", "accession", "ord"))
+
+
 def resolve(
     cands: DataFrame,
     entities: DataFrame,
@@ -320,16 +336,22 @@ def resolve(
     ref: Column,
     keys: Sequence[str] = ("entity", "metric"),
     fold_limit: int | None = FOLD_LIMIT,
+    anchors: Sequence[date] | None = None,
 ) -> DataFrame:
     """Reconcile eligible candidates; precedence disqualified, stale, weak.
 
     Every key takes the same way: aggregates that combine before each shuffle and
     key joins that Spark can split, so it does not matter how many candidates a
-    key has. Rows whose value is NULL or NaN take no part, and a key that has no
-    other rows gives none.
+    key has. The evidence of a row is worked out and written once, evenly dealt.
+    Rows whose value is NULL or NaN take no part, and a key that has no other rows
+    gives none. With ``anchors`` each row takes part at every anchor on or after its
+    period; ``keys`` then have the column ``anchor``, and rows are copied inside
+    tasks that combine them, not before a shuffle of whole rows.
     """
-    ev = evidence(usable(cands), metrics, ref)
-    return decide(settle_in_stages(ev, entities, metrics, list(keys), fold_limit))
+    keyed = durable(keyed_by_basis(evidence(spread(usable(cands)), metrics), metrics))
+    if anchors is not None:
+        keyed = eligible(at_anchors(keyed, anchors), F.col("anchor"))
+    return decide(settle_in_stages(dated(keyed, ref), entities, list(keys), fold_limit))
 
 
 def alternatives(ev: DataFrame, primary: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -30,15 +30,16 @@ def reconcile_grid(
 
     Scope comes first: a metric an entity does not report is not applicable,
     whatever was extracted for it. ``zero_rule`` names a fee and its hurdle: an
-    entity that charges no fee has no hurdle. With ``anchors`` the rows carry an
-    ``anchor`` column and every anchor is reconciled in the same job.
+    entity that charges no fee has no hurdle. With ``anchors`` every anchor is reconciled
+    in the same job, on the rows whose period it does not precede, and the result has an
+    ``anchor`` column.
     """
     keys = ["entity", "metric"] if anchors is None else ["anchor", "entity", "metric"]
     spark = cands.sparkSession
     grid = eligibility.dense_grid(entities, specs)
     if anchors is not None:
         grid = eligibility.at_anchors(grid, anchors)
-    found = resolve(cands, entities, metric_frame(spark, specs), ref, keys)
+    found = resolve(cands, entities, metric_frame(spark, specs), ref, keys, anchors=anchors)
     out = grid.join(found.select(*keys, *[c for c in RESULT if c != "unit"]), keys, "left")
     missing = F.col("score").isNull()
     if notices is not None:
@@ -93,16 +94,11 @@ def benchmark_run(
     ord); they outrank the explanations that all figures are for a later period
     or that none is a number.
     """
-    spread = eligibility.at_anchors(cands, anchors)
     keys = ["anchor", "entity", "metric"]
-    late = eligibility.excluded_notices(spread, keys, F.col("anchor")).select(
-        *keys, "reason", "detail", "as_of", F.lit((1 << 62)).alias("ord"))
-    blank = eligibility.unusable_notices(spread, keys).select(
-        *keys, "reason", "detail", "as_of", F.lit((1 << 62) + 1).alias("ord"))
+    late, blank = eligibility.anchor_notices(cands, anchors)
     said = late.unionByName(blank)
     if notices is not None:
         told = eligibility.at_anchors(notices, anchors)
         said = said.unionByName(told.select(*late.columns))
     first = eligibility.first_notices(said, keys)
-    usable = eligibility.eligible(spread, F.col("anchor"))
-    return reconcile_grid(usable, entities, specs, F.col("anchor"), first, zero_rule, anchors)
+    return reconcile_grid(cands, entities, specs, F.col("anchor"), first, zero_rule, anchors)
