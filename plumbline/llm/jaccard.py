@@ -473,8 +473,7 @@ def keep_one(docs: DataFrame, size: int = WORDS) -> DataFrame:
     All columns stay as they are. Where a doc_id has several texts, each is decided by itself,
     so one that is linked to a smaller id takes no other along; of linked texts of one doc_id
     the one with the smallest node stays, and of equal ones one row. Rows with a null doc_id
-    are a group's own second kind: one of them stays, beside the kept document if there is one,
-    for nothing names them. Texts without shingles are linked with nothing: all of a null doc_id
+    go where a linked text has one; of a group without any one row stays. Texts without shingles are linked with nothing: all of a null doc_id
     stay, and of a doc_id's equal ones one.
     """
     own, of_node = _components(docs.select("doc_id", "text"), size)
@@ -493,7 +492,7 @@ def keep_one(docs: DataFrame, size: int = WORDS) -> DataFrame:
     kept = kept.where("doc_id is not null").join(twice, kept["doc_id"] == twice["doc_id"], "left_anti")
     odd = written(_with_nodes(odd, size), "odd")
     stay = found.where("doc_id is null").unionByName(found.join(twice, "doc_id", "left_semi")).where(
-        "node is not null and (doc_id is null or doc_id = component_id)")
+        "node is not null and (coalesce(doc_id, component_id) is null or doc_id = component_id)")
     stay = stay.groupBy("root", "doc_id").agg(F.min("node").alias("__keep")).select(F.col("doc_id").alias("__doc"), "__keep")
     hit = (odd["__node"] == stay["__keep"]) & odd["doc_id"].cast("long").eqNullSafe(stay["__doc"])
     chosen = odd.join(stay, hit, "left_semi").dropDuplicates(["doc_id", "__node"])

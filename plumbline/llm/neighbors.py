@@ -1,14 +1,13 @@
-"""Near-duplicate vectors: all pairs of a label, or sorted projection passes where it is large.
-
-The distinct vectors of a label are compared pair by pair, in chunk pairs of bounded size, as
-long as that copies a vector no more often than passes would. In a larger label each pass draws
-random hyperplanes through the label's mean, writes the signs of a vector's projections one
-after another as its key, orders the vectors by it and compares each with the next ``window``
-ones, also over the edges of partitions; pairs whose cosine is high enough are united across
-passes. The number of passes follows from the label's size and spread, so that a pair at the
-threshold is missed with a chance of about ``MISS``. Equal vectors count as one throughout. Once
-components are known, links are counted exactly inside them, in blocks of bounded size, so a
-large group loses none to the window.
+"""Near-duplicate vectors by sorted projection passes.
+
+Each pass draws random hyperplanes through a label's mean, writes the signs of a vector's
+projections one after another as its key, orders the label's vectors by it and compares each with
+the next ``window`` ones, also over the edges of partitions; pairs whose cosine is high enough are
+united across passes. The number of passes follows from the label's size and spread, so that a
+pair at the threshold is missed with a chance of about ``MISS``; one pass compares all pairs of a
+label that the window holds. Equal vectors count as one throughout. Once components are known,
+links are counted exactly inside them, in blocks of bounded size, so a large group loses none to
+the window.
 """
 
 from __future__ import annotations
@@ -23,8 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from plumbline.llm.common import EDGES, Forest, components, edge_batch, lean, runs, written
 
 THRESHOLD, PASSES, WINDOW, KEY_BITS, CHUNK = 0.93, 16, 512, 62, 1024
-#: Chance that all passes miss a pair at the threshold; chunks of a large label, in chunks of a small one.
-MISS, WIDE = 0.001, 4
+#: Chance that all passes miss a pair at the threshold; passes of a label at most.
+MISS, MOST_PASSES = 0.001, 100
 
 
 def _unit(data: list[bytes]) -> np.ndarray:
@@ -100,22 +99,20 @@ def _sums(batches):
     yield pack()
 
 
-PLAN = "label long, size int, parts int, passes int, mean binary"
+PLAN = "label long, size int, passes int, mean binary"
 
 
-def _plans(threshold: float, passes: int, window: int, chunk: int):
-    """How the vectors of a large label meet: in ``parts`` chunks, or in passes around its mean."""
+def _plans(threshold: float, passes: int, window: int, most: int):
+    """How many passes around its mean a label takes; one, if the window holds all its vectors."""
     def run(batches):
         for group in runs(batches, ["label", "size"]):
             n = int(np.asarray(group["n"]).sum())
             mean = sum(np.frombuffer(d, dtype=np.float64) for d in group["total"].to_pylist()) / n
-            need = passes_for(n, 1 - float(mean @ mean), threshold, window, passes)
-            parts = -(-n // (WIDE * chunk))
-            row = (parts, 0, None) if parts <= need else (0, int(need), mean.tobytes())
+            need = 1 if n <= window else min(most, passes_for(n, 1 - float(mean @ mean), threshold, window, passes))
             yield pa.RecordBatch.from_arrays(
                 [group["label"].slice(0, 1).combine_chunks(), group["size"].slice(0, 1).combine_chunks(),
-                 pa.array([row[0]], pa.int32()), pa.array([row[1]], pa.int32()), pa.array([row[2]], pa.binary())],
-                names=["label", "size", "parts", "passes", "mean"])
+                 pa.array([int(need)], pa.int32()), pa.array([mean.tobytes()], pa.binary())],
+                names=["label", "size", "passes", "mean"])
 
     return run
 
@@ -230,27 +227,6 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield from runs(iter([batch]), ["pass", "label", "size"])
 
 
-def _pair_links(threshold: float):
-    """Edges of a spanning forest of the near pairs inside one chunk or between two chunks of a label."""
-    def run(batches):
-        forest = Forest()
-        for group in runs(batches, ["label", "size", "one", "two"]):
-            node, chunk = np.asarray(group["node"]), np.asarray(group["chunk"])
-            x = _unit(group["data"].to_pylist())
-            one, two = group["one"][0].as_py(), group["two"][0].as_py()
-            a, b = np.flatnonzero(chunk == one), np.flatnonzero(chunk == two)
-            near = _near(x[a], x[b], threshold)
-            if one == two:
-                np.fill_diagonal(near, False)
-            _span(near, node[a], node[b], forest)
-            if len(forest.up) > 200_000:
-                yield edge_batch(*forest.edges())
-                forest = Forest()
-        yield edge_batch(*forest.edges())
-
-    return run
-
-
 def _dealt(rows: DataFrame, *columns: str) -> DataFrame:
     """Rows copied to every pair of their chunk with one of the ``parts`` chunks of their group."""
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
@@ -258,32 +234,19 @@ def _dealt(rows: DataFrame, *columns: str) -> DataFrame:
         *columns, F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"), "chunk", "node", "data")
 
 
-def _links(nodes: DataFrame, threshold: float, passes: int, window: int, bits: int, chunk: int) -> DataFrame:
+def _links(nodes: DataFrame, threshold: float, passes: int, window: int, bits: int, most: int) -> DataFrame:
     """(u, v): edges that connect the near vectors of each label."""
     nodes = nodes.select("label", F.expr("cast(length(data) / 8 as int)").alias("size"), "node", "data")
-    groups = written(nodes.groupBy("label", "size").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts")), "groups")
     same = ["label", "size"]
-    keys = [*same, "one", "two"]
-
-    def pairs(plan):
-        dealt = _dealt(nodes.join(plan, same), *same)
-        return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(_pair_links(threshold)), EDGES)
-
-    found = pairs(groups.where(F.col("parts") <= passes))
-    large = groups.where(F.col("parts") > passes).select(*same)
-    if large.isEmpty():
-        return found
-    sums = nodes.join(large, same).mapInArrow(lean(_sums), "label long, size int, n long, total binary")
+    sums = nodes.mapInArrow(lean(_sums), "label long, size int, n long, total binary")
     plan = written(sums.repartition(*same).sortWithinPartitions(*same).mapInArrow(
-        lean(_plans(threshold, passes, window, chunk)), PLAN), "plan")
-    found = found.union(pairs(plan.where("parts > 0").select(*same, "parts")))
+        lean(_plans(threshold, passes, window, most)), PLAN), "plan")
     order = ["pass", "label", "size", "key", "node"]
-    keyed = nodes.join(plan.where("passes > 0"), same).mapInArrow(lean(_keyed(bits)), SORTED)
+    keyed = nodes.join(plan, same).mapInArrow(lean(_keyed(bits)), SORTED)
     sorted_rows = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     first = written(sorted_rows.mapInArrow(lean(_window_links(threshold, window, edges=True)), f"{EDGES}, {SORTED}"), "windows")
     met = first.where("node is not null").select(*order, "data").repartition(*order[:3]).sortWithinPartitions(*order)
-    return found.union(first.where("u is not null").select("u", "v")).union(
-        met.mapInArrow(lean(_window_links(threshold, window)), EDGES))
+    return first.where("u is not null").select("u", "v").union(met.mapInArrow(lean(_window_links(threshold, window)), EDGES))
 
 
 def _count_links(threshold: float):
@@ -308,13 +271,14 @@ def _count_links(threshold: float):
 
 
 def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW,
-                    bits: int = KEY_BITS, chunk: int = CHUNK) -> DataFrame:
+                    bits: int = KEY_BITS, chunk: int = CHUNK, most: int = MOST_PASSES) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of (vec_id, embedding, label).
 
     Vectors are linked when their labels are equal and their cosine is ``threshold`` or more;
-    no pair below it is linked, and pairs of a component are all counted. Labels whose pairs are
-    all compared lose none; in larger ones a pair is missed only if no chain of near pairs joins
-    it within the window of any pass. ``passes`` is the least number of them. Null labels, and vectors
+    no pair below it is linked, and pairs of a component are all counted. A label of at
+    most ``window`` vectors loses none; in a larger one a pair is missed only if no chain of near
+    pairs joins it within the window of any pass. ``passes`` is the least number of them there,
+    ``most`` the largest: where size and spread ask for more, more pairs are missed. Null labels, and vectors
     that are null, empty, zero or hold null or non-finite components, link with nothing; nor do
     vectors of different lengths. n_links counts the other rows linked; component_id is the
     smallest vec_id reachable; kept says that the row has it as its own id. Repeated rows are
@@ -327,7 +291,7 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, passes: int
         F.first("label").alias("label"), F.first("data").alias("data"), F.count("*").alias("copies"),
         F.min("vec_id").alias("first"))
     nodes = written(nodes, "nodes")
-    found = components(_links(nodes, threshold, passes, window, bits, chunk), combine=False)
+    found = components(_links(nodes, threshold, passes, window, bits, most), combine=False)
     roots = found.select(F.col("root").alias("node"), "root").distinct().union(found.select("node", "root"))
     members = written(nodes.join(roots, "node").select("root", "node", "copies", "data"), "members")
     parts = members.groupBy("root").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))

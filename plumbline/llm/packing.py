@@ -23,6 +23,8 @@ from plumbline.llm.common import lean
 
 #: The id after each document; the window size.
 END_ID, WINDOW = 0, 1024
+#: Open windows of a task (4 kB of ids each at most) beyond which the hottest level is recut.
+MOST_OPEN = 1 << 14
 
 # Code points whose classes all Unicode tables agree on since long; a text with any other
 # goes to the slower encoder of the two.
@@ -88,7 +90,7 @@ def ids_of(path: str) -> Ids:
 class Windows:
     """Online packing: ``level[h]`` counts the open windows filled to h."""
 
-    def __init__(self, size: int, first_id: int, most_open: int = 2048):
+    def __init__(self, size: int, first_id: int, most_open: int = MOST_OPEN):
         self.size, self.next_id, self.most_open = size, first_id, most_open
         self.level = np.zeros(size + 1, dtype=np.int64)
         self.open: list[list[list]] = [[] for _ in range(size + 1)]
@@ -195,7 +197,7 @@ def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:
 
 
 def pack(docs: DataFrame, path: str, size: int = WINDOW, end_id: int = END_ID, with_ids: bool = True,
-         most_open: int = 2048) -> DataFrame:
+         most_open: int = MOST_OPEN) -> DataFrame:
     """Pack every document of (doc_id, text) into windows of at most ``size`` ids.
 
     A document's ids are those of the tokenizer file ``path`` without special tokens, then

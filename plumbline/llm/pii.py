@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -373,14 +375,32 @@ def _valid(kind: str, text: str) -> bool:
     return bool(re.search(r"@|[(\[]at[)\]]", text, re.I)) and bool(re.search(r"\.|[(\[]dot[)\]]", text, re.I))
 
 
+class _Cover:
+    """Which stretches some spans cover or touch, by their starts and how far the spans up to each reach."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        ordered = sorted((s, e) for _, s, e in spans)
+        self.starts = [s for s, _ in ordered]
+        self.reach = list(accumulate((e for _, e in ordered), max))
+
+    def covers(self, a: int, b: int) -> bool:
+        at = bisect_right(self.starts, a)
+        return at > 0 and self.reach[at - 1] >= b
+
+    def touches(self, a: int, b: int) -> bool:
+        at = bisect_left(self.starts, b)
+        return at > 0 and self.reach[at - 1] > a
+
+
 def find_spans(texts: list[str], model: Field) -> list[tuple[list, list]]:
     """(base spans, all spans) per text; an added span never touches a base span."""
     found, seqs, owner = [base_spans(t) for t in texts], [], []
+    cover = [_Cover(spans) for spans in found]
     for n, text in enumerate(texts):
         for a, b in regions(text):
             # A sequence that the base spans explain whole needs no decoding.
             toks = tokens(text, a, b)
-            covered = sum(any(s <= x and y <= e for _, s, e in found[n]) for _, x, y in toks) if found[n] else 0
+            covered = sum(cover[n].covers(x, y) for _, x, y in toks) if found[n] else 0
             if any(t[0].isdigit() or t[0] == "@" or t[0].lower() in ("at", "dot") for t in toks) and covered < len(toks):
                 seqs.append(toks)
                 owner.append(n)
@@ -397,7 +417,7 @@ def find_spans(texts: list[str], model: Field) -> list[tuple[list, list]]:
             while j < len(toks) and LABELS[path[j]] == "I-" + label[2:]:
                 j += 1
             a, b = toks[i][1], toks[j - 1][2]
-            if all(e <= a or s >= b for _, s, e in found[n]) and _valid(label[2:], texts[n][a:b]):
+            if not cover[n].touches(a, b) and _valid(label[2:], texts[n][a:b]):
                 added[n].append((label[2:], a, b))
             i = j
     rank = {k: i for i, k in enumerate(KINDS)}
