@@ -184,6 +184,32 @@ def interval_gaps(spark, sf):
     return iv.interval_gaps(outer, covered, ["entity"])
 
 
+fragment("month_cover", """
+SELECT DISTINCT o_custkey % 50 AS entity, CAST(o_orderdate AS DATE) AS start, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 AS INTEGER) AS "end"
+FROM orders WHERE o_orderkey % 7 = 0
+""")
+
+
+# Thousands of overlapping outer intervals a key, among them one over a whole history.
+@query("interval_gaps_many", """
+WITH outer_rows AS (SELECT DISTINCT o_custkey % 50 AS entity, CAST(o_orderdate AS DATE) AS f, CAST(o_orderdate AS DATE) + 60 AS t FROM orders
+    UNION SELECT DISTINCT o_custkey % 50, DATE '1990-01-01', DATE '2002-12-31' FROM orders),
+  days AS (SELECT DISTINCT entity, CAST(d AS DATE) AS d FROM month_cover, range(start, "end" + 1, INTERVAL 1 DAY) r(d)),
+  free AS (SELECT entity, d + 1 AS s, coalesce(lead(d) OVER (PARTITION BY entity ORDER BY d), DATE '2100-01-01') - 1 AS e
+    FROM (SELECT * FROM days UNION ALL SELECT DISTINCT o_custkey % 50, DATE '1900-01-01' FROM orders))
+SELECT o.entity, greatest(s, f) AS gap_start, least(e, t) AS gap_end FROM outer_rows o JOIN free USING (entity)
+WHERE e >= s AND s <= t AND e >= f
+""")
+def interval_gaps_many(spark, sf):
+    o = v.table(spark, sf, "orders").select(
+        (F.col("o_custkey") % 50).alias("entity"), F.col("o_orderdate").cast("date").alias("start"), "o_orderkey")
+    whole = o.select("entity", F.lit(date(1990, 1, 1)).alias("start"), F.lit(date(2002, 12, 31)).alias("end")).distinct()
+    outer = o.select("entity", "start", F.date_add("start", 60).alias("end")).unionByName(whole)
+    covered = o.where(F.col("o_orderkey") % 7 == 0).select(
+        "entity", "start", F.date_add("start", (F.col("o_orderkey") % 5).cast("int")).alias("end"))
+    return iv.interval_gaps(outer, covered, ["entity"])
+
+
 @query("interval_sum", """
 SELECT w.entity, w.ws AS window_start, w.we AS window_end, CAST(coalesce(sum(l.value), 0) AS DOUBLE) AS total,
   count(l.value) AS n_used, coalesce(sum(l."end" - l.start + 1), 0) >= (w.we - w.ws + 1) - 7 AS complete

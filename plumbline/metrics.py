@@ -100,3 +100,14 @@ def metric_frame(spark: SparkSession, specs: Sequence[MetricSpec]) -> DataFrame:
         for s in unique(specs)
     ]
     return spark.createDataFrame(rows, _FRAME)
+
+
+def spec_table(spark: SparkSession, specs: Sequence[MetricSpec]) -> DataFrame:
+    """Where prose states metrics, as rows: phrases to stop at and patterns tried in order."""
+    rows = [
+        (s.key, s.unit, float(s.low), float(s.high), list(s.entity_types), list(s.search_phrases()), list(s.search_patterns()))
+        for s in unique(specs)
+    ]
+    return spark.createDataFrame(
+        rows, "metric string, unit string, low double, high double, entity_types array<string>, "
+              "phrases array<string>, patterns array<string>")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import rules
 from plumbline.functions.dates import days_inclusive
@@ -78,28 +78,39 @@ def build_ledger(
     return grouped.select(*keys, F.expr(f"inline({_ledger_sql(kind, passes, tolerance)})"))
 
 
+#: Days of a bin in which intervals of a key meet.
+BIN_DAYS = 366
+
+
+def _bin(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / BIN_DAYS).cast("int")
+
+
 def interval_gaps(outer: DataFrame, covered: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Parts of each key's outer interval that no covered interval reaches."""
+    """Parts of each of a key's outer intervals that no covered interval reaches.
+
+    One sweep over a key's covered days finds its free stretches; outer intervals, however many a
+    key has, then meet only the stretches of the time bins they span, each pair once.
+    """
     keys = list(keys)
-    span = outer.select(*keys, F.col("start").alias("_from"), F.col("end").alias("_to"))
+    span = outer.select(*keys, F.col("start").alias("_from"), F.col("end").alias("_to")).where("_from <= _to").distinct()
+    bounds = span.groupBy(*keys).agg(F.min("_from").alias("_low"), F.max("_to").alias("_high"))
     # One row per start day: a group is bounded by the calendar.
-    daily = covered.groupBy(*keys, "start").agg(F.max("end").alias("end"))
-    inside = span.join(daily, keys, "left").where(
-        F.col("start").isNull() | ((F.col("end") >= F.col("_from")) & (F.col("start") <= F.col("_to")))
-    )
-    line = Window.partitionBy(*keys, "_from", "_to").orderBy("start")
-    reach = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
-    cursor = F.greatest(F.date_add(F.coalesce(reach, F.date_sub("_from", 1)), 1), F.col("_from"))
-    before = inside.withColumn("_cursor", cursor)
-    lead = before.where(F.col("start") > F.col("_cursor")).select(
-        *keys, F.col("_cursor").alias("gap_start"), F.date_sub("start", 1).alias("gap_end"))
-    ends = inside.groupBy(*keys, "_from", "_to").agg(F.max("end").alias("_last"))
-    tail_start = F.coalesce(F.date_add("_last", 1), F.col("_from"))
-    tail = ends.where(tail_start <= F.col("_to")).select(
-        *keys, tail_start.alias("gap_start"), F.col("_to").alias("gap_end"))
-    untouched = span.join(inside.select(*keys, "_from", "_to").distinct(), [*keys, "_from", "_to"], "left_anti")
-    return lead.unionByName(tail).unionByName(
-        untouched.select(*keys, F.col("_from").alias("gap_start"), F.col("_to").alias("gap_end")))
+    daily = covered.where(F.col("start") <= F.col("end")).groupBy(*keys, "start").agg(F.max("end").alias("end"))
+    daily = daily.join(bounds, keys).where((F.col("end") >= F.col("_low")) & (F.col("start") <= F.col("_high")))
+    # The day behind the last one closes the last stretch, also of a key that nothing covers.
+    last = F.date_add("_high", 1)
+    line = daily.select(*keys, "start", "end", "_low").unionByName(
+        bounds.select(*keys, last.alias("start"), last.alias("end"), "_low"))
+    order = Window.partitionBy(*keys).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    cursor = F.greatest(F.coalesce(F.date_add(F.max("end").over(order), 1), F.col("_low")), F.col("_low"))
+    free = line.withColumn("_cursor", cursor).where(F.col("start") > F.col("_cursor")).select(
+        *keys, F.col("_cursor").alias("_s"), F.date_sub("start", 1).alias("_e"))
+    binned = lambda df, a, b: df.withColumn("_bin", F.explode(F.sequence(_bin(F.col(a)), _bin(F.col(b)))))
+    met = binned(span, "_from", "_to").join(binned(free, "_s", "_e"), [*keys, "_bin"]).where(
+        (F.col("_s") <= F.col("_to")) & (F.col("_e") >= F.col("_from"))
+        & (F.col("_bin") == F.greatest(_bin(F.col("_s")), _bin(F.col("_from")))))
+    return met.select(*keys, F.greatest("_s", "_from").alias("gap_start"), F.least("_e", "_to").alias("gap_end"))
 
 
 def sum_between(ledger: DataFrame, windows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -44,17 +44,22 @@ def _class_rank(declared: Column, wanted: Column) -> Column:
     )
 
 
-def evidence(cands: DataFrame, metrics: DataFrame, ref: Column | None = None) -> DataFrame:
+def evidence(cands: DataFrame, metrics: DataFrame, ref: Column | None = None, strict_independence: bool = False) -> DataFrame:
     """The narrow per-row facts that decide between candidates.
 
     ``metrics`` is the metric registry: metric, low, high, preferences. Without ``ref`` what
-    depends on the anchor is left for :func:`dated`.
+    depends on the anchor is left for :func:`dated`. Rows are one observation if they share
+    tier, filing and transforms; with ``strict_independence`` a filing has one vote whatever was
+    read from it and how, and only rows that name no filing are told apart by the rest.
     """
     dim = metrics.select("metric", "low", "high")
     flags = scoring.add_flag(
         F.col("flags"), rules.OUT_OF_RANGE_FLAG,
         scoring.out_of_range(F.col("value"), F.col("low"), F.col("high")),
     )
+    observation = F.concat_ws("\u0001", "tier", "accession", F.array_join("transforms", "\u0002"))
+    if strict_independence:
+        observation = F.when(F.coalesce(F.col("accession"), F.lit("")) != "", F.col("accession")).otherwise(observation)
     out = (
         cands.join(dim, "metric", "left")
         .withColumns({"flags": flags, "as_of": F.coalesce("as_of", "period_end")})
@@ -63,7 +68,7 @@ def evidence(cands: DataFrame, metrics: DataFrame, ref: Column | None = None) ->
             "tier_score": scoring.tier_score(F.col("tier")),
             "n_flags": F.size("flags"),
             "as_of_day": F.coalesce(F.unix_date("as_of"), F.lit(NO_DATE)),
-            "observation": F.concat_ws("\u0001", "tier", "accession", F.array_join("transforms", "\u0002")),
+            "observation": observation,
             "measures": ~scoring.has_any_flag(F.col("flags"), rules.NON_MEASUREMENT_FLAGS),
             "disqualified": scoring.has_any_flag(F.col("flags"), rules.DISQUALIFYING_FLAGS),
         })
@@ -337,6 +342,7 @@ def resolve(
     keys: Sequence[str] = ("entity", "metric"),
     fold_limit: int | None = FOLD_LIMIT,
     anchors: Sequence[date] | None = None,
+    strict_independence: bool = False,
 ) -> DataFrame:
     """Reconcile eligible candidates; precedence disqualified, stale, weak.
 
@@ -346,9 +352,11 @@ def resolve(
     Rows whose value is NULL or NaN take no part, and a key that has no other rows
     gives none. With ``anchors`` each row takes part at every anchor on or after its
     period; ``keys`` then have the column ``anchor``, and rows are copied inside
-    tasks that combine them, not before a shuffle of whole rows.
+    tasks that combine them, not before a shuffle of whole rows. ``strict_independence`` gives
+    every filing one vote (see :func:`evidence`).
     """
-    keyed = durable(keyed_by_basis(evidence(spread(usable(cands)), metrics), metrics))
+    keyed = durable(keyed_by_basis(
+        evidence(spread(usable(cands)), metrics, strict_independence=strict_independence), metrics))
     if anchors is not None:
         keyed = eligible(at_anchors(keyed, anchors), F.col("anchor"))
     return decide(settle_in_stages(dated(keyed, ref), entities, list(keys), fold_limit))

@@ -25,6 +25,7 @@ def reconcile_grid(
     notices: DataFrame | None = None,
     zero_rule: tuple[str, str] | None = ("incentive_fee_pct", "incentive_hurdle_pct"),
     anchors: Sequence[date] | None = None,
+    strict_independence: bool = False,
 ) -> DataFrame:
     """One row per entity and metric: a value, or the reason it is blank.
 
@@ -39,7 +40,8 @@ def reconcile_grid(
     grid = eligibility.dense_grid(entities, specs)
     if anchors is not None:
         grid = eligibility.at_anchors(grid, anchors)
-    found = resolve(cands, entities, metric_frame(spark, specs), ref, keys, anchors=anchors)
+    found = resolve(cands, entities, metric_frame(spark, specs), ref, keys, anchors=anchors,
+                    strict_independence=strict_independence)
     out = grid.join(found.select(*keys, *[c for c in RESULT if c != "unit"]), keys, "left")
     missing = F.col("score").isNull()
     if notices is not None:
@@ -87,6 +89,7 @@ def benchmark_run(
     anchors: Sequence[date],
     notices: DataFrame | None = None,
     zero_rule: tuple[str, str] | None = ("incentive_fee_pct", "incentive_hurdle_pct"),
+    strict_independence: bool = False,
 ) -> DataFrame:
     """The full run for every anchor: eligibility, explanations, reconciliation.
 
@@ -101,4 +104,4 @@ def benchmark_run(
         told = eligibility.at_anchors(notices, anchors)
         said = said.unionByName(told.select(*late.columns))
     first = eligibility.first_notices(said, keys)
-    return reconcile_grid(cands, entities, specs, F.col("anchor"), first, zero_rule, anchors)
+    return reconcile_grid(cands, entities, specs, F.col("anchor"), first, zero_rule, anchors, strict_independence)

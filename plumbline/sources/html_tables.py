@@ -3,25 +3,93 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.functions import text as tx
 from plumbline.metrics import MetricSpec
-from plumbline.sources.prose import Places, first_distinct, loose, shown
+from plumbline.sources.phrases import Places, hint
+from plumbline.sources.prose import first_distinct, shown
 
-_TABLE = re.compile(r"<table.*?</table>", re.S)
-_ROW = re.compile(r"<tr\b.*?(?=<tr\b|</table>|\Z)", re.S | re.I)
-_CELL = re.compile(r"<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</tr\b|\Z)", re.S | re.I)
+_TAG = re.compile(r"<!--.*?-->|<(/?)(table|tr|td|th)\b[^>]*>", re.S | re.I)
 
 
-def _rows_of(table: str) -> list[list[str]]:
+@dataclass
+class Table:
+    """A table of a page: where it lies, the table around it, its rows of cells as stretches of the page."""
+
+    start: int
+    body: int
+    up: int | None
+    end: int = -1
+    rows: list[list[list[tuple[int, int]]]] = field(default_factory=list)
+    # Where the open cell's text goes on; None outside of cells.
+    cell: int | None = None
+    in_row: bool = False
+
+
+def table_tree(page: str) -> list[Table]:
+    """The tables of a page in the order they start, nested ones with rows of their own.
+
+    Tags may be in any case. A cell ends at the next cell, row or end of its table; text of a
+    nested table is not the outer cell's. A table that is never closed reaches to the page's end.
+    """
+    tables: list[Table] = []
+    open_: list[int] = []
+
+    def pause(t: Table, at: int) -> None:
+        if t.cell is not None:
+            t.rows[-1][-1].append((t.cell, at))
+
+    def close(t: Table, at: int, row: bool) -> None:
+        pause(t, at)
+        t.cell = None
+        t.in_row = t.in_row and not row
+
+    for m in _TAG.finditer(page):
+        name = (m[2] or "").lower()
+        if name == "table" and not m[1]:
+            if open_:
+                pause(tables[open_[-1]], m.start())
+            tables.append(Table(m.start(), m.end(), open_[-1] if open_ else None))
+            open_.append(len(tables) - 1)
+            continue
+        if not name or not open_:
+            continue
+        t = tables[open_[-1]]
+        if name == "table":
+            close(t, m.start(), True)
+            t.end = m.end()
+            open_.pop()
+            if open_ and tables[open_[-1]].cell is not None:
+                tables[open_[-1]].cell = m.end()
+        elif m[1]:
+            close(t, m.start(), name == "tr")
+        elif name == "tr":
+            close(t, m.start(), True)
+            t.rows.append([])
+            t.in_row = True
+        else:
+            close(t, m.start(), False)
+            if not t.in_row:
+                t.rows.append([])
+                t.in_row = True
+            t.rows[-1].append([])
+            t.cell = m.end()
+    for n in reversed(open_):
+        close(tables[n], len(page), True)
+        tables[n].end = len(page)
+    return tables
+
+
+def _rows_of(page: str, table: Table) -> list[list[str]]:
     rows = []
-    for row in _ROW.findall(table):
-        cells = [shown(c) for c in _CELL.findall(row)]
+    for row in table.rows:
+        cells = [shown(" ".join(page[a:b] for a, b in cell)) for cell in row]
         cells = [c for c in cells if c]
         if cells:
             rows.append(cells)
@@ -35,8 +103,9 @@ def html_tables(
     """Rows of the tables an anchor phrase points at, one row per table row.
 
     By default an anchor points at the first table that starts after it, no further away than
-    ``within`` characters if given; with ``enclosing`` at the table it stands in. Each row
-    carries its table's header cells and the text between the table before and its own, or its
+    ``within`` characters if given; with ``enclosing`` at the innermost table it stands in. Tables
+    inside others have numbers and rows of their own. Each row carries its table's header cells
+    and the text between the table before (or the start of the table around) and its own, or its
     last ``preamble`` characters. Documents stay where they are and rows stream out of each
     partition; a null page has no tables.
     """
@@ -49,35 +118,39 @@ def html_tables(
     names = schema.names
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        places = Places(phrases)
+        wanted = Places(phrases)
         for batch in batches:
             out = []
             for rec in batch.itertuples(index=False, name=None):
                 ids, page = rec[:-1], rec[-1]
-                spans = [m.span() for m in _TABLE.finditer(page)]
-                starts = [s for s, _ in spans]
+                tables = table_tree(page)
+                starts, ends = [t.start for t in tables], sorted(t.end for t in tables)
                 first: dict[int, int] = {}
-                for pos in places.of(page):
-                    at = bisect_left(starts, pos)
+                for pos in wanted.of(page):
+                    at: int | None = bisect_left(starts, pos)
                     if enclosing:
-                        at -= 1
-                        good = 0 <= at < len(spans) and pos < spans[at][1]
-                    else:
-                        good = at < len(spans) and (within is None or starts[at] - pos <= within)
-                    if good:
+                        at = at - 1 if at else None
+                        while at is not None and tables[at].end <= pos:
+                            at = tables[at].up
+                    elif at == len(tables) or within is not None and starts[at] - pos > within:
+                        at = None
+                    if at is not None:
                         first.setdefault(at, pos)
                 for at, pos in first.items():
-                    begin, end = spans[at]
-                    rows = _rows_of(page[begin:end])
-                    before = shown(page[spans[at - 1][1] if at else 0:begin])
+                    own = tables[at]
+                    rows = _rows_of(page, own)
+                    done = bisect_right(ends, own.start)
+                    begin = max(ends[done - 1] if done else 0, tables[own.up].body if own.up is not None else 0)
+                    before = shown(page[begin:own.start])
                     before = before if preamble is None else before[-preamble:] if preamble else ""
                     for n, cells in enumerate(rows):
                         out.append((*ids, at, pos, n, cells, rows[0], before))
             if out:
                 yield pd.DataFrame(out, columns=names)
 
-    words = "|".join(map(loose, phrases))
-    near = docs.where(F.contains(F.col(html), F.lit("<table")) & F.col(html).rlike(f"(?iuU){words}"))
+    near, words = docs.where(F.col(html).rlike("(?i)<table")), hint(phrases)
+    if words is not None:
+        near = near.where(F.col(html).rlike(words))
     return near.select(*keys, html).mapInPandas(scan, schema)
 
 
