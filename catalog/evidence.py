@@ -382,6 +382,38 @@ def tolerance_cluster(spark, sf):
     return price_clusters(spark, sf, FOLD_LIMIT)
 
 
+# All prices as one group.
+fragment("one_walk", """
+SELECT min(l_extendedprice) AS leader FROM lineitem
+UNION ALL
+SELECT min(p.value) FROM one_walk w JOIN (SELECT DISTINCT l_extendedprice AS value FROM lineitem) p
+  ON p.value > w.leader AND abs(w.leader - p.value) > greatest(0.10, 0.010 * (abs(w.leader) + abs(p.value)) / 2)
+HAVING min(p.value) IS NOT NULL
+""")
+
+
+@query("tolerance_cluster_one_group", """
+SELECT w.cluster, w.leader, count(*) AS n, max(l_extendedprice) AS high
+FROM lineitem ASOF JOIN (SELECT leader, row_number() OVER (ORDER BY leader) AS cluster FROM one_walk) w ON l_extendedprice >= w.leader
+GROUP BY ALL
+""")
+def tolerance_cluster_one_group(spark, sf):
+    rows = price_rows(spark, sf).withColumn("part", F.lit(0))
+    return tolerance_clusters(rows, ["part"]).groupBy("cluster", "leader").agg(
+        F.count(F.lit(1)).alias("n"), F.max("value").alias("high"))
+
+
+@query("independent_filings", """
+SELECT entity, metric, basis_key, count(DISTINCT accession) AS independents, count(*) AS n
+FROM ev WHERE anchor = DATE '2000-12-31' GROUP BY ALL
+""")
+def independent_filings(spark, sf):
+    """One vote per filing, whatever was read from it and how."""
+    ev = rs.evidence(eligible_candidates(spark, sf), v.metrics(spark), v.ref(), strict_independence=True)
+    return rs.keyed_by_basis(ev, v.metrics(spark)).groupBy(*KEYS, "basis_key").agg(
+        F.count_distinct("observation").alias("independents"), F.count(F.lit(1)).alias("n"))
+
+
 @query("independent_count", """
 SELECT entity, metric, basis_key, count(DISTINCT obs) AS independents, count(*) AS n
 FROM ev WHERE anchor = DATE '2000-12-31' GROUP BY ALL

@@ -424,6 +424,23 @@ def declared_by_type(spark, sf):
     return prose.declared_metrics(docs, [spec], ["doc_id"], entity_type=docs["lang"]).select("doc_id", "metric", "value")
 
 
+@query("declared_spec_rows", """
+SELECT DISTINCT doc_id, 'mail_' || CAST(p_partkey AS VARCHAR) AS metric, CAST(p_partkey AS DOUBLE) AS value
+FROM (SELECT doc_id, lang, unnest(regexp_extract_all(text, '(?i)mail([0-9]+)\\.', 1)) AS n FROM documents)
+JOIN part ON n = CAST(p_partkey AS VARCHAR) WHERE p_partkey % 2 = 1 OR lang IN ('de', 'fr')
+""")
+def declared_spec_rows(spark, sf):
+    """Specs as rows, one per part; those of even parts count in documents of two types only."""
+    n = F.col("p_partkey").cast("string")
+    specs = v.table(spark, sf, "part").select(
+        F.concat(F.lit("mail_"), n).alias("metric"), F.lit("count").alias("unit"), F.lit(-1e9).alias("low"), F.lit(1e9).alias("high"),
+        F.when(F.col("p_partkey") % 2 == 0, F.array(F.lit("de"), F.lit("fr"))).otherwise(F.array().cast("array<string>")).alias("entity_types"),
+        F.array(F.concat(F.lit("mail"), n, F.lit("."))).alias("phrases"),
+        F.array(F.concat(F.lit("mail("), n, F.lit(")\\."))).alias("patterns"))
+    docs = v.table(spark, sf, "documents")
+    return prose.declared_metrics(docs, specs, ["doc_id"], entity_type=docs["lang"]).select("doc_id", "metric", "value")
+
+
 @query("first_distinct", """
 SELECT user_id, event_type, value, event_id FROM (SELECT user_id, event_type, floor(value / 10) AS value, event_id,
   row_number() OVER (PARTITION BY user_id, event_type, floor(value / 10) ORDER BY event_id) AS k FROM events) WHERE k = 1
@@ -516,6 +533,30 @@ def html_table_scan(spark, sf):
     return rows.select("o_orderkey", "row_no", F.array_join("cells", "|").alias("cells"))
 
 
+def nested_pages(spark, sf):
+    """A table in capitals whose first row holds a table of its own; every third page is cut off."""
+    o = orders(spark, sf)
+    k = F.col("o_orderkey")
+    a = F.format_string("%.2f", (k % 300 + 50) / 100)
+    inner = F.concat(F.lit("<table><tr><td>Inner</td><td>"), a, F.lit("%</td></tr><tr><th>Last"),
+                     F.when(k % 2 == 0, F.lit("</th></tr></table>")).otherwise(F.lit("</table>")))
+    end = F.when(k % 3 == 0, F.lit("")).otherwise(F.lit("</TD></TR></TABLE></html>"))
+    page = join_text("<html><p>Annual Expenses</p><TABLE border=1>\n<TR><TD>Outer<!-- <td>x</td> --><TD>before Shareholder <b>Fees</b> ", inner,
+                     " behind</TD></TR><TR><TD>Management Fee</TD><TD>", a, "%", end)
+    return o.select("o_orderkey", page.alias("html"))
+
+
+@query("nested_table_scan", """
+SELECT o_orderkey, t AS table_no, r AS row_no, CASE WHEN t = 0 AND r = 0 THEN 'Outer|before Shareholder Fees behind'
+  WHEN t = 0 THEN 'Management Fee|' || a || '%' WHEN r = 0 THEN 'Inner|' || a || '%' ELSE 'Last' END AS cells,
+  CASE WHEN t = 0 THEN 'Annual Expenses' ELSE 'Outer before Shareholder Fees' END AS preamble
+FROM (SELECT o_orderkey, printf('%.2f', (o_orderkey % 300 + 50) / 100) AS a FROM orders), (VALUES (0), (1)) u(t), (VALUES (0), (1)) w(r)
+""")
+def nested_table_scan(spark, sf):
+    rows = ht.html_tables(nested_pages(spark, sf), ["o_orderkey"], "html", ht.FEE_ANCHORS)
+    return rows.select("o_orderkey", "table_no", "row_no", F.array_join("cells", "|").alias("cells"), "preamble")
+
+
 @query("fee_table_extract", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'management_fee_pct' ELSE 'incentive_fee_pct' END AS metric, (o_orderkey % 300 + 50) / 100 AS value,
   CASE WHEN o_orderkey % 2 = 0 THEN 'pct_of_net_assets' ELSE 'pct_of_unstated' END AS fee_basis,

@@ -190,14 +190,22 @@ FROM orders WHERE o_orderkey % 7 = 0
 """)
 
 
+fragment("gap_outer", """
+SELECT DISTINCT o_custkey % 50 AS entity, CAST(o_orderdate AS DATE) AS f, CAST(o_orderdate AS DATE) + 60 AS t FROM orders
+UNION SELECT DISTINCT o_custkey % 50, DATE '1990-01-01', DATE '2002-12-31' FROM orders
+""")
+fragment("gap_days", """
+SELECT DISTINCT entity, CAST(start + CAST(k AS INTEGER) AS DATE) AS d FROM month_cover, range(5) r(k) WHERE start + CAST(k AS INTEGER) <= "end"
+""")
+fragment("gap_free", """
+SELECT entity, d + 1 AS s, coalesce(lead(d) OVER (PARTITION BY entity ORDER BY d), DATE '2100-01-01') - 1 AS e
+FROM (SELECT * FROM gap_days UNION ALL SELECT DISTINCT o_custkey % 50, DATE '1900-01-01' FROM orders)
+""")
+
+
 # Thousands of overlapping outer intervals a key, among them one over a whole history.
 @query("interval_gaps_many", """
-WITH outer_rows AS (SELECT DISTINCT o_custkey % 50 AS entity, CAST(o_orderdate AS DATE) AS f, CAST(o_orderdate AS DATE) + 60 AS t FROM orders
-    UNION SELECT DISTINCT o_custkey % 50, DATE '1990-01-01', DATE '2002-12-31' FROM orders),
-  days AS (SELECT DISTINCT entity, CAST(d AS DATE) AS d FROM month_cover, range(start, "end" + 1, INTERVAL 1 DAY) r(d)),
-  free AS (SELECT entity, d + 1 AS s, coalesce(lead(d) OVER (PARTITION BY entity ORDER BY d), DATE '2100-01-01') - 1 AS e
-    FROM (SELECT * FROM days UNION ALL SELECT DISTINCT o_custkey % 50, DATE '1900-01-01' FROM orders))
-SELECT o.entity, greatest(s, f) AS gap_start, least(e, t) AS gap_end FROM outer_rows o JOIN free USING (entity)
+SELECT o.entity, greatest(s, f) AS gap_start, least(e, t) AS gap_end FROM gap_outer o JOIN gap_free USING (entity)
 WHERE e >= s AND s <= t AND e >= f
 """)
 def interval_gaps_many(spark, sf):

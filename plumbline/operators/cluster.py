@@ -11,14 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.functions import scoring
 from plumbline.session import durable
 
-# A group with more distinct values than this (4 MB of numbers) is walked on the
-# cluster instead of being folded in one array. Rows do not count, only values.
-FOLD_LIMIT = 500_000
+# Groups of at most this many distinct values (80 kB of numbers) are folded in one array; larger
+# ones are walked by jump pointers. Rows do not count, only values; both ways give the same.
+FOLD_LIMIT = 10_000
+# A cell is half a tolerance wide, so values this many cells apart never agree.
+REACH = 4
+# Cells whose values meet in one task to find what lies out of each one's reach.
+CELLS = 8
 
 
 def leaders_sql(values: str, unit: str) -> str:
@@ -43,37 +49,63 @@ def cell_number(value: Column, unit: Column) -> Column:
     return F.floor(F.signum(value) * units * 2)
 
 
+def _out_of_reach(table: pd.DataFrame) -> pd.DataFrame:
+    """For each of a chunk's own values the smallest greater one there that disagrees with it."""
+    table = table.sort_values("value", ignore_index=True)
+    v, absolute, relative = table["value"].to_numpy(), table["_abs"].iat[0], table["_rel"].iat[0]
+    low, high = np.arange(1, len(v) + 1), np.full(len(v), len(v))
+    while (open_ := low < high).any():
+        half = (low + high) // 2
+        other = v[np.minimum(half, len(v) - 1)]
+        mid = (np.abs(v) + np.abs(other)) / 2
+        mid[mid == 0] = 1.0
+        apart = np.abs(v - other) > np.maximum(absolute, mid * relative)
+        high = np.where(open_ & apart, half, high)
+        low = np.where(open_ & ~apart, half + 1, low)
+    table["next"] = np.where(low < len(v), v[np.minimum(low, len(v) - 1)], np.nan)
+    return table[table["_own"]].drop(columns=["_own", "_abs", "_rel", "_chunk"])
+
+
+def _jumps(values: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
+    """group, value, ``next``: the smallest greater value of the group that disagrees with it.
+
+    It lies within the next few cells, which meet in one task, or is the first value of the first
+    used cell behind them, which the cell summary knows.
+    """
+    absolute, relative = scoring.tolerance_parts(F.col("unit"))
+    chunk = F.floor(F.col("cell") / CELLS)
+    rows = values.withColumns({"_abs": absolute, "_rel": relative, "_chunk": chunk, "_own": F.lit(True)})
+    halo = rows.where(F.pmod("cell", F.lit(CELLS)) < REACH).withColumns({"_chunk": chunk - 1, "_own": F.lit(False)})
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in values.schema.fields)
+    near = rows.unionByName(halo).groupBy(*group, "_chunk").applyInPandas(_out_of_reach, f"{kinds}, next double")
+    behind = Window.partitionBy(*group).orderBy("_back").rangeBetween(Window.unboundedPreceding, -REACH)
+    far = cells.withColumn("_back", -F.col("cell")).withColumn("_far", F.min("low").over(behind))
+    found = near.join(far.select(*group, "cell", "_far"), [*group, "cell"])
+    # What pandas leaves open comes back as null.
+    return found.select(*group, "value", F.coalesce("next", "_far").alias("next")).where("next is not null")
+
+
 def _walk(values: DataFrame, keys: list[str]) -> DataFrame:
-    """Leaders of oversized groups, found without gathering any group.
+    """Leaders of large groups, found without gathering any group.
 
-    A value that disagrees with the one just below it always leads, so groups
-    first fall apart into segments at such gaps. All segments of all groups then
-    advance together: each round finds, from the bounded cell summary, the next
-    cell holding a value out of reach and looks up the smallest such value. The
-    rounds number the clusters of the longest segment.
+    Every value points to the smallest greater one that disagrees with it; the leaders are the
+    chain from a group's smallest value. Pointers are doubled: in each round the leaders found so
+    far take the pointer once, then every pointer is followed by itself. A chain has a leader per
+    cell at most, so the rounds are the logarithm of the cells of the largest group.
     """
     group = [*keys, "unit"]
     values = durable(values.distinct().withColumn("cell", cell_number(F.col("value"), F.col("unit"))))
-    summary = values.groupBy(*group, "cell").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    line = Window.partitionBy(*group).orderBy("cell")
-    below = F.lag("high").over(line)
-    apart = F.coalesce(~scoring.values_agree(below, F.col("low"), F.col("unit")), F.lit(True)).cast("int")
-    cells = durable(summary.withColumn("_apart", apart).withColumn("segment", F.sum("_apart").over(line)).drop("_apart"))
-    by = [*group, "segment"]
-    found = [durable(cells.groupBy(*by).agg(F.min("low").alias("leader")))]
-    while True:
-        beyond = cells.join(found[-1], by).where(
-            (F.col("high") > F.col("leader")) & ~scoring.values_agree(F.col("leader"), F.col("high"), F.col("unit")))
-        ahead = durable(beyond.groupBy(*by, "leader").agg(F.min("cell").alias("cell")))
-        if ahead.isEmpty():
-            break
-        reach = values.join(ahead, [*group, "cell"]).where(
-            (F.col("value") > F.col("leader")) & ~scoring.values_agree(F.col("leader"), F.col("value"), F.col("unit")))
-        found.append(durable(reach.groupBy(*by).agg(F.min("value").alias("leader"))))
-    leaders = found[0]
-    for part in found[1:]:
-        leaders = leaders.unionByName(part)
-    return leaders.groupBy(*keys).agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
+    cells = durable(values.groupBy(*group, "cell").agg(F.min("value").alias("low")))
+    most = cells.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    jump = durable(_jumps(values, cells, group))
+    found = durable(cells.groupBy(*group).agg(F.min("low").alias("leader")))
+    for step in range(most.bit_length()):
+        if step:
+            again = jump.select(*group, F.col("value").alias("next"), F.col("next").alias("_after"))
+            jump = durable(jump.join(again, [*group, "next"]).select(*group, "value", F.col("_after").alias("next")))
+        ahead = found.join(jump.withColumnRenamed("value", "leader"), [*group, "leader"])
+        found = durable(found.unionByName(ahead.select(*group, F.col("next").alias("leader"))))
+    return found.groupBy(*keys).agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
 
 
 def cluster_leaders(

@@ -58,9 +58,14 @@ def table_tree(page: str) -> list[Table]:
             tables.append(Table(m.start(), m.end(), open_[-1] if open_ else None))
             open_.append(len(tables) - 1)
             continue
-        if not name or not open_:
+        if not open_:
             continue
         t = tables[open_[-1]]
+        if not name:
+            # A comment is no text of its cell.
+            pause(t, m.start())
+            t.cell = m.end() if t.cell is not None else None
+            continue
         if name == "table":
             close(t, m.start(), True)
             t.end = m.end()

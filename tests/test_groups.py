@@ -37,6 +37,21 @@ def test_leaders_match_full_search_on_both_paths(spark):
         assert got == want, limit
 
 
+def test_dense_groups_of_every_shape_by_jump_pointers(spark):
+    rnd = random.Random(7)
+    shapes = {
+        "one": [3.0], "equal": [2.5, 2.5], "zero": [0.0, -0.0, 0.004, -0.004],
+        "dense": [rnd.uniform(0.9, 1.4) for _ in range(1200)],
+        "wide": [(-1) ** i * 10 ** rnd.uniform(-4, 9) for i in range(300)],
+        "steps": [round(i * 0.05, 2) for i in range(-60, 300)],
+    }
+    for unit in ("pct", "usd"):
+        rows = [(k, "x", x, unit) for k, values in shapes.items() for x in values]
+        df = spark.createDataFrame(rows, "k string, j string, value double, unit string")
+        got = {r["k"]: r["leaders"] for r in cluster_leaders(df, ["k", "j"], 0).collect()}
+        assert got == {k: brute_clusters(v, unit) for k, v in shapes.items()}
+
+
 def test_cluster_of_each_row_is_the_greatest_leader_not_above(spark):
     rows = sample(2)
     df = spark.createDataFrame(rows, "k string, value double, unit string")

@@ -137,6 +137,16 @@ def test_result_does_not_depend_on_layout_or_path(spark, dims):
     assert all(s == seen[0] for s in seen)
 
 
+def test_a_filing_has_one_vote_where_independence_is_strict(spark, dims):
+    rows = [cand(value=1.0, accession="A1"), cand(value=1.0, accession="A1", tier="html_table"), cand(value=1.5, accession="A2"),
+            cand("IF", value=1.0, accession=None), cand("IF", value=1.0, accession=None, tier="html_table")]
+    loose, strict = run(spark, dims, rows), run(spark, dims, rows, strict_independence=True)
+    key = ("BDC", "management_fee_pct")
+    assert (loose[key]["n_agree"], loose[key]["n_disagree"]) == (1, 1)
+    assert (strict[key]["n_agree"], strict[key]["n_disagree"]) == (0, 1)
+    assert strict["IF", "management_fee_pct"]["n_agree"] == 1
+
+
 def test_values_that_are_no_numbers_take_no_part(spark, dims):
     nan = float("nan")
     rows = [cand(value=None, accession="A1"), cand(value=1.0, accession="A2"), cand(value=nan, accession="A3"),

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.metrics import MetricSpec
+from plumbline.metrics import MetricSpec, spec_table
 from plumbline.plans.candidates import class_candidates
 from plumbline.session import durable, shared_folder
 from plumbline.sources import html_tables as ht, prose, structured as st
@@ -64,6 +64,33 @@ def test_first_stops_and_windows(spark):
     assert read() == 0 and read(after=None) == 1
 
 
+def test_places_of_many_phrases_in_markup():
+    text = "Mana<b>gement</b> fee; MANAGEMENT<br>\n&nbsp;Fee and management&#8217;fee, <i title='Management  Fee'>managementfee</i> < fee"
+    at = [i for i in range(len(text)) if text[i:].lower().startswith("management") and "fee" in text[i + 10:i + 24].lower()]
+    assert list(prose.Places(["management fee", "no such phrase"]).of(text)) == at and len(at) == 4
+    many = prose.Places([f"word{i} x" for i in range(3000)] + ["word7 x y"])
+    assert many.hits("word12 x; word7 x y; word299 9") == [(0, 12), (10, 7), (10, 3000)]
+    assert list(prose.Places([]).of("text")) == [] and list(prose.Places([""]).of("text")) == [0] and prose.Places(["a"]).hits("") == []
+
+
+def test_specs_as_rows(spark):
+    specs = [MetricSpec(f"m{i}", anchors=(f"rate {i} is",), patterns=(rf"rate {i} is ([0-9.]+)",)) for i in range(400)]
+    df = docs(spark, " ".join(f"rate {i} is {i}.5;" for i in (3, 77, 399)), "rate 400 is 1")
+    for given in (specs, spec_table(spark, specs)):
+        got = {r["metric"]: r["value"] for r in prose.declared_metrics(df, given, ["id"]).collect()}
+        assert got == {"m3": 3.5, "m77": 77.5, "m399": 399.5}
+    with pytest.raises(ValueError):
+        prose.declared_metrics(df, spec_table(spark, specs[:1]).union(spec_table(spark, specs[:1])), ["id"])
+
+
+def test_table_tree():
+    page = ("<TABLE><tr><td>a<td>b <table><tr><th>in</th></tr><tr><td>x<!-- </table> --></td></tr></table> c</tr><tr><td></td></tr>"
+            "<tr><td>last</TABLE> text <table><td>no row</td><tr></tr>")
+    rows = [ht._rows_of(page, t) for t in ht.table_tree(page)]
+    assert rows == [[["a", "b c"], ["last"]], [["in"], ["x"]], [["no row"]]]
+    assert ht.table_tree("</table><tr><td>x") == [] and ht.table_tree("") == []
+
+
 def test_declared_metrics_of_entity_types_and_odd_captures(spark):
     spec = MetricSpec("rate", anchors=("rate",), patterns=(r"rate ([0-9.]+)",), entity_types=("A",))
     df = spark.createDataFrame([(1, "A", "rate 1.5"), (2, "B", "rate 1.5"), (3, None, "rate 1.5"), (4, "A", "rate 1.2.3"), (5, "A", None)],

@@ -116,6 +116,27 @@ def test_gaps_match_marking_days(spark):
     assert got == sorted(want)
 
 
+def test_gaps_of_many_outer_intervals(spark):
+    rnd = random.Random(6)
+    day = lambda n: D(2020, 1, 1) + timedelta(days=n)
+    outer = [(k, day(a), day(a + rnd.randint(0, 500))) for k in range(4) for a in rnd.sample(range(1500), 25)] + [(9, day(0), day(10))]
+    outer += [(0, day(0), day(2000)), (0, day(0), day(2000)), (1, day(5), day(3))]
+    cover = [(k, day(a), day(a + rnd.randint(-1, 60))) for k in range(3) for a in rnd.sample(range(-100, 2100), 30)]
+    got = iv.interval_gaps(spark.createDataFrame(outer, "k int, start date, end date"),
+                           spark.createDataFrame(cover, "k int, start date, end date"), ["k"])
+    want = []
+    for k, s, e in set(outer):
+        taken = {a + timedelta(i) for c, a, b in cover if c == k for i in range((b - a).days + 1)}
+        run = []
+        for d in [s + timedelta(i) for i in range((e - s).days + 2)]:
+            if d <= e and d not in taken:
+                run.append(d)
+            elif run:
+                want.append((k, run[0], run[-1]))
+                run = []
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def month_ends(n, last=D(2025, 12, 31)):
     out, d = [], last
     for _ in range(n):
