@@ -195,6 +195,26 @@ def test_detect_and_mask(spark, edges):
     assert len(pii.detect(edges, "doc_id").collect()) == len(EDGES) and pii.detect(edges.limit(0), "doc_id").count() == 0
 
 
+def test_covered_and_touched_stretches_against_all_pairs():
+    r = random.Random(4)
+    for _ in range(300):
+        spans = [("ip", a, a + r.randint(1, 9)) for a in (r.randint(0, 40) for _ in range(r.randint(0, 6)))]
+        cover = pii._Cover(spans)
+        for a in range(50):
+            b = a + r.randint(1, 6)
+            assert cover.covers(a, b) == any(s <= a and b <= e for _, s, e in spans)
+            assert cover.touches(a, b) == any(s < b and e > a for _, s, e in spans)
+
+
+def test_many_addresses_take_linear_time():
+    import time
+
+    text = " ".join(f"10.0.{i % 250}.{i % 199}" for i in range(10_000))
+    began = time.process_time()
+    (base, _), = pii.find_spans([text], pii.default_field())
+    assert len(base) == 10_000 and time.process_time() - began < 20
+
+
 def test_long_runs_take_linear_time():
     text = "a" * 200_000 + " @ " + "1" * 200_000 + "." * 50_000 + "+1" + " " * 100_000
     assert pii.find_spans([text], pii.default_field())[0][0] == []
