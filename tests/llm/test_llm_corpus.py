@@ -264,7 +264,7 @@ def test_fold_is_crc32(corpus):
 def test_every_operator_has_its_query():
     from plumbline.llm.queries import QUERIES
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name, columns, per", [
@@ -273,6 +273,7 @@ def test_every_operator_has_its_query():
     ("op7_", "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", "documents"),
     ("op8_", "doc_id n_shingles component_id", "documents"), ("op9_", "vec_id n_links component_id kept", "embeddings"),
     ("op10_", "doc_id held_out n_tokens n_known train_tokens base_score score", "documents"),
+    ("op13_", "doc_id n_tokens ids_sha256 decoded_sha256", "documents"),
 ])
 def test_queries_return_a_row_per_input_row(spark, name, columns, per):
     from plumbline.llm.queries import QUERIES
