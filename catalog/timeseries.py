@@ -158,6 +158,30 @@ def interval_ledger(spark, sf):
     return ledger(spark, sf).select("entity", "start", "end", F.col("value").cast("double").alias("value"), "source")
 
 
+fragment("history", """
+SELECT entity, min(y) AS y1, max(y) AS y2, sum(q1 + q2 + q3 + q4) AS total, count(*) AS years FROM v_years GROUP BY entity
+""")
+
+
+# Two totals over an entity's whole history. One ends a quarter later and lacks nothing else once
+# the years are settled, so that quarter is recovered; the other is open at both ends and tells nothing.
+@query("interval_ledger_whole", """
+SELECT entity, start, "end", CAST(value AS DOUBLE) AS value, source, CAST(CASE WHEN source = 'tagged' THEN 0
+  WHEN month(start) = 4 THEN 1 ELSE 3 END AS INTEGER) AS parts FROM ledger
+UNION ALL SELECT entity, make_date(y2 + 1, 1, 1), make_date(y2 + 1, 3, 31), 1000.25, 'derived_by_difference', CAST(4 * years AS INTEGER)
+FROM history WHERE y2 - y1 + 1 = years
+""")
+def interval_ledger_whole(spark, sf):
+    stated = v.intervals(spark, sf)
+    full = stated.where(F.date_diff("end", "start") > 360).groupBy("entity").agg(
+        F.min("start").alias("start"), F.max("end").alias("last"), F.sum("value").alias("total"))
+    late = full.select("entity", "start", F.add_months("last", 3).alias("end"), (F.col("total") + F.lit("1000.25").cast("decimal(18,2)")).alias("value"))
+    loose = full.select("entity", F.add_months("start", -120).alias("start"), F.add_months("last", 120).alias("end"), F.col("total").alias("value"))
+    whole = late.unionByName(loose).select(
+        "entity", "start", "end", F.col("value").cast("decimal(18,2)"), F.lit("tagged").alias("source"), F.lit(9).cast("bigint").alias("ord"))
+    return iv.build_ledger(stated.unionByName(whole), ["entity"]).withColumn("value", F.col("value").cast("double"))
+
+
 fragment("cover_days", """
 SELECT DISTINCT o_custkey AS entity, CAST(o_orderdate AS DATE) AS start, CAST(o_orderdate AS DATE) + 200 AS "end" FROM orders
 """)

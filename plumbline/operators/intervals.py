@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from plumbline import rules
 from plumbline.functions.dates import days_inclusive
 from plumbline.operators.groups import first_per_group, last_per_group
+from plumbline.session import durable
 
 
 def overlap_islands(df: DataFrame, keys: Sequence[str], name: str = "island") -> DataFrame:
@@ -25,33 +26,105 @@ def overlap_islands(df: DataFrame, keys: Sequence[str], name: str = "island") ->
     ).drop("_opens")
 
 
-def _ledger_sql(kind: str, passes: int | None, tolerance: float) -> str:
-    entry = f"array<struct<start: date, end: date, value: {kind}, source: string, parts: int>>"
-    accept = f"""aggregate(spans, cast(array() as {entry}), (acc, p) ->
+def _accept_sql(kind: str) -> str:
+    """SQL taking spans, shortest first, that overlap none taken before."""
+    entry = f"array<struct<start: date, end: date, value: {kind}>>"
+    return f"""aggregate(spans, cast(array() as {entry}), (acc, p) ->
         if(exists(acc, a -> a.start <= p.end and p.start <= a.end), acc,
-           concat(acc, array(named_struct('start', p.start, 'end', p.end, 'value', p.value,
-                                          'source', 'tagged', 'parts', 0)))))"""
+           concat(acc, array(named_struct('start', p.start, 'end', p.end, 'value', p.value)))))"""
+
+
+def _recover_sql(kind: str, passes: int | None, tolerance: float) -> str:
+    """SQL recovering periods from spans that carry their free stretches and what those lack."""
+    entry = f"array<struct<start: date, end: date, value: {kind}, parts: bigint>>"
+    # What covers p: the runs between its free stretches, and periods recovered before.
+    runs = """filter(transform(sequence(0, size(p.free)), i -> named_struct(
+        'start', if(i = 0, p.start, date_add(p.free[i - 1].e, 1)),
+        'end', if(i = size(p.free), p.end, date_sub(p.free[i].s, 1)))), r -> r.start <= r.end)"""
     # The one uncovered stretch of p, as (cursor, count, first day, last day).
-    hole = """aggregate(ins, named_struct('at', p.start, 'n', 0, 's', p.start, 'e', p.start), (h, a) ->
+    hole = f"""aggregate(sort_array(concat({runs}, transform(ins, a -> named_struct('start', a.start, 'end', a.end)))),
+        named_struct('at', p.start, 'n', 0, 's', p.start, 'e', p.start), (h, a) ->
         named_struct('at', greatest(h.at, date_add(a.end, 1)), 'n', if(a.start > h.at, h.n + 1, h.n),
           's', if(a.start > h.at, h.at, h.s), 'e', if(a.start > h.at, date_sub(a.start, 1), h.e)),
         h -> if(h.at <= p.end, named_struct('n', h.n + 1, 's', h.at, 'e', p.end),
                 named_struct('n', h.n, 's', h.s, 'e', h.e)))"""
-    rest = f"aggregate(ins, p.value, (r, a) -> cast(r - a.value as {kind}))"
+    rest = f"aggregate(ins, p.rest, (r, a) -> cast(r - a.value as {kind}))"
     small = f"cast(if(abs(r) < {tolerance!r}D, 0, r) as {kind})"
-    grow = f"""transform(array({hole}), h -> if(
-        h.n = 1 and not exists(acc, a -> a.start <= h.e and h.s <= a.end),
+    grow = f"""transform(array({hole}), h -> if(h.n = 1,
         concat(acc, transform(array({rest}), r -> named_struct('start', h.s, 'end', h.e, 'value', {small},
-            'source', 'derived_by_difference', 'parts', size(ins)))), acc))[0]"""
-    covered = "aggregate(ins, 0, (n, a) -> n + datediff(a.end, a.start) + 1)"
-    step = f"""(acc, p) -> transform(array(sort_array(filter(acc, a -> p.start <= a.start and a.end <= p.end))),
-        ins -> if(size(ins) = 0 or {covered} >= p.days, acc, {grow}))[0]"""
+            'parts', p.parts + size(ins)))), acc))[0]"""
+    cut = "a.start <= p.end and p.start <= a.end and (a.start < p.start or a.end > p.end)"
+    step = f"""(acc, p) -> if(exists(acc, a -> {cut}), acc,
+        transform(array(filter(acc, a -> p.start <= a.start and a.end <= p.end)), ins -> {grow})[0])"""
     # Passes go on while one adds a period; a period is added once per span at most.
     most = "size(spans)" if passes is None else str(passes)
-    settled = f"""aggregate(sequence(1, greatest(1, {most})), named_struct('all', {accept}, 'before', -1), (s, k) ->
+    return f"""aggregate(sequence(1, greatest(1, {most})), named_struct('all', cast(array() as {entry}), 'before', -1), (s, k) ->
         if(k > {most} or s.before = size(s.all), s,
            named_struct('all', aggregate(spans, s.all, {step}), 'before', size(s.all))), s -> s.all)"""
-    return f"sort_array({settled})"
+
+
+def _accepted(unique: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(accepted periods, intervals that hold another one), from distinct intervals.
+
+    An interval that holds another is never accepted: the other one is, or whatever keeps it out
+    keeps out both. So only the others are put into islands, where a year over its quarters, or
+    a whole history, joins nothing together.
+    """
+    kind = unique.schema["value"].dataType.simpleString()
+    line = Window.partitionBy(*keys).orderBy(F.desc("start"), "end").rowsBetween(Window.unboundedPreceding, -1)
+    marked = unique.withColumn("_holds", F.coalesce(F.min("end").over(line) <= F.col("end"), F.lit(False)))
+    spans = F.sort_array(F.collect_list(F.struct(
+        days_inclusive(F.col("start"), F.col("end")).alias("days"), "start", "end", "value")))
+    least = overlap_islands(marked.where("not _holds").drop("_holds"), keys)
+    taken = least.groupBy(*keys, "island").agg(spans.alias("spans"))
+    accepted = taken.select(*keys, F.expr(f"inline({_accept_sql(kind)})"), F.lit(True).alias("_taken"))
+    totals = marked.where("_holds").select(*keys, "start", "end", "value", F.lit(False).alias("_taken"))
+    # Both are read several times, so they are written, in one table.
+    both = durable(accepted.unionByName(totals))
+    return both.where("_taken").drop("_taken"), both.where("not _taken").drop("_taken")
+
+
+def _uncut(totals: DataFrame, accepted: DataFrame, keys: list[str]) -> DataFrame:
+    """Intervals whose ends lie inside no accepted period, by one sweep over a key's days."""
+    none = F.lit(None)
+    mark = lambda day, kind: totals.select(
+        *keys, F.col(day).alias("_d"), F.lit(kind).alias("_kind"), none.cast("date").alias("_a"), "start", "end", "value")
+    periods = accepted.select(
+        *keys, F.col("start").alias("_d"), F.lit(1).alias("_kind"), F.col("end").alias("_a"),
+        none.cast("date").alias("start"), none.cast("date").alias("end"), none.cast(totals.schema["value"].dataType).alias("value"))
+    line = Window.partitionBy(*keys).orderBy("_d", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    laid = mark("start", 0).unionByName(periods).unionByName(mark("end", 2)).withColumn("_reach", F.max("_a").over(line))
+    cut = F.when(F.col("_kind") == 0, F.col("_reach") >= F.col("_d")).otherwise(F.col("_reach") > F.col("_d"))
+    return laid.where("_kind <> 1").groupBy(*keys, "start", "end").agg(
+        F.bool_or(F.coalesce(cut, F.lit(False))).alias("_cut"), F.any_value("value").alias("value")).where("not _cut").drop("_cut")
+
+
+def _own_days(free: DataFrame, keys: list[str]) -> DataFrame:
+    """Intervals (start, end) and the first day (_from) of their stretches with a day that no other one reaches.
+
+    The sweep adds up the bounds of the open intervals: where one is open, the sums are its own.
+    """
+    own = {"start": F.col("start"), "end": F.col("end"), "_from": F.col("_s")}
+    both = F.explode(F.array(F.struct(F.col("_s").alias("d"), F.lit(1).alias("sign")),
+                             F.struct(F.date_add("_e", 1).alias("d"), F.lit(-1).alias("sign")))).alias("_edge")
+    days = free.select(*keys, *[F.unix_date(c).alias(n) for n, c in own.items()], both).groupBy(
+        *keys, F.col("_edge.d").alias("_d")).agg(
+        F.sum("_edge.sign").alias("_open"), *[F.sum(F.col("_edge.sign") * F.col(c)).alias(c) for c in own])
+    line = Window.partitionBy(*keys).orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
+    alone = days.select(*keys, *[F.sum(c).over(line).alias(c) for c in ("_open", *own)]).where("_open = 1")
+    return alone.select(*keys, *[F.date_from_unix_date(F.col(c).cast("int")).alias(c) for c in own])
+
+
+def _open(free: DataFrame, keys: list[str]) -> DataFrame:
+    """Intervals that may come down to one free stretch, with all of theirs.
+
+    Two or more stretches with days that no other interval reaches stay open for ever.
+    """
+    found = free.unionByName(_own_days(free, keys), allowMissingColumns=True)
+    stretch = F.when(F.col("_s").isNotNull(), F.struct(F.col("_s").alias("s"), F.col("_e").alias("e")))
+    return found.groupBy(*keys, "start", "end").agg(
+        F.any_value("value", True).alias("value"), F.sort_array(F.collect_list(stretch)).alias("free"),
+        F.min("_from").alias("_one"), F.max("_from").alias("_other")).where("_one is null or _one = _other").drop("_one", "_other")
 
 
 def build_ledger(
@@ -66,16 +139,31 @@ def build_ledger(
     stretch its accepted parts leave open. Passes over the spans are repeated until
     none recovers a period, or ``passes`` times. Ambiguous totals are dropped.
     Input: keys, start, end, value, ord. Output adds source and parts.
+
+    Intervals meet one another in a row only where the stretches they leave open overlap,
+    with those stretches and the sum of what they hold; an interval that can never come down to
+    one open stretch, such as a whole history with several holes, meets none.
     """
     keys = list(keys)
     kind = facts.schema["value"].dataType.simpleString()
     clean = facts.where((F.col("end") >= F.col("start")) & F.col("value").isNotNull())
     unique = first_per_group(clean.select(*keys, "start", "end", "value", "ord"), [*keys, "start", "end"], ["ord"])
-    islands = overlap_islands(unique, keys)
-    spans = F.sort_array(F.collect_list(F.struct(
-        days_inclusive(F.col("start"), F.col("end")).alias("days"), "start", "end", "value")))
-    grouped = islands.groupBy(*keys, "island").agg(spans.alias("spans"))
-    return grouped.select(*keys, F.expr(f"inline({_ledger_sql(kind, passes, tolerance)})"))
+    accepted, totals = _accepted(unique.drop("ord"), keys)
+    by = [*keys, "start", "end"]
+    free = durable(_free_stretches(_uncut(totals, accepted, keys), accepted, keys))
+    open_ = _open(free, keys)
+    # Each holds an accepted period at least; they meet per year.
+    held = open_.select(*by, F.explode(F.sequence(F.year("start"), F.year("end"))).alias("_year")).join(
+        accepted.select(*keys, F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("value").alias("_v"), F.year("end").alias("_year")),
+        [*keys, "_year"]).where("start <= _s and _e <= end").groupBy(*by).agg(F.sum("_v").alias("total"), F.count(F.lit(1)).alias("parts"))
+    span = F.struct(days_inclusive(F.col("start"), F.col("end")).alias("days"), "start", "end",
+                    (F.col("value") - F.col("total")).cast(kind).alias("rest"), "parts", "free")
+    rows = open_.join(held, by).select(
+        *keys, span.alias("span"), F.col("free")[0]["s"].alias("start"), F.try_element_at("free", F.lit(-1))["e"].alias("end"))
+    grouped = overlap_islands(rows, keys).groupBy(*keys, "island").agg(F.sort_array(F.collect_list("span")).alias("spans"))
+    recovered = grouped.select(*keys, F.expr(f"inline({_recover_sql(kind, passes, tolerance)})"))
+    return accepted.select(*keys, "start", "end", "value", F.lit("tagged").alias("source"), F.lit(0).alias("parts")).unionByName(
+        recovered.select(*keys, "start", "end", "value", F.lit("derived_by_difference").alias("source"), F.col("parts").cast("int")))
 
 
 #: Days of a bin in which intervals of a key meet.
@@ -87,13 +175,20 @@ def _bin(day: Column) -> Column:
 
 
 def interval_gaps(outer: DataFrame, covered: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Parts of each of a key's outer intervals that no covered interval reaches.
+    """Parts of each of a key's outer intervals that no covered interval reaches."""
+    keys = list(keys)
+    spans = outer.select(*keys, "start", "end").distinct()
+    return _free_stretches(spans, covered, keys).select(*keys, F.col("_s").alias("gap_start"), F.col("_e").alias("gap_end"))
+
+
+def _free_stretches(outer: DataFrame, covered: DataFrame, keys: list[str]) -> DataFrame:
+    """Outer intervals, distinct ones, with each stretch (_s, _e) that no covered interval reaches.
 
     One sweep over a key's covered days finds its free stretches; outer intervals, however many a
     key has, then meet only the stretches of the time bins they span, each pair once.
     """
-    keys = list(keys)
-    span = outer.select(*keys, F.col("start").alias("_from"), F.col("end").alias("_to")).where("_from <= _to").distinct()
+    span = outer.withColumnsRenamed({"start": "_from", "end": "_to"}).where("_from <= _to")
+    rest = [c for c in span.columns if c not in (*keys, "_from", "_to")]
     bounds = span.groupBy(*keys).agg(F.min("_from").alias("_low"), F.max("_to").alias("_high"))
     # One row per start day: a group is bounded by the calendar.
     daily = covered.where(F.col("start") <= F.col("end")).groupBy(*keys, "start").agg(F.max("end").alias("end"))
@@ -110,7 +205,8 @@ def interval_gaps(outer: DataFrame, covered: DataFrame, keys: Sequence[str]) ->
     met = binned(span, "_from", "_to").join(binned(free, "_s", "_e"), [*keys, "_bin"]).where(
         (F.col("_s") <= F.col("_to")) & (F.col("_e") >= F.col("_from"))
         & (F.col("_bin") == F.greatest(_bin(F.col("_s")), _bin(F.col("_from")))))
-    return met.select(*keys, F.greatest("_s", "_from").alias("gap_start"), F.least("_e", "_to").alias("gap_end"))
+    return met.select(*keys, F.col("_from").alias("start"), F.col("_to").alias("end"), *rest,
+                      F.greatest("_s", "_from").alias("_s"), F.least("_e", "_to").alias("_e"))
 
 
 def sum_between(ledger: DataFrame, windows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -85,6 +85,37 @@ def test_ledger_matches_plain_loops_and_is_disjoint(spark):
         assert all(a[1] < b[0] for a, b in zip(ordered, ordered[1:]))
 
 
+def test_ledger_under_long_totals_matches_plain_loops(spark):
+    rnd = random.Random(5)
+    rows, want = [], {}
+    for n in range(60):
+        facts, months = [], 24
+        for _ in range(rnd.randint(4, 22)):
+            at, size = rnd.randint(0, months - 1), rnd.choice([1, 1, 2, 3, 3, 4, 6, 9, 12, 18, 24, 30])
+            s = D(2024, 1, 1) + timedelta(days=30 * at + rnd.choice([0, 0, 0, 7]))
+            facts.append((s, s + timedelta(days=30 * size - 1), float(rnd.randint(1, 90))))
+        facts.append((D(2023, 6, 1) if n % 2 else D(2024, 1, 1), D(2026, 12, 31) if n % 3 else D(2025, 12, 20), 500.0))
+        rows += [(f"E{n}", s, e, v, i) for i, (s, e, v) in enumerate(facts)]
+        want[f"E{n}"] = brute_ledger(facts)
+    df = spark.createDataFrame(rows, "entity string, start date, end date, value double, ord int").repartition(5)
+    got = {}
+    for r in iv.build_ledger(df, ["entity"]).collect():
+        got.setdefault(r["entity"], []).append((r["start"], r["end"], round(r["value"], 6), r["source"]))
+    assert {k: sorted(x) for k, x in got.items()} == want
+    assert sum(x[3] != "tagged" for rows in want.values() for x in rows) > 20
+
+
+def test_a_whole_history_waits_for_its_parts_and_holds_no_others_up(spark):
+    """Quarters of ten years with every second one unstated, half years, and totals over everything."""
+    quarter = lambda k: D(2010 + k // 4, 3 * (k % 4) + 1, 1)
+    day = timedelta(1)
+    facts = [(quarter(k), quarter(k + 1) - day, 1.0) for k in range(0, 40, 2)]
+    facts += [(quarter(k), quarter(k + 2) - day, 3.0) for k in range(0, 40, 2)]
+    facts += [(quarter(0), quarter(41) - day, 100.0), (D(2000, 1, 1), D(2040, 1, 1), 7.0)]
+    got = ledger_of(spark, facts, "decimal(18,4)")
+    assert got == brute_ledger(facts) and len(got) == 41 and got[-1][2] == 40.0
+
+
 def test_incomplete_window_is_reported(spark):
     led = spark.createDataFrame([("E", D(2025, 1, 1), D(2025, 3, 31), .5)], "entity string, start date, end date, value double")
     win = spark.createDataFrame([("E", D(2025, 1, 1), D(2025, 12, 31)), ("E", D(2025, 1, 1), D(2025, 4, 5))],
