@@ -142,6 +142,21 @@ def table_sinks(spark, sf):
     return spark.read.parquet(f"{path}/coverage").select("anchor", "entity", "metric", "status", "owner", "detail", "confidence")
 
 
+@query("table_sinks_rerun", """
+SELECT anchor, entity, metric, CASE WHEN anchor = DATE '2000-12-31' THEN lower(status) ELSE status END AS status, owner, confidence
+FROM cover_rows
+""")
+def table_sinks_rerun(spark, sf):
+    """Two anchors written, one of them written again with other rows: the other one stays."""
+    path = scratch_path(spark, "sinks")
+    rows = durable(reports.coverage(cells(spark, sf, both=True), ["anchor"]).select(
+        "anchor", "entity", "metric", "status", "owner", "confidence"))
+    write_tables({"coverage": rows}, path, ["anchor"])
+    again = rows.where(F.col("anchor") == v.ref()).withColumn("status", F.lower("status"))
+    write_tables({"coverage": again}, path, ["anchor"])
+    return spark.read.parquet(f"{path}/coverage").select("anchor", "entity", "metric", "status", "owner", "confidence")
+
+
 @query("coverage_rollup", """
 SELECT bucket, confidence, count(*) AS cells FROM (SELECT *, CASE WHEN status = 'FILLED' THEN 'FILLED' ELSE owner END AS bucket
   FROM cover_rows WHERE anchor = DATE '2000-12-31') GROUP BY ROLLUP (bucket, confidence)

@@ -38,37 +38,32 @@ def value_ranks(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    pieces: int = 64,
-    small: int = 10_000,
+    pieces: int | None = None,
     count: str | None = None,
 ) -> DataFrame:
     """Exact rank information of every distinct value of a group.
 
     Returns keys, the value, ``n`` rows carrying it, ``n_below`` rows strictly
     smaller and ``n_total`` rows in the group. Equal values are counted before
-    the shuffle and written once, since they are read several times; a group
-    with more than ``small`` distinct values is cut at sketched quantiles into
-    ``pieces`` ranges that are ranked in parallel. With ``count`` the rows are
-    counted already, one per value, and are not written again.
+    the shuffle. The counted values of all groups are laid out by key and value in ranges
+    that Spark samples, whose number follows their size unless ``pieces`` is given, and are
+    written so; a large group lies in many ranges, a small one in one. Ranges are ranked in
+    parallel and offset by the sums of those before them. With ``count`` the rows are
+    counted already, one per value.
     """
     keys = list(keys)
     known = df.where(F.col(value).isNotNull())
     if count is None:
-        counts = durable(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")))
+        counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     else:
         counts = known.select(*keys, value, F.col(count).alias("n"))
-    cuts = counts.groupBy(*keys).agg(
-        F.sum("n").alias("n_total"),
-        F.count(F.lit(1)).alias("_distinct"),
-        F.percentile_approx(value, [i / pieces for i in range(1, pieces)], 2_000).alias("_cuts"),
-    )
-    piece = F.when(
-        F.col("_distinct") > small, F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).otherwise(F.lit(0))
-    placed = counts.join(cuts, keys).withColumn("_piece", piece).drop("_cuts", "_distinct")
+    ranges = [*keys, value] if pieces is None else [pieces, *keys, value]
+    placed = durable(counts.repartitionByRange(*ranges).withColumn("_piece", F.spark_partition_id()))
     sizes = placed.groupBy(*keys, "_piece").agg(F.sum("n").alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_piece", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_piece", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+                           F.sum("_size").over(group).alias("n_total"))
     # Explicitly spread the pieces: partitioning by the keys alone would satisfy
     # the window below and put a huge group back into one task.
     spread = placed.join(offsets, [*keys, "_piece"]).repartition(*keys, "_piece")

@@ -218,10 +218,16 @@ def own_series(df: DataFrame, anchor: Column, label: str = "quarter") -> DataFra
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, partition_by: Sequence[str] = ()) -> None:
-    """Write result tables as parquet, partitioned (for example by anchor)."""
+    """Write result tables as parquet, partitioned (for example by anchor).
+
+    A partitioned table keeps the partitions that the new rows do not name, so a rerun of one
+    anchor replaces that anchor alone; the new files are staged and moved in when all are
+    written. A table without any of the columns is replaced whole.
+    """
     for name, df in tables.items():
         keys = [c for c in partition_by if c in df.columns]
-        df.write.mode("overwrite").partitionBy(*keys).parquet(f"{folder}/{name}")
+        mode = "dynamic" if keys else "static"
+        df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*keys).parquet(f"{folder}/{name}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

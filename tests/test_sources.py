@@ -215,6 +215,11 @@ def test_sinks_round_trip(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/coverage")
     assert sorted(map(tuple, back.select("anchor", "entity", "value").collect())) == sorted(map(tuple, df.collect()))
     assert (tmp_path / "coverage" / "anchor=2025-12-31").is_dir()
+    again = spark.createDataFrame([(date(2025, 9, 30), "F", 3.0)], df.schema)
+    for _ in range(2):
+        st.write_tables({"coverage": again}, str(tmp_path), ["anchor"])
+    back = spark.read.parquet(f"{tmp_path}/coverage").select("anchor", "entity", "value")
+    assert sorted(map(tuple, back.collect())) == [(date(2025, 9, 30), "F", 3.0), (date(2025, 12, 31), "E", 1.0)]
     st.write_csv(df, f"{tmp_path}/c")
     assert spark.read.option("header", "true").csv(f"{tmp_path}/c").count() == 2
 
