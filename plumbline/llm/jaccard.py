@@ -25,8 +25,12 @@ from plumbline.llm.common import EDGES, components, drop_written, edge_batch, le
 
 #: Similarity as a fraction, words in a shingle.
 TIMES, OUT_OF, WORDS = 80, 100, 5
-#: Share of a set that the longer prefix adds; members and bytes of a chunk; bits of the filter.
-SLACK, CHUNK_NODES, CHUNK_BYTES, FILTER_BITS = 10, 1024, 8 << 20, 1 << 23
+#: Share of a set that the longer prefix adds; members and bytes of a chunk.
+SLACK, CHUNK_NODES, CHUNK_BYTES = 10, 1024, 8 << 20
+#: Bits of the filter per candidate, and at least and at most (32 MB, which 16 million candidates fill).
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
+#: Ways a large block is dealt into chunks at random before its chunks meet in pairs.
+PASSES = 2
 #: Hashes a task combines before it sends them; bytes of bitmaps that are compared at a time.
 RUN_HASHES, BITMAP_BYTES = 400_000, 4 << 20
 
@@ -166,7 +170,7 @@ def _candidates(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _filter_bits(nodes: DataFrame, bits: int) -> np.ndarray:
-    """A Bloom filter of fixed size (bits / 8 bytes) over node ids.
+    """A Bloom filter (bits / 8 bytes) over node ids.
 
     It only saves work: what passes wrongly is dropped by a join.
     """
@@ -191,7 +195,8 @@ def _places(x: np.ndarray, bits: int) -> list[np.ndarray]:
 
 def _set_rows(docs: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
     """(node, n, hashes) of the candidate nodes, one row each."""
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(candidates, FILTER_BITS).tobytes())
+    width = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * candidates.count()).bit_length()))
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(candidates, width).tobytes())
 
     def run(batches):
         have = np.frombuffer(bits.value, dtype=np.uint8)
@@ -201,7 +206,7 @@ def _set_rows(docs: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
             for _, s in _sets(batch, size):
                 if not len(s) or (key := _node(s)) in done:
                     continue
-                at = _places(np.array([key]).view(np.uint64), FILTER_BITS)
+                at = _places(np.array([key]).view(np.uint64), width)
                 if all(have[int(p[0]) >> 3] >> (int(p[0]) & 7) & 1 for p in at):
                     done.add(key)
                     node.append(key)
@@ -410,19 +415,150 @@ def _link_groups(batches):
             yield edge_batch(node[a], node[b])
 
 
-def _linked(sets: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Verified links between nodes. Large blocks are dealt as pairs of chunks."""
-    in_block = sets.join(blocks.select("node", F.col("root").alias("own")).union(
-        blocks.select(F.col("root").alias("node"), F.col("root").alias("own")).distinct()), "node")
-    in_block = written(in_block.withColumnRenamed("own", "block"), "blocks")
-    chunks = in_block.groupBy("block").agg(F.greatest(
-        F.ceil(F.count("*") / CHUNK_NODES), F.ceil(F.sum(F.col("n").cast("long") * 8) / CHUNK_BYTES)).cast("int").alias("parts"))
-    dealt = in_block.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("block", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
-                         "chunk", "node", "hashes")
+def _bands(most: int = 1 << 31) -> list[int]:
+    """Smallest sizes of bands such that two linked sets lie in one band or in neighbouring ones."""
+    out = [1]
+    while out[-1] < most:
+        out.append(out[-1] * OUT_OF // TIMES + 1)
+    return out
+
+
+def _least(n: str = "n"):
+    """Hashes that a set of n shares with any set it is linked to, at least."""
+    return F.ceil(F.col(n) * TIMES / OUT_OF)
+
+
+def _hash_rows(batches):
+    """(cell, node, token) of all hashes of sets (cell, node, hashes)."""
+    for batch in batches:
+        sets = [np.frombuffer(x, dtype=np.int64) for x in batch.column(2).to_pylist()]
+        if sets:
+            n = [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.asarray(batch.column(0)), n)), pa.array(np.repeat(np.asarray(batch.column(1)), n)),
+                 pa.array(np.concatenate(sets))], names=["cell", "node", "token"])
+
+
+def _hashes(sets: DataFrame) -> DataFrame:
+    return sets.select("cell", "node", "hashes").mapInArrow(lean(_hash_rows), "cell long, node long, token long")
+
+
+def _in_parts(rows: DataFrame) -> DataFrame:
+    """Rows of (block, node, n, hashes) and the number of chunks that their block needs."""
+    return rows.join(rows.groupBy("block").agg(_chunks()), "block")
+
+
+def _chunks():
+    return F.greatest(F.ceil(F.count("*") / CHUNK_NODES), F.ceil(F.sum(F.col("n").cast("long") * 8) / CHUNK_BYTES)).cast(
+        "int").alias("parts")
+
+
+def _windows(large: DataFrame) -> DataFrame:
+    """(cell, node, n, hashes): each set in the windows of its own band and of the next one.
+
+    A window holds a band and the one below it, and is left out where nothing is in the former:
+    then the window of the band below has the same sets.
+    """
+    band = F.size(F.filter(F.array(*map(F.lit, _bands())), lambda least: least <= F.col("n")))
+    rows = large.withColumn("band", band).withColumn("window", F.explode(F.array("band", F.col("band") + 1)))
+    rows = rows.withColumn("cell", F.xxhash64("block", "window"))
+    own = rows.select("cell", "band", "window").groupBy("cell").agg(F.max(F.col("band") == F.col("window")).alias("own"))
+    return rows.join(own.where("own").select("cell"), "cell", "left_semi").select("cell", "node", "n", "hashes")
+
+
+def _covered(sets: DataFrame) -> DataFrame:
+    """The sets of which other sets of their cell hold enough hashes between them.
+
+    Only hashes that a single set holds are counted per set, so no common hash is joined.
+    """
+    once = _hashes(sets).groupBy("cell", "token").agg(F.count("*").alias("df"), F.min("node").alias("node")).where("df = 1")
+    alone = once.groupBy("cell", "node").agg(F.count("*").alias("alone"))
+    enough = F.col("n") - F.coalesce("alone", F.lit(0)) >= _least()
+    return sets.join(alone, ["cell", "node"], "left").where(enough).drop("alone")
+
+
+def _narrowed(large: DataFrame) -> DataFrame:
+    """(block, node, n, hashes, parts): large blocks as smaller ones that hold the same links.
+
+    In a cell the hashes are ordered by the sets that hold them, rarest first, as in
+    :func:`_blocks`, but over whole sets: two linked ones share one of the first
+    n - ceil(0.8 n) + 1, and hashes that nobody else holds are among those for nothing.
+    """
+    sets = written(_covered(written(_windows(large), "windows")), "narrow")
+    rows = _hashes(sets)
+    common = rows.groupBy("cell", "token").agg(F.count("*").alias("df")).where("df > 1")
+    one = Window.partitionBy("cell", "node")
+    held = rows.join(common, ["cell", "token"]).withColumn("rank", F.row_number().over(one.orderBy("df", "token")))
+    held = held.withColumn("k", F.count("*").over(one)).join(sets.select("cell", "node", "n"), ["cell", "node"])
+    used = held.where(F.col("rank") <= F.col("k") - _least() + 1)
+    used = written(used.select("cell", "token", F.xxhash64("cell", "node").alias("v")), "prefix")
+    head = used.groupBy("cell", "token").agg(F.min("v").alias("u"))
+    found = written(components(used.join(head, ["cell", "token"]).select("u", "v").where("u <> v").distinct()), "blocks")
+    drop_written(used)
+    own = found.select("node", "root").union(found.select(F.col("root").alias("node"), "root").distinct())
+    own = own.withColumnsRenamed({"node": "vertex", "root": "block"})
+    sets = sets.withColumn("vertex", F.xxhash64("cell", "node")).join(own, "vertex")
+    return _in_parts(sets.select("block", "node", "n", "hashes"))
+
+
+def _verified(dealt: DataFrame) -> DataFrame:
+    """Links inside groups of (block, one, two); where one is not two, those between their chunks."""
     keys = ["block", "one", "two"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(lean(_link_groups), EDGES)
+    return dealt.select(*keys, "chunk", "node", "hashes").repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(
+        lean(_link_groups), EDGES)
+
+
+def _at_random(rows: DataFrame) -> DataFrame:
+    """Links inside the chunks of several random deals; blocks of one chunk are dealt once."""
+    last = F.when(F.col("parts") > 1, PASSES - 1).otherwise(0)
+    dealt = rows.withColumn("deal", F.explode(F.sequence(F.lit(0), last)))
+    chunk = F.pmod(F.xxhash64("node", "deal"), F.col("parts").cast("long"))
+    return _verified(dealt.withColumn("one", chunk).withColumns(
+        {"block": F.xxhash64("block", "deal"), "two": F.col("one"), "chunk": F.col("one")}))
+
+
+def _across(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Links between the chunks of large blocks, but for chunks already known to be connected.
+
+    A component of at least half a chunk has chunks of its own, which meet those of others
+    but not each other; the rest of a block shares chunks, and all pairs of those meet.
+    """
+    known = components(found, combine=False)
+    rows = rows.join(known, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root", "parts")
+    rows = written(rows, "labelled")
+    large = (F.count("*") * 2 >= CHUNK_NODES) | (F.sum(F.col("n").cast("long") * 16) >= CHUNK_BYTES)
+    own = rows.groupBy("block", "label").agg(large.alias("own"))
+    rows = rows.join(own, ["block", "label"]).withColumn("unit", F.when(F.col("own"), F.col("label")).otherwise(F.col("block")))
+    units = written(rows.groupBy("block", "unit", "own").agg(_chunks()), "units")
+    a, b = (units.select("block", *(F.col(c).alias(c + side) for c in ("unit", "own", "parts"))) for side in "12")
+    pairs = a.join(b, "block").where("unit1 < unit2 or (unit1 = unit2 and not own1 and not own2)")
+    for side in "12":
+        pairs = pairs.withColumn("i" + side, F.explode(F.sequence(F.lit(0), F.col("parts" + side) - 1)))
+    pairs = pairs.where("unit1 <> unit2 or i1 <= i2").select(
+        "block", F.xxhash64("unit1", "own1", "i1").alias("one"), F.xxhash64("unit2", "own2", "i2").alias("two"))
+    ends = pairs.withColumn("chunk", F.explode(F.array_distinct(F.array("one", "two"))))
+    place = F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int")
+    rows = rows.join(units, ["block", "unit", "own"]).withColumn("chunk", F.xxhash64("unit", "own", place))
+    return _verified(rows.join(ends, ["block", "chunk"]))
+
+
+def _linked(sets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Verified links between nodes.
+
+    A set is in one small block, or, of a large one, in at most two windows of sizes. What is
+    large even then (thousands of sets alike) is first linked inside random chunks, so that
+    only chunks of different components are left to meet.
+    """
+    blocks = blocks.select("node", F.col("root").alias("block")).union(
+        blocks.select(F.col("root").alias("node"), F.col("root").alias("block")).distinct())
+    rows = written(_in_parts(written(sets.join(blocks, "node").select("block", "node", "n", "hashes"), "blocks")), "parts")
+    small, large = rows.where("parts = 1"), rows.where("parts > 1")
+    if large.isEmpty():
+        return _at_random(small)
+    narrow = written(_narrowed(large), "narrowed")
+    found = written(_at_random(small.unionByName(narrow)), "links")
+    still = narrow.where("parts > 1")
+    return found if still.isEmpty() else found.union(_across(still, found))
 
 
 def _components(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:

@@ -111,6 +111,44 @@ def test_small_chunks_give_the_same(spark, monkeypatch):
     assert {r.component_id for r in jaccard.join_similar(df).collect()} == {0}
 
 
+def test_bands_hold_linked_sizes():
+    least = np.array(jaccard._bands(1 << 20))
+    n = np.arange(1, 200_000)
+    band = np.searchsorted(least, n, side="right")
+    assert (np.searchsorted(least, n * jaccard.OUT_OF // jaccard.TIMES, side="right") - band <= 1).all()
+
+
+@pytest.mark.parametrize("notices, per, notice_words, own_words", [(1, 1, 60, 100), (30, 2, 45, 60)])
+def test_shared_notices_are_not_dealt_as_pairs(spark, monkeypatch, notices, per, notice_words, own_words):
+    """Texts chained by notices they share, linked ones among them: few copies, the same links."""
+    r = random.Random(notices)
+    notice = [" ".join(f"n{k}_{i}" for i in range(notice_words)) for k in range(notices)]
+    texts = {}
+    for k in range(360):
+        shown = r.sample(notice, per)
+        own = [f"u{k}_{i}" for i in range(own_words)]
+        texts[k] = " ".join([*shown[:1], *own, *shown[1:]])
+        if k % 20 == 0:
+            own[r.randrange(own_words)] = "changed"
+            texts[10_000 + k] = " ".join([*shown[:1], *own, *shown[1:]])
+    alike = [f"a{i}" for i in range(80)]
+    for k in range(90):
+        texts[20_000 + k] = " ".join([notice[0], *alike[:40], f"e{k}", *alike[41:]])
+    counts, verified = [], jaccard._verified
+
+    def counted(dealt):
+        counts.append(dealt.count())
+        return verified(dealt)
+
+    monkeypatch.setattr(jaccard, "CHUNK_NODES", 20)
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(5)
+    sets, roots = linked(texts)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.join_similar(df).collect()}
+    assert got == {i: (len(sets[i]), roots[i]) for i in texts}
+    assert sum(counts) < 3 * len(texts)
+
+
 # --------------------------------------------------------------------- vectors
 def test_vectors_against_all_pairs(spark):
     r = np.random.default_rng(5)
