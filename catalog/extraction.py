@@ -14,6 +14,7 @@ from plumbline import rules
 from plumbline.functions import dates, text as tx
 from plumbline.metrics import MetricSpec
 from plumbline.plans import candidates as pc, reports
+from plumbline.session import dealt
 from plumbline.sources import html_tables as ht, prose, structured as st
 
 six = lambda c: F.round(c, 6)
@@ -23,6 +24,11 @@ def orders(spark, sf):
     return v.table(spark, sf, "orders")
 
 
+def filed_orders(spark, sf):
+    """Orders that pages and texts are made of, dealt while rows are narrow."""
+    return dealt(orders(spark, sf), "o_orderkey")
+
+
 def join_text(*parts):
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -65,7 +71,7 @@ def index_zip(spark, sf):
 
 def xml_docs(spark, sf):
     """An XML report per order: some borrowing fields absent, some zero."""
-    o = orders(spark, sf).withColumn("d", F.last_day(F.col("o_orderdate").cast("date")))
+    o = filed_orders(spark, sf).withColumn("d", F.last_day(F.col("o_orderdate").cast("date")))
     k = F.col("o_orderkey")
     borrow = F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.lit("<amtPayOneYrBanksBorr>0.00</amtPayOneYrBanksBorr>")).otherwise(
         join_text("<amtPayOneYrBanksBorr>", k % 1000, "</amtPayOneYrBanksBorr><amtPayAftOneYrOther>", k % 77, "</amtPayAftOneYrOther>"))
@@ -124,7 +130,7 @@ SELECT o_orderkey, tag, CAST(o_orderdate AS DATE) AS "end",
 FROM orders, (VALUES ('a:Debt'), ('b:Other')) t(tag)
 """)
 def inline_fact_scan(spark, sf):
-    o = orders(spark, sf)
+    o = filed_orders(spark, sf)
     d = F.col("o_orderdate").cast("date")
     ctx = lambda cid, day, seg: join_text(
         f'<xbrli:context id="{cid}"><xbrli:entity>', seg, "</xbrli:entity><xbrli:period><xbrli:instant>", day,
@@ -452,7 +458,7 @@ def first_distinct(spark, sf):
 
 def fee_docs(spark, sf):
     """One or two statements per text; in every second text that states two they come in reverse."""
-    o = orders(spark, sf)
+    o = filed_orders(spark, sf)
     k, kind = F.col("o_orderkey"), F.col("o_orderkey") % 7
     a = F.format_string("%.2f", (k % 300 + 50) / 100)
     now = join_text("Its management fee is calculated at an annual rate of ", a, "% on all holdings.")
@@ -497,7 +503,7 @@ SELECT o_orderkey, 'management_fee_pct' AS metric, CASE s WHEN 0 THEN 1.0 ELSE (
 FROM orders, (VALUES (0), (1)) t(s)
 """)
 def superseded_pairs(spark, sf):
-    o = orders(spark, sf)
+    o = filed_orders(spark, sf)
     old = F.format_string("%.2f", (F.col("o_orderkey") % 300 + 150) / 100)
     when = F.when(F.col("o_orderkey") % 2 == 0, F.lit("effective as of July 1, 2024, ")).otherwise(F.lit(""))
     docs = o.select("o_orderkey", join_text("The board met on May 9, 2024; ", when, "the management fee rate was reduced from ", old, "% to 1.0%.").alias("text"))
@@ -511,7 +517,7 @@ def table_html(rows):
 
 
 def fee_pages(spark, sf):
-    o = orders(spark, sf)
+    o = filed_orders(spark, sf)
     k = F.col("o_orderkey")
     a = F.format_string("%.2f", (k % 300 + 50) / 100)
     head = F.when(k % 2 == 0, F.lit("<b>as a percentage of net assets</b>")).otherwise(F.lit("Expenses"))
@@ -535,7 +541,7 @@ def html_table_scan(spark, sf):
 
 def nested_pages(spark, sf):
     """A table in capitals whose first row holds a table of its own; every third page is cut off."""
-    o = orders(spark, sf)
+    o = filed_orders(spark, sf)
     k = F.col("o_orderkey")
     a = F.format_string("%.2f", (k % 300 + 50) / 100)
     inner = F.concat(F.lit("<table><tr><td>Inner</td><td>"), a, F.lit("%</td></tr><tr><th>Last"),
@@ -574,7 +580,7 @@ FROM orders, (VALUES ('net_return_1y_pct'), ('net_return_5y_pct')) t(metric), (V
 WHERE c = 'A' OR metric = 'net_return_1y_pct'
 """)
 def return_table_extract(spark, sf):
-    o = orders(spark, sf)
+    o = filed_orders(spark, sf)
     a = F.concat(F.format_string("%.2f", (F.col("o_orderkey") % 300 + 50) / 100), F.lit("%"))
     grid = table_html([["Fund", "1 Year", "Five Years"], ["Class A", a, "7.5%"], ["Class I", a, "n/a"]])
     docs = o.select("o_orderkey", join_text("<p>Average Annual Total Returns</p>", grid).alias("html"))
@@ -582,7 +588,7 @@ def return_table_extract(spark, sf):
 
 
 def highlight_pages(spark, sf):
-    o = orders(spark, sf)
+    o = filed_orders(spark, sf)
     k = F.col("o_orderkey")
     y = F.year("o_orderdate")
     n = [F.format_string("%.2f", (k % 300 + 800 + 10 * i) / 100) for i in range(3)]

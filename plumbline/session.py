@@ -44,6 +44,14 @@ def scratch_path(spark: SparkSession, kind: str = "plumbline") -> str:
     return path
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt evenly to the session's number of shuffle partitions, however few files or row groups they come from.
+
+    For narrow rows that heavy work per row follows; the keys should differ from row to row.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write a result to the shared folder and go on from the written table.
 

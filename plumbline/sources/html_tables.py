@@ -7,7 +7,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.functions import text as tx
@@ -121,13 +121,13 @@ def html_tables(
         T.StructField("header", T.ArrayType(T.StringType())), T.StructField("preamble", T.StringType()),
     ])
     names = schema.names
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string()]
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = Places(phrases)
         for batch in batches:
-            out = []
-            for rec in batch.itertuples(index=False, name=None):
-                ids, page = rec[:-1], rec[-1]
+            of_page, out = [], []
+            for number, page in enumerate(batch.column(len(fields)).to_pylist()):
                 tables = table_tree(page)
                 starts, ends = [t.start for t in tables], sorted(t.end for t in tables)
                 first: dict[int, int] = {}
@@ -149,14 +149,17 @@ def html_tables(
                     before = shown(page[begin:own.start])
                     before = before if preamble is None else before[-preamble:] if preamble else ""
                     for n, cells in enumerate(rows):
-                        out.append((*ids, at, pos, n, cells, rows[0], before))
+                        of_page.append(number)
+                        out.append((at, pos, n, cells, rows[0], before))
             if out:
-                yield pd.DataFrame(out, columns=names)
+                found = [pa.array(column, kind) for column, kind in zip(zip(*out), kinds)]
+                place = pa.array(of_page, pa.int32())
+                yield pa.RecordBatch.from_arrays([*(c.take(place) for c in batch.columns[:-1]), *found], names=names)
 
     near, words = docs.where(F.col(html).rlike("(?i)<table")), hint(phrases)
     if words is not None:
         near = near.where(F.col(html).rlike(words))
-    return near.select(*keys, html).mapInPandas(scan, schema)
+    return near.select(*keys, html).mapInArrow(scan, schema)
 
 
 # What an expense table and a return table look like.
@@ -225,21 +228,29 @@ def highlights_from_rows(rows: DataFrame, keys: Sequence[str], specs: Sequence[M
     """The same from table rows: keys, row_no, cells, preamble."""
     label = F.lower(F.col("cells")[0])
     rest = F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))
-    values = tx.numeric_tokens(rest)
-    years = tx.header_years(F.col("cells"))
     head = F.col("cells")[0]
     own = F.when(~head.rlike(tx.YEAR), tx.squash(head)).otherwise(tx.squash(F.coalesce(
         F.try_element_at(F.regexp_extract_all(F.coalesce("preamble", F.lit("")), F.lit(CLASS_HEADING), F.lit(1)), F.lit(-1)),
         F.lit(""))))
-    marked = rows.withColumns({"_label": label, "_v": values, "_y": years, "_c": own, "_w": tx.numeric_tokens(rest, True)})
-    is_nav, is_ret = F.col("_label").rlike(ROW_NAV), F.col("_label").rlike(ROW_RETURN)
-    is_div = F.col("_label").rlike(ROW_DIVIDENDS) & ~is_nav & ~is_ret & (F.size("_v") > 0)
+    listed = {f"_is_{s.key}": F.col("_label").rlike("(?i)" + "|".join(f"(?:{p})" for p in s.highlight_rows))
+              for s in specs if s.highlight_rows}
+    asked = F.lit(False)
+    for name in listed:
+        asked = asked | F.col(name)
+    # Numbers, and the class, are read in the rows whose name or years call for them.
+    marked = rows.withColumns({"_label": label, "_y": tx.header_years(F.col("cells"))}).withColumns({
+        "_nav": F.col("_label").rlike(ROW_NAV), "_ret": F.col("_label").rlike(ROW_RETURN),
+        "_div": F.col("_label").rlike(ROW_DIVIDENDS), **listed}).withColumns({
+            "_v": F.when(F.col("_nav") | F.col("_ret") | F.col("_div"), tx.numeric_tokens(rest)),
+            "_w": F.when(asked, tx.numeric_tokens(rest, True)), "_c": F.when(F.size("_y") >= 2, own)})
+    is_nav, is_ret = F.col("_nav"), F.col("_ret")
+    is_div = F.col("_div") & ~is_nav & ~is_ret & (F.size("_v") > 0)
     title = F.size("_y") >= 2
     pick = lambda cond, how: how(F.when(cond, F.struct("row_no", "_v")))["_v"]
     extra = []
     for s in specs:
         if s.highlight_rows:
-            named = F.col("_label").rlike("(?i)" + "|".join(f"(?:{p})" for p in s.highlight_rows)) & ~is_nav & ~is_ret & ~is_div
+            named = F.col(f"_is_{s.key}") & ~is_nav & ~is_ret & ~is_div
             extra.append(F.min(F.when(named, F.struct("row_no", "_w")))["_w"].alias(f"row_{s.key}"))
     out = marked.groupBy(*keys).agg(
         F.min(F.when(title, F.struct("row_no", F.col("_y").alias("y"), F.col("_c").alias("c")))).alias("_t"),

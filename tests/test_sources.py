@@ -250,3 +250,30 @@ def test_many_short_quotes_are_found_without_carrying_them(spark, monkeypatch):
     assert want == [(0, 0), (0, 1), (0, 2), (0, 3), (0, 4), (0, 5), (0, 7), (0, 8), (1, 0), (1, 1), (2, 8)]
     monkeypatch.setattr(prose, "SHORT_MOST", 0)
     assert sorted(tuple(r) for r in prose.locate_quotes(q, src, "qid", "id").collect()) == want
+
+
+def test_pages_of_one_file_are_dealt_to_many_tasks(spark):
+    """A file with one row group gives one task; pages are read in as many as shuffles have."""
+    from catalog import extraction as x
+
+    pages = x.highlight_pages(spark, "/root/testdata/sf0.001")
+    parts = pages.select("html").rdd.glom().map(len).collect()
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions")) and min(parts) > 0
+
+
+def test_phrases_inside_and_outside_of_markup():
+    from plumbline.sources.phrases import Places
+
+    text = "<p title='Fund Total'>A <b>fund</b> total</p><!-- fund total --><i>x</i>"
+    assert Places(["fund total"]).hits(text) == [(10, 0), (27, 0), (50, 0)]
+    assert Places(["fund total"]).hits("<p>fu</p>nd total <i fund> total") == []
+
+
+def test_only_named_rows_are_read_for_numbers(spark):
+    rows = [("CLASS I", "2024", "2023"), ("Net asset value, end of period", "9.10", "9.20"), ("Odd row", "1.10", "2.20"),
+            ("Total distributions to shareholders", "none"), ("Total dividends to shareholders", "(0.75", ")", "0.80")]
+    table = spark.createDataFrame([(1, 0, n, list(r), "") for n, r in enumerate(rows)],
+                                  "o int, table_no int, row_no int, cells array<string>, preamble string")
+    got = ht.highlights_from_rows(table, ["o", "table_no"]).collect()
+    assert [(r["share_class"], r["years"], r["nav_end"], r["total_return"], r["dividends"]) for r in got] == [
+        ("CLASS I", [2024, 2023], [9.1, 9.2], None, [0.75, 0.8])]
