@@ -85,8 +85,8 @@ def _jumps(values: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
     return found.select(*group, "value", F.coalesce("next", "_far").alias("next")).where("next is not null")
 
 
-def _walk(values: DataFrame, keys: list[str]) -> DataFrame:
-    """Leaders of large groups, found without gathering any group.
+def _walk(values: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Leaders of large groups, one a row, and the groups' used cells, found without gathering any group.
 
     Every value points to the smallest greater one that disagrees with it; the leaders are the
     chain from a group's smallest value. Pointers are doubled: in each round the leaders found so
@@ -105,7 +105,38 @@ def _walk(values: DataFrame, keys: list[str]) -> DataFrame:
             jump = durable(jump.join(again, [*group, "next"]).select(*group, "value", F.col("_after").alias("next")))
         ahead = found.join(jump.withColumnRenamed("value", "leader"), [*group, "leader"])
         found = durable(found.unionByName(ahead.select(*group, F.col("next").alias("leader"))))
-    return found.groupBy(*keys).agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
+    return found, cells
+
+
+def _leaders_of_cells(found: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
+    """group, cell, ``_within``: numbered leaders of the cell behind the last one before it, ascending.
+
+    A cell has one leader at most but for rounding, and a group boundedly many cells.
+    """
+    order = Window.partitionBy(*group).orderBy("leader")
+    one = F.struct(F.row_number().over(order).alias("cluster"), "leader")
+    numbered = found.select(*group, cell_number(F.col("leader"), F.col("unit")).alias("cell"), one.alias("_one"))
+    own = numbered.groupBy(*group, "cell").agg(F.sort_array(F.collect_list("_one")).alias("_own"))
+    before = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.element_at("_own", -1), ignorenulls=True).over(before)
+    within = F.concat(F.array_compact(F.array(last)), F.coalesce("_own", F.array().cast(own.schema["_own"].dataType)))
+    return cells.join(own, [*group, "cell"], "left").select(*group, "cell", within.alias("_within"))
+
+
+def _large_groups(values: DataFrame, keys: list[str], fold_limit: int) -> DataFrame | None:
+    """keys and unit of the groups with more distinct values, None without any.
+
+    A group has one unit; should sources differ, the greatest counts.
+    """
+    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max("unit").alias("unit"))
+    large = durable(sizes.where(F.col("_rows") > fold_limit).drop("_rows"))
+    return None if large.isEmpty() else large
+
+
+def _fold(values: DataFrame, keys: list[str]) -> DataFrame:
+    """Leaders of groups that fit an array."""
+    sets = values.groupBy(*keys).agg(F.collect_set("value").alias("_values"), F.max("unit").alias("_unit"))
+    return sets.select(*keys, F.expr(leaders_sql("_values", "_unit")).alias("leaders"))
 
 
 def cluster_leaders(
@@ -118,25 +149,15 @@ def cluster_leaders(
     """
     keys = list(keys)
     values = df.select(*keys, "unit", "value").where(F.col("value").isNotNull())
-
-    def fold(rows: DataFrame) -> DataFrame:
-        sets = rows.groupBy(*keys).agg(
-            F.collect_set("value").alias("_values"), F.max("unit").alias("_unit")
-        )
-        return sets.select(*keys, F.expr(leaders_sql("_values", "_unit")).alias("leaders"))
-
     if fold_limit is None:
-        return fold(values)
+        return _fold(values, keys)
     values = values.distinct()
-    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max("unit").alias("unit"))
-    large = sizes.where(F.col("_rows") > fold_limit)
-    if large.isEmpty():
-        return fold(values)
-    large = durable(large.drop("_rows"))
-    # A group has one unit; should sources differ, both paths use the greatest.
-    return fold(values.join(large.drop("unit"), keys, "left_anti")).unionByName(
-        _walk(values.drop("unit").join(large, keys), keys)
-    )
+    large = _large_groups(values, keys, fold_limit)
+    if large is None:
+        return _fold(values, keys)
+    found, _ = _walk(values.drop("unit").join(large, keys), keys)
+    return _fold(values.join(large.drop("unit"), keys, "left_anti"), keys).unionByName(
+        found.groupBy(*keys).agg(F.sort_array(F.collect_list("leader")).alias("leaders")))
 
 
 def cluster_number(leaders: Column, value: Column) -> Column:
@@ -147,12 +168,31 @@ def cluster_number(leaders: Column, value: Column) -> Column:
 def tolerance_clusters(
     df: DataFrame, keys: Sequence[str], fold_limit: int | None = FOLD_LIMIT
 ) -> DataFrame:
-    """Rows with their cluster number and cluster leader."""
+    """Rows with their cluster number and cluster leader.
+
+    Rows of large groups meet the leaders of their own cell and the last one before it, never all
+    leaders of the group, and are joined by cell, so a group of any size is spread.
+    """
     keys = list(keys)
+    values = df.select(*keys, "unit", "value").where(F.col("value").isNotNull())
+    large = None
+    if fold_limit is not None:
+        values = values.distinct()
+        large = _large_groups(values, keys, fold_limit)
+    few = values if large is None else values.join(large.drop("unit"), keys, "left_anti")
     number = cluster_number(F.col("leaders"), F.col("value"))
-    return (
-        df.join(cluster_leaders(df, keys, fold_limit), keys)
+    out = (
+        df.join(_fold(few, keys), keys)
         .withColumn("cluster", number)
         .withColumn("leader", F.element_at("leaders", F.col("cluster")))
         .drop("leaders")
     )
+    if large is None:
+        return out
+    group = [*keys, "unit"]
+    found, cells = _walk(values.drop("unit").join(large, keys), keys)
+    near = durable(_leaders_of_cells(found, cells, group)).select(*keys, F.col("cell").alias("_cell"), "_within")
+    rows = df.join(large.withColumnRenamed("unit", "_unit"), keys).withColumn("_cell", cell_number(F.col("value"), F.col("_unit")))
+    own = F.element_at(F.filter("_within", lambda x: x["leader"] <= F.col("value")), -1)
+    placed = rows.join(near, [*keys, "_cell"]).withColumn("_one", own)
+    return out.unionByName(placed.withColumns({"cluster": F.col("_one.cluster"), "leader": F.col("_one.leader")}).select(*out.columns))

@@ -97,3 +97,17 @@ def test_top_k_is_limited_before_the_shuffle(spark):
     out = groups.top_k(df, ["k"], [F.desc("id")], 2)
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["id"] for r in out.collect()) == [994, 995, 996, 997, 998, 999]
+
+
+def test_rows_of_a_large_group_meet_the_leaders_of_their_cell_only(spark):
+    from plumbline.operators import cluster as cl
+
+    values = [(k, "pct", x / 40.0) for k in (1, 2) for x in range(-900, 900, 7 if k == 1 else 600)] * 2
+    df = spark.createDataFrame(values, "k int, unit string, value double")
+    small = cl.tolerance_clusters(df, ["k"], None).collect()
+    large = cl.tolerance_clusters(df, ["k"], 20)
+    assert sorted(map(tuple, small)) == sorted(map(tuple, large.select("k", "unit", "value", "cluster", "leader").collect()))
+    assert max(r["cluster"] for r in small) > 100
+    found, cells = cl._walk(df.where("k = 1").distinct(), ["k"])
+    near = cl._leaders_of_cells(found, cells, ["k", "unit"]).selectExpr("size(_within) as n").collect()
+    assert len(near) > 100 and max(r["n"] for r in near) <= 2
