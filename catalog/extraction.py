@@ -443,7 +443,7 @@ def declared_spec_rows(spark, sf):
         F.when(F.col("p_partkey") % 2 == 0, F.array(F.lit("de"), F.lit("fr"))).otherwise(F.array().cast("array<string>")).alias("entity_types"),
         F.array(F.concat(F.lit("mail"), n, F.lit("."))).alias("phrases"),
         F.array(F.concat(F.lit("mail("), n, F.lit(")\\."))).alias("patterns"))
-    docs = v.table(spark, sf, "documents")
+    docs = dealt(v.table(spark, sf, "documents"), "doc_id")
     return prose.declared_metrics(docs, specs, ["doc_id"], entity_type=docs["lang"]).select("doc_id", "metric", "value")
 
 

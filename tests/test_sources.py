@@ -277,3 +277,17 @@ def test_only_named_rows_are_read_for_numbers(spark):
     got = ht.highlights_from_rows(table, ["o", "table_no"]).collect()
     assert [(r["share_class"], r["years"], r["nav_end"], r["total_return"], r["dividends"]) for r in got] == [
         ("CLASS I", [2024, 2023], [9.1, 9.2], None, [0.75, 0.8])]
+
+
+def test_long_tables_of_specs_take_several_passes(spark, monkeypatch):
+    from plumbline.sources import prose
+
+    specs = [MetricSpec(f"m{i}", unit="count", anchors=(f"mail{i}.",), patterns=(rf"mail({i})\.",)) for i in range(40)]
+    docs = spark.createDataFrame([(1, "mail3. mail17. mail39."), (2, "mail0. <b>mail17.</b>"), (3, "none")], "doc_id int, text string")
+    read = lambda: sorted(map(tuple, prose.declared_metrics(docs, spec_table(spark, specs), ["doc_id"]).select("doc_id", "metric", "value").collect()))
+    whole = read()
+    monkeypatch.setattr(prose, "MOST_SPECS", 30)
+    assert whole == read() == [(1, "m17", 17.0), (1, "m3", 3.0), (1, "m39", 39.0), (2, "m0", 0.0), (2, "m17", 17.0)]
+    twice = spec_table(spark, specs).union(spec_table(spark, specs[:1]))
+    with pytest.raises(ValueError, match="defined twice"):
+        prose.declared_metrics(docs, twice, ["doc_id"])
