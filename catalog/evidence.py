@@ -439,8 +439,8 @@ SELECT entity, metric, round(value, 6) AS value, tier, accession, n_flags, indep
 FROM chosen WHERE anchor = DATE '2000-12-31'
 """)
 def evidence_winner(spark, sf):
-    return staged(spark, sf).winners.select(
-        *KEYS, six("value").alias("value"), "tier", "accession", "n_flags", "independents", "n_clusters")
+    return resolved(spark, sf).select(
+        *KEYS, six("chosen_value").alias("value"), "tier", "accession", "n_flags", "independents", "n_clusters")
 
 
 fragment("conflict_pool", """

@@ -1,8 +1,8 @@
 """From conflicting candidates to one value, or a typed reason for a blank.
 
-The stages are plain aggregates and key joins, so rows are combined before each
-shuffle and AQE can split a hot key. Candidate rows are shuffled once, on
-(keys, basis); every later stage joins or groups on the same columns.
+Keys of few rows, nearly all of them in practice, are shuffled once and settled by
+windows inside that one deal. A key of many rows takes stages of plain aggregates and
+key joins instead, so rows are combined before each shuffle and AQE can split it.
 """
 
 from __future__ import annotations
@@ -11,16 +11,21 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import rules
 from plumbline.functions import scoring, text
-from plumbline.operators.cluster import FOLD_LIMIT, cluster_leaders, cluster_number
+from plumbline.operators.cluster import FOLD_LIMIT, cluster_leaders, cluster_number, leaders_sql
 from plumbline.operators.eligibility import at_anchors, eligible
 from plumbline.operators.groups import order_statistics
 from plumbline.session import durable
 
 NO_DATE = -1_000_000  # sorts an undated row behind every dated one
+# Keys of more rows are settled in stages, not by windows. A window repeats the key's values beside
+# each of its rows, so this also bounds what a task holds (8 kB a row).
+ROW_LIMIT = 1_000
+# Rows, copies for anchors included, that one task sorts for those windows (some 600 bytes a row).
+TASK_ROWS = 250_000
 
 
 def _preference_rank(basis: Column, preferences: Column) -> Column:
@@ -61,7 +66,7 @@ def evidence(cands: DataFrame, metrics: DataFrame, ref: Column | None = None, st
     if strict_independence:
         observation = F.when(F.coalesce(F.col("accession"), F.lit("")) != "", F.col("accession")).otherwise(observation)
     out = (
-        cands.join(dim, "metric", "left")
+        cands.join(F.broadcast(dim), "metric", "left")
         .withColumns({"flags": flags, "as_of": F.coalesce("as_of", "period_end")})
         .withColumns({
             "share_class": F.coalesce(F.col("basis")["share_class"], F.lit("")),
@@ -86,7 +91,7 @@ def dated(ev: DataFrame, ref: Column) -> DataFrame:
 def keyed_by_basis(ev: DataFrame, metrics: DataFrame) -> DataFrame:
     """Evidence rows with the canonical basis key and its preference rank."""
     dim = metrics.select("metric", "preferences")
-    return ev.join(dim, "metric", "left").withColumns({
+    return ev.join(F.broadcast(dim), "metric", "left").withColumns({
         "basis_key": text.basis_key(F.col("basis")),
         "pref_rank": _preference_rank(F.col("basis"), F.col("preferences")),
     }).drop("preferences")
@@ -291,6 +296,71 @@ def settle_in_stages(
     )
 
 
+def settle_in_windows(keyed: DataFrame, entities: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The decision of :func:`settle_in_stages` for keys of few rows, without another shuffle of rows.
+
+    ``keyed`` is dealt by entity, which every window below keeps: rows are sorted by basis, then,
+    inside the primary one, by cluster.
+    """
+    key = Window.partitionBy(*keys)
+    basis = Window.partitionBy(*keys, "basis_key", "share_class")
+    # The rows lie by entity already, so only the entities move.
+    dim = entities.select("entity", "institutional_class").hint("shuffle_hash")
+    rank = _class_rank(F.col("share_class"), F.col("institutional_class"))
+    rows = keyed.join(dim, "entity", "left").withColumn("class_rank", rank).drop("institutional_class")
+    rows = rows.withColumns({
+        "_bases": F.dense_rank().over(key.orderBy("basis_key", "share_class")),
+        "_pref": F.min("pref_rank").over(basis), "max_tier": F.max("tier_score").over(basis),
+        "first_ord": F.min("ord").over(basis), "all_disqualified": F.bool_and("disqualified").over(basis),
+        "_all_out": F.bool_and("dated_out").over(basis),
+    }).withColumn("pref_rank", F.col("_pref"))
+    rows = rows.withColumns({
+        "_p": F.min_by(F.struct("basis_key", "all_disqualified", "_all_out"), F.struct(*basis_order())).over(key),
+        "n_bases": F.max("_bases").over(key).cast("bigint"), "n_candidates": F.count(F.lit(1)).over(key),
+    }).where(
+        (F.col("basis_key") == F.col("_p.basis_key"))
+        & (~F.col("dated_out") | F.col("_p._all_out") | F.col("_p.all_disqualified"))
+    ).withColumn("all_disqualified", F.col("_p.all_disqualified")).drop(
+        "_p", "_pref", "_all_out", "_bases", "class_rank", "max_tier", "first_ord",
+        *[c for c in UNUSED if c in keyed.columns])
+    plain = F.struct("n_flags", (-F.col("tier_score")).alias("t"), "ord")
+    rows = rows.withColumns({
+        "_values": F.collect_set("value").over(key), "_unit": F.max("unit").over(key),
+        "plain_as_of": F.min_by("as_of", plain).over(key),
+    }).withColumn("_leaders", F.expr(leaders_sql("_values", "_unit"))).withColumns({
+        "cluster": cluster_number(F.col("_leaders"), F.col("value")),
+        "n_clusters": F.size("_leaders").cast("bigint"),
+    }).drop("_values", "_unit", "_leaders")
+    cluster = Window.partitionBy(*keys, "cluster")
+    rows = rows.withColumn("_row", F.row_number().over(cluster.orderBy(*row_order()))).withColumns({
+        "any_measure": F.bool_or("measures").over(cluster),
+        "independents": F.size(F.collect_set("observation").over(cluster)).cast("bigint"),
+        "min_flags": F.min("n_flags").over(cluster), "max_tier": F.max("tier_score").over(cluster),
+        "max_day": F.max("as_of_day").over(cluster),
+    })
+    first = F.col("_row") == 1
+    rows = rows.withColumn("_c", F.min_by(
+        F.struct("cluster", "value", "unit", "observation"),
+        F.struct((~first).alias("later"), *cluster_order())).over(key))
+    chosen = lambda name: F.col(f"_c.{name}")
+    counted = F.col("measures") & (F.col("observation") != chosen("observation"))
+    agree = scoring.values_agree(chosen("value"), F.col("value"), chosen("unit"))
+    lost = F.col("cluster") != chosen("cluster")
+    pool = F.col("_pool")
+    mid = F.get(pool, F.floor(F.size(pool) / 2).cast("int"))
+    return rows.withColumns({
+        "n_agree": F.count_if(counted & agree).over(key), "n_disagree": F.count_if(counted & ~agree).over(key),
+        "losing_rows": F.count_if(lost).over(key),
+        "losing_independents": F.coalesce(F.sum(F.when(lost & first, F.col("independents"))).over(key), F.lit(0)),
+        "_pool": F.collect_list(F.when(lost, F.col("value"))).over(key),
+    }).where(first & ~lost).withColumn("_pool", F.array_sort(F.array_append("_pool", F.col("value")))).withColumn(
+        "spread_pct", F.when(F.col("n_clusters") > 1, (F.element_at(pool, -1) - F.get(pool, F.lit(0)))
+                             / F.abs(F.when(mid == 0, F.lit(1.0)).otherwise(mid)) * 100)
+    ).select(*keys, "basis_key", "cluster", "independents", *[c for c in CHOSEN if c != "basis_key"], "plain_as_of",
+             "n_clusters", "ref", "all_disqualified", "n_agree", "n_disagree", "n_bases", "n_candidates",
+             "losing_rows", "losing_independents", "spread_pct")
+
+
 def decide(settled: DataFrame) -> DataFrame:
     """Score every settled key and publish its value or the reason for a blank."""
     agreement = (
@@ -346,20 +416,45 @@ def resolve(
 ) -> DataFrame:
     """Reconcile eligible candidates; precedence disqualified, stale, weak.
 
-    Every key takes the same way: aggregates that combine before each shuffle and
+    One job counts the rows of each key. Those of up to ``ROW_LIMIT`` are dealt by entity once and
+    settled by windows. Larger ones take aggregates that combine before each shuffle and
     key joins that Spark can split, so it does not matter how many candidates a
-    key has. The evidence of a row is worked out and written once, evenly dealt.
+    key has; the evidence of their rows is worked out and written once, evenly dealt. Both ways
+    give the same. ``fold_limit`` None is for keys known to be small: nothing is counted.
     Rows whose value is NULL or NaN take no part, and a key that has no other rows
     gives none. With ``anchors`` each row takes part at every anchor on or after its
     period; ``keys`` then have the column ``anchor``, and rows are copied inside
     tasks that combine them, not before a shuffle of whole rows. ``strict_independence`` gives
     every filing one vote (see :func:`evidence`).
     """
-    keyed = durable(keyed_by_basis(
-        evidence(spread(usable(cands)), metrics, strict_independence=strict_independence), metrics))
-    if anchors is not None:
-        keyed = eligible(at_anchors(keyed, anchors), F.col("anchor"))
-    return decide(settle_in_stages(dated(keyed, ref), entities, list(keys), fold_limit))
+    def prepared(rows: DataFrame) -> DataFrame:
+        return keyed_by_basis(evidence(rows, metrics, strict_independence=strict_independence), metrics)
+
+    def at_ref(keyed: DataFrame) -> DataFrame:
+        if anchors is not None:
+            keyed = eligible(at_anchors(keyed, anchors), F.col("anchor"))
+        return dated(keyed, ref)
+
+    rows, key = usable(cands), F.xxhash64("entity", "metric")
+    if fold_limit is None:
+        return decide(settle_in_windows(at_ref(prepared(rows.repartition("entity"))), entities, list(keys)))
+    # Keys that share a hash only share the way they take.
+    counts = durable(rows.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n")))
+    above = F.col("_n") > min(ROW_LIMIT, fold_limit)
+    n_rows, n_large = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count_if(above)).first()
+    few, many = rows, None
+    if n_large:
+        named, large = rows.withColumn("_key", key), durable(counts.where(above).select("_key"))
+        few = named.join(large, "_key", "left_anti").drop("_key")
+        many = named.join(large, "_key", "left_semi").drop("_key")
+    pieces = n_rows * len(anchors or [None]) // TASK_ROWS
+    default = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = few.repartition("entity") if pieces <= default else few.repartition(pieces, "entity")
+    settled = settle_in_windows(at_ref(prepared(few)), entities, list(keys))
+    if many is not None:
+        staged = settle_in_stages(at_ref(durable(prepared(spread(many)))), entities, list(keys), fold_limit)
+        settled = settled.unionByName(staged.select(*settled.columns))
+    return decide(settled)
 
 
 def alternatives(ev: DataFrame, primary: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from plumbline import rules
 from plumbline.functions import scoring, text
 from plumbline.metrics import BUILTIN, MetricSpec, metric_frame, unique
-from plumbline.operators import eligibility
+from plumbline.operators import eligibility, resolve as resolve_module
 from plumbline.operators.resolve import resolve
 from plumbline.plans.benchmark import benchmark_run, reconcile_grid
 from plumbline.plans import reports
 from plumbline.schema import CANDIDATE, NOTICE, conform, union_sources
+from plumbline.session import durable
 
 REF = date(2025, 12, 31)
 ENTITIES = [("IF", 0, "interval_fund", "03-31", "Class I", [s.key for s in BUILTIN]),
@@ -137,6 +138,43 @@ def test_result_does_not_depend_on_layout_or_path(spark, dims):
     assert all(s == seen[0] for s in seen)
 
 
+def many_kinds(spark):
+    """Keys of one to a dozen rows over tiers, bases, flags, dates and equal values."""
+    rows = [
+        cand(entity=("BDC", "IF", "REIT")[i % 3], metric=BUILTIN[i % 4 * (i % 5 > 0)].key, value=1.0 + i % 7 / 20 + i % 2,
+             tier=("xbrl", "html_table", "text_pattern", "derived")[i % 4], accession=f"A{i % 9}",
+             basis={"fee_basis": "stated_annual_rate" if i % 5 else "other", "share_class": "Class I" if i % 4 else "fund_level"},
+             flags=["superseded_rate"] if i % 11 == 0 else [], as_of=REF - timedelta(days=i * 5 % 400),
+             until=REF - timedelta(days=30) if i % 6 == 0 else None)
+        for i in range(90)]
+    return frame(spark, rows)
+
+
+def as_text(df):
+    return sorted(df.withColumn("basis", F.map_entries("basis")).select(sorted(df.columns)).toJSON().collect())
+
+
+def test_keys_of_few_and_of_many_rows_are_settled_alike(spark, dims, monkeypatch):
+    df, anchors = many_kinds(spark), [REF - timedelta(days=92), REF]
+    run = lambda **kw: as_text(resolve(df, dims[0], dims[1], F.col("anchor"), ["anchor", "entity", "metric"], anchors=anchors, **kw))
+    by_stages, by_windows = run(fold_limit=0), run()
+    monkeypatch.setattr(resolve_module, "ROW_LIMIT", 5)
+    monkeypatch.setattr(resolve_module, "TASK_ROWS", 10)
+    assert len(by_stages) > 10
+    assert by_stages == by_windows == run() == run(fold_limit=None)
+
+
+def test_rows_of_small_keys_are_dealt_once_and_not_written(spark, dims, monkeypatch):
+    written = []
+    monkeypatch.setattr(resolve_module, "durable", lambda df: written.append(df.columns) or durable(df))
+    out = resolve(many_kinds(spark), dims[0], dims[1], F.lit(REF))
+    assert written == [["_key", "_n"]]
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    deals = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert len(deals) <= 2  # the rows and the entities
+
+
 def test_a_filing_has_one_vote_where_independence_is_strict(spark, dims):
     rows = [cand(value=1.0, accession="A1"), cand(value=1.0, accession="A1", tier="html_table"), cand(value=1.5, accession="A2"),
             cand("IF", value=1.0, accession=None), cand("IF", value=1.0, accession=None, tier="html_table")]
