@@ -89,9 +89,13 @@ FROM (SELECT *, value IS NOT NULL AND entity_type = 'interval_fund' AND metric I
 """)
 
 
+CELL_COLUMNS = ["anchor", "entity", "entity_ord", "entity_type", "metric", "unit", "direction", "value", "chosen_value",
+                "basis", "confidence", "reason", "detail"]
+
+
 def cells(spark, sf, both=False):
-    # Reports read a finished run several times, so it is written first.
-    rows = durable(run(spark, sf) if both else latest(spark, sf))
+    # Reports read a finished run several times, so what they read is written first.
+    rows = durable((run(spark, sf) if both else latest(spark, sf)).select(*CELL_COLUMNS))
     return reports.cells(rows, ["anchor"], CLASS_METRICS)
 
 
