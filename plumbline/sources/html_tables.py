@@ -181,20 +181,23 @@ def fee_tables(docs: DataFrame, keys: Sequence[str], html: str, within: int | No
         label.rlike("^incentive fee"), F.lit("incentive_fee_pct"))
     percent = tx.percent_token(F.try_element_at("cells", F.lit(2)))
     denominator = F.when(F.contains(F.lower(F.col("header")[0]), F.lit("net asset")), F.lit("net_assets")).otherwise(F.lit("unstated"))
-    stated = rows.withColumns({"metric": metric, "value": percent, "_d": denominator}).where(
-        F.col("metric").isNotNull() & F.col("value").isNotNull()).select(
-        *keys, "metric", "value", F.create_map(F.lit("fee_basis"), F.concat(F.lit("pct_of_"), "_d")).alias("basis"),
+    basis = lambda of: F.create_map(F.lit("fee_basis"), of)
+    rate = F.when(F.col("metric").isNotNull() & F.col("value").isNotNull(), F.struct(
+        "metric", "value", basis(F.concat(F.lit("pct_of_"), "_d")).alias("basis"),
         F.when(F.col("_d") == "unstated", F.array(F.lit("fee_denominator_unstated"))).otherwise(F.array().cast("array<string>")).alias("flags"),
-        F.struct("anchor_pos", "row_no").alias("_at"))
-    whole = rows.groupBy(*keys, "table_no").agg(
+        F.struct("anchor_pos", "row_no").alias("_at")))
+    # One pass over the pages: a table's rates and what else it lists are gathered together.
+    tables = rows.withColumns({"metric": metric, "value": percent, "_d": denominator}).groupBy(*keys, "table_no").agg(
+        F.collect_list(rate).alias("_stated"),
         F.bool_or(label.rlike("total annual")).alias("_t"), F.bool_or(label.rlike("other expenses")).alias("_o"),
         F.bool_or(label.rlike("^(investment )?management fee")).alias("_m"), F.bool_or(label.rlike("incentive")).alias("_i"),
-        F.min("anchor_pos").alias("anchor_pos"),
-    ).where("_t and _o and _m and not _i").select(
-        *keys, F.lit("incentive_fee_pct").alias("metric"), F.lit(0.0).alias("value"),
-        F.create_map(F.lit("fee_basis"), F.lit("none_disclosed")).alias("basis"),
-        F.array(F.lit("inferred_from_absence")).alias("flags"), F.struct("anchor_pos", F.lit(1 << 30).alias("row_no")).alias("_at"))
-    return first_distinct(stated.unionByName(whole), [*keys, "metric", "value"], "_at").drop("_at")
+        F.min("anchor_pos").alias("anchor_pos"))
+    none = F.when(F.expr("_t and _o and _m and not _i"), F.struct(
+        F.lit("incentive_fee_pct").alias("metric"), F.lit(0.0).alias("value"), basis(F.lit("none_disclosed")).alias("basis"),
+        F.array(F.lit("inferred_from_absence")).alias("flags"),
+        F.struct("anchor_pos", F.lit(1 << 30).alias("row_no")).alias("_at")))
+    found = tables.select(*keys, F.explode(F.array_compact(F.array_append("_stated", none))).alias("_f")).select(*keys, "_f.*")
+    return first_distinct(found, [*keys, "metric", "value"], "_at").drop("_at")
 
 
 def return_tables(docs: DataFrame, keys: Sequence[str], html: str, within: int | None = None) -> DataFrame:

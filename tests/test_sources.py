@@ -291,3 +291,14 @@ def test_long_tables_of_specs_take_several_passes(spark, monkeypatch):
     twice = spec_table(spark, specs).union(spec_table(spark, specs[:1]))
     with pytest.raises(ValueError, match="defined twice"):
         prose.declared_metrics(docs, twice, ["doc_id"])
+
+
+def test_fee_pages_are_read_once(spark):
+    page = ("<p>Annual Expenses</p><table><tr><td>of net assets</td></tr><tr><td>Management Fee</td><td>1.25%</td></tr>"
+            "<tr><td>Other expenses</td><td>0.1%</td></tr><tr><td>Total annual expenses</td><td>2%</td></tr></table>")
+    out = ht.fee_tables(spark.createDataFrame([(1, page), (2, page.replace("Other", "Incentive"))], "k int, html string"), ["k"], "html")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    got = {(r.k, r.metric, r.value, r.basis["fee_basis"], *r.flags) for r in out.collect()}
+    assert got == {(1, "management_fee_pct", 1.25, "pct_of_net_assets"), (2, "management_fee_pct", 1.25, "pct_of_net_assets"),
+                   (1, "incentive_fee_pct", 0.0, "none_disclosed", "inferred_from_absence")}
