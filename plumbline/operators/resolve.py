@@ -302,12 +302,13 @@ def settle_in_windows(keyed: DataFrame, entities: DataFrame, keys: Sequence[str]
     ``keyed`` is dealt by entity, which every window below keeps: rows are sorted by basis, then,
     inside the primary one, by cluster.
     """
-    key = Window.partitionBy(*keys)
-    basis = Window.partitionBy(*keys, "basis_key", "share_class")
+    # One number in front settles nearly all comparisons of the sorts.
+    by = ["_key", *keys]
+    key, basis = Window.partitionBy(*by), Window.partitionBy(*by, "basis_key", "share_class")
     # The rows lie by entity already, so only the entities move.
     dim = entities.select("entity", "institutional_class").hint("shuffle_hash")
     rank = _class_rank(F.col("share_class"), F.col("institutional_class"))
-    rows = keyed.join(dim, "entity", "left").withColumn("class_rank", rank).drop("institutional_class")
+    rows = keyed.join(dim, "entity", "left").withColumns({"class_rank": rank, "_key": F.xxhash64(*keys)}).drop("institutional_class")
     rows = rows.withColumns({
         "_bases": F.dense_rank().over(key.orderBy("basis_key", "share_class")),
         "_pref": F.min("pref_rank").over(basis), "max_tier": F.max("tier_score").over(basis),
@@ -331,7 +332,7 @@ def settle_in_windows(keyed: DataFrame, entities: DataFrame, keys: Sequence[str]
         "cluster": cluster_number(F.col("_leaders"), F.col("value")),
         "n_clusters": F.size("_leaders").cast("bigint"),
     }).drop("_values", "_unit", "_leaders")
-    cluster = Window.partitionBy(*keys, "cluster")
+    cluster = Window.partitionBy(*by, "cluster")
     rows = rows.withColumn("_row", F.row_number().over(cluster.orderBy(*row_order()))).withColumns({
         "any_measure": F.bool_or("measures").over(cluster),
         "independents": F.size(F.collect_set("observation").over(cluster)).cast("bigint"),
