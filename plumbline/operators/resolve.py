@@ -158,10 +158,9 @@ CHOSEN = ["value", "unit", "tier", "tier_score", "observation", "flags", "n_flag
 UNUSED = ["effective_from", "effective_until", "share_class", "pref_rank", "transforms", "disqualified", "dated_out"]
 
 
-def number_clusters(rows: DataFrame, keys: Sequence[str], fold_limit=FOLD_LIMIT) -> DataFrame:
+def number_clusters(rows: DataFrame, keys: Sequence[str], leaders: DataFrame) -> DataFrame:
     """In-force rows with the number of the cluster their value falls in."""
     by = [*keys, "basis_key"]
-    leaders = cluster_leaders(rows, by, fold_limit)
     number = cluster_number(F.col("leaders"), F.col("value"))
     return rows.join(leaders, by).withColumn("cluster", number).drop("leaders")
 
@@ -268,7 +267,8 @@ def stages(
     ev = keyed_by_basis(ev, metrics)
     groups = basis_groups(ev, entities, keys)
     primary = primary_basis(groups, keys)
-    numbered = number_clusters(in_force_rows(ev, primary, keys), keys, fold_limit)
+    rows = in_force_rows(ev, primary, keys)
+    numbered = number_clusters(rows, keys, cluster_leaders(rows, [*keys, "basis_key"], fold_limit))
     found = clusters(numbered, keys)
     return Stages(list(keys), ev, groups, primary, numbered, found, winners(found, keys))
 
@@ -284,7 +284,8 @@ def settle_in_stages(
     """
     primary = durable(primary_basis(basis_groups(keyed, entities, keys), keys))
     rows = in_force_rows(keyed, primary, keys)
-    numbered = durable(number_clusters(rows, keys, fold_limit).drop(*UNUSED))
+    leaders = durable(cluster_leaders(rows, [*keys, "basis_key"], fold_limit))
+    numbered = durable(number_clusters(rows, keys, leaders).drop(*UNUSED))
     found = durable(clusters(numbered, keys))
     best = durable(winners(found, keys))
     counted = score_counts(numbered, best, keys)

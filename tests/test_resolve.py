@@ -164,6 +164,17 @@ def test_keys_of_few_and_of_many_rows_are_settled_alike(spark, dims, monkeypatch
     assert by_stages == by_windows == run() == run(fold_limit=None)
 
 
+def test_rows_of_a_hot_key_stay_where_they_lie(spark, dims, monkeypatch):
+    numbered = []
+    monkeypatch.setattr(resolve_module, "durable", lambda df: numbered.append(df) or durable(df))
+    rows = [cand(value=1.0 + i % 50 / 20, accession=f"A{i}", basis={}) for i in range(400)]
+    out = resolve(frame(spark, rows), dims[0], dims[1], F.lit(REF), fold_limit=0).collect()
+    assert [r["n_candidates"] for r in out] == [400]
+    [table] = [df for df in numbered if {"cluster", "measures"} <= set(df.columns)]
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(entity" not in plan
+
+
 def test_rows_of_small_keys_are_dealt_once_and_not_written(spark, dims, monkeypatch):
     written = []
     monkeypatch.setattr(resolve_module, "durable", lambda df: written.append(df.columns) or durable(df))
