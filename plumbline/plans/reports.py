@@ -104,6 +104,8 @@ def coverage_rollup(rows: DataFrame) -> DataFrame:
 def audit(cands: DataFrame, grid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Every candidate with its outcome, plus a row for keys that had none."""
     keys = [*by, "entity", "metric"]
+    # The run is read twice below, so what is read of it is written first.
+    grid = durable(grid.select(*keys, "chosen_ord", "value", "unit", "confidence", "score", "n_candidates"))
     side = grid.select(*keys, "chosen_ord", F.col("value").alias("_value"), F.col("confidence").alias("_conf"),
                        F.col("score").alias("_score"), F.col("n_candidates").alias("_n"))
     mine = F.coalesce(F.col("ord") == F.col("chosen_ord"), F.lit(False))

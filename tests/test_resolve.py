@@ -246,6 +246,20 @@ def test_audit_lists_every_candidate_once(spark, dims):
     assert sum(r["outcome"] == "no_candidate" for r in got) == len(ENTITIES) * len(BUILTIN) - 1
 
 
+def test_audit_settles_the_run_once(spark, dims):
+    df, settled = frame(spark, [cand(value=1.0), cand(value=3.0)]), spark.sparkContext.accumulator(0)
+    grid = reconcile_grid(df, dims[0], BUILTIN, F.lit(REF))
+
+    def seen(batches):
+        for batch in batches:
+            settled.add(batch.num_rows)
+            yield batch
+
+    counted = grid.select("entity", "metric", "chosen_ord", "value", "unit", "confidence", "score", "n_candidates")
+    reports.audit(df, counted.mapInArrow(seen, counted.schema)).collect()
+    assert settled.value == len(ENTITIES) * len(BUILTIN)
+
+
 def coverage_frame(spark, rows):
     return spark.createDataFrame(rows, "entity string, metric string, status string, owner string, detail string, confidence string, value double")
 
