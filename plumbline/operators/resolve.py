@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from plumbline import rules
 from plumbline.functions import scoring, text
 from plumbline.operators.cluster import FOLD_LIMIT, cluster_leaders, cluster_number, leaders_sql
-from plumbline.operators.eligibility import at_anchors, eligible
+from plumbline.operators.eligibility import at_anchors, covers, eligible
 from plumbline.operators.groups import order_statistics
 from plumbline.session import durable
 
@@ -438,6 +438,9 @@ def resolve(
         return dated(keyed, ref)
 
     rows, key = usable(cands), F.xxhash64("entity", "metric")
+    if anchors:
+        # Rows later than every anchor take part nowhere, so they are not dealt.
+        rows = rows.where(covers() <= F.lit(max(anchors)))
     if fold_limit is None:
         return decide(settle_in_windows(at_ref(prepared(rows.repartition("entity"))), entities, list(keys)))
     # Keys that share a hash only share the way they take.

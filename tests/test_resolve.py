@@ -186,6 +186,26 @@ def test_rows_of_small_keys_are_dealt_once_and_not_written(spark, dims, monkeypa
     assert len(deals) <= 2  # the rows and the entities
 
 
+def test_rows_later_than_every_anchor_are_not_dealt(spark, dims, monkeypatch):
+    counted = []
+    monkeypatch.setattr(resolve_module, "durable", lambda df: counted.append(durable(df)) or counted[-1])
+    late = frame(spark, [cand(value=1.0), cand(value=2.0, as_of=REF + timedelta(days=1)), cand("IF", as_of=REF + timedelta(days=9))])
+    out = resolve(late, dims[0], dims[1], F.col("anchor"), ["anchor", "entity", "metric"], anchors=[REF - timedelta(days=1), REF])
+    assert [r["_n"] for r in counted[0].collect()] == [1]
+    assert sorted((r["anchor"], r["chosen_value"], r["n_candidates"]) for r in out.collect()) == [
+        (REF - timedelta(days=1), 1.0, 1), (REF, 1.0, 1)]
+
+
+def test_rows_later_than_every_anchor_are_not_dealt(spark, dims, monkeypatch):
+    counted = []
+    monkeypatch.setattr(resolve_module, "durable", lambda df: counted.append(durable(df)) or counted[-1])
+    late = frame(spark, [cand(value=1.0), cand(value=2.0, as_of=REF + timedelta(days=1)), cand("IF", as_of=REF + timedelta(days=9))])
+    out = resolve(late, dims[0], dims[1], F.col("anchor"), ["anchor", "entity", "metric"], anchors=[REF - timedelta(days=1), REF])
+    assert [r["_n"] for r in counted[0].collect()] == [1]
+    assert sorted((r["anchor"], r["chosen_value"], r["n_candidates"]) for r in out.collect()) == [
+        (REF - timedelta(days=1), 1.0, 1), (REF, 1.0, 1)]
+
+
 def test_a_filing_has_one_vote_where_independence_is_strict(spark, dims):
     rows = [cand(value=1.0, accession="A1"), cand(value=1.0, accession="A1", tier="html_table"), cand(value=1.5, accession="A2"),
             cand("IF", value=1.0, accession=None), cand("IF", value=1.0, accession=None, tier="html_table")]
@@ -209,6 +229,16 @@ def test_values_that_are_no_numbers_take_no_part(spark, dims):
     assert blank["value"] is None and blank["reason"] == "no_candidate" and blank["detail"].startswith("2 source(s)")
 
 
+def test_notices_of_the_anchors_sum_the_candidates_once(spark):
+    rows = [cand(), cand("IF", as_of=REF + timedelta(days=9)), cand("REIT", value=None, as_of=REF + timedelta(days=5))]
+    said = eligibility.anchor_notices(frame(spark, rows), [REF])
+    got = sorted((r["entity"], r["detail"].split(" ")[0], r["as_of"], r["ord"] - (1 << 62)) for r in said.collect())
+    late = REF + timedelta(days=5)
+    assert got == [("IF", "every", REF + timedelta(days=9), 0), ("REIT", "1", late, 1), ("REIT", "every", late, 0)]
+    plan = said._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 # ------------------------------------------------------------------ whole runs
 
 def test_every_cell_has_a_value_or_a_reason_and_board_equals_coverage(spark, dims):
