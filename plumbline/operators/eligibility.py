@@ -68,7 +68,7 @@ def unusable_notices(cands: DataFrame, keys: Sequence[str]) -> DataFrame:
         "as_of", "n_excluded")
 
 
-def anchor_notices(cands: DataFrame, anchors: Sequence[date]) -> tuple[DataFrame, DataFrame]:
+def anchor_notices(cands: DataFrame, anchors: Sequence[date]) -> DataFrame:
     """Notices of every anchor for keys whose rows are all too late, and for keys without a number.
 
     One aggregate over the candidates as they are counts rows and numbers and finds the first
@@ -78,14 +78,15 @@ def anchor_notices(cands: DataFrame, anchors: Sequence[date]) -> tuple[DataFrame
     sums = at_anchors(cands.groupBy("entity", "metric").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(number).alias("good"), F.min(covers()).alias("first"),
         F.max(covers()).alias("last")), anchors)
-    keys = [F.col("anchor"), F.col("entity"), F.col("metric"), F.lit("no_candidate").alias("reason")]
-    late = sums.where(F.coalesce(F.col("first") > F.col("anchor"), F.lit(True))).select(
-        *keys, F.concat(F.lit("every figure found is for a later period than "), F.col("anchor").cast("string")).alias("detail"),
-        F.col("first").alias("as_of"), F.lit(1 << 62).alias("ord"))
-    blank = sums.where("good = 0").select(
-        *keys, F.concat(F.col("n").cast("string"), F.lit(" source(s) state no usable number")).alias("detail"),
-        F.col("last").alias("as_of"), F.lit((1 << 62) + 1).alias("ord"))
-    return late, blank
+    late = F.when(F.coalesce(F.col("first") > F.col("anchor"), F.lit(True)), F.struct(
+        F.concat(F.lit("every figure found is for a later period than "), F.col("anchor").cast("string")).alias("detail"),
+        F.col("first").alias("as_of"), F.lit(1 << 62).alias("ord")))
+    blank = F.when(F.col("good") == 0, F.struct(
+        F.concat(F.col("n").cast("string"), F.lit(" source(s) state no usable number")).alias("detail"),
+        F.col("last").alias("as_of"), F.lit((1 << 62) + 1).alias("ord")))
+    # Both leave one pass: two filters over the sums would work them out twice.
+    said = sums.select("anchor", "entity", "metric", F.explode(F.array_compact(F.array(late, blank))).alias("_n"))
+    return said.select("anchor", "entity", "metric", F.lit("no_candidate").alias("reason"), "_n.*")
 
 
 def first_notices(notices: DataFrame, keys: Sequence[str], ord_col: str = "ord") -> DataFrame:

@@ -98,10 +98,9 @@ def benchmark_run(
     or that none is a number.
     """
     keys = ["anchor", "entity", "metric"]
-    late, blank = eligibility.anchor_notices(cands, anchors)
-    said = late.unionByName(blank)
+    said = eligibility.anchor_notices(cands, anchors)
     if notices is not None:
         told = eligibility.at_anchors(notices, anchors)
-        said = said.unionByName(told.select(*late.columns))
+        said = said.unionByName(told.select(*said.columns))
     first = eligibility.first_notices(said, keys)
     return reconcile_grid(cands, entities, specs, F.col("anchor"), first, zero_rule, anchors, strict_independence)
