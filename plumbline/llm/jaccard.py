@@ -31,6 +31,9 @@ SLACK, CHUNK_NODES, CHUNK_BYTES = 10, 1024, 8 << 20
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 #: Ways a large block is dealt into chunks at random before its chunks meet in pairs.
 PASSES = 2
+#: A hash is common in a cell where more than one in so many of its sets hold it; a cell's common
+#: hashes are no more than so many of its sets hold (3 % of a full chunk).
+COMMON = 32
 #: Hashes a task combines before it sends them; bytes of bitmaps that are compared at a time.
 RUN_HASHES, BITMAP_BYTES = 400_000, 4 << 20
 
@@ -477,21 +480,76 @@ def _covered(sets: DataFrame) -> DataFrame:
     return sets.join(alone, ["cell", "node"], "left").where(enough).drop("alone")
 
 
-def _narrowed(large: DataFrame) -> DataFrame:
-    """(block, node, n, hashes, parts): large blocks as smaller ones that hold the same links.
+def _lookup_rows(batches):
+    """(cell, node, n, often, token, first) of groups (cell, part) of sets and their cell's common hashes.
+
+    ``often`` common hashes are in the set. No other hash is held by as many sets, so of the common
+    ones only those go out (``first``) that are among the rarest even behind all others.
+    """
+    for group in runs(batches, ["cell", "part"]):
+        listed = group.filter(group["tokens"].is_valid())
+        common = listed["tokens"][0].values.to_numpy() if listed.num_rows else np.zeros(0, dtype=np.int64)
+        place = np.argsort(common)
+        common = common[place]
+        out = []
+        group = group.filter(group["hashes"].is_valid())
+        for node, data in zip(group["node"].to_pylist(), group["hashes"].to_pylist()):
+            s = np.frombuffer(data, dtype=np.int64)
+            at = np.searchsorted(common, s)
+            hit = at < len(common)
+            hit[hit] = common[at[hit]] == s[hit]
+            often = int(hit.sum())
+            head = s[hit][np.argsort(place[at[hit]])][:max(0, often - _up(len(s), TIMES, OUT_OF) + 1)]
+            out.append((node, len(s), often, np.append(head, s[~hit]), len(head)))
+        if not out:
+            continue
+        node, n, often, token, first = zip(*out)
+        long = [len(t) for t in token]
+        flat = [np.repeat(np.array(x, dtype=t), long) for x, t in ((node, np.int64), (n, np.int32), (often, np.int32))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(sum(long), group["cell"][0].as_py())), *map(pa.array, flat), pa.array(np.concatenate(token)),
+             pa.array(np.concatenate([np.arange(m) < k for m, k in zip(long, first)]))],
+            names=["cell", "node", "n", "often", "token", "first"])
+
+
+def _rarest(sets: DataFrame) -> DataFrame:
+    """(cell, token, v): of every set (cell, node) the hashes of which two linked sets share one.
 
     In a cell the hashes are ordered by the sets that hold them, rarest first, as in
     :func:`_blocks`, but over whole sets: two linked ones share one of the first
     n - ceil(0.8 n) + 1, and hashes that nobody else holds are among those for nothing.
+    Common hashes, a bounded list per cell, are looked up where the sets lie, a chunk of sets at a
+    time; so a hash is only joined to sets where few of its cell hold it.
     """
-    sets = written(_covered(written(_windows(large), "windows")), "narrow")
-    rows = _hashes(sets)
-    common = rows.groupBy("cell", "token").agg(F.count("*").alias("df")).where("df > 1")
+    size = sets.groupBy("cell").agg(F.count("*").alias("sets"), _chunks())
+    counts = _hashes(sets).groupBy("cell", "token").agg(F.count("*").alias("df")).where("df > 1")
+    counts = written(counts.join(size.select("cell", "sets"), "cell"), "counts")
+    few = F.col("df") * COMMON <= F.col("sets")
+    listed = counts.where(~few).groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("c"))
+    listed = listed.join(size, "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("node"),
+        F.lit(None).cast("binary").alias("hashes"), F.col("c.token").alias("tokens"))
+    placed = sets.join(size, "cell").select(
+        "cell", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int").alias("part"), "node", "hashes",
+        F.lit(None).cast("array<long>").alias("tokens"))
+    rows = placed.union(listed).repartition("cell", "part").sortWithinPartitions("cell", "part")
+    rows = written(rows.mapInArrow(
+        lean(_lookup_rows), "cell long, node long, n int, often int, token long, first boolean"), "lookup")
     one = Window.partitionBy("cell", "node")
-    held = rows.join(common, ["cell", "token"]).withColumn("rank", F.row_number().over(one.orderBy("df", "token")))
-    held = held.withColumn("k", F.count("*").over(one)).join(sets.select("cell", "node", "n"), ["cell", "node"])
-    used = held.where(F.col("rank") <= F.col("k") - _least() + 1)
+    held = rows.where("not first").join(counts.where(few).select("cell", "token", "df"), ["cell", "token"]).withColumns(
+        {"rank": F.row_number().over(one.orderBy("df", "token")), "k": F.count("*").over(one) + F.col("often")})
+    used = held.where(F.col("rank") <= F.col("k") - _least() + 1).select("cell", "token", "node").union(
+        rows.where("first").select("cell", "token", "node"))
     used = written(used.select("cell", "token", F.xxhash64("cell", "node").alias("v")), "prefix")
+    drop_written(counts)
+    drop_written(rows)
+    return used
+
+
+def _narrowed(large: DataFrame) -> DataFrame:
+    """(block, node, n, hashes, parts): large blocks as smaller ones that hold the same links."""
+    sets = written(_covered(written(_windows(large), "windows")), "narrow")
+    used = _rarest(sets)
     head = used.groupBy("cell", "token").agg(F.min("v").alias("u"))
     found = written(components(used.join(head, ["cell", "token"]).select("u", "v").where("u <> v").distinct()), "blocks")
     drop_written(used)

@@ -149,6 +149,32 @@ def test_shared_notices_are_not_dealt_as_pairs(spark, monkeypatch, notices, per,
     assert sum(counts) < 3 * len(texts)
 
 
+def test_common_hashes_of_near_copies_are_not_joined(spark, monkeypatch):
+    """Near copies, linked ones and others: their shared words meet no join, and all links are found."""
+    r = random.Random(3)
+    texts = {k: f"x{k} y z" for k in range(20)}
+    for k in range(100, 340):
+        own = [f"w{i}" for i in range(90)]
+        for at in r.sample(range(90), r.choice((1, 2, 3))):
+            own[at] = f"e{k}_{at}"
+        texts[k] = " ".join(own)
+    rows, join = [], type(spark.range(1)).join
+
+    def counted(one, other, on=None, how=None):
+        out = join(one, other, on, how)
+        if on == ["cell", "token"]:
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "CHUNK_NODES", 40)
+    monkeypatch.setattr(type(spark.range(1)), "join", counted)
+    sets, roots = linked(texts)
+    df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(5)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.join_similar(df).collect()}
+    assert got == {i: (len(sets[i]), roots[i]) for i in texts}
+    assert len(rows) == 2 and 0 < sum(rows) < sum(map(len, sets.values())) / 2
+
+
 # --------------------------------------------------------------------- vectors
 def test_vectors_against_all_pairs(spark):
     r = np.random.default_rng(5)
