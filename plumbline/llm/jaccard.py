@@ -431,21 +431,6 @@ def _least(n: str = "n"):
     return F.ceil(F.col(n) * TIMES / OUT_OF)
 
 
-def _hash_rows(batches):
-    """(cell, node, token) of all hashes of sets (cell, node, hashes)."""
-    for batch in batches:
-        sets = [np.frombuffer(x, dtype=np.int64) for x in batch.column(2).to_pylist()]
-        if sets:
-            n = [len(s) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.asarray(batch.column(0)), n)), pa.array(np.repeat(np.asarray(batch.column(1)), n)),
-                 pa.array(np.concatenate(sets))], names=["cell", "node", "token"])
-
-
-def _hashes(sets: DataFrame) -> DataFrame:
-    return sets.select("cell", "node", "hashes").mapInArrow(lean(_hash_rows), "cell long, node long, token long")
-
-
 def _in_parts(rows: DataFrame) -> DataFrame:
     """Rows of (block, node, n, hashes) and the number of chunks that their block needs."""
     return rows.join(rows.groupBy("block").agg(_chunks()), "block")
@@ -469,13 +454,64 @@ def _windows(large: DataFrame) -> DataFrame:
     return rows.join(own.where("own").select("cell"), "cell", "left_semi").select("cell", "node", "n", "hashes")
 
 
-def _covered(sets: DataFrame) -> DataFrame:
-    """The sets of which other sets of their cell hold enough hashes between them.
+def _placed(sets: DataFrame, size: DataFrame) -> DataFrame:
+    """Rows of (cell, part, parts, node, hashes): the sets of a cell dealt to its chunks at random."""
+    part = F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int")
+    return sets.join(size.select("cell", "parts"), "cell").select("cell", part.alias("part"), "parts", "node", "hashes")
+
+
+def _chunk_hashes(batches):
+    """Rows (cell, piece, token, node, held) of chunks of sets (cell, part), a chunk's hashes of a range in one row.
 
-    Only hashes that a single set holds are counted per set, so no common hash is joined.
+    The arrays hold every hash of the chunk once, with one of its nodes and the number of them. A cell has as many
+    ranges as chunks, so a range of the whole cell is no larger than a chunk, however common a hash.
     """
-    once = _hashes(sets).groupBy("cell", "token").agg(F.count("*").alias("df"), F.min("node").alias("node")).where("df = 1")
-    alone = once.groupBy("cell", "node").agg(F.count("*").alias("alone"))
+    for group in runs(batches, ["cell", "part"]):
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in group["hashes"].to_pylist()]
+        token, at, held = np.unique(np.concatenate(sets), return_index=True, return_counts=True)
+        node = np.repeat(np.asarray(group["node"]), [len(x) for x in sets])[at]
+        parts = group["parts"][0].as_py()
+        piece = ((token >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+        first = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+        arrays = [[x.tobytes() for x in np.split(y, first[1:])] for y in (token, node, held)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(first), group["cell"][0].as_py())), pa.array(piece[first]), *(pa.array(x, pa.binary()) for x in arrays)],
+            names=["cell", "piece", "token", "node", "held"])
+
+
+def _ranges(batches):
+    """(cell, token, node, held) of each range of a cell: its hashes, one of their nodes and the number of them."""
+    for group in runs(batches, ["cell", "piece"]):
+        token, node, held = (np.frombuffer(b"".join(group[c].to_pylist()), dtype=np.int64) for c in ("token", "node", "held"))
+        token, at, back = np.unique(token, return_index=True, return_inverse=True)
+        yield group["cell"][0].as_py(), token, node[at], np.bincount(back, weights=held).astype(np.int64)
+
+
+def _alone(batches):
+    """(cell, node, alone): hashes of a set that no other set of its cell holds."""
+    for cell, _, node, held in _ranges(batches):
+        node, alone = np.unique(node[held == 1], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), cell)), pa.array(node), pa.array(alone)], names=["cell", "node", "alone"])
+
+
+def _shared_hashes(batches):
+    """(cell, token, df) of the hashes that several sets of a cell hold."""
+    for cell, token, _, held in _ranges(batches):
+        token, held = token[held > 1], held[held > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(token), cell)), pa.array(token), pa.array(held)], names=["cell", "token", "df"])
+
+
+def _over_ranges(placed: DataFrame, run, schema: str) -> DataFrame:
+    """A task function over the ranges of hashes of each cell, combined in the chunks of its sets first."""
+    chunks = placed.repartition("cell", "part").sortWithinPartitions("cell", "part").mapInArrow(
+        lean(_chunk_hashes), "cell long, piece int, token binary, node binary, held binary")
+    return chunks.repartition("cell", "piece").sortWithinPartitions("cell", "piece").mapInArrow(lean(run), schema)
+
+
+def _covered(sets: DataFrame) -> DataFrame:
+    """The sets of which other sets of their cell hold enough hashes between them."""
+    placed = _placed(sets, sets.groupBy("cell").agg(_chunks()))
+    alone = _over_ranges(placed, _alone, "cell long, node long, alone long").groupBy("cell", "node").agg(F.sum("alone").alias("alone"))
     enough = F.col("n") - F.coalesce("alone", F.lit(0)) >= _least()
     return sets.join(alone, ["cell", "node"], "left").where(enough).drop("alone")
 
@@ -522,16 +558,15 @@ def _rarest(sets: DataFrame) -> DataFrame:
     time; so a hash is only joined to sets where few of its cell hold it.
     """
     size = sets.groupBy("cell").agg(F.count("*").alias("sets"), _chunks())
-    counts = _hashes(sets).groupBy("cell", "token").agg(F.count("*").alias("df")).where("df > 1")
+    placed = _placed(sets, size)
+    counts = _over_ranges(placed, _shared_hashes, "cell long, token long, df long")
     counts = written(counts.join(size.select("cell", "sets"), "cell"), "counts")
     few = F.col("df") * COMMON <= F.col("sets")
     listed = counts.where(~few).groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("c"))
     listed = listed.join(size, "cell").select(
         "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("node"),
         F.lit(None).cast("binary").alias("hashes"), F.col("c.token").alias("tokens"))
-    placed = sets.join(size, "cell").select(
-        "cell", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int").alias("part"), "node", "hashes",
-        F.lit(None).cast("array<long>").alias("tokens"))
+    placed = placed.select("cell", "part", "node", "hashes", F.lit(None).cast("array<long>").alias("tokens"))
     rows = placed.union(listed).repartition("cell", "part").sortWithinPartitions("cell", "part")
     rows = written(rows.mapInArrow(
         lean(_lookup_rows), "cell long, node long, n int, often int, token long, first boolean"), "lookup")
